@@ -62,58 +62,49 @@ def wkt_geojson(wkt: Column) -> Column:
     )
 
 
-def _points(ring_text: Column) -> Column:
-    pairs = F.split(F.trim(ring_text), r"\s*,\s*")
-    return F.transform(
-        pairs,
-        lambda p: F.struct(
-            F.split(p, r"\s+")[0].cast("double").alias("x"), F.split(p, r"\s+")[1].cast("double").alias("y")
-        ),
+def _points(ring_text: str) -> str:
+    return (
+        f"transform(split(trim({ring_text}), '\\\\s*,\\\\s*'), p -> struct("
+        "CAST(split(p, '\\\\s+')[0] AS DOUBLE) AS x, CAST(split(p, '\\\\s+')[1] AS DOUBLE) AS y))"
     )
 
 
-def wkt_rings(wkt: Column) -> Column:
+def rings_sql(wkt: str) -> str:
+    texts = f"regexp_extract_all(coalesce({wkt}, ''), '(\\\\(+[^()]+)\\\\)', 1)"
+    points = _points("translate(t, '(', '')")
+    return f"transform({texts}, t -> struct(NOT startswith(t, '((') AS hole, {points} AS pts))"
+
+
+def wkt_rings(wkt: str = "geometry_wkt") -> Column:
     """POLYGON/MULTIPOLYGON text to ARRAY<STRUCT<hole, pts ARRAY<STRUCT<x, y>>>>.
 
     A ring opened by a single parenthesis follows another ring of the same polygon, so it is a hole.
     """
-    texts = F.regexp_extract_all(F.coalesce(wkt, F.lit("")), F.lit(r"(\(+[^()]+)\)"), 1)
-    return F.transform(
-        texts,
-        lambda t: F.struct(
-            (~t.startswith("((")).alias("hole"), _points(F.regexp_replace(t, r"\(", "")).alias("pts")
-        ),
-    )
+    return F.expr(rings_sql(wkt))
 
 
-def _edge(a: Column, b: Column) -> Column:
-    up = a["y"] <= b["y"]
-    return F.struct(
-        F.when(up, a["x"]).otherwise(b["x"]).alias("x1"),
-        F.when(up, a["y"]).otherwise(b["y"]).alias("y1"),
-        F.when(up, b["x"]).otherwise(a["x"]).alias("x2"),
-        F.when(up, b["y"]).otherwise(a["y"]).alias("y2"),
+def _ring_edges(pts: str) -> str:
+    n = f"size({pts}) - 1"
+    low_first = ", ".join(
+        f"IF(a.y <= b.y, {low}, {high}) AS {name}"
+        for name, low, high in (("x1", "a.x", "b.x"), ("y1", "a.y", "b.y"), ("x2", "b.x", "a.x"), ("y2", "b.y", "a.y"))
     )
+    return f"zip_with(slice({pts}, 1, {n}), slice({pts}, 2, {n}), (a, b) -> struct({low_first}))"
 
 
-def _ring_edges(pts: Column) -> Column:
-    n = F.size(pts) - 1
-    return F.zip_with(F.slice(pts, F.lit(1), n), F.slice(pts, F.lit(2), n), _edge)
-
-
-def wkt_edges(wkt: Column) -> Column:
+def wkt_edges(wkt: str = "geometry_wkt") -> Column:
     """All edges of a polygon, lower end first; empty for NULL or blank text."""
-    return F.flatten(F.transform(wkt_rings(wkt), lambda ring: _ring_edges(ring["pts"])))
+    return F.expr(f"flatten(transform({rings_sql(wkt)}, ring -> {_ring_edges('ring.pts')}))")
 
 
 def polygon_edges(polygons: DataFrame, keys: list[str], wkt: str = "geometry_wkt") -> DataFrame:
     """One row per edge: ``keys`` + x1, y1, x2, y2. Rings are exploded before their points are parsed."""
-    rings = (
+    return (
         polygons.filter(has_geometry(F.col(wkt)))
-        .select(*keys, F.explode(F.regexp_extract_all(F.col(wkt), F.lit(r"\(([^()]+)\)"), 1)).alias("_ring"))
-        .withColumn("_pts", _points(F.col("_ring")))
+        .selectExpr(*keys, f"explode(regexp_extract_all({wkt}, '\\\\(([^()]+)\\\\)', 1)) AS _ring")
+        .selectExpr(*keys, f"explode(array({_points('_ring')})) AS _pts")
+        .selectExpr(*keys, f"inline({_ring_edges('_pts')})")
     )
-    return rings.select(*keys, F.explode(_ring_edges(F.col("_pts"))).alias("_e")).select(*keys, "_e.x1", "_e.y1", "_e.x2", "_e.y2")
 
 
 def crossing_x(px_y: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -141,57 +132,41 @@ def edges_contain(edges: Column, px: Column, py: Column, boundary: str = "strict
     return {"half_open": odd, "strict": odd & ~touches, "inclusive": odd | touches}[boundary]
 
 
-def polygon_bounds(wkt: Column) -> Column:
+def polygon_bounds(wkt: str = "geometry_wkt") -> Column:
     """STRUCT<minx, miny, maxx, maxy>."""
-    pts = F.flatten(F.transform(wkt_rings(wkt), lambda ring: ring["pts"]))
-    xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"), F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy")
+    low_high = {"minx": "min(x)", "miny": "min(y)", "maxx": "max(x)", "maxy": "max(y)"}
+    parts = ", ".join(
+        f"array_{call[:3]}(transform(pts, p -> p.{call[4]})) AS {name}" for name, call in low_high.items()
     )
+    # transform over a one-element array binds the parsed points to a name, so they are parsed once.
+    return F.expr(f"transform(array(flatten(transform({rings_sql(wkt)}, ring -> ring.pts))), pts -> struct({parts}))[0]")
 
 
-def area_moments(wkt: Column) -> Column:
+def area_moments(wkt: str = "geometry_wkt") -> Column:
     """STRUCT<area, mx, my>: area and first moments; holes subtract whatever way they turn.
 
     Each ring is measured from its own first vertex, which keeps small polygons accurate. Moments add
     up across polygons, so a union centroid is sum(mx)/sum(area).
     """
-
-    def ring_moments(ring):
-        pts, origin = ring["pts"], ring["pts"][0]
-        n = F.size(pts) - 1
-        crosses = F.zip_with(
-            F.slice(pts, F.lit(1), n),
-            F.slice(pts, F.lit(2), n),
-            lambda a, b: F.struct(
-                (a["x"] + b["x"] - origin["x"] * 2).alias("sx"),
-                (a["y"] + b["y"] - origin["y"] * 2).alias("sy"),
-                ((a["x"] - origin["x"]) * (b["y"] - origin["y"]) - (b["x"] - origin["x"]) * (a["y"] - origin["y"])).alias("c"),
-            ),
-        )
-        zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-        total = F.aggregate(
-            crosses,
-            zero,
-            lambda s, e: F.struct(
-                (s["a"] + e["c"] / 2).alias("a"), (s["x"] + e["c"] * e["sx"] / 6).alias("x"), (s["y"] + e["c"] * e["sy"] / 6).alias("y")
-            ),
-            lambda s: F.struct(s["a"].alias("a"), (s["x"] + s["a"] * origin["x"]).alias("x"), (s["y"] + s["a"] * origin["y"]).alias("y")),
-        )
-        return F.struct(total.alias("t"), ring["hole"].alias("hole"))
-
-    signed = F.transform(wkt_rings(wkt), ring_moments)
-    zero = F.struct(F.lit(0.0).alias("area"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-    def add(s, ring):
-        sign = F.signum(ring["t"]["a"]) * F.when(ring["hole"], -1.0).otherwise(1.0)
-        return F.struct(
-            (s["area"] + sign * ring["t"]["a"]).alias("area"),
-            (s["mx"] + sign * ring["t"]["x"]).alias("mx"),
-            (s["my"] + sign * ring["t"]["y"]).alias("my"),
-        )
-
-    return F.aggregate(signed, zero, add)
+    o = "element_at(ring.pts, 1)"
+    n = "size(ring.pts) - 1"
+    cross = f"(a.x - {o}.x) * (b.y - {o}.y) - (b.x - {o}.x) * (a.y - {o}.y)"
+    triangles = (
+        f"zip_with(slice(ring.pts, 1, {n}), slice(ring.pts, 2, {n}), (a, b) -> "
+        f"struct({cross} AS c, a.x + b.x - 2 * {o}.x AS sx, a.y + b.y - 2 * {o}.y AS sy))"
+    )
+    zero = "named_struct('area', 0D, 'mx', 0D, 'my', 0D)"
+    ring_sum = (
+        f"aggregate({triangles}, {zero}, (s, e) -> named_struct("
+        "'area', s.area + e.c / 2, 'mx', s.mx + e.c * e.sx / 6, 'my', s.my + e.c * e.sy / 6), "
+        "s -> named_struct("
+        f"'area', abs(s.area), 'mx', signum(s.area) * (s.mx + s.area * {o}.x), 'my', signum(s.area) * (s.my + s.area * {o}.y)))"
+    )
+    signed = f"transform({rings_sql(wkt)}, ring -> struct(IF(ring.hole, -1D, 1D) AS sign, {ring_sum} AS m))"
+    return F.expr(
+        f"aggregate({signed}, {zero}, (t, r) -> named_struct("
+        "'area', t.area + r.sign * r.m.area, 'mx', t.mx + r.sign * r.m.mx, 'my', t.my + r.sign * r.m.my))"
+    )
 
 
 def polygon_body(wkt: Column) -> Column:

@@ -102,10 +102,15 @@ def r_of(cell: Column) -> Column:
     return cell.bitwiseAND(F.lit(R_MASK)) - OFFSET
 
 
-def hex_distance(a: Column, b: Column) -> Column:
-    """Rings between two cells."""
-    dq, dr = q_of(a) - q_of(b), r_of(a) - r_of(b)
-    return ((F.abs(dq) + F.abs(dr) + F.abs(dq + dr)) / 2).cast("int")
+def distance_sql(a: str, b: str) -> str:
+    """Rings between two cells, as SQL text over column names."""
+    dq = f"(shiftright({a}, {Q_SHIFT}) - shiftright({b}, {Q_SHIFT}))"
+    dr = f"(({a} & {R_MASK}L) - ({b} & {R_MASK}L))"
+    return f"CAST((abs({dq}) + abs({dr}) + abs({dq} + {dr})) / 2 AS INT)"
+
+
+def hex_distance(a: str, b: str) -> Column:
+    return F.expr(distance_sql(a, b))
 
 
 def hex_distance_int(a: int, b: int) -> int:
@@ -115,47 +120,49 @@ def hex_distance_int(a: int, b: int) -> int:
     return (abs(dq) + abs(dr) + abs(dq + dr)) // 2
 
 
-def explode_disk(df: DataFrame, k: Column, center: str = "cell", out: str = "disk_cell", ring: str = "ring") -> DataFrame:
-    """One row per cell within ``k`` rings of ``center``; adds ``out`` and ``ring``.
+def row_sql(cell: str) -> str:
+    return f"(({cell} & {R_MASK}L) - {OFFSET}L)"
+
+
+def q_sql(cell: str) -> str:
+    return f"(shiftright({cell}, {Q_SHIFT}) - {OFFSET}L)"
+
+
+def explode_disk(df: DataFrame, k: str, center: str = "cell", out: str = "disk_cell", ring: str = "ring") -> DataFrame:
+    """One row per cell within ``k`` (SQL text) rings of ``center``; adds ``out`` and ``ring``.
 
     Neighbour ids are the centre id plus a packed offset: no offset table, no join.
     """
-    rows = df.withColumn("_k", k.cast("int")).withColumn("_dq", F.explode(F.sequence(-F.col("_k"), F.col("_k"))))
-    rows = rows.withColumn(
-        "_dr",
-        F.explode(
-            F.sequence(
-                F.greatest(-F.col("_k"), -F.col("_dq") - F.col("_k")),
-                F.least(F.col("_k"), F.col("_k") - F.col("_dq")),
-            )
-        ),
+    return (
+        df.selectExpr("*", f"CAST({k} AS INT) AS _k")
+        .selectExpr("*", "explode(sequence(-_k, _k)) AS _dq")
+        .selectExpr("*", "explode(sequence(greatest(-_k, -_dq - _k), least(_k, _k - _dq))) AS _dr")
+        .selectExpr(
+            *df.columns,
+            f"{center} + _dq * {1 << Q_SHIFT}L + _dr AS {out}",
+            f"CAST((abs(_dq) + abs(_dr) + abs(_dq + _dr)) / 2 AS INT) AS {ring}",
+        )
     )
-    step = F.col("_dq").cast("long") * (1 << Q_SHIFT) + F.col("_dr").cast("long")
-    dist = (F.abs("_dq") + F.abs("_dr") + F.abs(F.col("_dq") + F.col("_dr"))) / 2
-    return rows.withColumn(out, F.col(center) + step).withColumn(ring, dist.cast("int")).drop("_k", "_dq", "_dr")
 
 
-def explode_disk_rows(df: DataFrame, k: Column, center: str = "cell") -> DataFrame:
+def explode_disk_rows(df: DataFrame, k: str, center: str = "cell") -> DataFrame:
     """The same disk as 2k+1 horizontal runs: adds ``row``, ``q_lo`` and ``q_hi`` (both inclusive).
 
     A disk of 3k(k+1)+1 cells needs only 2k+1 rows this way, which is what the sweep operators shuffle.
     """
-    rows = df.withColumn("_k", k.cast("int")).withColumn("_dr", F.explode(F.sequence(-F.col("_k"), F.col("_k"))))
     return (
-        rows.withColumn("row", r_of(F.col(center)) + F.col("_dr"))
-        .withColumn("q_lo", q_of(F.col(center)) + F.greatest(-F.col("_k"), -F.col("_dr") - F.col("_k")))
-        .withColumn("q_hi", q_of(F.col(center)) + F.least(F.col("_k"), F.col("_k") - F.col("_dr")))
-        .drop("_k", "_dr")
+        df.selectExpr("*", f"CAST({k} AS INT) AS _k")
+        .selectExpr("*", "explode(sequence(-_k, _k)) AS _dr")
+        .selectExpr(
+            *df.columns,
+            f"{row_sql(center)} + _dr AS row",
+            f"{q_sql(center)} + greatest(-_k, -_dr - _k) AS q_lo",
+            f"{q_sql(center)} + least(_k, _k - _dr) AS q_hi",
+        )
     )
 
 
-def distance_rings(distances_m, grid: HexGrid) -> Column:
-    """Literal array of (distance_m, k): explode it to give every row one copy per distance."""
-    return F.array(*[F.struct(F.lit(int(d)).alias("distance_m"), F.lit(grid.rings(d)).alias("k")) for d in distances_m])
-
-
 def per_distance(df: DataFrame, distances_m, grid: HexGrid) -> DataFrame:
     """Add ``distance_m`` and ``k``: one copy of every row per distance, all distances in one plan."""
-    return df.withColumn("_d", F.explode(distance_rings(distances_m, grid))).select(
-        *[F.col(c) for c in df.columns], F.col("_d.distance_m").alias("distance_m"), F.col("_d.k").alias("k")
-    )
+    pairs = ", ".join(f"struct({int(d)} AS distance_m, {grid.rings(d)} AS k)" for d in distances_m)
+    return df.selectExpr("*", f"inline(array({pairs}))")

@@ -15,10 +15,10 @@ rows of one combination; their length is bounded by the grid, not by the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoreach.functions.hexgrid import HexGrid, explode_disk, explode_disk_rows, per_distance, q_of, r_of
+from isoreach.functions.hexgrid import HexGrid, explode_disk, explode_disk_rows, per_distance, q_sql, row_sql
 from isoreach.functions.names import pct
 from isoreach.operators.joins import lookup_join, salted_join
 from isoreach.operators.population import from_micro
@@ -36,65 +36,38 @@ def disk_sums(disks: DataFrame, weights: DataFrame) -> DataFrame:
 
     ``disks`` is (combo, cell, k) with distinct rows, ``weights`` is (combo, cell, w).
     """
-    runs = explode_disk_rows(disks, F.col("k"))
-    probes = runs.select(
-        *COMBO,
-        "row",
-        F.inline(
-            F.array(
-                F.struct(F.col("q_hi").alias("q"), F.lit(1).alias("sign")),
-                F.struct((F.col("q_lo") - 1).alias("q"), F.lit(-1).alias("sign")),
-            )
-        ),
-        F.col("cell").alias("site"),
-        F.lit(None).cast("long").alias("w"),
-    )
-    cells = weights.select(
-        *COMBO,
-        r_of(F.col("cell")).alias("row"),
-        q_of(F.col("cell")).alias("q"),
-        F.lit(0).alias("sign"),
-        F.lit(None).cast("long").alias("site"),
-        "w",
+    probes = explode_disk_rows(disks, "k").selectExpr(
+        *COMBO, "row", "inline(array(struct(q_hi AS q, 1 AS sign), struct(q_lo - 1 AS q, -1 AS sign)))", "cell AS site", "NULL AS w"
     )
-    # A cell comes before a probe at the same q: the range frame includes peers.
-    w = Window.partitionBy(*COMBO, "row").orderBy("q").rangeBetween(Window.unboundedPreceding, 0)
-    swept = cells.unionByName(probes).withColumn("below", F.coalesce(F.sum("w").over(w), F.lit(0)))
+    cells = weights.selectExpr(*COMBO, f"{row_sql('cell')} AS row", f"{q_sql('cell')} AS q", "0 AS sign", "NULL AS site", "w")
+    # A range frame includes peers, so a cell counts for a probe at the same q.
+    below = "coalesce(sum(w) OVER (PARTITION BY region, distance_m, row ORDER BY q RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)"
     return (
-        swept.filter(F.col("sign") != 0)
-        .groupBy(*COMBO, F.col("site").alias("cell"))
-        .agg(F.sum(F.col("below") * F.col("sign")).alias("w"))
+        cells.unionByName(probes)
+        .selectExpr("region", "distance_m", "site AS cell", "sign", f"{below} AS below")
+        .filter("sign != 0")
+        .groupBy(*COMBO, "cell")
+        .agg(F.expr("sum(below * sign) AS w"))
     )
 
 
 def cover_counts(disks: DataFrame, cells: DataFrame) -> DataFrame:
     """``cells`` (combo, cell, ...) plus ``sites``: how many of the disks hold the cell."""
-    runs = explode_disk_rows(disks, F.col("k"))
     extra = [c for c in cells.columns if c not in (*COMBO, "cell")]
-    blank = [F.lit(None).cast(cells.schema[c].dataType).alias(c) for c in ["cell", *extra]]
-    ends = runs.select(
-        *COMBO,
-        "row",
-        F.inline(
-            F.array(
-                F.struct(F.col("q_lo").alias("q"), F.lit(1).alias("step")),
-                F.struct((F.col("q_hi") + 1).alias("q"), F.lit(-1).alias("step")),
-            )
-        ),
-    )
+    blank = [f"CAST(NULL AS {kind}) AS {c}" for c, kind in cells.dtypes if c in ("cell", *extra)]
     # Many disks start or end at one place: combine before the sweep.
-    ends = ends.groupBy(*COMBO, "row", "q").agg(F.sum("step").alias("step")).filter(F.col("step") != 0)
-    marks = ends.select(*COMBO, "row", "q", "step", *blank)
-    rows = cells.select(
-        *COMBO, r_of(F.col("cell")).alias("row"), q_of(F.col("cell")).alias("q"), F.lit(0).cast("long").alias("step"), "cell", *extra
-    )
-    w = Window.partitionBy(*COMBO, "row").orderBy("q").rangeBetween(Window.unboundedPreceding, 0)
-    return (
-        rows.unionByName(marks)
-        .withColumn("sites", F.sum("step").over(w))
-        .filter(F.col("cell").isNotNull())
-        .select(*COMBO, "cell", *extra, "sites")
+    ends = (
+        explode_disk_rows(disks, "k")
+        .selectExpr(*COMBO, "row", "inline(array(struct(q_lo AS q, 1 AS step), struct(q_hi + 1 AS q, -1 AS step)))")
+        .groupBy(*COMBO, "row", "q")
+        .agg(F.expr("sum(step) AS step"))
+        .filter("step != 0")
+        .selectExpr(*COMBO, "row", "q", "step", *blank)
     )
+    rows = cells.selectExpr(*COMBO, f"{row_sql('cell')} AS row", f"{q_sql('cell')} AS q", "0L AS step", "cell", *extra)
+    sites = "sum(step) OVER (PARTITION BY region, distance_m, row ORDER BY q RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    swept = rows.unionByName(ends).selectExpr(*COMBO, "cell", *extra, f"{sites} AS sites")
+    return swept.filter("cell IS NOT NULL")
 
 
 def weights_per_distance(weights: DataFrame, distances_m, grid: HexGrid) -> DataFrame:
@@ -120,7 +93,7 @@ def coverage_cells(sites: DataFrame, weights: DataFrame, distances_m, grid: HexG
     looked up once and the ids joined back.
     """
     rings = {int(d): grid.rings(d) for d in distances_m}
-    disks = explode_disk(sites.select("region", "cell").distinct(), F.lit(max(rings.values())))
+    disks = explode_disk(sites.select("region", "cell").distinct(), str(max(rings.values())))
     found = disks.join(
         weights.select("region", F.col("cell").alias("disk_cell")), ["region", "disk_cell"]
     )

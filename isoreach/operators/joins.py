@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,13 @@ def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "in
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def local_rows(spark: SparkSession, rows: list, schema: pa.Schema) -> DataFrame:
+    """A small driver-side table as a local relation (no Python workers when it is read)."""
+    columns = list(zip(*rows, strict=True)) or [[] for _ in schema]
+    arrays = [pa.array(list(values), field.type) for values, field in zip(columns, schema, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=schema))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the one the cluster names, else (tests) a folder of our own."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -92,7 +92,7 @@ def sample_exact(df: DataFrame, groups: list[str], key: str, n: int, seed: int =
 
 def boundary_centers(boundaries: DataFrame, keys: list[str], wkt: str = "geometry_wkt") -> DataFrame:
     """Centroid of the union of each key's polygons, which must not overlap."""
-    m = area_moments(F.col(wkt))
+    m = area_moments(wkt)
     sums = boundaries.filter(has_geometry(F.col(wkt))).select(*keys, m.alias("_m")).groupBy(*keys).agg(
         F.sum("_m.area").alias("_a"), F.sum("_m.mx").alias("_x"), F.sum("_m.my").alias("_y")
     )

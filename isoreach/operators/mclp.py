@@ -21,26 +21,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from isoreach.functions.hexgrid import HexGrid, disk_size, explode_disk, hex_distance, hex_distance_int, per_distance
+from isoreach.functions.hexgrid import HexGrid, disk_size, distance_sql, explode_disk, hex_distance_int, per_distance
 from isoreach.operators.coverage import COMBO, cover_counts, disk_sums, site_cells, weights_per_distance
-from isoreach.operators.joins import Workspace, fits_broadcast
+from isoreach.operators.joins import Workspace, fits_broadcast, local_rows
 from isoreach.operators.population import from_micro
 
-PICK_SCHEMA = T.StructType(
-    [
-        T.StructField("region", T.StringType(), False),
-        T.StructField("distance_m", T.IntegerType(), False),
-        T.StructField("p", T.IntegerType(), False),
-        T.StructField("facility_id", T.StringType(), False),
-        T.StructField("cell", T.LongType(), True),
-        T.StructField("gain_w", T.LongType(), False),
-    ]
+PICK_SCHEMA = pa.schema(
+    [("region", pa.string()), ("distance_m", pa.int32()), ("p", pa.int32()), ("facility_id", pa.string()), ("cell", pa.int64()), ("gain_w", pa.int64())]
 )
+PICKED_SCHEMA = pa.schema(
+    [("region", pa.string()), ("distance_m", pa.int32()), ("cell", pa.int64()), ("k", pa.int32()), ("near", pa.list_(pa.int64()))]
+)
+BASE_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("base_w", pa.int64())])
+ID_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("ID", pa.string())])
 CUT_EVERY = 10
 
 
@@ -50,9 +48,9 @@ def _broadcast_if(df: DataFrame, rows: int | None) -> DataFrame:
 
 def _best(gains: DataFrame) -> list:
     """Best candidate per combination. Two hash aggregations instead of one that would sort."""
-    top = gains.groupBy(*COMBO).agg(F.max("gain").alias("gain"))
+    top = gains.groupBy(*COMBO).agg(F.expr("max(gain) AS gain"))
     tied = gains.join(top, [*COMBO, "gain"])
-    return tied.groupBy(*COMBO).agg(F.min(F.struct("ID", "cell", "gain")).alias("b")).select(*COMBO, "b.*").collect()
+    return tied.groupBy(*COMBO).agg(F.expr("min(struct(ID, cell, gain)) AS b")).select(*COMBO, "b.*").collect()
 
 
 def _greedy(gains: DataFrame, shrink: Callable, max_new: int, work: Workspace) -> list[tuple]:
@@ -83,8 +81,8 @@ def _greedy(gains: DataFrame, shrink: Callable, max_new: int, work: Workspace) -
 
 def _steps(spark: SparkSession, picks: list[tuple], base: list) -> DataFrame:
     """Pick rows with the running objective; ``base`` holds what existing sites cover per combination."""
-    rows = spark.createDataFrame(picks, PICK_SCHEMA)
-    base = spark.createDataFrame([tuple(b) for b in base], "region string, distance_m int, base_w long")
+    rows = local_rows(spark, picks, PICK_SCHEMA)
+    base = local_rows(spark, base, BASE_SCHEMA)
     running = Window.partitionBy(*COMBO).orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
     return (
         rows.withColumn("_sum", F.sum("gain_w").over(running))
@@ -132,21 +130,21 @@ def site_steps(
             k = rings[distance]
             near = [c for c in earlier.get((region, distance), []) if hex_distance_int(c, cell) <= 2 * k]
             rows.append((region, distance, cell, k, near))
-        picked = spark.createDataFrame(rows, "region string, distance_m int, cell long, k int, near array<long>")
-        disks = explode_disk(picked, F.col("k"))
-        fresh = disks.filter(~F.exists("near", lambda c: hex_distance(c, F.col("disk_cell")) <= F.col("k"))).select(
-            *COMBO, F.col("disk_cell").alias("cell"), "k"
+        picked = local_rows(spark, rows, PICKED_SCHEMA)
+        fresh = (
+            explode_disk(picked, "k")
+            .filter(f"NOT exists(near, c -> {distance_sql('c', 'disk_cell')} <= k)")
+            .selectExpr(*COMBO, "disk_cell AS cell", "k")
         )
         reached = open_cells.join(_broadcast_if(fresh, sum(disk_size(r[3]) for r in rows)), [*COMBO, "cell"])
         lost = (
-            explode_disk(reached, F.col("k"))
-            .groupBy(*COMBO, F.col("disk_cell").alias("cell"))
-            .agg(F.sum("w").alias("lost"))
+            explode_disk(reached, "k")
+            .selectExpr(*COMBO, "disk_cell AS cell", "w")
+            .groupBy(*COMBO, "cell")
+            .agg(F.expr("sum(w) AS lost"))
         )
         lost = _broadcast_if(lost, sum(disk_size(2 * r[3]) for r in rows))
-        return gains.join(lost, [*COMBO, "cell"], "left").select(
-            *COMBO, "cell", "ID", (F.col("gain") - F.coalesce(F.col("lost"), F.lit(0))).alias("gain")
-        )
+        return gains.join(lost, [*COMBO, "cell"], "left").selectExpr(*COMBO, "cell", "ID", "gain - coalesce(lost, 0) AS gain")
 
     picks = _greedy(gains, shrink, max_new, work)
     open_cells.unpersist()
@@ -179,11 +177,10 @@ def relation_steps(
     gains = remaining.groupBy(*COMBO, "ID").agg(F.sum("w").alias("gain")).withColumn("cell", F.lit(None).cast("long"))
 
     def shrink(gains: DataFrame, step: list[tuple], done: list[tuple]) -> DataFrame:
-        ids = "region string, distance_m int, ID string"
-        now = spark.createDataFrame([(s[0], s[1], s[3]) for s in step], ids)
+        now = local_rows(spark, [(s[0], s[1], s[3]) for s in step], ID_SCHEMA)
         fresh = remaining.join(F.broadcast(now), [*COMBO, "ID"]).select(*at_cell)
         if done:
-            before = spark.createDataFrame([(s[0], s[1], s[3]) for s in done], ids)
+            before = local_rows(spark, [(s[0], s[1], s[3]) for s in done], ID_SCHEMA)
             gone = remaining.join(F.broadcast(before), [*COMBO, "ID"]).select(*at_cell).distinct()
             fresh = fresh.join(gone, at_cell, "left_anti")
         lost = remaining.join(fresh, at_cell).groupBy(*COMBO, "ID").agg(F.sum("w").alias("lost"))
@@ -208,9 +205,9 @@ def first_covering_step(steps: DataFrame, cells: DataFrame, existing: DataFrame,
     the first step that does, else NULL. Every later question about steps reads this one column."""
     per = weights_per_distance(cells, distances_m, grid)
     known = cover_counts(site_cells(existing, distances_m, grid), per)
-    rings = F.create_map(*[F.lit(v) for d in distances_m for v in (int(d), grid.rings(d))])
+    rings = ", ".join(f"{int(d)}, {grid.rings(d)}" for d in distances_m)
     reach = (
-        explode_disk(steps.select(*COMBO, "p", "cell"), rings[F.col("distance_m")])
+        explode_disk(steps.select(*COMBO, "p", "cell"), f"map({rings})[distance_m]")
         .groupBy(*COMBO, F.col("disk_cell").alias("cell"))
         .agg(F.min("p").alias("_p"))
     )

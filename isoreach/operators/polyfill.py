@@ -54,7 +54,7 @@ def polyfill(polygons: DataFrame, keys: list[str], grid: HexGrid, wkt: str = "ge
 
 def max_cells(polygons: DataFrame, grid: HexGrid, wkt: str = "geometry_wkt") -> int:
     """Upper bound of the rows ``polyfill`` can give, from bounding boxes: proves a broadcast safe."""
-    b = polygon_bounds(F.col(wkt))
+    b = polygon_bounds(wkt)
     rows = F.ceil((b["maxy"] - b["miny"]) / grid.dy) + 1
     columns = F.ceil((b["maxx"] - b["minx"]) / grid.dx) + 1
     return polygons.agg(F.sum(rows * columns).alias("n")).first()["n"] or 0

@@ -40,7 +40,7 @@ def grid_candidates(regions: DataFrame, spacing: float, keys: list[str], grid: H
     Lattice rows are scan lines: points between two crossings of a row are inside, and points on an
     edge are added from the edges that touch the row. Ids are ``<ix>_<iy>_potential``.
     """
-    b = polygon_bounds(F.col(wkt))
+    b = polygon_bounds(wkt)
     anchors = regions.groupBy(*keys).agg(
         F.min(b["minx"]).alias("_minx"), F.min(b["miny"]).alias("_miny"), F.max(b["maxx"]).alias("_maxx"), F.max(b["maxy"]).alias("_maxy")
     )

@@ -35,22 +35,23 @@ def points_in_polygons(
     edges = polygon_edges(polygons, polygon_keys, wkt).withColumn(
         "_ty", F.explode(F.sequence(_tile(F.col("y1"), tile), _tile(F.col("y2"), tile)))
     )
-    claims = (
-        edges.groupBy(*polygon_keys, "_ty")
-        .agg(_tile(F.min(F.least("x1", "x2")), tile).alias("_lo"), _tile(F.max(F.greatest("x1", "x2")), tile).alias("_hi"))
-        .withColumn("_tx", F.explode(F.sequence("_lo", "_hi")))
-        .select(*polygon_keys, "_ty", "_tx")
+    spans = edges.groupBy(*polygon_keys, "_ty").agg(
+        _tile(F.min(F.least("x1", "x2")), tile).alias("_lo"),
+        _tile(F.max(F.greatest("x1", "x2")), tile).alias("_hi"),
+        F.count(F.lit(1)).alias("_n"),
     )
+    sizes = spans.agg(F.sum(F.col("_hi") - F.col("_lo") + 1).alias("claims"), F.sum("_n").alias("edges")).first()
+    claims = spans.withColumn("_tx", F.explode(F.sequence("_lo", "_hi"))).select(*polygon_keys, "_ty", "_tx")
     located = (
         points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
         .select(F.col(point_id), F.col(lon).alias("_px"), F.col(lat).alias("_py"))
         .withColumn("_tx", _tile(F.col("_px"), tile))
         .withColumn("_ty", _tile(F.col("_py"), tile))
     )
-    pairs = lookup_join(located, claims, ["_ty", "_tx"])
+    pairs = lookup_join(located, claims, ["_ty", "_tx"], max_rows=sizes["claims"] or 0)
     ends = (F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
     tested = (
-        lookup_join(pairs, edges, [*polygon_keys, "_ty"])
+        lookup_join(pairs, edges, [*polygon_keys, "_ty"], max_rows=sizes["edges"] or 0)
         .withColumn("_cross", ray_crosses(F.col("_px"), F.col("_py"), *ends))
         .withColumn("_touch", on_edge(F.col("_px"), F.col("_py"), *ends))
         .filter(F.col("_cross") | F.col("_touch"))

@@ -65,10 +65,16 @@ def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _ring_text(points: list[tuple[Column, Column]], text) -> Column:
+    """Closed ring ``(x y, ...)``; one lambda over the corners keeps the generated code small."""
+    corners = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in [*points, points[0]]])
+    parts = F.transform(corners, lambda p: F.concat(text(p["x"]), F.lit(" "), text(p["y"])))
+    return F.concat(F.lit("("), F.array_join(parts, ", "), F.lit(")"))
+
+
 def _ring(points: list[tuple[Column, Column]]) -> Column:
-    """Closed POLYGON text; coordinates are written in full, so parsing gives the same doubles back."""
-    corners = [F.concat(x.cast("string"), F.lit(" "), y.cast("string")) for x, y in [*points, points[0]]]
-    return F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *corners), F.lit("))"))
+    """POLYGON text; coordinates are written in full, so parsing gives the same doubles back."""
+    return F.concat(F.lit("POLYGON ("), _ring_text(points, lambda v: v.cast("string")), F.lit(")"))
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +125,7 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     w, h = F.lit(0.02) + k % 7 / F.lit(1000.0), F.lit(0.02) + k % 5 / F.lit(1000.0)
 
     def ring(points):
-        corners = [F.concat(number_text(_milli(px)), F.lit(" "), number_text(_milli(py))) for px, py in [*points, points[0]]]
-        return F.concat(F.lit("("), F.concat_ws(", ", *corners), F.lit(")"))
+        return _ring_text(points, lambda v: number_text(_milli(v)))
 
     def box(x0, y0, bw, bh):
         return [(x0, y0), (x0 + bw, y0), (x0 + bw, y0 + bh), (x0, y0 + bh)]

@@ -257,7 +257,7 @@ def oracle_sql() -> dict[str, str]:
         select="""SELECT key, floor(sum(a * (xlo + xhi) / 2) / sum(a) * 1e6 + 0.5) / 1e6 AS center_lon, floor(sum(a * (ylo + yhi) / 2) / sum(a) * 1e6 + 0.5) / 1e6 AS center_lat, floor(sum(a) * 1e9 + 0.5) / 1e9 AS area
           FROM (SELECT *, (CASE WHEN hole THEN -1 ELSE 1 END) * (xhi - xlo) * (yhi - ylo) AS a FROM parcel_boxes) GROUP BY key""",
     )
-    add("boundary_select", "parcel", select="SELECT key, ISO_A3, NAM_1, NAM_2 FROM parcel WHERE ISO_A3 = 'NATION_3' AND NAM_1 = 'Muchinga'")
+    add("boundary_select", "parcel", select="SELECT key, ISO_A3, NAM_1, NAM_2 FROM parcel WHERE ISO_A3 = 'NATION_3' AND NAM_1 = 'MACHINERY'")
     add("lgu_normalize", "parcel", select="SELECT ISO_A3 AS iso3, NAM_1 AS province, NAM_2 AS LGU, geometry_wkt FROM parcel")
     add("name_corrections", "parcel", select="SELECT NAM_1, count(*) AS n FROM parcel GROUP BY NAM_1")
     add(
@@ -329,7 +329,7 @@ def oracle_sql() -> dict[str, str]:
         "steps",
         "ex",
         "cand",
-        select=f"""WITH n AS (SELECT s.*, (SELECT count(*) FROM ex WHERE ex.region = s.region) AS n_existing, (SELECT count(*) FROM cand WHERE cand.region = s.region) AS n_potential FROM summary s)
+        select=f""", n AS (SELECT s.*, (SELECT count(*) FROM ex WHERE ex.region = s.region) AS n_existing, (SELECT count(*) FROM cand WHERE cand.region = s.region) AS n_potential FROM summary s)
           SELECT region, distance_m, n_existing AS total_facilities, current_access AS access_pct, n_existing, n_potential, max_access FROM n
           UNION ALL SELECT n.region, n.distance_m, n_existing + p, {pct('objective', 'total_population')}, n_existing, n_potential, max_access FROM n JOIN steps s ON s.region = n.region AND s.distance_m = n.distance_m""",
     )

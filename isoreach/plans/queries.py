@@ -21,28 +21,35 @@ TARGET = 90.0
 
 
 class Area:
-    """The inputs of one run, built lazily."""
+    """The inputs of one run. Site and cell tables are written once and read by every later stage."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, max_new: int = MAX_NEW, pixels: DataFrame | None = None):
         self.spark, self.sf_dir, self.max_new = spark, sf_dir, max_new
         self.pixels = fx.pixels(spark, sf_dir) if pixels is None else pixels
         self.regions = fx.regions(spark, sf_dir)
         self.districts = fx.districts(spark, sf_dir)
+        self._work = Workspace(spark)
+        self._stored: dict[str, DataFrame] = {}
+
+    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._stored:
+            self._stored[name] = self._work.save(make(), name)
+        return self._stored[name]
 
     def weights(self) -> DataFrame:
-        return population.population_by_region_cell(self.pixels, self.regions, GRID)
+        return self._once("weights", lambda: population.population_by_region_cell(self.pixels, self.regions, GRID))
 
     def aoi(self) -> DataFrame:
         clipped = population.clip_population(self.pixels, self.regions, GRID)
         return clipped.withColumn("ID", F.concat(F.col("key").cast("string"), F.lit("_pop")))
 
     def existing(self) -> DataFrame:
-        return sites.place_sites(
-            sites.facilities_within(fx.facilities(self.spark, self.sf_dir), self.regions.select("region", "geometry_wkt"), ["region"]), GRID
-        )
+        facilities = fx.facilities(self.spark, self.sf_dir)
+        within = lambda: sites.facilities_within(facilities, self.regions, ["region"])
+        return self._once("existing", lambda: sites.place_sites(within(), GRID))
 
     def candidates(self) -> DataFrame:
-        return sites.grid_candidates(self.regions, SPACING, ["region"], GRID)
+        return self._once("candidates", lambda: sites.grid_candidates(self.regions, SPACING, ["region"], GRID))
 
     def covered(self) -> DataFrame:
         return coverage.covered_cells(self.existing(), self.candidates(), self.weights(), DISTANCES, GRID)
@@ -51,16 +58,18 @@ class Area:
         return coverage.access_summary(self.covered())
 
     def steps(self) -> DataFrame:
-        return mclp.site_steps(self.weights(), self.existing(), self.candidates(), DISTANCES, GRID, self.max_new)
+        if "steps" not in self._stored:
+            args = self.weights(), self.existing(), self.candidates(), DISTANCES, GRID, self.max_new
+            self._stored["steps"] = mclp.site_steps(*args)
+        return self._stored["steps"]
 
-    def curves(self, steps: DataFrame | None = None) -> DataFrame:
-        steps = self.steps() if steps is None else steps
+    def curves(self) -> DataFrame:
+        steps = self.steps()
         first = mclp.first_covering_step(steps, self.weights().select("region", "cell", "w"), self.existing(), DISTANCES, GRID)
         return equity.access_curves(first, steps, self.districts, self.regions, GRID)
 
-    def located_steps(self, steps: DataFrame | None = None) -> DataFrame:
-        steps = self.steps() if steps is None else steps
-        placed = mclp.new_sites(steps, self.candidates()).withColumn(
+    def located_steps(self) -> DataFrame:
+        placed = mclp.new_sites(self.steps(), self.candidates()).withColumn(
             "_site", F.concat_ws("|", "region", F.col("distance_m").cast("string"), F.col("p").cast("string"))
         )
         return spatial_join.first_polygon(placed, self.districts, "_site", "LGU", "LGU").drop("_site")
@@ -86,7 +95,7 @@ def hex_cell(spark, sf_dir):
 def hex_disk(spark, sf_dir):
     k = F.col("c_custkey")
     at = fx.table(spark, sf_dir, "customer").select(k.alias("key"), GRID.cell(fx.key_lon(k), fx.key_lat(k)).alias("cell"))
-    return explode_disk(at, F.col("key") % 4).select("key", "disk_cell", "ring")
+    return explode_disk(at, "key % 4").select("key", "disk_cell", "ring")
 
 
 def k_rings(spark, sf_dir):
@@ -139,7 +148,7 @@ def polygon_edges(spark, sf_dir):
 
 
 def polygon_bounds(spark, sf_dir):
-    return fx.parcels(spark, sf_dir).select("key", geo.polygon_bounds(F.col("geometry_wkt")).alias("b")).select("key", "b.*")
+    return fx.parcels(spark, sf_dir).select("key", geo.polygon_bounds().alias("b")).select("key", "b.*")
 
 
 def polyfill_cells(spark, sf_dir):
@@ -158,7 +167,7 @@ def boundary_centroid(spark, sf_dir):
 
 def boundary_select(spark, sf_dir):
     corrected = names.correct_names(fx.parcels(spark, sf_dir))
-    return features.select_boundaries(corrected, "NATION_3", "Muchinga").select("key", "ISO_A3", "NAM_1", "NAM_2")
+    return features.select_boundaries(corrected, "NATION_3", "MACHINERY").select("key", "ISO_A3", "NAM_1", "NAM_2")
 
 
 def lgu_normalize(spark, sf_dir):
@@ -337,9 +346,8 @@ def lgu_access_wide(spark, sf_dir):
 
 def lgu_accessibility(spark, sf_dir):
     area = Area(spark, sf_dir)
-    steps = area.steps()
-    wide = equity.wide_access(area.curves(steps))
-    return equity.accessibility_table(wide, area.located_steps(steps), area.existing(), area.weights())
+    wide = equity.wide_access(area.curves())
+    return equity.accessibility_table(wide, area.located_steps(), area.existing(), area.weights())
 
 
 def target_reached(spark, sf_dir):
@@ -408,7 +416,7 @@ def dashboard_metadata(spark, sf_dir):
     def rounded(c):
         return F.floor(F.col(c) * 1e6 + 0.5) / 1e6
 
-    polygons = F.size(geo.wkt_rings(F.col("geometry_wkt")))
+    polygons = F.size(geo.wkt_rings())
     return (
         rows.withColumn("central_lat", rounded("central_lat"))
         .withColumn("central_long", rounded("central_long"))

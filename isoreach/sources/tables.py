@@ -53,7 +53,7 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
 def load_geometry(spark: SparkSession, name: str, wkt: str = "geometry_wkt") -> DataFrame:
     """A geometry table with its polygons parsed into ``edges``; empty for missing or blank text."""
     table = load_table(spark, name)
-    return table.withColumn("edges", F.when(has_geometry(F.col(wkt)), wkt_edges(F.col(wkt))))
+    return table.withColumn("edges", F.when(has_geometry(F.col(wkt)), wkt_edges(wkt)))
 
 
 def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
