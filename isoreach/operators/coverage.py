@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from isoreach.functions.hexgrid import HexGrid, explode_disk, explode_disk_rows, per_distance, q_sql, row_sql
 from isoreach.functions.names import pct
-from isoreach.operators.joins import lookup_join, salted_join
+from isoreach.operators.joins import hot_join, lookup_join
 from isoreach.operators.population import from_micro
 
 COMBO = ["region", "distance_m"]
@@ -81,8 +81,9 @@ def facility_access(facilities: DataFrame, weights: DataFrame, distances_m, grid
         weights_per_distance(weights.select("region", "cell", "w"), distances_m, grid),
     )
     every = per_distance(facilities, distances_m, grid).drop("k")
-    # Facilities may crowd one cell while the sums have one row per cell.
-    joined = lookup_join(every, sums, [*COMBO, "cell"], "left")
+    # Facilities may crowd one cell while the sums have one row per cell and distance.
+    bound = facilities.select("region", "cell").distinct().count() * len(distances_m)
+    joined = lookup_join(every, sums, [*COMBO, "cell"], "left", max_rows=bound)
     return joined.withColumn("pop_with_access", F.coalesce(from_micro(F.col("w")), F.lit(0.0))).drop("w")
 
 
@@ -103,7 +104,7 @@ def coverage_cells(sites: DataFrame, weights: DataFrame, distances_m, grid: HexG
     )
     members = sites.select("region", "cell", F.col("ID").alias("facility_ID"))
     return (
-        salted_join(found, members, ["region", "cell"])
+        hot_join(members, found, ["region", "cell"])
         .withColumn("_d", F.explode(reach))
         .select("region", F.col("_d.distance_m").alias("distance_m"), "facility_ID", F.col("disk_cell").alias("cell"), "ring")
     )
@@ -113,19 +114,21 @@ def coverage_pairs(sites: DataFrame, pixels: DataFrame, distances_m, grid: HexGr
     """The pixel-level relation (region, distance_m, facility_ID, pop_ID), without duplicates.
 
     ``pixels`` has region, ID, cell. This is an output in its own right, as large as it sounds;
-    nothing else here is computed from it. Pixels of a dense cell are spread by salt.
+    nothing else here is computed from it. Pixels of a dense cell are spread over tasks.
     """
-    populated = pixels.select("region", "cell").distinct()
+    populated = pixels.groupBy("region", "cell").agg(F.count(F.lit(1)).alias("n"))
     cells = coverage_cells(sites.select("region", "ID", "cell").distinct(), populated, distances_m, grid)
-    return salted_join(
+    return hot_join(
         pixels.select("region", "cell", F.col("ID").alias("pop_ID")),
         cells.select("region", "cell", "distance_m", "facility_ID"),
         ["region", "cell"],
+        counts=populated,
     ).select(*COMBO, "facility_ID", "pop_ID")
 
 
 def pairs_to_cells(pairs: DataFrame, pixels: DataFrame) -> DataFrame:
-    """Distinct (region, distance_m, facility_ID, cell) from stored pixel pairs."""
+    """Distinct (region, distance_m, facility_ID, cell) from stored pixel pairs. A pixel reached by very
+    many facilities is a hot key of the pairs; Spark's skew join splits it, the pixel side being unique."""
     located = pixels.select("region", F.col("ID").alias("pop_ID"), "cell")
     return pairs.join(located, ["region", "pop_ID"]).select(*COMBO, "facility_ID", "cell").distinct()
 

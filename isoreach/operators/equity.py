@@ -22,7 +22,7 @@ def district_cells(districts: DataFrame, grid: HexGrid) -> DataFrame:
 
 def district_population(weights: DataFrame, districts: DataFrame, grid: HexGrid) -> DataFrame:
     """(region, cell, province, LGU, w): populated cells with the district whose polyfill holds them."""
-    return lookup_join(weights, district_cells(districts, grid), ["cell"], max_rows=max_cells(districts, grid))
+    return lookup_join(weights, district_cells(districts, grid), ["cell"], max_rows=max_cells(districts, grid), skewed=False)
 
 
 def district_totals(district_pop: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def access_curves(
     owned = district_cells(districts, grid)
     bound = max_cells(districts, grid)
     per_step = (
-        lookup_join(first_steps, owned, ["cell"], max_rows=bound)
+        lookup_join(first_steps, owned, ["cell"], max_rows=bound, skewed=False)
         .groupBy(*COMBO, *DISTRICT, "step")
         .agg(F.sum("w").alias("w"))
     )

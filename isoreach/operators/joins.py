@@ -1,4 +1,4 @@
-"""Joins that choose broadcast by a checked size and salt otherwise, and lineage cuts."""
+"""Joins that broadcast by a checked size and split hot keys otherwise, and lineage cuts."""
 
 from __future__ import annotations
 
@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
-SALTS = 64
+# A key is hot beyond this many rows; never more than MAX_HOT_KEYS keys are, because the limit grows
+# with the table: a key needs more than total / MAX_HOT_KEYS rows.
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 
 
 def row_bytes(df: DataFrame) -> int:
@@ -23,25 +26,52 @@ def fits_broadcast(df: DataFrame, rows: int) -> bool:
     return rows * row_bytes(df) <= BROADCAST_BYTES
 
 
-def lookup_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", max_rows: int | None = None) -> DataFrame:
-    """Join a large side, possibly with hot keys, to a lookup side with few rows per key.
+def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast hint for a table of at most ``rows`` rows, if that many are small enough."""
+    return F.broadcast(df) if fits_broadcast(df, rows) else df
 
-    With ``max_rows`` (a proven bound, or counted here) the lookup is broadcast if it fits and the
-    large side does not move at all. Beyond the bound both sides are hashed on the keys plus a salt:
-    the lookup is copied once per salt, and a hot key of the large side spreads over ``SALTS`` tasks.
+
+def lookup_join(
+    big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", max_rows: int | None = None, skewed: bool = True
+) -> DataFrame:
+    """Join a large side to a smaller one (inner, left, left_semi, left_anti).
+
+    ``max_rows`` is a proven bound of the lookup (counted here if absent). If that fits, the lookup is
+    broadcast and the large side does not move. Beyond it both sides are shuffled, hot keys of the large
+    side in pieces; pass ``skewed=False`` where its keys cannot be hot.
     """
     if max_rows is None:
         max_rows = lookup.select(*on).limit(BROADCAST_BYTES // row_bytes(lookup) + 1).count()
     if fits_broadcast(lookup, max_rows):
         return big.join(F.broadcast(lookup), on, how)
-    return salted_join(big, lookup, on, how)
+    return hot_join(big, lookup, on, how) if skewed else big.join(lookup, on, how)
 
 
-def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Equi-join for a hot large side; inner, left, left_semi or left_anti."""
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+def hot_join(
+    big: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", counts: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Shuffled equi-join that splits the hot keys of the large side and copies only their lookup rows.
+
+    Rows per key are counted first (combined map-side; ``counts`` is (on, n) if already known). A key
+    with n rows gets n / limit pieces, a piece per hash of the row. The list of hot keys is at most
+    MAX_HOT_KEYS rows by construction, so it is fixed on the driver and broadcast.
+    """
+    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
+    counts = counts.persist()
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+    limit = max(hot_rows, total // MAX_HOT_KEYS)
+    hot = counts.filter(F.col("n") > limit).select(*on, F.ceil(F.col("n") / limit).cast("int").alias("_pieces"))
+    found = hot.collect()
+    counts.unpersist()
+    if not found:
+        return big.join(lookup, on, how)
+    hot = F.broadcast(big.sparkSession.createDataFrame(found, hot.schema))
+    piece = F.coalesce(F.pmod(F.xxhash64(*big.columns), F.col("_pieces")).cast("int"), F.lit(0))
+    pieces = big.join(hot, on, "left").withColumn("_piece", piece).drop("_pieces")
+    copies = lookup.join(hot, on, "left").withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
+    )
+    return pieces.join(copies.drop("_pieces"), [*on, "_piece"], how).drop("_piece")
 
 
 def local_rows(spark: SparkSession, rows: list, schema: pa.Schema) -> DataFrame:

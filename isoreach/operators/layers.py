@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from isoreach.functions.geometry import area_moments, has_geometry, polygon_body
 from isoreach.functions.names import pct
 from isoreach.operators.coverage import COMBO
-from isoreach.operators.joins import lookup_join
+from isoreach.operators.joins import Workspace, lookup_join
 
 
 def pareto_frontier(summary: DataFrame, steps: DataFrame, existing: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -46,13 +46,17 @@ def layer_pixels(pixels: DataFrame, covered: DataFrame, with_access: bool, bound
     return found.withColumn("distance_m", F.explode("_distances")).drop("_distances")
 
 
+def _reached(pairs: DataFrame) -> DataFrame:
+    return pairs.select("region", F.col("pop_ID").alias("ID")).distinct()
+
+
 def pixels_with_access(pixels: DataFrame, pairs: DataFrame) -> DataFrame:
     """The same from stored pairs: pixels whose ID occurs in them."""
-    return pixels.join(pairs.select("region", F.col("pop_ID").alias("ID")), ["region", "ID"], "left_semi")
+    return pixels.join(_reached(pairs), ["region", "ID"], "left_semi")
 
 
 def pixels_without_access(pixels: DataFrame, pairs: DataFrame) -> DataFrame:
-    return pixels.join(pairs.select("region", F.col("pop_ID").alias("ID")), ["region", "ID"], "left_anti")
+    return pixels.join(_reached(pairs), ["region", "ID"], "left_anti")
 
 
 def sample_size(n_facilities: int, limit: int = 5_000) -> int:
@@ -76,10 +80,11 @@ def sample_exact(df: DataFrame, groups: list[str], key: str, n: int, seed: int =
     hashed = hashed.withColumn("_b", F.substring("_h", 1, 3))
     per_bucket = hashed.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    needed = (
+    needed = Workspace(df.sparkSession).save(
         per_bucket.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .filter(F.col("_before") < n)
-        .select(*groups, "_b")
+        .select(*groups, "_b"),
+        "buckets",
     )
     rank = Window.partitionBy(*groups).orderBy("_h", key)
     return (

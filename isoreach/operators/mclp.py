@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from isoreach.functions.hexgrid import HexGrid, disk_size, distance_sql, explode_disk, hex_distance_int, per_distance
 from isoreach.operators.coverage import COMBO, cover_counts, disk_sums, site_cells, weights_per_distance
-from isoreach.operators.joins import Workspace, fits_broadcast, local_rows
+from isoreach.operators.joins import Workspace, broadcast_if, local_rows
 from isoreach.operators.population import from_micro
 
 PICK_SCHEMA = pa.schema(
@@ -42,14 +42,10 @@ ID_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("ID
 CUT_EVERY = 10
 
 
-def _broadcast_if(df: DataFrame, rows: int | None) -> DataFrame:
-    return F.broadcast(df) if rows is not None and fits_broadcast(df, rows) else df
-
-
-def _best(gains: DataFrame) -> list:
-    """Best candidate per combination. Two hash aggregations instead of one that would sort."""
+def _best(gains: DataFrame, combos: int) -> list:
+    """Best candidate of each of at most ``combos`` combinations. The gains are read twice and not moved."""
     top = gains.groupBy(*COMBO).agg(F.expr("max(gain) AS gain"))
-    tied = gains.join(top, [*COMBO, "gain"])
+    tied = gains.join(broadcast_if(top, combos), [*COMBO, "gain"])
     return tied.groupBy(*COMBO).agg(F.expr("min(struct(ID, cell, gain)) AS b")).select(*COMBO, "b.*").collect()
 
 
@@ -58,9 +54,11 @@ def _greedy(gains: DataFrame, shrink: Callable, max_new: int, work: Workspace) -
     picks: list[tuple] = []
     gains = work.save(gains.filter("gain > 0"), "gains-0").persist(StorageLevel.MEMORY_AND_DISK)
     saved, cached = "gains-0", [gains]
+    combos = gains.select(*COMBO).distinct().count()
     for p in range(1, max_new + 1):
         # Reads every partition, so it also fills the cache of the latest gains.
-        best = _best(gains)
+        best = _best(gains, combos)
+        combos = len(best)
         if len(cached) > 1:
             cached.pop(0).unpersist()
         step = [(b["region"], b["distance_m"], p, b["ID"], b["cell"], b["gain"]) for b in best]
@@ -136,14 +134,14 @@ def site_steps(
             .filter(f"NOT exists(near, c -> {distance_sql('c', 'disk_cell')} <= k)")
             .selectExpr(*COMBO, "disk_cell AS cell", "k")
         )
-        reached = open_cells.join(_broadcast_if(fresh, sum(disk_size(r[3]) for r in rows)), [*COMBO, "cell"])
+        reached = open_cells.join(broadcast_if(fresh, sum(disk_size(r[3]) for r in rows)), [*COMBO, "cell"])
         lost = (
             explode_disk(reached, "k")
             .selectExpr(*COMBO, "disk_cell AS cell", "w")
             .groupBy(*COMBO, "cell")
             .agg(F.expr("sum(w) AS lost"))
         )
-        lost = _broadcast_if(lost, sum(disk_size(2 * r[3]) for r in rows))
+        lost = broadcast_if(lost, sum(disk_size(2 * r[3]) for r in rows))
         return gains.join(lost, [*COMBO, "cell"], "left").selectExpr(*COMBO, "cell", "ID", "gain - coalesce(lost, 0) AS gain")
 
     picks = _greedy(gains, shrink, max_new, work)
@@ -178,10 +176,10 @@ def relation_steps(
 
     def shrink(gains: DataFrame, step: list[tuple], done: list[tuple]) -> DataFrame:
         now = local_rows(spark, [(s[0], s[1], s[3]) for s in step], ID_SCHEMA)
-        fresh = remaining.join(F.broadcast(now), [*COMBO, "ID"]).select(*at_cell)
+        fresh = remaining.join(broadcast_if(now, len(step)), [*COMBO, "ID"]).select(*at_cell)
         if done:
             before = local_rows(spark, [(s[0], s[1], s[3]) for s in done], ID_SCHEMA)
-            gone = remaining.join(F.broadcast(before), [*COMBO, "ID"]).select(*at_cell).distinct()
+            gone = remaining.join(broadcast_if(before, len(done)), [*COMBO, "ID"]).select(*at_cell).distinct()
             fresh = fresh.join(gone, at_cell, "left_anti")
         lost = remaining.join(fresh, at_cell).groupBy(*COMBO, "ID").agg(F.sum("w").alias("lost"))
         return gains.join(lost, [*COMBO, "ID"], "left").select(

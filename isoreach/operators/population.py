@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from isoreach.functions.geometry import point_wkt
 from isoreach.functions.hexgrid import HexGrid
-from isoreach.operators.joins import lookup_join
+from isoreach.operators.joins import Workspace, lookup_join
 from isoreach.operators.polyfill import max_cells, polyfill
 
 PIXEL_SCHEMA = T.StructType(
@@ -64,7 +64,7 @@ def region_cells(regions: DataFrame, grid: HexGrid, key: str = "region") -> Data
 def population_by_region_cell(pixels: DataFrame, regions: DataFrame, grid: HexGrid, cell: str = "h3_index") -> DataFrame:
     """(region, cell, w, pixels): a cell has one row per region that contains its centre."""
     return lookup_join(
-        population_by_cell(pixels, cell), region_cells(regions, grid), ["cell"], max_rows=max_cells(regions, grid)
+        population_by_cell(pixels, cell), region_cells(regions, grid), ["cell"], max_rows=max_cells(regions, grid), skewed=False
     ).select("region", "cell", "w", "pixels")
 
 
@@ -72,7 +72,7 @@ def clip_population(pixels: DataFrame, regions: DataFrame, grid: HexGrid, cell:
     """Pixels with a ``region`` column, one row per region whose polyfill has the pixel's cell.
 
     The pixel table moves only when the cells of all regions together are too many to broadcast; then
-    hot cells are salted.
+    hot cells are split.
     """
     cells = region_cells(regions, grid).withColumnRenamed("cell", cell)
     return lookup_join(pixels, cells, [cell], max_rows=max_cells(regions, grid))
@@ -81,10 +81,11 @@ def clip_population(pixels: DataFrame, regions: DataFrame, grid: HexGrid, cell:
 def density_bands(pixels: DataFrame, group: str = "region", accuracy: int = 100) -> DataFrame:
     """Add ``opacity`` 0.1 / 0.3 / 0.6 / 1.0 by quartile of population within the group.
 
-    The quartiles come from one mergeable sketch per group (rank error 1/accuracy).
+    The quartiles come from one mergeable sketch per group (rank error 1/accuracy), computed now and
+    stored, so that the pixels are not scanned again to find out how many groups there are.
     """
-    quartiles = pixels.groupBy(group).agg(
-        F.percentile_approx("population", [0.25, 0.5, 0.75], accuracy).alias("_t")
+    quartiles = Workspace(pixels.sparkSession).save(
+        pixels.groupBy(group).agg(F.percentile_approx("population", [0.25, 0.5, 0.75], accuracy).alias("_t")), "quartiles"
     )
     banded = lookup_join(pixels, quartiles, [group])
     p, t = F.col("population"), F.col("_t")

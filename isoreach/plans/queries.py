@@ -26,8 +26,6 @@ class Area:
     def __init__(self, spark: SparkSession, sf_dir: str, max_new: int = MAX_NEW, pixels: DataFrame | None = None):
         self.spark, self.sf_dir, self.max_new = spark, sf_dir, max_new
         self.pixels = fx.pixels(spark, sf_dir) if pixels is None else pixels
-        self.regions = fx.regions(spark, sf_dir)
-        self.districts = fx.districts(spark, sf_dir)
         self._work = Workspace(spark)
         self._stored: dict[str, DataFrame] = {}
 
@@ -36,6 +34,14 @@ class Area:
             self._stored[name] = self._work.save(make(), name)
         return self._stored[name]
 
+    @property
+    def regions(self) -> DataFrame:
+        return self._once("regions", lambda: fx.regions(self.spark, self.sf_dir).coalesce(1))
+
+    @property
+    def districts(self) -> DataFrame:
+        return self._once("districts", lambda: fx.districts(self.spark, self.sf_dir).coalesce(1))
+
     def weights(self) -> DataFrame:
         return self._once("weights", lambda: population.population_by_region_cell(self.pixels, self.regions, GRID))
 
