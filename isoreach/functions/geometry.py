@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NUMBER_PAIR = r"\[\s*([-+0-9.eE]+)\s*,\s*([-+0-9.eE]+)[^\[\]]*\]"
+_NUMBER_PAIR = r"\[([-+0-9.eE]+),([-+0-9.eE]+)[^\[\]]*\]"
 
 
 def number_text(v: Column) -> Column:
@@ -43,8 +43,8 @@ def has_geometry(wkt: Column) -> Column:
 
 def geojson_wkt(kind: Column, coordinates: Column) -> Column:
     """GeoJSON geometry (type name, coordinates as JSON text) to WKT, by rewriting the text."""
-    body = F.regexp_replace(coordinates, _NUMBER_PAIR, "$1 $2")
-    body = F.regexp_replace(F.translate(body, "[]", "()"), r"\s*,\s*", ", ")
+    body = F.regexp_replace(F.regexp_replace(coordinates, r"\s+", ""), _NUMBER_PAIR, "$1 $2")
+    body = F.replace(F.translate(body, "[]", "()"), F.lit(","), F.lit(", "))
     body = F.regexp_replace(body, r"(\d)\.0+(?=[ ,)]|$)", "$1")
     body = F.when(kind == "Point", F.concat(F.lit("("), body, F.lit(")"))).otherwise(body)
     return F.when(kind.isNotNull() & coordinates.isNotNull(), F.concat(F.upper(kind), F.lit(" "), body))

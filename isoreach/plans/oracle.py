@@ -244,7 +244,7 @@ def oracle_sql() -> dict[str, str]:
     add("population_aoi", "aoi", select="SELECT region, key || '_pop' AS ID, xcoord, ycoord, population, h3_index FROM aoi")
     add(
         "raster_pixels",
-        select=f"""SELECT xcoord, ycoord, population, h3_index FROM ({hexed('''(SELECT 22e0 + (t % 64 * 32 + pos % 32 + 0.5e0) * 0.01e0 AS xcoord, -8e0 + (t // 64 * 32 + pos // 32 + 0.5e0) * -0.01e0 AS ycoord, v AS population
+        select=f"""SELECT key, xcoord, ycoord, population, h3_index FROM ({hexed('''(SELECT (t // 64 * 32 + pos // 32) * 4294967296 + t % 64 * 32 + pos % 32 AS key, 22e0 + (t % 64 * 32 + pos % 32 + 0.5e0) * 0.01e0 AS xcoord, -8e0 + (t // 64 * 32 + pos // 32 + 0.5e0) * -0.01e0 AS ycoord, v AS population
             FROM (SELECT o_orderkey // 1024 AS t, o_orderkey % 1024 AS pos, floor(o_totalprice / 1000) - 200 AS v FROM orders) WHERE v > 0)''', 'xcoord', 'ycoord', 'h3_index')})""",
     )
     add("opacity_bands", "banded", select="SELECT region, key, opacity FROM banded")

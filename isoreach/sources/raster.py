@@ -21,8 +21,9 @@ TILE_SCHEMA = T.StructType(
 
 
 def raster_pixels(tiles: DataFrame, x0: float, y0: float, dx: float, dy: float, grid: HexGrid) -> DataFrame:
-    """Populated pixels (xcoord, ycoord, population, h3_index) with centre coordinates.
+    """Populated pixels (key, xcoord, ycoord, population, h3_index) with centre coordinates.
 
+    ``key`` packs the pixel's row and column in the raster: a stable id for later runs.
     (x0, y0) is the outer corner of pixel (0, 0) and dy is negative for north-up rasters. NoData,
     negative and zero values are dropped. All tiles are one job; each is exploded where it is read.
     """
@@ -30,6 +31,7 @@ def raster_pixels(tiles: DataFrame, x0: float, y0: float, dx: float, dy: float,
     col = F.col("col_off") + F.col("pos") % F.col("width")
     row = F.col("row_off") + F.floor(F.col("pos") / F.col("width"))
     pixels = values.select(
+        (row * F.lit(1 << 32) + col).alias("key"),
         (F.lit(float(x0)) + (col + 0.5) * F.lit(float(dx))).alias("xcoord"),
         (F.lit(float(y0)) + (row + 0.5) * F.lit(float(dy))).alias("ycoord"),
         F.col("value").cast("double").alias("population"),
