@@ -39,7 +39,6 @@ PICKED_SCHEMA = pa.schema(
 )
 BASE_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("base_w", pa.int64())])
 ID_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("ID", pa.string())])
-CUT_EVERY = 10
 
 
 def _best(gains: DataFrame, combos: int) -> list:
@@ -50,30 +49,24 @@ def _best(gains: DataFrame, combos: int) -> list:
 
 
 def _greedy(gains: DataFrame, shrink: Callable, max_new: int, work: Workspace) -> list[tuple]:
-    """Pick, shrink the gains, repeat. ``shrink(gains, step, earlier_picks)`` returns the new gains."""
+    """Pick, shrink the gains, repeat. ``shrink(gains, step, earlier_picks)`` returns the new gains.
+
+    Every version of the gains is written and read back: a step then plans and runs in constant time
+    however many came before it, and losing an executor costs at most one step.
+    """
     picks: list[tuple] = []
-    gains = work.save(gains.filter("gain > 0"), "gains-0").persist(StorageLevel.MEMORY_AND_DISK)
-    saved, cached = "gains-0", [gains]
+    stored, gains = "gains-0", work.save(gains.filter("gain > 0"), "gains-0")
     combos = gains.select(*COMBO).distinct().count()
     for p in range(1, max_new + 1):
-        # Reads every partition, so it also fills the cache of the latest gains.
         best = _best(gains, combos)
         combos = len(best)
-        if len(cached) > 1:
-            cached.pop(0).unpersist()
         step = [(b["region"], b["distance_m"], p, b["ID"], b["cell"], b["gain"]) for b in best]
         earlier, picks = picks, picks + step
         if not step or p == max_new:
             break
-        gains = shrink(gains, step, earlier).filter("gain > 0")
-        if p % CUT_EVERY == 0:
-            gains = work.save(gains, f"gains-{p}")
-            saved, replaced = f"gains-{p}", saved
-            work.drop(replaced)
-        gains = gains.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(gains)
-    for df in cached:
-        df.unpersist()
+        gains, replaced = work.save(shrink(gains, step, earlier).filter("gain > 0"), f"gains-{p}"), stored
+        work.drop(replaced)
+        stored = f"gains-{p}"
     return picks
 
 

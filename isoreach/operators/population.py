@@ -32,7 +32,7 @@ def from_micro(w: Column) -> Column:
 
 
 def with_cell(df: DataFrame, grid: HexGrid, lon: str = "lon", lat: str = "lat", out: str = "h3_index") -> DataFrame:
-    return df.withColumn(out, grid.cell(F.col(lon), F.col(lat)))
+    return df.withColumn(out, grid.cell(lon, lat))
 
 
 def totals(pixels: DataFrame) -> DataFrame:

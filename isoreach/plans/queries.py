@@ -100,7 +100,8 @@ def hex_cell(spark, sf_dir):
 
 def hex_disk(spark, sf_dir):
     k = F.col("c_custkey")
-    at = fx.table(spark, sf_dir, "customer").select(k.alias("key"), GRID.cell(fx.key_lon(k), fx.key_lat(k)).alias("cell"))
+    at = fx.table(spark, sf_dir, "customer").select(k.alias("key"), fx.key_lon(k).alias("lon"), fx.key_lat(k).alias("lat"))
+    at = at.select("key", GRID.cell("lon", "lat").alias("cell"))
     return explode_disk(at, "key % 4").select("key", "disk_cell", "ring")
 
 

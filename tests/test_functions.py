@@ -40,7 +40,7 @@ def test_k_rings_rejects_other_resolutions(spark, res):
 
 def test_disk_is_symmetric_and_complete(spark):
     at = spark.createDataFrame([(k, 25.0 + k, -13.0 - k) for k in range(6)], "k int, lon double, lat double")
-    at = at.withColumn("cell", GRID.cell(F.col("lon"), F.col("lat")))
+    at = at.withColumn("cell", GRID.cell("lon", "lat"))
     disk = explode_disk(at, "k").withColumn("back", hex_distance("disk_cell", "cell")).collect()
     for k in range(6):
         mine = [r for r in disk if r["k"] == k]
@@ -52,8 +52,8 @@ def test_disk_is_symmetric_and_complete(spark):
 
 def test_cell_center_is_in_its_cell(spark):
     at = spark.range(5000).selectExpr("22 + (id * 7919 % 10007) / 10007 * 11 AS lon", "-18 + (id * 104729 % 9973) / 9973 * 10 AS lat")
-    at = at.withColumn("cell", GRID.cell(F.col("lon"), F.col("lat")))
-    back = at.withColumn("again", GRID.cell(GRID.center_lon(F.col("cell")), GRID.center_lat(F.col("cell"))))
+    at = at.withColumn("cell", GRID.cell("lon", "lat"))
+    back = at.withColumn("x", GRID.center_lon(F.col("cell"))).withColumn("y", GRID.center_lat(F.col("cell"))).withColumn("again", GRID.cell("x", "y"))
     assert back.filter("cell != again").count() == 0
     # No other centre is nearer: a centre is within one edge of every point of its cell (projected metres).
     mx = (F.col("lon") - GRID.center_lon(F.col("cell"))) / GRID.dx * (3**0.5 * GRID.edge_m)
@@ -68,7 +68,7 @@ def test_per_distance(spark):
 
 def test_null_coordinates(spark):
     df = spark.createDataFrame([(None, 1.0)], "lon double, lat double")
-    row = df.select(GRID.cell(F.col("lon"), F.col("lat")).alias("c"), geo.point_wkt(F.col("lon"), F.col("lat")).alias("w")).first()
+    row = df.select(GRID.cell("lon", "lat").alias("c"), geo.point_wkt(F.col("lon"), F.col("lat")).alias("w")).first()
     assert row["c"] is None and row["w"] is None
 
 
