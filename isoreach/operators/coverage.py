@@ -51,23 +51,30 @@ def disk_sums(disks: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
-def cover_counts(disks: DataFrame, cells: DataFrame) -> DataFrame:
-    """``cells`` (combo, cell, ...) plus ``sites``: how many of the disks hold the cell."""
+def cover_counts(cells: DataFrame, **disks: DataFrame) -> DataFrame:
+    """``cells`` (combo, cell, ...) plus one column per set of disks: how many of them hold the cell.
+
+    All sets share one shuffle and one sort.
+    """
     extra = [c for c in cells.columns if c not in (*COMBO, "cell")]
     blank = [f"CAST(NULL AS {kind}) AS {c}" for c, kind in cells.dtypes if c in ("cell", *extra)]
-    # Many disks start or end at one place: combine before the sweep.
-    ends = (
-        explode_disk_rows(disks, "k")
-        .selectExpr(*COMBO, "row", "inline(array(struct(q_lo AS q, 1 AS step), struct(q_hi + 1 AS q, -1 AS step)))")
-        .groupBy(*COMBO, "row", "q")
-        .agg(F.expr("sum(step) AS step"))
-        .filter("step != 0")
-        .selectExpr(*COMBO, "row", "q", "step", *blank)
+    swept = cells.selectExpr(
+        *COMBO, f"{row_sql('cell')} AS row", f"{q_sql('cell')} AS q", "cell", *extra, *[f"0L AS _{name}" for name in disks]
     )
-    rows = cells.selectExpr(*COMBO, f"{row_sql('cell')} AS row", f"{q_sql('cell')} AS q", "0L AS step", "cell", *extra)
-    sites = "sum(step) OVER (PARTITION BY region, distance_m, row ORDER BY q RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    swept = rows.unionByName(ends).selectExpr(*COMBO, "cell", *extra, f"{sites} AS sites")
-    return swept.filter("cell IS NOT NULL")
+    for name, places in disks.items():
+        # Many disks start or end at one place: combine before the sweep.
+        ends = (
+            explode_disk_rows(places, "k")
+            .selectExpr(*COMBO, "row", "inline(array(struct(q_lo AS q, 1 AS step), struct(q_hi + 1 AS q, -1 AS step)))")
+            .groupBy(*COMBO, "row", "q")
+            .agg(F.expr("sum(step) AS step"))
+            .filter("step != 0")
+        )
+        steps = [f"step AS _{name}" if other == name else f"0L AS _{other}" for other in disks]
+        swept = swept.unionByName(ends.selectExpr(*COMBO, "row", "q", *blank, *steps))
+    window = "OVER (PARTITION BY region, distance_m, row ORDER BY q RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    counted = swept.selectExpr(*COMBO, "cell", *extra, *[f"sum(_{name}) {window} AS {name}" for name in disks])
+    return counted.filter("cell IS NOT NULL")
 
 
 def weights_per_distance(weights: DataFrame, distances_m, grid: HexGrid) -> DataFrame:
@@ -161,14 +168,14 @@ def facility_cells(coverage: DataFrame, limit: int = 10_000) -> DataFrame:
 
 def covered_cells(existing: DataFrame, candidates: DataFrame, weights: DataFrame, distances_m, grid: HexGrid) -> DataFrame:
     """Populated cells per combination with flags ``now`` (an existing site reaches them) and ``ever``."""
-    cells = weights_per_distance(weights.select("region", "cell", "w", *[c for c in weights.columns if c == "pixels"]), distances_m, grid)
-    now = cover_counts(site_cells(existing, distances_m, grid), cells).withColumnRenamed("sites", "_existing")
-    both = cover_counts(site_cells(candidates, distances_m, grid), now)
-    return (
-        both.withColumn("now", F.col("_existing") > 0)
-        .withColumn("ever", F.col("now") | (F.col("sites") > 0))
-        .drop("_existing", "sites")
+    cells = weights_per_distance(weights, distances_m, grid)
+    counts = cover_counts(
+        cells, _existing=site_cells(existing, distances_m, grid), _candidates=site_cells(candidates, distances_m, grid)
     )
+    return counts.selectExpr(
+        *COMBO, "cell", *[c for c in weights.columns if c not in ("region", "cell")],
+        "_existing > 0 AS now", "_existing > 0 OR _candidates > 0 AS ever",
+    )
 
 
 def access_summary(covered: DataFrame) -> DataFrame:

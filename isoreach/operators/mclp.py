@@ -102,7 +102,7 @@ def site_steps(
     rings = {int(d): grid.rings(d) for d in distances_m}
 
     cells = weights_per_distance(weights.select("region", "cell", "w"), distances_m, grid)
-    state = work.save(cover_counts(site_cells(existing, distances_m, grid), cells), "cells")
+    state = work.save(cover_counts(cells, sites=site_cells(existing, distances_m, grid)), "cells")
     base = state.filter("sites > 0").groupBy(*COMBO).agg(F.sum("w").alias("base_w")).collect()
     open_cells = state.filter("sites = 0").select(*COMBO, "cell", "w")
     new_sites = candidates.join(existing.select("region", "ID"), ["region", "ID"], "left_anti")
@@ -195,7 +195,7 @@ def first_covering_step(steps: DataFrame, cells: DataFrame, existing: DataFrame,
     """``cells`` (region, cell, w) per distance with ``step``: 0 if an existing site reaches the cell, else
     the first step that does, else NULL. Every later question about steps reads this one column."""
     per = weights_per_distance(cells, distances_m, grid)
-    known = cover_counts(site_cells(existing, distances_m, grid), per)
+    known = cover_counts(per, sites=site_cells(existing, distances_m, grid))
     rings = ", ".join(f"{int(d)}, {grid.rings(d)}" for d in distances_m)
     reach = (
         explode_disk(steps.select(*COMBO, "p", "cell"), f"map({rings})[distance_m]")

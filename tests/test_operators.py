@@ -106,7 +106,7 @@ def test_sweeps_match_pairwise_distances(spark):
     cells = spark.createDataFrame([("R", 1, c, v) for c, v in weights.items()], "region string, distance_m int, cell long, w long")
     sums = {r["cell"]: r["w"] for r in coverage.disk_sums(disks, cells).collect()}
     assert sums == {s: sum(v for c, v in weights.items() if hex_distance_int(c, s) <= 3) for s in set(candidates.values())}
-    counts = {r["cell"]: r["sites"] for r in coverage.cover_counts(disks, cells).collect()}
+    counts = {r["cell"]: r["sites"] for r in coverage.cover_counts(cells, sites=disks).collect()}
     expected = {c: sum(hex_distance_int(c, s) <= 3 for s in set(candidates.values())) for c in weights}
     assert {c: n or 0 for c, n in counts.items()} == expected
 
