@@ -4,7 +4,8 @@ Each step picks, per combination, the candidate that reaches most people not rea
 the smallest id. One pick changes the gains of nearby candidates only, so the state is the table of
 current gains, and a step
 
-1. takes the best candidate of every combination (one small row each, the only thing the driver sees),
+1. takes the best candidate of every combination, and those after it whose place is already certain (a
+   few dozen small rows per combination, the only thing the driver sees),
 2. looks up the people in the newly covered cells,
 3. subtracts them from the candidates within reach of those cells.
 
@@ -37,36 +38,66 @@ PICK_SCHEMA = pa.schema(
 PICKED_SCHEMA = pa.schema(
     [("region", pa.string()), ("distance_m", pa.int32()), ("cell", pa.int64()), ("k", pa.int32()), ("near", pa.list_(pa.int64()))]
 )
+# Candidates looked at per combination and round.
+LEADERS = 32
 BASE_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("base_w", pa.int64())])
 ID_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("ID", pa.string())])
 
 
-def _best(gains: DataFrame, combos: int) -> list:
-    """Best candidate of each of at most ``combos`` combinations. The gains are read twice and not moved."""
-    top = gains.groupBy(*COMBO).agg(F.expr("max(gain) AS gain"))
-    tied = gains.join(broadcast_if(top, combos), [*COMBO, "gain"])
-    return tied.groupBy(*COMBO).agg(F.expr("min(struct(ID, cell, gain)) AS b")).select(*COMBO, "b.*").collect()
+def _leaders(gains: DataFrame, n: int) -> dict[tuple, list]:
+    """The ``n`` best candidates of every combination, best first: n rows per combination on the driver.
 
+    Spark limits ranks before the shuffle, so every task sends at most n rows per combination.
+    """
+    rank = "row_number() OVER (PARTITION BY region, distance_m ORDER BY gain DESC, ID) AS _rank"
+    found: dict[tuple, list] = {}
+    for row in sorted(gains.selectExpr("*", rank).filter(f"_rank <= {n}").collect(), key=lambda r: r["_rank"]):
+        found.setdefault((row["region"], row["distance_m"]), []).append(row)
+    return found
+
+
+def _settled(leaders: list, apart: int, room: int) -> list:
+    """The leading candidates whose order is certain: up to the first that is near an earlier one.
+
+    A pick lowers gains within ``apart`` rings only, and never raises any. So while the next candidate in
+    line is far from the picks before it, its gain still stands and nothing else can have overtaken it.
+    """
+    sure: list = []
+    for row in leaders[:room]:
+        if any(hex_distance_int(row["cell"], s["cell"]) <= apart for s in sure):
+            break
+        sure.append(row)
+    return sure
 
-def _greedy(gains: DataFrame, shrink: Callable, max_new: int, work: Workspace) -> list[tuple]:
+
+def _greedy(gains: DataFrame, shrink: Callable, max_new: int, work: Workspace, apart: dict[int, int] | None = None) -> list[tuple]:
     """Pick, shrink the gains, repeat. ``shrink(gains, step, earlier_picks)`` returns the new gains.
 
-    Every version of the gains is written and read back: a step then plans and runs in constant time
-    however many came before it, and losing an executor costs at most one step.
+    A round takes one site per combination, or several where ``apart`` (distance to rings) shows that they
+    do not affect each other. Every version of the gains is written and read back: a round then plans and
+    runs in constant time however many came before, and losing an executor costs at most one round.
     """
     picks: list[tuple] = []
+    taken: dict[tuple, int] = {}
     stored, gains = "gains-0", work.save(gains.filter("gain > 0"), "gains-0")
-    combos = gains.select(*COMBO).distinct().count()
-    for p in range(1, max_new + 1):
-        best = _best(gains, combos)
-        combos = len(best)
-        step = [(b["region"], b["distance_m"], p, b["ID"], b["cell"], b["gain"]) for b in best]
+    for turn in range(1, max_new + 1):
+        step = []
+        for combo, rows in _leaders(gains, LEADERS if apart else 1).items():
+            room = max_new - taken.get(combo, 0)
+            for row in _settled(rows, apart[combo[1]] if apart else 0, room):
+                taken[combo] = taken.get(combo, 0) + 1
+                step.append((*combo, taken[combo], row["ID"], row["cell"], row["gain"]))
         earlier, picks = picks, picks + step
-        if not step or p == max_new:
+        if not step:
             break
-        gains, replaced = work.save(shrink(gains, step, earlier).filter("gain > 0"), f"gains-{p}"), stored
+        full = [(*combo, None) for combo, n in taken.items() if n == max_new]
+        left = shrink(gains, step, earlier).filter("gain > 0")
+        if full:
+            finished = local_rows(gains.sparkSession, full, ID_SCHEMA)
+            left = left.join(broadcast_if(finished, len(full)), COMBO, "left_anti")
+        gains, replaced = work.save(left, f"gains-{turn}"), stored
         work.drop(replaced)
-        stored = f"gains-{p}"
+        stored = f"gains-{turn}"
     return picks
 
 
@@ -137,7 +168,7 @@ def site_steps(
         lost = broadcast_if(lost, sum(disk_size(2 * r[3]) for r in rows))
         return gains.join(lost, [*COMBO, "cell"], "left").selectExpr(*COMBO, "cell", "ID", "gain - coalesce(lost, 0) AS gain")
 
-    picks = _greedy(gains, shrink, max_new, work)
+    picks = _greedy(gains, shrink, max_new, work, {d: 2 * k for d, k in rings.items()})
     open_cells.unpersist()
     work.close()
     return _steps(spark, picks, base)
