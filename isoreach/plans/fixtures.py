@@ -16,6 +16,9 @@ from isoreach.operators.population import with_cell
 GRID = HexGrid(resolution=5, ref_lat=-13.0)
 DISTANCES = (10_000, 20_000, 50_000)
 SPACING = 0.5
+# For the parcels, which are about two kilometres wide.
+FINE_GRID = HexGrid(resolution=8, ref_lat=-13.0)
+FINE_SPACING = 0.004
 ISO3 = "AOI"
 COUNTRY = "Country"
 

@@ -8,7 +8,7 @@ unrolled. Double literals carry an exponent so that they are not read as decimal
 from __future__ import annotations
 
 from isoreach.functions.hexgrid import EDGE_M, OFFSET, Q_SHIFT
-from isoreach.plans.fixtures import COUNTRY, DISTANCES, GRID, SPACING
+from isoreach.plans.fixtures import COUNTRY, DISTANCES, FINE_GRID, FINE_SPACING, GRID, SPACING
 
 DX, DY = f"{GRID.dx!r}e0", f"{GRID.dy!r}e0"
 STEPS = 5
@@ -251,6 +251,36 @@ def oracle_sql() -> dict[str, str]:
     add("polygon_edges", "parcel_edges", select="SELECT key, x1, y1, x2, y2 FROM parcel_edges")
     add("polygon_bounds", "parcel_edges", select="SELECT key, min(least(x1, x2)) AS minx, min(y1) AS miny, max(greatest(x1, x2)) AS maxx, max(y2) AS maxy FROM parcel_edges GROUP BY key")
     add("polyfill", "rcell", "dcell", select="SELECT region AS name, cell FROM rcell UNION ALL SELECT LGU, cell FROM dcell")
+    fx, fy = f"{FINE_GRID.dx!r}e0", f"{FINE_GRID.dy!r}e0"
+    odd = "HAVING sum(CASE WHEN {inside} THEN 1 ELSE 0 END) % 2 = 1"
+    add(
+        "polyfill_parcels",
+        "parcel_boxes",
+        select=f"""SELECT key, cell FROM (SELECT key, (q + {OFFSET}) * {1 << Q_SHIFT} + r + {OFFSET} AS cell FROM (SELECT *, (q + r / 2e0) * {fx} AS x, r * {fy} AS y FROM parcel_boxes,
+            LATERAL (SELECT unnest(range((floor(ylo / {fy}) - 1)::BIGINT, (ceil(yhi / {fy}) + 2)::BIGINT)) AS r),
+            LATERAL (SELECT unnest(range((floor(xlo / {fx} - r / 2e0) - 2)::BIGINT, (ceil(xhi / {fx} - r / 2e0) + 3)::BIGINT)) AS q))
+          WHERE xlo <= x AND x < xhi AND ylo <= y AND y < yhi) GROUP BY key, cell {odd.format(inside='true')}""",
+    )
+    s = f"{FINE_SPACING!r}e0"
+    add(
+        "grid_candidates_parcels",
+        "parcel_boxes",
+        select=f"""SELECT key, ix || '_' || iy || '_potential' AS ID, x AS longitude, y AS latitude FROM (
+            SELECT *, x0 + ix * {s} AS x, y0 + iy * {s} AS y FROM (SELECT *, floor(min(xlo) OVER (PARTITION BY key)) AS x0, floor(min(ylo) OVER (PARTITION BY key)) AS y0,
+                ceil(max(xhi) OVER (PARTITION BY key)) AS xe, ceil(max(yhi) OVER (PARTITION BY key)) AS ye FROM parcel_boxes),
+              LATERAL (SELECT unnest(range((floor((xlo - x0) / {s}) - 1)::BIGINT, (ceil((xhi - x0) / {s}) + 2)::BIGINT)) AS ix),
+              LATERAL (SELECT unnest(range((floor((ylo - y0) / {s}) - 1)::BIGINT, (ceil((yhi - y0) / {s}) + 2)::BIGINT)) AS iy))
+          WHERE x BETWEEN xlo AND xhi AND y BETWEEN ylo AND yhi AND ix < ceil((xe - x0) / {s}) AND iy < ceil((ye - y0) / {s})
+          GROUP BY key, ix, iy, x, y HAVING count(*) FILTER (NOT hole) > count(*) FILTER (hole AND x > xlo AND x < xhi AND y > ylo AND y < yhi)""",
+    )
+    add(
+        "pixels_in_parcels",
+        "pix",
+        "parcel_boxes",
+        select="""SELECT pixel, key FROM (SELECT p.key AS pixel, b.key, b.hole, xcoord > xlo AND xcoord < xhi AND ycoord > ylo AND ycoord < yhi AS strictly
+            FROM pix p JOIN parcel_boxes b ON xcoord BETWEEN xlo AND xhi AND ycoord BETWEEN ylo AND yhi)
+          GROUP BY pixel, key HAVING bool_or(NOT hole AND strictly) AND NOT bool_or(hole) AND NOT bool_or(NOT strictly)""",
+    )
     add(
         "boundary_centroid",
         "parcel_boxes",

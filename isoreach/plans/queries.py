@@ -164,6 +164,22 @@ def polyfill_cells(spark, sf_dir):
     return polyfill.polyfill(regions.unionByName(districts), ["name"], GRID)
 
 
+def polyfill_parcels(spark, sf_dir):
+    """Many small polygons with holes and second parts, on a fine grid."""
+    return polyfill.polyfill(fx.parcels(spark, sf_dir), ["key"], fx.FINE_GRID)
+
+
+def grid_candidates_parcels(spark, sf_dir):
+    found = sites.grid_candidates(fx.parcels(spark, sf_dir), fx.FINE_SPACING, ["key"], fx.FINE_GRID)
+    return found.select("key", "ID", "longitude", "latitude")
+
+
+def pixels_in_parcels(spark, sf_dir):
+    """Spatial join of pixels with parcels; a pixel may lie in several."""
+    points = fx.pixels(spark, sf_dir).select(F.col("key").alias("pixel"), "xcoord", "ycoord")
+    return spatial_join.points_in_polygons(points, fx.parcels(spark, sf_dir), "pixel", ["key"], "xcoord", "ycoord", tile=0.05)
+
+
 def boundary_centroid(spark, sf_dir):
     def rounded(c, digits):
         return (F.floor(F.col(c) * 10**digits + 0.5) / 10**digits).alias(c)
@@ -448,7 +464,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         hex_cell, hex_disk, k_rings, population_totals, population_by_cell, population_by_region, population_aoi,
-        raster_pixels, opacity_bands, polygon_edges, polygon_bounds, boundary_centroid, boundary_select, lgu_normalize,
+        raster_pixels, opacity_bands, polygon_edges, polygon_bounds, polyfill_parcels, grid_candidates_parcels, pixels_in_parcels, boundary_centroid, boundary_select, lgu_normalize,
         name_corrections, sanitize_names, province_names, combinations, wkt_roundtrip, boundaries_geojson, osm_elements,
         facility_ids, facilities_within, facilities_in_districts, grid_candidates, grid_candidates_districts,
         kmeans_candidates, coverage_cells, coverage_pairs, pairs_to_cells, facility_access, candidate_access,
