@@ -128,7 +128,7 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     w, h = F.lit(0.02) + k % 7 / F.lit(1000.0), F.lit(0.02) + k % 5 / F.lit(1000.0)
 
     def ring(points):
-        return _ring_text(points, lambda v: number_text(_milli(v)))
+        return _ring_text(points, lambda v: number_text(milli(v)))
 
     def box(x0, y0, bw, bh):
         return [(x0, y0), (x0 + bw, y0), (x0 + bw, y0 + bh), (x0, y0 + bh)]
@@ -154,6 +154,6 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _milli(v: Column) -> Column:
+def milli(v: Column) -> Column:
     """Nearest thousandth, so that the text of a coordinate is the same in any engine."""
     return F.floor(v * 1000 + 0.5) / F.lit(1000.0)

@@ -219,7 +219,7 @@ def combinations(spark, sf_dir):
 
 def wkt_roundtrip(spark, sf_dir):
     k = F.col("o_orderkey")
-    text = geo.point_wkt(fx._milli(fx.key_lon(k)), fx._milli(fx.key_lat(k)))
+    text = geo.point_wkt(fx.milli(fx.key_lon(k)), fx.milli(fx.key_lat(k)))
     points = fx.table(spark, sf_dir, "orders").select(k.alias("key"), text.alias("geom_wkt"))
     return points.select("key", "geom_wkt", geo.point_x(F.col("geom_wkt")).alias("lon"), geo.point_y(F.col("geom_wkt")).alias("lat"))
 
@@ -235,7 +235,7 @@ def boundaries_geojson(spark, sf_dir):
 def _elements(spark, sf_dir):
     """Customers as hospital and clinic elements in JSON; some without coordinates, some in both lists."""
     k = F.col("c_custkey")
-    at = F.struct(fx._milli(fx.key_lat(k)).alias("lat"), fx._milli(fx.key_lon(k)).alias("lon"))
+    at = F.struct(fx.milli(fx.key_lat(k)).alias("lat"), fx.milli(fx.key_lon(k)).alias("lon"))
     node = k % 7 != 0
 
     def listed(keep, name):
@@ -271,7 +271,7 @@ def facilities_within(spark, sf_dir):
 def facilities_in_districts(spark, sf_dir):
     k = F.col("c_custkey")
     points = fx.table(spark, sf_dir, "customer").select(
-        k.alias("key"), fx._milli(fx.key_lon(k)).alias("lon"), fx._milli(fx.key_lat(k)).alias("lat")
+        k.alias("key"), fx.milli(fx.key_lon(k)).alias("lon"), fx.milli(fx.key_lat(k)).alias("lat")
     )
     return spatial_join.points_in_polygons(points, fx.districts(spark, sf_dir), "key", ["province", "LGU"])
 
