@@ -136,8 +136,9 @@ def test_hot_join_is_a_plain_join(spark, how):
     got = joins.hot_join(big, lookup, ["k"], how, hot_rows=100)
     expected = big.join(lookup, ["k"], how)
     assert got.select(expected.columns).exceptAll(expected).count() == 0 == expected.exceptAll(got.select(expected.columns)).count()
-    pieces = joins.hot_join(big, lookup, ["k"], "inner", hot_rows=100).filter("k = 7").select(F.spark_partition_id()).distinct()
-    assert pieces.count() >= 1
+    assert "_piece" in got._jdf.queryExecution().analyzed().toString()
+    calm = joins.hot_join(big, lookup, ["k"], how, hot_rows=10_000)
+    assert "_piece" not in calm._jdf.queryExecution().analyzed().toString()
 
 
 def test_density_bands(spark):
