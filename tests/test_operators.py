@@ -233,3 +233,18 @@ def test_lineage_cut_uses_the_named_folder(spark):
     saved = work.save(spark.range(10), "t")
     assert saved.count() == 10
     work.close()
+
+
+def test_joins_beyond_the_broadcast_bound(spark, monkeypatch):
+    """The same answers when no lookup side may be broadcast."""
+    spots = spark.range(300).selectExpr("id", "24 + id % 17 / 4 AS lon", "-14 + id % 13 / 4 AS lat", "1D AS population")
+    shapes = spark.createDataFrame([("a", RING)], "region string, geometry_wkt string")
+    pixels = population.with_cell(spots, GRID)
+
+    def answers():
+        inside = spatial_join.points_in_polygons(spots, shapes, "id", ["region"]).collect()
+        return sorted(r["id"] for r in inside), sorted(r["id"] for r in population.clip_population(pixels, shapes, GRID).collect())
+
+    expected = answers()
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    assert answers() == expected and all(expected)
