@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoreach.llm import licences, mixing, pieces, quality, toxicity
+from isoreach.llm import dartminhash, grid_join, licences, mixing, neighbours, pieces, quality, toxicity
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Wanted shares of tokens by language.
@@ -22,10 +22,19 @@ def labelled_languages(spark: SparkSession, sf_dir: str, docs: DataFrame) -> Dat
     return docs.select("doc_id", F.col("lang").alias("domain")).join(covered, "doc_id", "left_semi")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs, labelled_languages(spark, sf_dir, docs), TARGETS)
@@ -43,5 +52,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_licences, op4_mixing, op5_sentencepiece, op6_quality, op7_toxicity)}
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_neighbours, op2_licences, op3_embedding_dedup, op4_mixing, op5_sentencepiece, op6_quality, op7_toxicity, op8_minhash_dedup)}
 ORACLE_SQL: dict[str, str] = {}
