@@ -36,9 +36,10 @@ def letter_counts(text: Column) -> Column:
     return F.array(*((size - F.octet_length(F.replace(text, F.lit(c), F.lit("")))) / F.lit(float(len(c.encode()))) for c in LETTERS))
 
 
-def _features(docs: DataFrame) -> DataFrame:
-    lower = docs.select(F.col("doc_id"), F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("_text"))
-    return lower.select("doc_id", F.regexp_count(F.col("_text"), F.lit(r"\S+")).cast("long").alias("n_tokens"), letter_counts(F.col("_text")).alias("_x"))
+def _features(docs: DataFrame, keep: bool = False) -> DataFrame:
+    row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")] if keep else []
+    lower = docs.select(*row, F.col("doc_id"), F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("_text"))
+    return lower.select(*(["_row"] if keep else []), "doc_id", F.regexp_count(F.col("_text"), F.lit(r"\S+")).cast("long").alias("n_tokens"), letter_counts(F.col("_text")).alias("_x"))
 
 
 def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
@@ -58,17 +59,18 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], fit
     return np.log(totals / totals.sum(1, keepdims=True)), np.log(prior / prior.sum())
 
 
-def posteriors(docs: DataFrame, frequencies: np.ndarray, priors: np.ndarray) -> DataFrame:
-    """doc_id, n_tokens, p (array of posteriors in the domains' order)."""
-    found = _features(docs).withColumn("_n", F.aggregate("_x", F.lit(0.0), lambda a, x: a + x))
+def posteriors(docs: DataFrame, frequencies: np.ndarray, priors: np.ndarray, keep: bool = False) -> DataFrame:
+    """doc_id, n_tokens, p (array of posteriors in the domains' order), and the whole row as ``_row`` if wanted."""
+    own = ["_row", "doc_id", "n_tokens"] if keep else ["doc_id", "n_tokens"]
+    found = _features(docs, keep).withColumn("_n", F.aggregate("_x", F.lit(0.0), lambda a, x: a + x))
     weight = F.when(F.col("_n") > 0, F.least(F.col("_n"), F.lit(STRENGTH)) / F.col("_n")).otherwise(F.lit(0.0))
     score = [sum((F.col("_x")[i] * float(v) for i, v in enumerate(row)), F.lit(0.0)) * weight + float(prior) for row, prior in zip(frequencies, priors, strict=True)]
-    found = found.select("doc_id", "n_tokens", *(s.alias(f"_s{k}") for k, s in enumerate(score)))
+    found = found.select(*own, *(s.alias(f"_s{k}") for k, s in enumerate(score)))
     names = [F.col(f"_s{k}") for k in range(len(score))]
     top = F.greatest(*names) if len(names) > 1 else names[0]
-    found = found.select("doc_id", "n_tokens", *(F.exp(s - top).alias(f"_e{k}") for k, s in enumerate(names)))
+    found = found.select(*own, *(F.exp(s - top).alias(f"_e{k}") for k, s in enumerate(names)))
     total = sum((F.col(f"_e{k}") for k in range(len(names))), F.lit(0.0))
-    return found.select("doc_id", "n_tokens", F.array(*(F.col(f"_e{k}") / total for k in range(len(names)))).alias("p"))
+    return found.select(*own, F.array(*(F.col(f"_e{k}") / total for k in range(len(names)))).alias("p"))
 
 
 def _moved(rate: Column, step: np.ndarray, floor: float) -> Column:
@@ -106,19 +108,22 @@ def fit_rates(members: DataFrame, targets: np.ndarray, floor: float = 0.0, keep_
     return rate, now
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], floor: float = 0.0, keep_all: bool = False, fit_rows: int = FIT_ROWS) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], floor: float = 0.0, keep_all: bool = False, fit_rows: int = FIT_ROWS, keep: bool = False) -> DataFrame:
     """Rate of every document: doc_id, n_tokens, domain (likeliest), p (posteriors, in sorted domain order), rate.
 
     ``labelled`` is (doc_id, domain); ``targets`` maps each domain to its wanted share of tokens (scaled to sum 1).
+    With ``keep`` the rows come along as ``_row``; their posteriors are then computed again instead of joined by id.
     """
     domains = sorted(targets)
     wanted = np.array([targets[d] for d in domains], float)
     if not len(wanted) or (wanted <= 0).any():
         raise ValueError("every target share must be above zero")
-    members = Workspace(docs.sparkSession).save(posteriors(docs, *fit_classifier(docs, labelled, domains, fit_rows)), "posteriors")
+    model = fit_classifier(docs, labelled, domains, fit_rows)
+    members = Workspace(docs.sparkSession).save(posteriors(docs, *model), "posteriors")
     rate, _ = fit_rates(members, wanted / wanted.sum(), floor, keep_all)
     likeliest = F.element_at(F.array(*map(F.lit, domains)), F.array_position("p", F.array_max("p")).cast("int"))
-    return members.select("doc_id", "n_tokens", likeliest.alias("domain"), "p", rate.alias("rate"))
+    out = posteriors(docs, *model, keep=True) if keep else members
+    return out.select(*(["_row"] if keep else []), "doc_id", "n_tokens", likeliest.alias("domain"), "p", rate.alias("rate"))
 
 
 def copies(rate: Column, *key: Column) -> Column:

@@ -92,11 +92,11 @@ def features(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     def each(batch: pa.RecordBatch, texts: Texts):
         yield {"_id": batch.column(0)} | {str(i): c for i, c in enumerate(batch.columns[2:])} | {"x": binary_rows(shape_features(texts))}
 
-    first = docs.select(*(c.alias(f"_c{i}") for i, c in enumerate(columns.values())), text_column(docs).alias("_text"))
+    first = docs.select(*(c.alias(f"_f{i}") for i, c in enumerate(columns.values())), text_column(docs).alias("_text"))
     kinds = dict(first.dtypes)
     names = list(columns)
-    schema = ", ".join(f"`{name}` {kinds[f'_c{i}']}" for i, name in enumerate(names)) + ", x binary"
-    order = [F.col("_c0"), F.col("_text"), *(F.col(f"_c{i}") for i in range(1, len(names)))]
+    schema = ", ".join(f"`{name}` {kinds[f'_f{i}']}" for i, name in enumerate(names)) + ", x binary"
+    order = [F.col("_f0"), F.col("_text"), *(F.col(f"_f{i}") for i in range(1, len(names)))]
     return map_texts(first, order, each, schema)
 
 
@@ -139,7 +139,7 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, cut: float = 0.3, modulus: int = 5, carry: list[str] | None = None) -> DataFrame:
-    """Score every text: doc_id, held_out, score, predicted (1 from ``cut`` on), and the ``carry`` columns.
+    """Score every text: doc_id, held_out, score, predicted (1 from ``cut`` on), and the ``carry`` columns as _c0, _c1...
 
     Labels (doc_id, quality) are used only where the row is not held out. Features are written once; the model is
     fitted on bounded hash samples, the prior on the scores of all rows, and every row is scored.
@@ -169,7 +169,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     else:
         centre, spread, weights, prior = np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH + 1), DEFAULT_PRIOR
     # Wanted columns of the documents are not stored a second time: the last pass reads the texts again.
-    scored = _scored(x if carry is None else features(docs, columns | {c: F.col(f"`{c}`") for c in carry}), weights, centre, spread)
+    scored = _scored(x if carry is None else features(docs, columns | {f"_c{i}": F.col(f"`{c}`") for i, c in enumerate(carry)}), weights, centre, spread)
     return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isoreach.llm import dartminhash, grid_join, licences, mixing, neighbours, pieces, quality, suffix_index, toxicity
+from isoreach.llm import dartminhash, grid_join, licences, mixing, neighbours, ngram_trie, pieces, quality, suffix_index, toxicity
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Wanted shares of tokens by language.
@@ -56,9 +56,13 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_index.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_neighbours, op2_licences, op3_embedding_dedup, op4_mixing, op5_sentencepiece, op6_quality, op7_toxicity, op8_minhash_dedup, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_neighbours, op2_licences, op3_embedding_dedup, op4_mixing, op5_sentencepiece, op6_quality, op7_toxicity, op8_minhash_dedup, op9_lm_scores, op10_suffix_dedup)}
 ORACLE_SQL: dict[str, str] = {}
