@@ -11,10 +11,10 @@ takes time in shingles + coordinates * log(coordinates), not their product. Two
 probability equal to their weighted Jaccard. Signatures are cut into bands and joined on equal bands.
 
 Exact copies (equal word sequences) are one row from the start. In a band's bucket every member is compared with the
-bucket's least member; whole texts decide. A member that is not alike to it is then compared with the other members it
-could still be alike to: 1 - Jaccard is a metric, so members whose distance to the least member differs by more than
-1 - threshold are excluded, and so are members of its own component. No candidate pair is lost, and a group of copies
-costs one comparison for each member.
+bucket's leader, the member that meets most others; whole texts decide. If all are alike to it the bucket is done, at
+one comparison for each member. The documents of the other buckets are joined exactly by prefix filtering: documents
+of different components are compared if they share one of their rarest shingles and their sizes and the shingle's
+places leave room for enough common ones. No candidate pair is lost, and no bucket is expanded into all its pairs.
 
 Edge cases: texts that are null, empty or only white space are like nothing, each its own component; rows with a null
 doc_id take no part (null component, kept); rows of one doc_id count as one document; ties go to the smaller doc_id; an
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoreach.llm.common import Texts, hash_spans, lists, map_texts, mix64, text_column, uniform
@@ -160,37 +160,73 @@ def near_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     copies = worded.join(groups.select("whole", "size", "rep"), ["whole", "size"]).filter(F.col("id") != F.col("rep")).select(F.col("id").alias("u"), F.col("rep").alias("v"))
 
     banded = groups.select(F.col("rep").alias("id"), F.explode("keys").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    members = work.save(banded.join(buckets.select("key", "a"), "key").select("key", "a", F.col("id").alias("b")), "members")
-    pairs = work.save(members.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    members = work.save(banded.join(buckets, "key"), "members")
+    # The leader of a bucket is the member that shares the most buckets with others: the most typical text.
+    fame = members.groupBy("id").agg(F.sum("n").alias("fame"))
+    ranked = work.save(members.select("key", "id").join(fame, "id"), "ranked")
+    leaders = ranked.groupBy("key").agg(F.max(F.struct("fame", -F.col("id"))).alias("_l")).select("key", (-F.col("_l.col2")).alias("a"))
+    met = work.save(ranked.select("key", F.col("id").alias("b")).join(leaders, "key"), "met")
+    pairs = work.save(met.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), "pairs")
     texts = known.groupBy("doc_id").agg(F.min("text").alias("text")) if signed.select("id").distinct().count() < signed.count() else known
-    texts = work.save(lookup_join(texts.select(F.col("doc_id").alias("id"), "text"), wanted, ["id"], "left_semi", skewed=False), "texts")
+    texts = work.save(lookup_join(texts.select(F.col("doc_id").alias("id"), "text"), fame.select("id"), ["id"], "left_semi", skewed=False), "texts")
     first = work.save(_compared(pairs, texts), "first")
     links = first.filter(F.col("similarity") >= threshold).select(F.col("b").alias("u"), F.col("a").alias("v"))
     failed = first.filter(F.col("similarity") < threshold)
     if failed.limit(1).count():
-        now = components(links, work, "early")
-        links = links.unionAll(_second(members, first, now, texts, threshold, work))
+        links = links.unionAll(_second(met, failed, components(links, work, "early"), texts, threshold, work))
     named = components(links.unionAll(copies), work)
     result = source.select("doc_id").distinct().join(named, F.col("doc_id") == F.col("id"), "left")
     result = result.select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _second(members: DataFrame, first: DataFrame, now: DataFrame, texts: DataFrame, threshold: float, work: Workspace) -> DataFrame:
-    """Links of members that are not alike to their bucket's least member, to others of the bucket."""
-    far = 1.0 - threshold
-    known = members.filter(F.col("a") != F.col("b")).join(first, ["a", "b"])
-    known = known.join(now.select(F.col("id").alias("b"), "component_id"), "b", "left").select(
-        "key", F.col("b").alias("id"), F.coalesce("component_id", "b").alias("c"), "similarity", F.floor(F.col("similarity") / far).alias("bin"),
-    )
-    open_buckets = known.filter(F.col("similarity") < threshold)
-    left = open_buckets.select("key", "id", "c", "similarity", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"))
-    right = known.select("key", "bin", F.col("id").alias("_id"), F.col("c").alias("_c"), F.col("similarity").alias("_s"))
-    met = left.join(right, ["key", "bin"]).filter(
-        (F.col("id") != F.col("_id")) & (F.col("c") != F.col("_c")) & (F.abs(F.col("similarity") - F.col("_s")) <= far + 1e-9)
-    )
-    pairs = met.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = work.save(_compared(work.save(pairs, "late-pairs"), texts), "second")
+def _prefixes(texts: DataFrame, usual: DataFrame, threshold: float) -> DataFrame:
+    """Rows (s, id, size, pos, c): the first shingles of each document, rarest first, that a partner must share.
+
+    The order is: shingles no other open document has, then the others by their number of documents. A repeated
+    shingle counts as one element for each occurrence. ``usual`` has those that several documents have.
+    """
+    elements = map_texts(texts, [F.col("id"), F.col("text"), F.col("c")], _elements, "id long, c long, size long, s long")
+    known = elements.join(usual, "s", "left").withColumn("df", F.coalesce("df", F.lit(1)))
+    order = Window.partitionBy("id").orderBy("df", "s")
+    ranked = known.withColumn("pos", F.row_number().over(order))
+    return ranked.filter(F.col("pos") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1).filter(F.col("df") > 1)
+
+
+def _elements(batch: pa.RecordBatch, texts: Texts):
+    owner, h, count, _ = shingles(texts)
+    which = np.repeat(np.arange(len(h)), count)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    s = mix64(h[which] + nth.astype(np.uint64) * _GOLDEN)
+    total = np.bincount(owner, count, texts.n).astype(np.int64)
+    owner = owner[which]
+    yield {"id": batch.column(0).take(pa.array(owner)), "c": batch.column(2).take(pa.array(owner)), "size": total[owner], "s": s.view(np.int64)}
+
+
+def _second(met: DataFrame, failed: DataFrame, now: DataFrame, texts: DataFrame, threshold: float, work: Workspace) -> DataFrame:
+    """Links between different components of the buckets in which some member is not alike to the leader.
+
+    A prefix join: two documents with enough shingles in common share one of their rarest. Its rows are matched on a
+    shingle only across components, and only where sizes and places in the order leave room for enough common ones.
+    """
+    comp = now.select("id", F.col("component_id").alias("c"))
+    open_keys = met.join(failed.select("a", "b"), ["a", "b"], "left_semi").select("key").distinct()
+    open_ids = met.join(open_keys, "key", "left_semi").select(F.col("b").alias("id")).distinct()
+    wanted = work.save(open_ids.join(comp, "id", "left").select("id", F.coalesce("c", "id").alias("c")), "open")
+    bodies = work.save(texts.join(wanted, "id"), "bodies")
+    usual = map_texts(bodies, [F.col("id"), F.col("text"), F.col("c")], _elements, "id long, c long, size long, s long")
+    usual = work.save(usual.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1), "usual")
+    rows = work.save(_prefixes(bodies, usual, threshold), "prefixes")
+    per = rows.groupBy("s", "c").agg(F.count(F.lit(1)).alias("_n"))
+    main = per.groupBy("s").agg(F.max(F.struct("_n", "c")).alias("_m"), F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > 1).select("s", F.col("_m.c").alias("_main"))
+    # One side leaves out the largest component of each shingle, so its members are never matched with each other.
+    left = rows.join(main, "s").filter(F.col("c") != F.col("_main")).select("s", "id", "c", "size", "pos")
+    right = rows.select("s", F.col("id").alias("_id"), F.col("c").alias("_c"), F.col("size").alias("_size"), F.col("pos").alias("_pos"))
+    need = (F.col("size") + F.col("_size")) * (threshold / (1 + threshold)) - 1e-9
+    room = 1 + F.least(F.col("size") - F.col("pos"), F.col("_size") - F.col("_pos"))
+    pairs = left.join(right, "s").filter((F.col("c") != F.col("_c")) & (room >= need))
+    pairs = pairs.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
+    done = failed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = work.save(_compared(work.save(pairs.join(done, ["a", "b"], "left_anti"), "late-pairs"), texts), "second")
     return second.filter(F.col("similarity") >= threshold).select(F.col("b").alias("u"), F.col("a").alias("v"))
