@@ -70,7 +70,9 @@ def posteriors(docs: DataFrame, frequencies: np.ndarray, priors: np.ndarray, kee
     top = F.greatest(*names) if len(names) > 1 else names[0]
     found = found.select(*own, *(F.exp(s - top).alias(f"_e{k}") for k, s in enumerate(names)))
     total = sum((F.col(f"_e{k}") for k in range(len(names))), F.lit(0.0))
-    return found.select(*own, F.array(*(F.col(f"_e{k}") / total for k in range(len(names)))).alias("p"))
+    # Exploding the one array keeps the optimiser from writing its expression out at each of its many uses.
+    p = F.array(*(F.col(f"_e{k}") / total for k in range(len(names))))
+    return found.select(*own, F.explode(F.array(p)).alias("p"))
 
 
 def _moved(rate: Column, step: np.ndarray, floor: float) -> Column:
