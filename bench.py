@@ -70,7 +70,7 @@ def headline(spark: SparkSession, sf_dir: str) -> dict:
         "coverage_pairs": lambda: area(spark, sf_dir).pairs(),
         "access_summary": lambda: area(spark, sf_dir).summary(),
         "mclp_55_steps": lambda: area(spark, sf_dir).steps(),
-        "lgu_access": lambda: area(spark, sf_dir, 5).curves(),
+        "lgu_access": lambda: area(spark, sf_dir).curves(),
         "layer_sample": sample,
     }
 

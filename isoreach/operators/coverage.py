@@ -140,30 +140,23 @@ def pairs_to_cells(pairs: DataFrame, pixels: DataFrame) -> DataFrame:
     return pairs.join(located, ["region", "pop_ID"]).select(*COMBO, "facility_ID", "cell").distinct()
 
 
-def id_sets(relation: DataFrame, keys: list[str], member: str, out: str, limit: int = 10_000) -> DataFrame:
-    """``keys`` + ``part`` + sorted array of distinct members, at most about ``limit`` ids per array.
+def id_sets(relation: DataFrame, keys: list[str], member: str, out: str, digits: int = 1) -> DataFrame:
+    """``keys`` + ``part`` + sorted array of the distinct members of that part.
 
-    A group beyond the limit comes in several parts (hashed), so no row and no task grows with the
-    largest group; a group within it is part 0.
+    A member's part is the first ``digits`` hexadecimal digits of its md5, whatever the size of its group, so
+    groups come in up to 16 ** digits rows of which none holds more than its share.
     """
-    distinct = relation.select(*keys, member).distinct()
-    sizes = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    parts = F.when(F.col("_n").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64(member), F.ceil(F.col("_n") / F.lit(limit))).cast("int")
-    )
-    return (
-        lookup_join(distinct, sizes, keys, "left")
-        .groupBy(*keys, parts.cast("int").alias("part"))
-        .agg(F.array_sort(F.collect_set(member)).alias(out))
-    )
+    part = F.conv(F.substring(F.md5(F.col(member).cast("string")), 1, digits), 16, 10).cast("int")
+    grouped = relation.select(*keys, part.alias("part"), member).distinct().groupBy(*keys, "part")
+    return grouped.agg(F.array_sort(F.collect_list(member)).alias(out))
 
 
-def cell_facilities(coverage: DataFrame, limit: int = 10_000) -> DataFrame:
-    return id_sets(coverage, [*COMBO, "cell"], "facility_ID", "fac_ids", limit)
+def cell_facilities(coverage: DataFrame, digits: int = 1) -> DataFrame:
+    return id_sets(coverage, [*COMBO, "cell"], "facility_ID", "fac_ids", digits)
 
 
-def facility_cells(coverage: DataFrame, limit: int = 10_000) -> DataFrame:
-    return id_sets(coverage, [*COMBO, "facility_ID"], "cell", "cells", limit)
+def facility_cells(coverage: DataFrame, digits: int = 1) -> DataFrame:
+    return id_sets(coverage, [*COMBO, "facility_ID"], "cell", "cells", digits)
 
 
 def covered_cells(existing: DataFrame, candidates: DataFrame, weights: DataFrame, distances_m, grid: HexGrid) -> DataFrame:

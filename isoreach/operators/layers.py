@@ -47,16 +47,17 @@ def layer_pixels(pixels: DataFrame, covered: DataFrame, with_access: bool, bound
 
 
 def _reached(pairs: DataFrame) -> DataFrame:
-    return pairs.select("region", F.col("pop_ID").alias("ID")).distinct()
+    return pairs.select("region", "distance_m", F.col("pop_ID").alias("ID")).distinct()
 
 
 def pixels_with_access(pixels: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The same from stored pairs: pixels whose ID occurs in them."""
-    return pixels.join(_reached(pairs), ["region", "ID"], "left_semi")
+    """The same from stored pairs: for each distance, pixels whose ID occurs in them."""
+    return pixels.join(_reached(pairs), ["region", "ID"])
 
 
-def pixels_without_access(pixels: DataFrame, pairs: DataFrame) -> DataFrame:
-    return pixels.join(_reached(pairs), ["region", "ID"], "left_anti")
+def pixels_without_access(pixels: DataFrame, pairs: DataFrame, distances_m: list[int]) -> DataFrame:
+    every = pixels.withColumn("distance_m", F.explode(F.array(*map(F.lit, distances_m))))
+    return every.join(_reached(pairs), ["region", "distance_m", "ID"], "left_anti")
 
 
 def sample_size(n_facilities: int, limit: int = 5_000) -> int:

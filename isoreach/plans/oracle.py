@@ -245,7 +245,7 @@ def oracle_sql() -> dict[str, str]:
     add(
         "raster_pixels",
         select=f"""SELECT key, xcoord, ycoord, population, h3_index FROM ({hexed('''(SELECT (t // 64 * 32 + pos // 32) * 4294967296 + t % 64 * 32 + pos % 32 AS key, 22e0 + (t % 64 * 32 + pos % 32 + 0.5e0) * 0.01e0 AS xcoord, -8e0 + (t // 64 * 32 + pos // 32 + 0.5e0) * -0.01e0 AS ycoord, v AS population
-            FROM (SELECT o_orderkey // 1024 AS t, o_orderkey % 1024 AS pos, floor(o_totalprice / 1000) - 200 AS v FROM orders) WHERE v > 0)''', 'xcoord', 'ycoord', 'h3_index')})""",
+            FROM (SELECT o_orderkey // 1024 AS t, o_orderkey % 1024 AS pos, floor(o_totalprice / 1000) - 200 AS v FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0) WHERE v > 0)''', 'xcoord', 'ycoord', 'h3_index')})""",
     )
     add("opacity_bands", "banded", select="SELECT region, key, opacity FROM banded")
     add("polygon_edges", "parcel_edges", select="SELECT key, x1, y1, x2, y2 FROM parcel_edges")
@@ -328,8 +328,8 @@ def oracle_sql() -> dict[str, str]:
     add("pairs_to_cells", "exc", select="SELECT region, distance_m, ID AS facility_ID, cell FROM exc")
     add("facility_access", "ex", "exc", "ds", select="SELECT e.region, d.distance_m, e.ID, coalesce(sum(c.w), 0) AS pop_with_access FROM ex e CROSS JOIN ds d LEFT JOIN exc c ON c.region = e.region AND c.distance_m = d.distance_m AND c.ID = e.ID GROUP BY e.region, d.distance_m, e.ID")
     add("candidate_access", "cand", "cac", "ds", select="SELECT e.region, d.distance_m, e.ID, coalesce(sum(c.w), 0) AS pop_with_access FROM cand e CROSS JOIN ds d LEFT JOIN cac c ON c.region = e.region AND c.distance_m = d.distance_m AND c.ID = e.ID GROUP BY e.region, d.distance_m, e.ID")
-    add("cell_facilities", "exc", select="SELECT region, distance_m, cell, string_agg(ID, ',' ORDER BY ID) AS fac_ids FROM exc GROUP BY region, distance_m, cell")
-    add("facility_cells", "exc", select="SELECT region, distance_m, ID AS facility_ID, string_agg(cell::VARCHAR, ',' ORDER BY cell) AS cells FROM exc GROUP BY region, distance_m, ID")
+    add("cell_facilities", "exc", select="SELECT region, distance_m, cell, (strpos('0123456789abcdef', substr(md5(ID), 1, 1)) - 1)::INTEGER AS part, string_agg(ID, ',' ORDER BY ID) AS fac_ids FROM exc GROUP BY region, distance_m, cell, part")
+    add("facility_cells", "exc", select="SELECT region, distance_m, ID AS facility_ID, (strpos('0123456789abcdef', substr(md5(cell::VARCHAR), 1, 1)) - 1)::INTEGER AS part, string_agg(cell::VARCHAR, ',' ORDER BY cell) AS cells FROM exc GROUP BY region, distance_m, ID, part")
     add("access_summary", "summary", select="SELECT * FROM summary")
     add("district_population", "rpop", "dcell", select="SELECT region, province, LGU, sum(w) AS population, count(*) AS cells FROM rpop JOIN dcell USING (cell) GROUP BY region, province, LGU")
     add("mclp_steps", "steps", select="SELECT region, distance_m, p, facility_id, cell, gain, objective FROM steps")
@@ -366,8 +366,9 @@ def oracle_sql() -> dict[str, str]:
     layer = "SELECT b.region, v.distance_m, b.key || '_pop' AS ID, b.xcoord, b.ycoord, b.opacity FROM banded b JOIN cov v ON v.region = b.region AND v.cell = b.h3_index WHERE {cond}"
     add("layer_with_access", "banded", "cov", select=layer.format(cond="v.now"))
     add("layer_without_access", "banded", "cov", select=layer.format(cond="NOT v.now"))
-    add("pixels_without_access", "aoi", "exc", select=f"SELECT region, key || '_pop' AS ID FROM aoi a WHERE NOT EXISTS (SELECT 1 FROM exc e WHERE e.region = a.region AND e.cell = a.h3_index AND e.distance_m = {DISTANCES[1]})")
-    add("pixels_with_access", "aoi", "exc", select=f"SELECT region, key || '_pop' AS ID FROM aoi a WHERE EXISTS (SELECT 1 FROM exc e WHERE e.region = a.region AND e.cell = a.h3_index AND e.distance_m = {DISTANCES[1]})")
+    reach = "SELECT a.region, d.distance_m, a.key || '_pop' AS ID FROM aoi a CROSS JOIN ds d WHERE {no}EXISTS (SELECT 1 FROM exc e WHERE e.region = a.region AND e.cell = a.h3_index AND e.distance_m = d.distance_m)"
+    add("pixels_without_access", "aoi", "exc", "ds", select=reach.format(no="NOT "))
+    add("pixels_with_access", "aoi", "exc", "ds", select=reach.format(no=""))
     add(
         "layer_sample",
         "aoi",

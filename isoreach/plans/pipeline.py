@@ -65,7 +65,7 @@ class Pipeline:
     def extract_population(self, tiles: DataFrame, x0: float, y0: float, dx: float, dy: float) -> DataFrame:
         return self._store("population", lambda: raster.raster_pixels(tiles, x0, y0, dx, dy, self.settings.grid))
 
-    def extract_boundaries(self, folder: str, layout: str = "lines") -> tuple[DataFrame, DataFrame]:
+    def extract_boundaries(self, folder: str, layout: str = "auto") -> tuple[DataFrame, DataFrame]:
         """Regions (country and provinces) and districts."""
         s = self.settings
 
@@ -84,12 +84,12 @@ class Pipeline:
 
         return self._store("boundaries", regions), self._store("boundaries_lgu", districts)
 
-    def extract_facilities(self, source: str, path, use_center: bool = False, layout: str = "collection") -> DataFrame:
+    def extract_facilities(self, source: str, path, use_center: bool = False, layout: str = "auto") -> DataFrame:
         """Facilities of every region, with the boundary's columns."""
 
         def make():
             found = features.load_facilities(self.spark, source, path, use_center, layout)
-            with_id = sites.facility_ids(found, F.col("osm_id"))
+            with_id = found if source == "file" else sites.facility_ids(found, F.col("osm_id"))
             placed = sites.facilities_within(with_id, self.table("boundaries"), ["iso3", "region"])
             return sites.place_sites(placed, self.settings.grid)
 

@@ -130,9 +130,10 @@ def population_aoi(spark, sf_dir):
 
 
 def raster_pixels(spark, sf_dir):
-    """Orders as 32 x 32 tiles: 1,024 consecutive keys each."""
+    """Orders as 32 x 32 tiles: 1,024 consecutive keys each, some pixels NaN or infinite."""
     k = F.col("o_orderkey")
     value = (F.floor(F.col("o_totalprice") / 1000) - 200).cast("float")
+    value = F.when(k % 97 == 0, F.lit(float("nan"))).when(k % 89 == 0, F.lit(float("inf"))).otherwise(value)
     tile = F.floor(k / 1024).cast("int")
     tiles = (
         fx.table(spark, sf_dir, "orders")
@@ -320,12 +321,12 @@ def candidate_access(spark, sf_dir):
 
 def cell_facilities(spark, sf_dir):
     found = coverage.cell_facilities(Area(spark, sf_dir).coverage_existing())
-    return found.select("region", "distance_m", "cell", F.array_join("fac_ids", ",").alias("fac_ids"))
+    return found.select("region", "distance_m", "cell", "part", F.array_join("fac_ids", ",").alias("fac_ids"))
 
 
 def facility_cells(spark, sf_dir):
     found = coverage.facility_cells(Area(spark, sf_dir).coverage_existing())
-    return found.select("region", "distance_m", "facility_ID", F.array_join(F.col("cells").cast("array<string>"), ",").alias("cells"))
+    return found.select("region", "distance_m", "facility_ID", "part", F.array_join(F.col("cells").cast("array<string>"), ",").alias("cells"))
 
 
 def access_summary(spark, sf_dir):
@@ -407,8 +408,7 @@ def layer_without_access(spark, sf_dir):
 
 def _by_pairs(spark, sf_dir, choose):
     area = Area(spark, sf_dir)
-    pairs = area.pairs().filter(F.col("distance_m") == DISTANCES[1])
-    return choose(area.aoi(), pairs).select("region", "ID")
+    return choose(area.aoi(), area.pairs()).select("region", "distance_m", "ID")
 
 
 def pixels_with_access(spark, sf_dir):
@@ -416,7 +416,7 @@ def pixels_with_access(spark, sf_dir):
 
 
 def pixels_without_access(spark, sf_dir):
-    return _by_pairs(spark, sf_dir, layers.pixels_without_access)
+    return _by_pairs(spark, sf_dir, lambda pixels, pairs: layers.pixels_without_access(pixels, pairs, DISTANCES))
 
 
 def layer_sample(spark, sf_dir):

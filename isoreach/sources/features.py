@@ -2,7 +2,8 @@
 
 GeoJSON written one feature per line (newline-delimited, or a collection laid out that way) is split
 over tasks; a collection laid out any other way is one JSON value per file, which JSON only lets one task
-read, so prefer many files or the line form for large inputs.
+read, so prefer many files or the line form for large inputs. The layout is found out unless it is given;
+a file without any feature, or with a line that should be one and is not, is an error.
 """
 
 from __future__ import annotations
@@ -20,33 +21,56 @@ from isoreach.sources.tables import path_exists
 _GEOMETRY = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
 
 
-def _feature_schema(properties: list[str]) -> T.StructType:
-    fields = [T.StructField(p, T.StringType()) for p in properties]
+_FEATURE = r'"type"\s*:\s*"Feature"'
+_COLLECTION = r'"type"\s*:\s*"FeatureCollection"'
+
+
+def _feature_schema(properties: list[str] | None) -> T.StructType:
+    """Features with the listed properties, or with all of them as a map."""
+    fields = T.MapType(T.StringType(), T.StringType())
+    if properties is not None:
+        fields = T.StructType([T.StructField(p, T.StringType()) for p in properties])
     return T.StructType(
-        [T.StructField("type", T.StringType()), T.StructField("properties", T.StructType(fields)), T.StructField("geometry", _GEOMETRY)]
+        [T.StructField("type", T.StringType()), T.StructField("properties", fields), T.StructField("geometry", _GEOMETRY)]
     )
 
 
-def feature_rows(features: DataFrame, properties: list[str], feature: str = "feature") -> DataFrame:
+def feature_rows(features: DataFrame, properties: list[str] | None, feature: str = "feature") -> DataFrame:
     """Parsed feature structs to properties + geometry_wkt."""
     f = F.col(feature)
     return features.select(
-        *[f["properties"][p].alias(p) for p in properties],
+        *([f["properties"].alias("properties")] if properties is None else [f["properties"][p].alias(p) for p in properties]),
         geojson_wkt(f["geometry"]["type"], f["geometry"]["coordinates"]).alias("geometry_wkt"),
     )
 
 
-def parse_features(lines: DataFrame, properties: list[str], text: str = "value") -> DataFrame:
-    """Text rows holding one GeoJSON feature each (a trailing comma is allowed); other rows are skipped."""
+def parse_features(lines: DataFrame, properties: list[str] | None, text: str = "value") -> DataFrame:
+    """Text rows holding one GeoJSON feature each (a trailing comma is allowed).
+
+    Rows that do not name a feature (the frame of a collection) are skipped; a row that does and cannot be
+    parsed is an error.
+    """
     line = F.regexp_replace(F.trim(F.col(text)), r",$", "")
-    parsed = lines.select(F.from_json(line, _feature_schema(properties)).alias("feature"))
+    named = lines.filter(F.col(text).rlike(_FEATURE)).select(line.alias("_line"))
+    parsed = named.select(F.from_json("_line", _feature_schema(properties), {"mode": "FAILFAST"}).alias("feature"))
     return feature_rows(parsed.filter("feature.type = 'Feature'"), properties)
 
 
-def read_geojson(spark: SparkSession, path: str, properties: list[str], layout: str = "lines") -> DataFrame:
-    """GeoJSON to rows. ``layout``: lines (one feature per line) or collection (any layout)."""
+def read_geojson(spark: SparkSession, path: str, properties: list[str] | None, layout: str = "auto") -> DataFrame:
+    """GeoJSON to rows. ``layout``: lines (one feature per line), collection (any layout), or auto.
+
+    It counts as lines if no line holds a collection together with features and some line starts as a feature.
+    """
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"boundaries not found: {path}")
+        raise FileNotFoundError(f"no such GeoJSON: {path}")
+    if layout == "auto":
+        text = spark.read.text(path)
+        whole = F.max((F.col("value").rlike(_COLLECTION) & F.col("value").rlike(_FEATURE)).cast("int"))
+        starts = F.max((F.trim("value").startswith("{") & F.col("value").rlike(_FEATURE)).cast("int"))
+        found = text.agg(whole.alias("whole"), starts.alias("lines"), F.max(F.col("value").rlike(_COLLECTION).cast("int")).alias("frame")).first()
+        if not (found["whole"] or found["lines"] or found["frame"]):
+            raise ValueError(f"no GeoJSON feature in {path}")
+        layout = "lines" if found["lines"] and not found["whole"] else "collection"
     if layout == "lines":
         return parse_features(spark.read.text(path), properties)
     if layout != "collection":
@@ -69,10 +93,10 @@ def write_geojson(df: DataFrame, path: str, wkt: str = "geometry_wkt", mode: str
 BOUNDARY_COLUMNS = {0: ["ISO_A3", "NAM_0"], 1: ["ISO_A3", "NAM_0", "NAM_1"], 2: ["ISO_A3", "NAM_0", "NAM_1", "NAM_2"]}
 
 
-def load_boundaries(spark: SparkSession, folder: str, admin_level: int, layout: str = "lines") -> DataFrame:
+def load_boundaries(spark: SparkSession, folder: str, admin_level: int, layout: str = "auto") -> DataFrame:
     """Boundaries of one administrative level with known name errors corrected."""
     if admin_level not in BOUNDARY_COLUMNS:
-        raise ValueError(f"Invalid admin_level: {admin_level}")
+        raise ValueError(f"admin_level must be 0, 1 or 2, not {admin_level}")
     path = f"{folder.rstrip('/')}/wb_admin{admin_level}.geojson"
     return correct_names(read_geojson(spark, path, BOUNDARY_COLUMNS[admin_level], layout))
 
@@ -83,9 +107,9 @@ def select_boundaries(boundaries: DataFrame, iso3: str, province: str | None = N
     chosen = country if province is None else country.filter(F.col("NAM_1") == province)
     if chosen.isEmpty():
         if province is None:
-            raise ValueError(f"Country ISO3 '{iso3}' not found in WB boundaries")
+            raise ValueError(f"no boundary has ISO_A3 = '{iso3}'")
         available = [r[0] for r in country.select("NAM_1").distinct().orderBy("NAM_1").collect()]
-        raise ValueError(f"Admin1 '{province}' not found. Available: {available}")
+        raise ValueError(f"no boundary has NAM_1 = '{province}'; there are {available}")
     return chosen
 
 
@@ -100,7 +124,7 @@ def select_districts(adm2: DataFrame, iso3: str) -> DataFrame:
     """Districts as iso3, province, LGU, geometry_wkt."""
     country = adm2.filter(F.col("ISO_A3") == iso3)
     if country.isEmpty():
-        raise ValueError(f"No Admin2 boundaries found for ISO3 '{iso3}'")
+        raise ValueError(f"no district has ISO_A3 = '{iso3}'")
     return normalize_districts(country)
 
 
@@ -160,14 +184,21 @@ def merge_elements(*lists: DataFrame, order: str = "pos") -> DataFrame:
     return every.groupBy("osm_id").agg(best).select("osm_id", *[f"_best.{c}" for c in columns])
 
 
-def load_facilities(spark: SparkSession, source: str, path: str | list[str] | None, use_center: bool = False, layout: str = "collection") -> DataFrame:
-    """Facilities from stored OSM responses (hospitals before clinics) or from a GeoJSON of points."""
+def load_facilities(spark: SparkSession, source: str, path: str | list[str] | None, use_center: bool = False, layout: str = "auto") -> DataFrame:
+    """Facilities from stored OSM responses (hospitals before clinics) or from a GeoJSON of points.
+
+    Those of a file keep all their properties as a map, and the file's ``ID``. Without one, ``ID`` is made from
+    osm_id, else from name and place, so no facility is without a key.
+    """
     if source == "osm":
         paths = [path] if isinstance(path, str) else list(path or [])
         return merge_elements(*[read_osm(spark, p, use_center) for p in paths])
     if source == "file":
         if path is None:
-            raise ValueError("FACILITIES_SOURCE='file' but FACILITIES_INPUT_PATH is not set")
-        points = read_geojson(spark, path, ["osm_id", "name"], layout)
-        return points.withColumn("lon", point_x(F.col("geometry_wkt"))).withColumn("lat", point_y(F.col("geometry_wkt")))
-    raise ValueError(f"Invalid FACILITIES_SOURCE: {source}. Use 'osm' or 'file'.")
+            raise ValueError("source 'file' needs a path")
+        points = read_geojson(spark, path, None, layout)
+        points = points.withColumn("lon", point_x(F.col("geometry_wkt"))).withColumn("lat", point_y(F.col("geometry_wkt")))
+        of = F.col("properties")
+        made = F.concat(F.coalesce(of["osm_id"], F.md5(F.concat_ws("|", of["name"], F.col("lon").cast("string"), F.col("lat").cast("string")))), F.lit("_current"))
+        return points.select(F.coalesce(of["ID"], made).alias("ID"), of["osm_id"].alias("osm_id"), of["name"].alias("name"), "properties", "geometry_wkt", "lon", "lat")
+    raise ValueError(f"source must be 'osm' or 'file', not {source!r}")

@@ -24,10 +24,10 @@ def raster_pixels(tiles: DataFrame, x0: float, y0: float, dx: float, dy: float,
     """Populated pixels (key, xcoord, ycoord, population, h3_index) with centre coordinates.
 
     ``key`` packs the pixel's row and column in the raster: a stable id for later runs.
-    (x0, y0) is the outer corner of pixel (0, 0) and dy is negative for north-up rasters. NoData,
-    negative and zero values are dropped. All tiles are one job; each is exploded where it is read.
+    (x0, y0) is the outer corner of pixel (0, 0) and dy is negative for north-up rasters. NoData
+    (null, NaN, infinite), negative and zero values are dropped. All tiles are one job; each is exploded where it is read.
     """
-    values = tiles.select("row_off", "col_off", "width", F.posexplode("values").alias("pos", "value")).filter("value > 0")
+    values = tiles.select("row_off", "col_off", "width", F.posexplode("values").alias("pos", "value")).filter("value > 0 AND NOT isnan(value) AND value < double('infinity')")
     col = F.col("col_off") + F.col("pos") % F.col("width")
     row = F.col("row_off") + F.floor(F.col("pos") / F.col("width"))
     pixels = values.select(

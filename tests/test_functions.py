@@ -146,15 +146,15 @@ def test_dedupe_columns(spark):
 
 
 def test_table_names():
-    extract = names.table_names("prd", "sgp", "zambia", "ZMB", "North-Western", 2025)
-    assert extract["boundaries"] == "prd.sgp.wb_boundaries_zmb_north_western_province"
-    assert extract["population"] == "prd.sgp.population_zmb_2025_north_western_province"
-    assert names.table_names("prd", "sgp", "zambia", "ZMB", None, 2025)["facilities"] == "prd.sgp.health_facilities_zmb_osm"
-    transform = names.table_names("prd", "sgp", "zambia", "ZMB", "Northern", 2025, 5000)
-    assert transform["population_aoi"] == "prd.sgp.population_aoi_zmb_2025_northern_province_5km"
-    assert transform["potential_coverage"] == "prd.sgp.potential_coverage_zmb_northern_province_5km"
-    country = names.table_names("prd", "sgp", "zambia", "ZMB", None, 2025, 10000)
-    assert country["lgu_accessibility"] == "prd.sgp.lgu_accessibility_results_zmb_10km"
+    extract = names.table_names("cat", "access", "zambia", "ZMB", "North-Western", 2025)
+    assert extract["boundaries"] == "cat.access.wb_boundaries_zmb_north_western_province"
+    assert extract["population"] == "cat.access.population_zmb_2025_north_western_province"
+    assert names.table_names("cat", "access", "zambia", "ZMB", None, 2025)["facilities"] == "cat.access.health_facilities_zmb_osm"
+    transform = names.table_names("cat", "access", "zambia", "ZMB", "Northern", 2025, 5000)
+    assert transform["population_aoi"] == "cat.access.population_aoi_zmb_2025_northern_province_5km"
+    assert transform["potential_coverage"] == "cat.access.potential_coverage_zmb_northern_province_5km"
+    country = names.table_names("cat", "access", "zambia", "ZMB", None, 2025, 10000)
+    assert country["lgu_accessibility"] == "cat.access.lgu_accessibility_results_zmb_10km"
     assert len(country) == 10
 
 

@@ -113,10 +113,11 @@ def test_sweeps_match_pairwise_distances(spark):
 
 def test_id_sets_split_large_groups(spark):
     pairs = combos(spark, [("a", f) for f in range(50)] + [("b", 1)], "cell string, facility_ID long")
-    rows = coverage.cell_facilities(pairs, limit=10).collect()
+    rows = coverage.cell_facilities(pairs).collect()
     ids = sorted(i for r in rows if r["cell"] == "a" for i in r["fac_ids"])
     assert ids == list(range(50)) and len([r for r in rows if r["cell"] == "a"]) > 1
-    assert [(r["part"], r["fac_ids"]) for r in rows if r["cell"] == "b"] == [(0, [1])]
+    assert [(r["part"], r["fac_ids"]) for r in rows if r["cell"] == "b"] == [(12, [1])]
+    assert len({(r["cell"], r["part"]) for r in rows}) == len(rows)
 
 
 def test_fixture_coverage_numbers(spark):
@@ -125,7 +126,7 @@ def test_fixture_coverage_numbers(spark):
     sums = pairs.join(pixels.withColumnRenamed("ID", "pop_ID"), ["region", "pop_ID"]).groupBy("facility_ID").agg(F.sum("population").alias("p"))
     assert {r["facility_ID"]: r["p"] for r in sums.collect()} == {"f1": 300.0, "f2": 350.0}
     first = pairs.filter("facility_ID = 'f1'")
-    assert layers.pixels_without_access(pixels, first).agg(F.sum("population")).first()[0] == 200.0
+    assert layers.pixels_without_access(pixels, first, [1]).agg(F.sum("population")).first()[0] == 200.0
     assert layers.pixels_with_access(pixels, first).agg(F.sum("population")).first()[0] == 300.0
 
 

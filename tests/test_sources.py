@@ -33,15 +33,15 @@ def test_boundaries(spark, tmp_path, layout):
     loaded = features.load_boundaries(spark, str(tmp_path), 1, layout)
     assert {r["NAM_1"] for r in loaded.collect()} == {"Muchinga", "Lusaka", "Central"}
     assert features.select_boundaries(loaded, "ZMB", "Lusaka").first()["geometry_wkt"].startswith("POLYGON ((1")
-    with pytest.raises(ValueError, match=r"Available: \['Lusaka', 'Muchinga'\]"):
+    with pytest.raises(ValueError, match=r"there are \['Lusaka', 'Muchinga'\]"):
         features.select_boundaries(loaded, "ZMB", "Nowhere")
     with pytest.raises(ValueError, match="XXX"):
         features.select_boundaries(loaded, "XXX")
-    with pytest.raises(ValueError, match="Invalid admin_level"):
+    with pytest.raises(ValueError, match="admin_level must be"):
         features.load_boundaries(spark, str(tmp_path), 3)
     with pytest.raises(FileNotFoundError):
         features.load_boundaries(spark, str(tmp_path), 2)
-    with pytest.raises(ValueError, match="No Admin2"):
+    with pytest.raises(ValueError, match="no district"):
         features.select_districts(loaded.withColumn("NAM_2", F.lit("x")), "XXX")
 
 
@@ -59,18 +59,35 @@ def test_osm(spark, tmp_path):
     found = {r["osm_id"]: r["name"] for r in features.load_facilities(spark, "osm", paths).collect()}
     assert found == {1: "H1", 3: None, 4: None}
     assert features.load_facilities(spark, "osm", paths, use_center=True).count() == 4
-    with pytest.raises(ValueError, match="Invalid FACILITIES_SOURCE"):
+    with pytest.raises(ValueError, match="source must be"):
         features.load_facilities(spark, "web", paths)
-    with pytest.raises(ValueError, match="not set"):
+    with pytest.raises(ValueError, match="path"):
         features.load_facilities(spark, "file", None)
     write(tmp_path / "f.geojson", [feature({"osm_id": "9", "name": "F"}, "Point", [28.5, -15.5])], "collection")
     row = features.load_facilities(spark, "file", str(tmp_path / "f.geojson")).first()
     assert (row["osm_id"], row["lon"], row["lat"]) == ("9", 28.5, -15.5)
+    points = [feature({"ID": "own", "beds": "12"}, "Point", [28.5, -15.5]), feature({"name": "G"}, "Point", [28.6, -15.5]), feature({"name": "G"}, "Point", [28.7, -15.5])]
+    write(tmp_path / "g.geojson", points, "collection")
+    got = features.load_facilities(spark, "file", str(tmp_path / "g.geojson")).collect()
+    assert len({r["ID"] for r in got}) == 3 and None not in {r["ID"] for r in got}
+    assert {r["ID"]: r["properties"].get("beds") for r in got}["own"] == "12"
+
+
+def test_geojson_that_does_not_parse_is_an_error(spark, tmp_path):
+    rows = [feature({"name": n}, "Point", [28.5, -15.5]) for n in "ab"]
+    write(tmp_path / "c.geojson", rows, "collection")
+    assert features.read_geojson(spark, str(tmp_path / "c.geojson"), ["name"]).count() == 2
+    (tmp_path / "bad.geojson").write_text('{"type": "Feature", "properties": {"name": "a"\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        features.read_geojson(spark, str(tmp_path / "bad.geojson"), ["name"], "lines").count()
+    (tmp_path / "none.geojson").write_text("hello\n")
+    with pytest.raises(ValueError, match="no GeoJSON feature"):
+        features.read_geojson(spark, str(tmp_path / "none.geojson"), ["name"])
 
 
 def test_raster_tiles(spark):
-    tiles = spark.createDataFrame([(0, 0, 2, [1.0, 0.0, -9999.0, 4.0]), (0, 2, 2, [5.0, float("nan"), 7.0, None])], raster.TILE_SCHEMA)
-    rows = raster.raster_pixels(tiles, 10.0, 20.0, 0.5, -0.5, HexGrid()).filter("NOT isnan(population)").collect()
+    tiles = spark.createDataFrame([(0, 0, 2, [1.0, 0.0, -9999.0, 4.0]), (0, 2, 2, [5.0, float("nan"), 7.0, None]), (1, 0, 1, [float("inf"), float("-inf")])], raster.TILE_SCHEMA)
+    rows = raster.raster_pixels(tiles, 10.0, 20.0, 0.5, -0.5, HexGrid()).collect()
     assert {(r["xcoord"], r["ycoord"], r["population"]) for r in rows} == {(10.25, 19.75, 1.0), (10.75, 19.25, 4.0), (11.25, 19.75, 5.0), (11.25, 19.25, 7.0)}
 
 
