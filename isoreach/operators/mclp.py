@@ -7,12 +7,13 @@ current gains, and a step
 1. takes the best candidate of every combination, and those after it whose place is already certain (a
    few dozen small rows per combination, the only thing the driver sees),
 2. looks up the people in the newly covered cells,
-3. subtracts them from the candidates within reach of those cells.
+3. subtracts them from the candidates within reach of those cells, by the same row sweep that made the gains.
 
-The site x cell relation is never stored for hexagon catchments: which cells a pick covers and which
-candidates a cell concerns are both disks, generated by arithmetic. Steps 2 and 3 involve a number of
-rows fixed by k and the number of combinations, known before the step, and are broadcast only while
-that bound is small; the gains table itself is never shuffled. Two candidates in one cell cover the same
+The site x cell relation is never stored for hexagon catchments: which cells a pick covers is a disk,
+generated by arithmetic, and the candidates within 2k rings of a pick sum up the newly covered cells as
+differences of running sums: O(k^2) cells and 2k+1 rows for each of those candidates. Steps 2 and 3 involve
+a number of rows fixed by k and the number of combinations, known before the step, and are broadcast only
+while that bound is small; the gains table itself is never shuffled. Two candidates in one cell cover the same
 cells, so gains are kept per cell and the smallest id stands for it.
 
 Weights are whole millionths of a person: sums are exact, so equal gains are equal on any cluster.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from isoreach.functions.hexgrid import HexGrid, disk_size, distance_sql, explode_disk, hex_distance_int, per_distance
 from isoreach.operators.coverage import COMBO, cover_counts, disk_sums, site_cells, weights_per_distance
-from isoreach.operators.joins import Workspace, broadcast_if, local_rows
+from isoreach.operators.joins import Workspace, broadcast_if, local_rows, lookup_join
 from isoreach.operators.population import from_micro
 
 PICK_SCHEMA = pa.schema(
@@ -38,6 +39,7 @@ PICK_SCHEMA = pa.schema(
 PICKED_SCHEMA = pa.schema(
     [("region", pa.string()), ("distance_m", pa.int32()), ("cell", pa.int64()), ("k", pa.int32()), ("near", pa.list_(pa.int64()))]
 )
+AROUND_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("k", pa.int32()), ("centers", pa.list_(pa.int64()))])
 # Candidates looked at per combination and round.
 LEADERS = 32
 BASE_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("base_w", pa.int64())])
@@ -159,12 +161,16 @@ def site_steps(
             .selectExpr(*COMBO, "disk_cell AS cell", "k")
         )
         reached = open_cells.join(broadcast_if(fresh, sum(disk_size(r[3]) for r in rows)), [*COMBO, "cell"])
-        lost = (
-            explode_disk(reached, "k")
-            .selectExpr(*COMBO, "disk_cell AS cell", "w")
-            .groupBy(*COMBO, "cell")
-            .agg(F.expr("sum(w) AS lost"))
+        centers: dict[tuple, list[int]] = {}
+        for region, distance, cell, _, _ in rows:
+            centers.setdefault((region, distance), []).append(cell)
+        around = local_rows(spark, [(*combo, rings[combo[1]], cells) for combo, cells in centers.items()], AROUND_SCHEMA)
+        near = (
+            gains.join(broadcast_if(around, len(centers)), COMBO)
+            .filter(f"exists(centers, c -> {distance_sql('c', 'cell')} <= 2 * k)")
+            .select(*COMBO, "cell", "k")
         )
+        lost = disk_sums(near, reached.select(*COMBO, "cell", "w")).withColumnRenamed("w", "lost")
         lost = broadcast_if(lost, sum(disk_size(2 * r[3]) for r in rows))
         return gains.join(lost, [*COMBO, "cell"], "left").selectExpr(*COMBO, "cell", "ID", "gain - coalesce(lost, 0) AS gain")
 
@@ -181,7 +187,8 @@ def relation_steps(
 
     ``weights`` is (region, distance_m, cell, w), ``coverage`` (region, distance_m, facility_ID, cell),
     ``existing`` and ``candidates`` (region, distance_m, ID). Cells are any comparable key; cells
-    without a weight count nothing. The relation is hashed by cell once and only read after that.
+    without a weight count nothing. Rows of covered cells leave the relation with every step, so what a
+    step reads shrinks, and newly covered cells are broadcast while they are few: the relation stays in place.
     """
     spark = weights.sparkSession
     work = Workspace(spark)
@@ -193,25 +200,25 @@ def relation_steps(
     base = covered.groupBy(*COMBO).agg(F.sum("w").alias("base_w")).collect()
     chosen_from = candidates.select(*COMBO, "ID").distinct().join(existing.select(*COMBO, "ID"), [*COMBO, "ID"], "left_anti")
     remaining = work.save(
-        weighted.join(chosen_from, [*COMBO, "ID"], "left_semi").join(covered.select(*at_cell), at_cell, "left_anti"), "remaining"
+        weighted.join(chosen_from, [*COMBO, "ID"], "left_semi").join(covered.select(*at_cell), at_cell, "left_anti"), "remaining-0"
     )
-    remaining = remaining.repartition(*at_cell).persist(StorageLevel.MEMORY_AND_DISK)
     gains = remaining.groupBy(*COMBO, "ID").agg(F.sum("w").alias("gain")).withColumn("cell", F.lit(None).cast("long"))
 
     def shrink(gains: DataFrame, step: list[tuple], done: list[tuple]) -> DataFrame:
+        nonlocal remaining
+        turn = step[0][2]
+        if turn > 1:
+            # The gains were written since, so nothing reads the version before the last any more.
+            work.drop(f"remaining-{turn - 2}")
         now = local_rows(spark, [(s[0], s[1], s[3]) for s in step], ID_SCHEMA)
-        fresh = remaining.join(broadcast_if(now, len(step)), [*COMBO, "ID"]).select(*at_cell)
-        if done:
-            before = local_rows(spark, [(s[0], s[1], s[3]) for s in done], ID_SCHEMA)
-            gone = remaining.join(broadcast_if(before, len(done)), [*COMBO, "ID"]).select(*at_cell).distinct()
-            fresh = fresh.join(gone, at_cell, "left_anti")
-        lost = remaining.join(fresh, at_cell).groupBy(*COMBO, "ID").agg(F.sum("w").alias("lost"))
+        fresh = work.save(remaining.join(broadcast_if(now, len(step)), [*COMBO, "ID"]).select(*at_cell), f"fresh-{turn}")
+        lost = lookup_join(remaining, fresh, at_cell, "left_semi").groupBy(*COMBO, "ID").agg(F.sum("w").alias("lost"))
+        remaining = work.save(lookup_join(remaining, fresh, at_cell, "left_anti"), f"remaining-{turn}")
         return gains.join(lost, [*COMBO, "ID"], "left").select(
             *COMBO, "cell", "ID", (F.col("gain") - F.coalesce(F.col("lost"), F.lit(0))).alias("gain")
         )
 
     picks = _greedy(gains, shrink, max_new, work)
-    remaining.unpersist()
     work.close()
     return _steps(spark, picks, base).drop("cell")
 

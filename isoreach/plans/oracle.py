@@ -2,7 +2,7 @@
 
 Polygons enter as edge rows built from the lattice formula, never from WKT; catchments are pairwise
 hexagon distances, never runs; polyfill is a ray cast per cell, never a scan line; the greedy loop is
-unrolled. Double literals carry an exponent so that they are not read as decimals.
+a recursion over uncovered cells. Double literals carry an exponent so that they are not read as decimals.
 """
 
 from __future__ import annotations
@@ -11,12 +11,12 @@ from isoreach.functions.hexgrid import EDGE_M, OFFSET, Q_SHIFT
 from isoreach.plans.fixtures import COUNTRY, DISTANCES, FINE_GRID, FINE_SPACING, GRID, SPACING
 
 DX, DY = f"{GRID.dx!r}e0", f"{GRID.dy!r}e0"
-STEPS = 5
+STEPS = 55
 TARGET = 90
 
 
 def with_ctes(*names: str, select: str) -> str:
-    """``select`` preceded yhi the named CTEs and everything they need, each once, in order."""
+    """``select`` preceded by the named CTEs and everything they need, each once, in order."""
     order: list[str] = []
 
     def need(name: str) -> None:
@@ -36,7 +36,7 @@ def with_ctes(*names: str, select: str) -> str:
         for other in CTES:
             body = body.replace(f"{{{other}}}", other)
         texts.append(f"{name} AS ({body})")
-    return "WITH " + ",\n".join(texts) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(texts) + "\n" + select
 
 
 def lon(k: str) -> str:
@@ -199,12 +199,17 @@ CTES: dict[str, str] = {
           SELECT c_custkey AS osm_id, {milli(lat('c_custkey'))} AS lat, {milli(lon('c_custkey'))} AS lon, 'Hospital ' || c_name AS name, 0 AS list FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 7 <> 0
           UNION ALL SELECT c_custkey, {milli(lat('c_custkey'))}, {milli(lon('c_custkey'))}, CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE 'Clinic ' || c_name END, 1 FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 7 <> 0)) WHERE n = 1""",
 }
-for _p in range(1, STEPS + 1):
-    CTES[f"b{_p}"] = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY region, distance_m ORDER BY gain DESC, ID) AS rn
-      FROM (SELECT region, distance_m, ID, sum(w) AS gain FROM {{r{_p - 1}}} GROUP BY region, distance_m, ID)) WHERE rn = 1"""
-    if _p < STEPS:
-        CTES[f"r{_p}"] = f"""SELECT r.* FROM {{r{_p - 1}}} r ANTI JOIN (SELECT x.* FROM {{r{_p - 1}}} x JOIN {{b{_p}}} b USING (region, distance_m, ID)) n USING (region, distance_m, cell)"""
-CTES["picks"] = " UNION ALL ".join(f"SELECT region, distance_m, {p} AS p, ID, gain FROM {{b{p}}}" for p in range(1, STEPS + 1))
+# One row per cell not covered yet and one without a cell per combination; each round names the best site of the round.
+CTES["walk"] = f"""(SELECT DISTINCT region, distance_m, 0 AS p, cell, w::DOUBLE AS w, NULL::VARCHAR AS ID, 0e0 AS gain FROM {{r0}}
+      UNION ALL SELECT DISTINCT region, distance_m, 0, -1, 0e0, NULL, 0e0 FROM {{r0}})
+    UNION ALL
+    SELECT region, distance_m, p + 1, cell, w, best, best_gain FROM (
+      SELECT *, first_value(ID) OVER best_first AS best, first_value(total) OVER best_first AS best_gain FROM (
+        SELECT g.region, g.distance_m, g.p, g.cell, g.w, r.ID, CASE WHEN r.ID IS NULL THEN -1 ELSE sum(g.w) OVER (PARTITION BY g.region, g.distance_m, r.ID) END AS total
+        FROM {{walk}} g LEFT JOIN {{r0}} r ON r.region = g.region AND r.distance_m = g.distance_m AND r.cell = g.cell WHERE g.p < {STEPS})
+      WINDOW best_first AS (PARTITION BY region, distance_m ORDER BY total DESC, ID))
+    WHERE best IS NOT NULL GROUP BY region, distance_m, p, cell, w, best, best_gain HAVING NOT coalesce(bool_or(ID = best), false)"""
+CTES["picks"] = "SELECT region, distance_m, p, ID, gain FROM {walk} WHERE p > 0 AND cell = -1"
 CTES["steps"] = """SELECT p.region, p.distance_m, p.p, p.ID AS facility_id, c.cell, c.longitude AS lon, c.latitude AS lat, p.gain,
     s.covered_population + sum(p.gain) OVER (PARTITION BY p.region, p.distance_m ORDER BY p.p) AS objective
   FROM {picks} p JOIN {cand} c ON c.region = p.region AND c.ID = p.ID JOIN {summary} s ON s.region = p.region AND s.distance_m = p.distance_m"""

@@ -16,7 +16,8 @@ from isoreach.plans import fixtures as fx
 from isoreach.plans.fixtures import COUNTRY, DISTANCES, GRID, SPACING
 from isoreach.sources import features, raster, tables
 
-MAX_NEW = 5
+# Fixed value: new sites per combination.
+MAX_NEW = 55
 TARGET = 90.0
 
 
