@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from isoreach.functions.hexgrid import HexGrid
 from isoreach.functions.names import dedupe_columns, pct, sanitize_name
 from isoreach.operators.coverage import COMBO
-from isoreach.operators.joins import lookup_join
-from isoreach.operators.polyfill import max_cells, polyfill
+from isoreach.operators.polyfill import polyfill, with_polygon
 from isoreach.operators.population import from_micro
 
 DISTRICT = ["province", "LGU"]
@@ -22,7 +21,7 @@ def district_cells(districts: DataFrame, grid: HexGrid) -> DataFrame:
 
 def district_population(weights: DataFrame, districts: DataFrame, grid: HexGrid) -> DataFrame:
     """(region, cell, province, LGU, w): populated cells with the district whose polyfill holds them."""
-    return lookup_join(weights, district_cells(districts, grid), ["cell"], max_rows=max_cells(districts, grid), skewed=False)
+    return with_polygon(weights, districts, DISTRICT, grid)
 
 
 def district_totals(district_pop: DataFrame) -> DataFrame:
@@ -42,9 +41,8 @@ def access_curves(
     share ``iso3``.
     """
     owned = district_cells(districts, grid)
-    bound = max_cells(districts, grid)
     per_step = (
-        lookup_join(first_steps, owned, ["cell"], max_rows=bound, skewed=False)
+        with_polygon(first_steps, districts, DISTRICT, grid)
         .groupBy(*COMBO, *DISTRICT, "step")
         .agg(F.sum("w").alias("w"))
     )

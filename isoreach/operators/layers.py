@@ -65,6 +65,16 @@ def sample_size(n_facilities: int, limit: int = 5_000) -> int:
     return min(limit, max(1_000, 10_000 - 3 * n_facilities))
 
 
+def sample_by_region(layer: DataFrame, facilities: DataFrame, limit: int = 5_000, seed: int = 1) -> DataFrame:
+    """``sample_exact`` per region and distance with the ``sample_size`` of the region's own facilities."""
+    most = sample_exact(layer, COMBO, "ID", limit, seed)
+    counts = facilities.groupBy("region").agg(F.count(F.lit(1)).alias("_n"))
+    allowed = F.least(F.lit(limit), F.greatest(F.lit(1_000), 10_000 - 3 * F.coalesce(F.col("_n"), F.lit(0))))
+    rank = Window.partitionBy(*COMBO).orderBy(F.md5(F.concat(F.col("ID").cast("string"), F.lit(f"|{seed}"))), "ID")
+    ranked = most.join(counts, "region", "left").withColumn("_rank", F.row_number().over(rank))
+    return ranked.filter(F.col("_rank") <= allowed).select(*layer.columns)
+
+
 def sample_rows(df: DataFrame, max_samples: int, seed: int = 1) -> DataFrame:
     """About ``max_samples`` random rows; everything when there are fewer, nothing when there is nothing."""
     count = df.count()

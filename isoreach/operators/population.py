@@ -4,20 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from isoreach.functions.geometry import point_wkt
 from isoreach.functions.hexgrid import HexGrid
 from isoreach.operators.joins import Workspace, lookup_join
-from isoreach.operators.polyfill import max_cells, polyfill
-
-PIXEL_SCHEMA = T.StructType(
-    [
-        T.StructField("xcoord", T.DoubleType(), False),
-        T.StructField("ycoord", T.DoubleType(), False),
-        T.StructField("population", T.DoubleType(), False),
-    ]
-)
+from isoreach.operators.polyfill import with_polygon
 
 # People are summed as whole millionths, so sums are exact and do not depend on task order.
 MICRO = 1_000_000
@@ -57,25 +48,17 @@ def population_by_cell(pixels: DataFrame, cell: str = "h3_index") -> DataFrame:
     )
 
 
-def region_cells(regions: DataFrame, grid: HexGrid, key: str = "region") -> DataFrame:
-    return polyfill(regions, [key], grid)
-
-
 def population_by_region_cell(pixels: DataFrame, regions: DataFrame, grid: HexGrid, cell: str = "h3_index") -> DataFrame:
     """(region, cell, w, pixels): a cell has one row per region that contains its centre."""
-    return lookup_join(
-        population_by_cell(pixels, cell), region_cells(regions, grid), ["cell"], max_rows=max_cells(regions, grid), skewed=False
-    ).select("region", "cell", "w", "pixels")
+    return with_polygon(population_by_cell(pixels, cell), regions, ["region"], grid).select("region", "cell", "w", "pixels")
 
 
 def clip_population(pixels: DataFrame, regions: DataFrame, grid: HexGrid, cell: str = "h3_index") -> DataFrame:
     """Pixels with a ``region`` column, one row per region whose polyfill has the pixel's cell.
 
-    The pixel table moves only when the cells of all regions together are too many to broadcast; then
-    hot cells are split.
+    The pixel table stays in place: what is broadcast are the runs of the regions along grid rows.
     """
-    cells = region_cells(regions, grid).withColumnRenamed("cell", cell)
-    return lookup_join(pixels, cells, [cell], max_rows=max_cells(regions, grid))
+    return with_polygon(pixels, regions, ["region"], grid, cell)
 
 
 def density_bands(pixels: DataFrame, group: str = "region", accuracy: int = 100) -> DataFrame:

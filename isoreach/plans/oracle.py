@@ -392,10 +392,11 @@ def oracle_sql() -> dict[str, str]:
             any_value(m.current_access) AS baseline_access, max(p)::INTEGER AS steps, (SELECT count(DISTINCT n) FROM dedge)::INTEGER AS polygons
           FROM steps s JOIN summary m ON m.region = s.region AND m.distance_m = s.distance_m GROUP BY s.region, s.distance_m""",
     )
-    add(
-        "fresh_combinations",
-        select=f"""WITH latest AS (SELECT CASE WHEN user_id % 6 = 0 THEN '{COUNTRY}' ELSE 'R' || (user_id % 6) END AS region, length(event_type)::INTEGER * 1000 AS distance_m, max(ts) AS written_at FROM events GROUP BY 1, 2),
-          t AS (SELECT *, CASE WHEN written_at >= (SELECT max(written_at) - INTERVAL 2 HOUR FROM latest) THEN 1 WHEN region = '{COUNTRY}' THEN 2 ELSE 3 END AS tier FROM latest)
+    for name, change in (("fresh_combinations", "- INTERVAL 2 HOUR"), ("fresh_combinations_none", "+ INTERVAL 1 HOUR")):
+        add(
+            name,
+            select=f"""WITH latest AS (SELECT CASE WHEN user_id % 6 = 0 THEN '{COUNTRY}' ELSE 'R' || (user_id % 6) END AS region, length(event_type)::INTEGER * 1000 AS distance_m, max(ts) AS written_at FROM events GROUP BY 1, 2),
+          t AS (SELECT *, CASE WHEN written_at >= (SELECT max(written_at) {change} FROM latest) THEN 1 WHEN region = '{COUNTRY}' THEN 2 ELSE 3 END AS tier FROM latest)
           SELECT region, distance_m, tier FROM t WHERE tier = (SELECT min(tier) FROM t)""",
-    )
+        )
     return q

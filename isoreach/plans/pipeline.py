@@ -1,7 +1,8 @@
 """The two pipelines end to end: files to tables, tables to answers.
 
 Every region and distance is handled in the same plans; ``region`` and ``distance_m`` are columns, and
-result tables are partitioned by region. Each stage is reused while its parameters are unchanged.
+result tables are partitioned by region. Each stage is reused while its own settings, its inputs and all
+stages before it are unchanged.
 """
 
 from __future__ import annotations
@@ -49,12 +50,42 @@ class Settings:
         return f"{self.database}.{key}_{self.iso3.lower()}"
 
 
+GRID_SETTINGS = ("resolution", "ref_lat")
+REACH_SETTINGS = (*GRID_SETTINGS, "distances_m")
+#: What each stage reads from the settings; anything else may change without a new run of the stage.
+SETTINGS_OF = {
+    "population": GRID_SETTINGS,
+    "boundaries": ("iso3", "provinces", "include_country"),
+    "boundaries_lgu": ("iso3",),
+    "health_facilities": GRID_SETTINGS,
+    "population_cells": GRID_SETTINGS,
+    "population_aoi": GRID_SETTINGS,
+    "candidates": (*GRID_SETTINGS, "potential_type", "spacing", "n_clusters"),
+    "facilities_h3": REACH_SETTINGS,
+    "potential_locations": REACH_SETTINGS,
+    "covered_cells": REACH_SETTINGS,
+    "access_summary": (),
+    "facilities_coverage": REACH_SETTINGS,
+    "potential_coverage": REACH_SETTINGS,
+    "mclp_steps": (*REACH_SETTINGS, "max_new"),
+    "lgu_access": REACH_SETTINGS,
+    "lgu_accessibility_results": (),
+    "base_dashboard_data": ("country", "year"),
+}
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, settings: Settings):
         self.spark, self.settings = spark, settings
 
-    def _store(self, key: str, make, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        params = {k: v for k, v in asdict(self.settings).items() if k != "force"}
+    def _store(self, key: str, make, partition_by: tuple[str, ...] = (), after: tuple[str, ...] = (), inputs: tuple = ()) -> DataFrame:
+        """Compute or reuse a stage: its own settings, its inputs, and the fingerprints of the stages before it."""
+        settings = asdict(self.settings)
+        params = {
+            "settings": {name: settings[name] for name in SETTINGS_OF[key]},
+            "inputs": inputs,
+            "after": [tables.stored_fingerprint(self.spark, self.settings.table(name)) for name in after],
+        }
         return tables.materialize(self.spark, make, self.settings.table(key), params, self.settings.force, partition_by)
 
     def table(self, key: str) -> DataFrame:
@@ -63,7 +94,8 @@ class Pipeline:
     # Extract
 
     def extract_population(self, tiles: DataFrame, x0: float, y0: float, dx: float, dy: float) -> DataFrame:
-        return self._store("population", lambda: raster.raster_pixels(tiles, x0, y0, dx, dy, self.settings.grid))
+        inputs = (tables.input_identity(self.spark, tiles), x0, y0, dx, dy)
+        return self._store("population", lambda: raster.raster_pixels(tiles, x0, y0, dx, dy, self.settings.grid), inputs=inputs)
 
     def extract_boundaries(self, folder: str, layout: str = "auto") -> tuple[DataFrame, DataFrame]:
         """Regions (country and provinces) and districts."""
@@ -82,7 +114,8 @@ class Pipeline:
         def districts():
             return features.select_districts(features.load_boundaries(self.spark, folder, 2, layout), s.iso3)
 
-        return self._store("boundaries", regions), self._store("boundaries_lgu", districts)
+        inputs = (tables.input_identity(self.spark, f"{folder}/*.geojson"), layout)
+        return self._store("boundaries", regions, inputs=inputs), self._store("boundaries_lgu", districts, inputs=inputs)
 
     def extract_facilities(self, source: str, path, use_center: bool = False, layout: str = "auto") -> DataFrame:
         """Facilities of every region, with the boundary's columns."""
@@ -93,20 +126,21 @@ class Pipeline:
             placed = sites.facilities_within(with_id, self.table("boundaries"), ["iso3", "region"])
             return sites.place_sites(placed, self.settings.grid)
 
-        return self._store("health_facilities", make)
+        inputs = (source, tables.input_identity(self.spark, path), use_center, layout)
+        return self._store("health_facilities", make, after=("boundaries",), inputs=inputs)
 
     # Transform
 
     def prepare(self) -> None:
         s, grid, regions = self.settings, self.settings.grid, self.table("boundaries")
         pixels = self.table("population")
-        self._store("population_cells", lambda: population.population_by_region_cell(pixels, regions, grid))
+        self._store("population_cells", lambda: population.population_by_region_cell(pixels, regions, grid), after=("population", "boundaries"))
 
         def aoi():
             clipped = population.clip_population(pixels, regions, grid)
             return population.pixel_ids(population.density_bands(clipped), F.col("key"))
 
-        self._store("population_aoi", aoi, ("region",))
+        self._store("population_aoi", aoi, ("region",), after=("population", "boundaries"))
 
         def candidates():
             if s.potential_type == "grid":
@@ -119,43 +153,47 @@ class Pipeline:
                 found = one if found is None else found.unionByName(one)
             return found
 
-        self._store("candidates", candidates)
+        self._store("candidates", candidates, after=("boundaries",) if s.potential_type == "grid" else ("boundaries", "population_aoi"))
 
     def cover(self) -> None:
         """Catchment totals, access summary and, if asked for, the pixel-level relations."""
         s, grid = self.settings, self.settings.grid
         weights, existing, candidates = (self.table(k) for k in ("population_cells", "health_facilities", "candidates"))
-        self._store("facilities_h3", lambda: coverage.facility_access(existing, weights, s.distances_m, grid))
-        self._store("potential_locations", lambda: coverage.facility_access(candidates, weights, s.distances_m, grid))
-        self._store("covered_cells", lambda: coverage.covered_cells(existing, candidates, weights, s.distances_m, grid))
-        self._store("access_summary", lambda: coverage.access_summary(self.table("covered_cells")))
+        self._store("facilities_h3", lambda: coverage.facility_access(existing, weights, s.distances_m, grid), after=("health_facilities", "population_cells"))
+        self._store("potential_locations", lambda: coverage.facility_access(candidates, weights, s.distances_m, grid), after=("candidates", "population_cells"))
+        every = ("health_facilities", "candidates", "population_cells")
+        self._store("covered_cells", lambda: coverage.covered_cells(existing, candidates, weights, s.distances_m, grid), after=every)
+        self._store("access_summary", lambda: coverage.access_summary(self.table("covered_cells")), after=("covered_cells",))
         if s.with_pairs:
             pixels = self.table("population_aoi").withColumnRenamed("h3_index", "cell")
-            for key, places in (("facilities_coverage", existing), ("potential_coverage", candidates)):
-                self._store(key, lambda places=places: coverage.coverage_pairs(places, pixels, s.distances_m, grid), ("region",))
+            for key, name, places in (("facilities_coverage", "health_facilities", existing), ("potential_coverage", "candidates", candidates)):
+                make = lambda places=places: coverage.coverage_pairs(places, pixels, s.distances_m, grid)
+                self._store(key, make, ("region",), after=(name, "population_aoi"))
 
     def optimize(self) -> None:
         s, grid = self.settings, self.settings.grid
         weights, existing, candidates = (self.table(k) for k in ("population_cells", "health_facilities", "candidates"))
         regions, districts = self.table("boundaries"), self.table("boundaries_lgu")
-        steps = self._store("mclp_steps", lambda: mclp.site_steps(weights, existing, candidates, s.distances_m, grid, s.max_new))
+        greedy = lambda: mclp.site_steps(weights, existing, candidates, s.distances_m, grid, s.max_new)
+        steps = self._store("mclp_steps", greedy, after=("population_cells", "health_facilities", "candidates"))
 
         def curves():
             cells = weights.select("region", "cell", "w")
             first = mclp.first_covering_step(steps, cells, existing, s.distances_m, grid)
             return equity.access_curves(first, steps, districts, regions, grid)
 
-        curves_table = self._store("lgu_access", curves)
+        curves_table = self._store("lgu_access", curves, after=("mclp_steps", "boundaries", "boundaries_lgu"))
 
         def accessibility():
             placed = mclp.new_sites(steps, candidates).withColumn("_site", F.concat_ws("|", "region", "distance_m", "p"))
             located = spatial_join.first_polygon(placed, districts, "_site", "LGU", "LGU").drop("_site")
             return equity.accessibility_table(equity.wide_access(curves_table), located, existing, weights)
 
-        self._store("lgu_accessibility_results", accessibility, ("region",))
+        self._store("lgu_accessibility_results", accessibility, ("region",), after=("lgu_access",))
         self._store(
             "base_dashboard_data",
             lambda: layers.dashboard_metadata(steps, self.table("access_summary"), regions, districts, s.country, s.year, s.country_region),
+            after=("mclp_steps", "access_summary", "boundaries", "boundaries_lgu"),
         )
         for key in ("lgu_accessibility_results", "base_dashboard_data"):
             tables.log_run(self.spark, self.settings.table("run_log"), key, steps.select("region", "distance_m").distinct())
@@ -170,19 +208,18 @@ class Pipeline:
     def frontier(self) -> DataFrame:
         return layers.pareto_frontier(*(self.table(k) for k in ("access_summary", "mclp_steps", "health_facilities", "candidates")))
 
-    def map_layers(self, samples: int | None = 5_000) -> dict[str, DataFrame]:
-        """Covered and uncovered pixels (sampled unless ``samples`` is None), facilities, boundary centres."""
+    def map_layers(self, samples: int | None = None) -> dict[str, DataFrame]:
+        """Covered and uncovered pixels, facilities, boundary centres. ``samples`` asks for at most that many
+        pixels per region and distance, fewer where the region has many facilities."""
         pixels = self.table("population_aoi").withColumnRenamed("h3_index", "cell")
         covered = self.table("covered_cells")
         bound = covered.count()
         existing = self.table("health_facilities")
-        if samples is not None:
-            samples = layers.sample_size(existing.count(), samples)
         out = {"facilities": layers.facility_layer(existing), "centers": layers.boundary_centers(self.table("boundaries"), ["region"])}
         for name, flag in (("with_access", True), ("without_access", False)):
             layer = layers.layer_pixels(pixels, covered, flag, bound)
             if samples is not None:
-                layer = layers.sample_exact(layer, ["region", "distance_m"], "ID", samples)
+                layer = layers.sample_by_region(layer, existing, samples)
             out[name] = layer.select("region", "distance_m", "xcoord", "ycoord", "opacity")
         return out
 

@@ -21,11 +21,16 @@ MAX_NEW = 55
 TARGET = 90.0
 
 
+# The picks of one session and folder (at most MAX_NEW rows per combination), shared by the queries that ask about steps.
+_STEPS: dict[tuple, DataFrame] = {}
+
+
 class Area:
     """The inputs of one run. Site and cell tables are written once and read by every later stage."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, max_new: int = MAX_NEW, pixels: DataFrame | None = None):
         self.spark, self.sf_dir, self.max_new = spark, sf_dir, max_new
+        self._own_pixels = pixels is not None
         self.pixels = fx.pixels(spark, sf_dir) if pixels is None else pixels
         self._work = Workspace(spark)
         self._stored: dict[str, DataFrame] = {}
@@ -65,10 +70,12 @@ class Area:
         return coverage.access_summary(self.covered())
 
     def steps(self) -> DataFrame:
-        if "steps" not in self._stored:
+        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, self.max_new)
+        done = self._stored if self._own_pixels else _STEPS
+        if key not in done:
             args = self.weights(), self.existing(), self.candidates(), DISTANCES, GRID, self.max_new
-            self._stored["steps"] = mclp.site_steps(*args)
-        return self._stored["steps"]
+            done[key] = mclp.site_steps(*args)
+        return done[key]
 
     def curves(self) -> DataFrame:
         steps = self.steps()
@@ -449,7 +456,7 @@ def dashboard_metadata(spark, sf_dir):
     )
 
 
-def fresh_combinations(spark, sf_dir):
+def _fresh(spark, sf_dir, since_last):
     """A run log from events: six regions, one distance per event type length."""
     user = F.col("user_id") % 6
     log = fx.table(spark, sf_dir, "events").select(
@@ -457,10 +464,19 @@ def fresh_combinations(spark, sf_dir):
         (F.length("event_type") * 1000).alias("distance_m"),
         F.col("ts").alias("written_at"),
     )
-    since = log.agg((F.max("written_at") - F.expr("INTERVAL 2 HOURS")).alias("since")).first()["since"]
+    since = log.agg((F.max("written_at") + F.expr(since_last)).alias("since")).first()["since"]
     return tables.fresh_combinations(log, since, COUNTRY).select("region", "distance_m", "tier")
 
 
+def fresh_combinations(spark, sf_dir):
+    return _fresh(spark, sf_dir, "INTERVAL -2 HOURS")
+
+
+def fresh_combinations_none(spark, sf_dir):
+    """Nothing is fresh: the country's combinations are shown."""
+    return _fresh(spark, sf_dir, "INTERVAL 1 HOURS")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -473,5 +489,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         mclp_selected, lgu_access_long, lgu_access_wide, lgu_accessibility, target_reached, districts_below_target,
         site_district, pareto_frontier, layer_with_access, layer_without_access, pixels_with_access,
         pixels_without_access, layer_sample, facility_layer, dashboard_metadata, fresh_combinations,
+        fresh_combinations_none,
     )
 } | {"polyfill": polyfill_cells}

@@ -70,7 +70,19 @@ def fingerprint(params: dict) -> str:
     return hashlib.sha256(json.dumps(params, sort_keys=True, default=str).encode()).hexdigest()[:16]
 
 
-def _stored_fingerprint(spark: SparkSession, name: str) -> str | None:
+def input_identity(spark: SparkSession, source: DataFrame | str | list[str]) -> str:
+    """What tells one input from another: for files (a path, paths, or what a DataFrame reads) their number and a
+    hash of names, lengths and times; for data in memory the hash of its plan."""
+    plan = str(source.semanticHash()) if isinstance(source, DataFrame) else ""
+    paths = list(source.inputFiles()) if isinstance(source, DataFrame) else [source] if isinstance(source, str) else list(source)
+    if not paths:
+        return plan
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    found = listed.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("h")).first()
+    return f"{found['n']}-{found['h']}" + (f"-{fingerprint({'columns': source.dtypes})}" if plan else "")
+
+
+def stored_fingerprint(spark: SparkSession, name: str) -> str | None:
     rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
     return {r["key"]: r["value"] for r in rows}.get(FINGERPRINT)
 
@@ -83,7 +95,7 @@ def materialize(
     The fingerprint is stored after the data, so an interrupted write is never taken for a result.
     """
     mark = fingerprint(params or {})
-    if force or not table_exists(spark, name) or _stored_fingerprint(spark, name) != mark:
+    if force or not table_exists(spark, name) or stored_fingerprint(spark, name) != mark:
         save_table(make(), name, partition_by=partition_by)
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{FINGERPRINT}' = '{mark}')")
     return spark.table(name)

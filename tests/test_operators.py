@@ -172,6 +172,22 @@ def test_polyfill_matches_ray_cast(spark):
     assert polyfill.polyfill(tiny, ["name"], GRID).count() in (0, 1)
 
 
+def test_pixels_of_a_large_area_stay_in_place(spark):
+    fine = HexGrid(8, -13.0)
+    area = [("all", "POLYGON ((22 -18, 33 -18, 33 -8, 22 -8, 22 -18))"), ("part", RING)]
+    regions = spark.createDataFrame(area, "region string, geometry_wkt string")
+    pixels = population.with_cell(spark.range(2000).selectExpr("id", "21 + id % 131 / 10 AS lon", "-19 + id % 127 / 10 AS lat"), fine)
+    assert not joins.fits_broadcast(polyfill.polyfill(regions, ["region"], fine), polyfill.max_cells(regions, fine))
+    clipped = population.clip_population(pixels, regions, fine)
+    plan = clipped._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [_row" in plan and "SortMergeJoin" not in plan
+    at = F.col("h3_index")
+    located = pixels.crossJoin(regions.select("region", wkt_edges().alias("e")))
+    expected = located.filter(edges_contain(F.col("e"), fine.center_lon(at), fine.center_lat(at), "half_open")).select("id", "region")
+    got = clipped.select("id", "region")
+    assert got.exceptAll(expected).count() == 0 == expected.exceptAll(got).count() and got.count() > 0
+
+
 @pytest.mark.parametrize("boundary", ["strict", "half_open", "inclusive"])
 def test_spatial_join_matches_ray_cast(spark, boundary):
     rng = random.Random(5)

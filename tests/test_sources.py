@@ -2,12 +2,13 @@
 
 import datetime
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from isoreach.functions.hexgrid import HexGrid
-from isoreach.plans.pipeline import Pipeline, Settings
+from isoreach.plans.pipeline import SETTINGS_OF, Pipeline, Settings
 from isoreach.sources import features, raster, tables
 
 
@@ -192,13 +193,22 @@ def test_pipeline(spark, tmp_path):
     found = run.map_layers(samples=None)
     both = found["with_access"].filter("distance_m = 20000").count() + found["without_access"].filter("distance_m = 20000").count()
     assert both == aoi.count()
-    assert run.map_layers()["with_access"].count() > 0
+    assert run.map_layers(samples=5_000)["with_access"].count() > 0
     assert run.fresh(datetime.datetime(2020, 1, 1)).count() == 6
     views = run.publish_views()
     assert "spark_catalog.tst.lgu_accessibility_results_tst_east_province_5km" in views
     assert spark.table("tst.facilities_h3_tst_20km").count() == 1
 
-    again = Pipeline(spark, settings)
-    before = again.table("mclp_steps").count()
+    marks = lambda: {k: tables.stored_fingerprint(spark, settings.table(k)) for k in SETTINGS_OF}
+    files = lambda k: sorted(spark.table(settings.table(k)).inputFiles())
+    before, written = marks(), {k: files(k) for k in SETTINGS_OF}
+    again = Pipeline(spark, replace(settings, target_pct=50.0))
     again.run()
-    assert again.table("mclp_steps").count() == before
+    assert marks() == before and {k: files(k) for k in SETTINGS_OF} == written
+    # Another facility file concerns the facilities and what follows from them, nothing else.
+    (tmp_path / "osm.json").write_text(json.dumps({"elements": [{"id": 5, "lat": -9.55, "lon": 20.22, "tags": {}}, {"id": 7, "lat": -9.5, "lon": 21.5, "tags": {}}]}))
+    again.extract_facilities("osm", str(tmp_path / "osm.json"))
+    again.run()
+    changed = {k for k, mark in marks().items() if mark != before[k]}
+    assert changed == {"health_facilities", "facilities_h3", "covered_cells", "access_summary", "facilities_coverage", "mclp_steps", "lgu_access", "lgu_accessibility_results", "base_dashboard_data"}
+    assert again.table("facilities_h3").filter("ID = '7_current'").count() > 0
