@@ -61,7 +61,7 @@ def clip_population(pixels: DataFrame, regions: DataFrame, grid: HexGrid, cell:
     return with_polygon(pixels, regions, ["region"], grid, cell)
 
 
-def density_bands(pixels: DataFrame, group: str = "region", accuracy: int = 100) -> DataFrame:
+def density_bands(pixels: DataFrame, group: str = "region", accuracy: int = 100_000) -> DataFrame:
     """Add ``opacity`` 0.1 / 0.3 / 0.6 / 1.0 by quartile of population within the group.
 
     The quartiles come from one mergeable sketch per group (rank error 1/accuracy), computed now and

@@ -96,8 +96,7 @@ class Area:
         return coverage.coverage_pairs(self.existing(), pixels, DISTANCES, GRID)
 
     def banded(self) -> DataFrame:
-        # Rank error 1e-5 of a region's pixels.
-        return population.density_bands(self.aoi(), accuracy=100_000)
+        return population.density_bands(self.aoi())
 
 
 def hex_cell(spark, sf_dir):
