@@ -62,8 +62,15 @@ class Block:
         rng = np.random.default_rng(seed)
         self.axes = rng.normal(size=(vectors.shape[1], PROJECTIONS))
         values = self.vectors @ self.axes
-        self.order = np.argsort(values, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.values = np.sort(values, axis=0).T.copy()
+        # One flat sorted array: each projection's values are shifted beyond those of the one before.
+        self.bound = float(np.sqrt((self.axes**2).sum(0)).max(initial=0.0)) + 0.5
+        self.shift = np.arange(PROJECTIONS) * (2 * self.bound + 1)
+        self.order = np.argsort(values, axis=0, kind="stable").T.ravel()
+        self.values = (np.sort(values, axis=0) + self.shift).T.ravel()
+
+    def places(self, values: np.ndarray, side: str) -> np.ndarray:
+        """For one value per projection, its place in the flat array."""
+        return np.searchsorted(self.values, np.clip(values, -self.bound, self.bound) + self.shift, side)
 
     def nearest(self, query: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and cosines of at most k vectors found nearest to a unit query, ties by id."""
@@ -73,26 +80,21 @@ class Block:
             return self.ids[:0], np.zeros(0)
         centre = query @ self.axes
         counts = np.zeros(len(self.ids), np.int64)
-        lo = np.array([np.searchsorted(v, c) for v, c in zip(self.values, centre, strict=True)])
-        hi = lo.copy()
+        lo = self.places(centre, "left")
+        hi = lo
         cosine = np.full(len(self.ids), -np.inf)
         checked = np.zeros(len(self.ids), bool)
         checked[own] = True
         radius, last = 0.25, False
         while True:
             half = WIDTH * radius
-            parts = []
-            for j in range(PROJECTIONS):
-                v, o = self.values[j], self.order[j]
-                a, b = np.searchsorted(v, centre[j] - half), np.searchsorted(v, centre[j] + half, "right")
-                if a < lo[j]:
-                    parts.append(o[a : lo[j]])
-                    lo[j] = a
-                if b > hi[j]:
-                    parts.append(o[hi[j] : b])
-                    hi[j] = b
-            if parts:
-                counts += np.bincount(np.concatenate(parts), minlength=len(counts))
+            a, b = self.places(centre - half, "left"), self.places(centre + half, "right")
+            starts = np.r_[a, hi]
+            sizes = np.r_[lo, b] - starts
+            ends = np.cumsum(sizes)
+            met = self.order[np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)]
+            counts += np.bincount(met, minlength=len(counts))
+            lo, hi = a, b
             fresh = np.flatnonzero((counts >= THRESHOLD) & ~checked)
             if len(fresh):
                 cosine[fresh] = (self.vectors[fresh] * query).sum(1)
