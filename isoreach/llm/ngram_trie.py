@@ -1,21 +1,24 @@
 """Language-model scoring with Elias-Fano n-gram tries.
 
-The model is a bigram model with absolute discounting, interpolated with the add-one word model:
+The model has absolute discounting; each order is interpolated with the one below, the lowest is the add-one word model:
 
     p(w | u) = q(c(u w) - D) / c(u) + l(u) * p(w)        l(u) = 1 - (sum over w of q(..)) / c(u)
+    p(w | t u) = q(c(t u w) - D) / c(t u) + l(t u) * p(w | u)        the first word of a text has p(w | start)
 
-Bigrams are counted over the whole corpus; those met once are left to the word model. q rounds a discounted count down
-to one of 250 logarithmic levels, so the numerator is one byte; l(u) is computed from the rounded values, so the
-probabilities of all known words and the unknown word sum to one.
+n-grams are counted over the whole corpus; those met less than ``least`` times are left to the order below. q rounds a
+discounted count down to one of 250 logarithmic levels, so the numerator is one byte (an n-gram met once has a level of
+its own, 1 - D); l is computed from the rounded values, so the probabilities of all known words and the unknown word
+sum to one.
 
-The trie is dealt to shards by context and a part of the word (so that a frequent context is spread). In a shard,
-level one is the sorted contexts, level two the sorted words of each context made monotone by the context's rank; both
-are Elias-Fano sequences in flat buffers, read in place, next to the bytes of the rounded counts. A bigram is found by
-searching its context, then the successor of its word relative to that context.
+The trie is dealt to shards: bigrams by context and a part of the word (so that a frequent context is spread), trigrams
+by context, so that the shard knows the count and the mass of its contexts. In a shard, level one is the sorted
+contexts, level two the sorted words of each context made monotone by the context's rank; both are Elias-Fano sequences
+in flat buffers, read in place, next to the bytes of the rounded counts. An n-gram is found by searching its context (of
+a trigram, the hash of its first two words), then the successor of its word relative to that context.
 
-Texts are tokenised in blocks of some MB. A block sends each shard its distinct bigrams, sorted and packed; the shard
-merges the blocks' lists, builds its trie, and answers each block from it. Words are counted and answered the same
-way. So what travels is distinct n-grams of blocks, twice, and a block is scored with the answers it asked for.
+Texts are tokenised in blocks of some MB. A block sends each shard its distinct n-grams, packed; the shard merges the
+blocks' lists, builds its trie, and answers each block from it. Words are counted and answered the same way. So what
+travels is distinct n-grams of blocks, twice, and a block is scored with the answers it asked for.
 
 Tokens are runs of bytes other than white space, ASCII lower case, and one end for each text. Edge cases: a null or empty
 text is its end alone; without training rows every token has probability 1; rows with a null id teach nothing and are
@@ -82,12 +85,12 @@ class EliasFano:
 
 
 def level_of(count: np.ndarray) -> np.ndarray:
-    """Code of a discounted count; 0 stands for none."""
+    """Code of a discounted count; 0 stands for none, 1 for an n-gram met once (a count of two has code 3)."""
     return np.clip(np.floor(np.log(np.maximum(count - DISCOUNT, 1.0)) * LEVELS) + 1, 1, 255).astype(np.uint8)
 
 
 def value_of(code: np.ndarray) -> np.ndarray:
-    return np.where(code > 0, np.exp((code.astype(np.float64) - 1) / LEVELS), 0.0)
+    return np.where(code > 1, np.exp((code.astype(np.float64) - 1) / LEVELS), np.where(code > 0, 1 - DISCOUNT, 0.0))
 
 
 class Trie:
@@ -109,9 +112,9 @@ class Trie:
 
 
 class Block:
-    """Tokens of one block, its distinct words and bigrams, and how they are dealt to shards."""
+    """Tokens of one block, its distinct n-grams up to ``order`` (0: tokens only), and how they are dealt to shards."""
 
-    def __init__(self, texts: Texts, train: np.ndarray, shards: int):
+    def __init__(self, texts: Texts, train: np.ndarray, shards: int, order: int):
         lower = texts.lower()
         starts, lengths, of = texts.words(lower)
         n = np.bincount(of, minlength=texts.n)
@@ -120,6 +123,9 @@ class Block:
         self.token[np.arange(len(of)) + of] = hash_spans(lower, starts, lengths)
         begin = np.r_[0, np.cumsum(self.n_tokens)[:-1]].astype(np.int64)
         self.owner = np.repeat(np.arange(texts.n), self.n_tokens)
+        self.shards = shards
+        if order < 1:
+            return
         before = np.r_[START, self.token[:-1]]
         before[begin] = START
         self.vocabulary, local = np.unique(np.r_[START, self.token, before], return_inverse=True)
@@ -127,11 +133,20 @@ class Block:
         weight = train[self.owner].astype(np.int64)
         self.count = np.bincount(self.word, weight, len(self.vocabulary)).astype(np.int64)
         self.count[np.searchsorted(self.vocabulary, START)] = train.sum()
+        if order < 2:
+            return
         m = len(self.vocabulary)
         key, self.pair = np.unique(self.before.astype(np.int64) * m + self.word, return_inverse=True)
         self.u, self.w = key // m, key % m
         self.pair_count = np.bincount(self.pair, weight, len(key)).astype(np.int64)
-        self.shards = shards
+        if order < 3:
+            return
+        inner = np.ones(len(self.token), bool)
+        inner[begin] = False
+        self.inner = np.flatnonzero(inner)  # tokens with two before them (or the start and one)
+        key, at, self.triple = np.unique(self.pair[self.inner - 1] * m + self.word[self.inner], return_index=True, return_inverse=True)
+        self.context, self.last = key // m, self.pair[self.inner[at]]  # of each trigram, its first and its last bigram
+        self.triple_count = np.bincount(self.triple, weight[self.inner], len(key)).astype(np.int64)
 
     def pair_packets(self) -> list[tuple[int, np.ndarray]]:
         """(shard, places of its bigrams) in the order in which they are sent."""
@@ -139,24 +154,32 @@ class Block:
         shard = ((mix64(u) + (w & np.uint64(255))) % np.uint64(self.shards)).astype(np.int64)
         return _dealt(shard)
 
+    def triple_packets(self) -> list[tuple[int, np.ndarray]]:
+        context = self.contexts()[self.context]
+        return _dealt((mix64(context + np.uint64(9)) % np.uint64(self.shards)).astype(np.int64), context)
+
+    def contexts(self) -> np.ndarray:
+        """Hash of each bigram, as the context of trigrams."""
+        return mix64(mix64(self.vocabulary[self.u]) * np.uint64(0x9E3779B97F4A7C15) + self.vocabulary[self.w])
+
     def word_packets(self) -> list[tuple[int, np.ndarray]]:
         return _dealt((mix64(self.vocabulary + np.uint64(5)) % np.uint64(self.shards)).astype(np.int64))
 
 
-def _dealt(shard: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    order = np.argsort(shard, kind="stable")
+def _dealt(shard: np.ndarray, then: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
+    order = np.argsort(shard, kind="stable") if then is None else np.lexsort((then, shard))
     found, first = np.unique(shard[order], return_index=True)
     return list(zip(found.tolist(), np.split(order, first[1:]), strict=True))
 
 
-def _blocks(docs: DataFrame, shards: int, each, schema: str) -> DataFrame:
+def _blocks(docs: DataFrame, shards: int, order: int, each, schema: str) -> DataFrame:
     """``each(name, block, batch)`` gives rows; blocks have the same names and order in every pass over the documents."""
     columns = docs.select("doc_id", text_column(docs).alias("text"), "_train")
 
     def run(batches):
         part, i = TaskContext.get().partitionId(), 0
         for batch, texts in slices(batches, BLOCK_BYTES):
-            block = Block(texts, batch.column(2).to_numpy(zero_copy_only=False), shards)
+            block = Block(texts, batch.column(2).to_numpy(zero_copy_only=False), shards, order)
             check = int(np.bitwise_xor.reduce(mix64(block.token + np.arange(len(block.token), dtype=np.uint64))) & np.uint64(0x7FFFFF))
             name = (part << 40) | (i << 23) | check
             i += 1
@@ -165,26 +188,55 @@ def _blocks(docs: DataFrame, shards: int, each, schema: str) -> DataFrame:
     return columns.mapInArrow(run, schema)
 
 
-_PACKET = "block long, shard int, a binary, b binary, c binary, d binary"
+_PACKET = "order int, block long, shard int, a binary, b binary, c binary, d binary"
 
 
 def _row(*values) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["block", "shard", "a", "b", "c", "d"])
+    kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["order", "block", "shard", "a", "b", "c", "d"])
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, those of equal weight side by side; 64-bit whole numbers as differences."""
+    values = np.ascontiguousarray(values)
+    kind = values.dtype.str
+    if kind == "<u8":
+        values = np.diff(values, prepend=np.uint64(0))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return kind.encode().ljust(4) + len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
 
+def _unpacked(data: bytes) -> np.ndarray:
+    kind, n = np.dtype(data[:4].decode().strip()), int.from_bytes(data[4:12], "little")
+    planes = np.frombuffer(pa.decompress(data[12:], n * kind.itemsize, "zstd", asbytes=True), np.uint8).reshape(kind.itemsize, n)
+    values = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(values, dtype=np.uint64) if kind.str == "<u8" else values
 
-def _pair_rows(name: int, block: Block, batch):
-    for shard, at in block.pair_packets():
-        u = block.vocabulary[block.u[at]]
-        first = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
-        sizes = np.diff(np.r_[first, len(u)]).astype("<u4")
-        w = (block.vocabulary[block.w[at]] >> np.uint64(32)).astype("<u4")
-        yield _row(name, shard, u[first].tobytes(), sizes.tobytes(), w.tobytes(), block.pair_count[at].astype("<u4").tobytes())
+
+def _spans(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs of equal contexts."""
+    first = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+    return first, np.diff(np.r_[first, len(u)]).astype("<u4")
+
+
+def _gram_rows(order: int):
+    def rows(name: int, block: Block, batch):
+        packets = [(2, block.vocabulary[block.u], block.w, block.pair_count, block.pair_packets())]
+        if order > 2:
+            packets.append((3, block.contexts()[block.context], block.w[block.last], block.triple_count, block.triple_packets()))
+        for n, context, word, count, dealt in packets:
+            for shard, at in dealt:
+                u = context[at]
+                first, sizes = _spans(u)
+                w = (block.vocabulary[word[at]] >> np.uint64(32)).astype("<u4")
+                yield _row(n, name, shard, _packed(u[first]), _packed(sizes), w.tobytes(), _packed(count[at].astype("<u4")))
+
+    return rows
 
 
 def _word_rows(name: int, block: Block, batch):
     for shard, at in block.word_packets():
-        yield _row(name, shard, block.vocabulary[at].tobytes(), block.count[at].tobytes(), None, None)
+        yield _row(1, name, shard, block.vocabulary[at].tobytes(), block.count[at].tobytes(), None, None)
 
 
 _ANSWER = "kind int, block long, shard int, a binary, b binary"
@@ -195,9 +247,12 @@ def _answers(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], names=["kind", "block", "shard", "a", "b"])
 
 
-def _pair_shard(shards: int):
+def _gram_shard(shards: int, least: int):
+    """Answers of the shard of one order: codes of n-grams (0, of trigrams 5), and what their contexts need (1 and 6)."""
+
     def answer(key, table):
-        packets = [(r["block"], np.frombuffer(r["a"], "<u8"), np.frombuffer(r["b"], "<u4"), np.frombuffer(r["c"], "<u4"), np.frombuffer(r["d"], "<u4")) for r in table.to_pylist()]
+        n, own = key[0].as_py(), key[1].as_py()
+        packets = [(r["block"], _unpacked(r["a"]), _unpacked(r["b"]), np.frombuffer(r["c"], "<u4"), _unpacked(r["d"])) for r in table.to_pylist()]
         contexts = np.unique(np.concatenate([p[1] for p in packets]))
         pairs = [(np.repeat(np.searchsorted(contexts, u), s).astype(np.uint64) << np.uint64(32)) | w for _, u, s, w, _ in packets]
         every = np.concatenate(pairs)
@@ -205,16 +260,22 @@ def _pair_shard(shards: int):
         every = every[order]
         first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
         count = np.add.reduceat(np.concatenate([p[4] for p in packets]).astype(np.int64)[order], first)
-        often = count >= LEAST
+        often = count >= max(least, 1)
         kept, code = every[first][often], level_of(count[often])
         context = contexts[(kept >> np.uint64(32)).astype(np.int64)]
         word = kept & np.uint64(0xFFFFFFFF)
         trie = Trie(context, word, code)
-        rows = [(2, 0, int(key[0].as_py()), trie.contexts.packed + trie.words.packed, code.tobytes())]
-        for (block, u, s, w, _), _pair in zip(packets, pairs, strict=True):
+        rows = []
+        for block, u, s, w, _ in packets:
             found = trie.codes(np.repeat(u, s), w)
-            at = np.flatnonzero(found).astype("<u4")
-            rows.append((0, block, int(key[0].as_py()), at.tobytes(), found[at].tobytes()))
+            rows.append((0 if n == 2 else 5, block, own, _packed(found), None))
+        if n > 2:
+            met = np.bincount((every[first] >> np.uint64(32)).astype(np.int64), count, len(contexts)).astype("<u4")
+            mass = np.bincount((kept >> np.uint64(32)).astype(np.int64), value_of(code), len(contexts))
+            for block, u, *_ in packets:
+                i = np.searchsorted(contexts, u)
+                rows.append((6, block, own, _packed(met[i]), _packed(mass[i])))
+            return _answers(rows)
         owner, at = np.unique(context, return_inverse=True)
         mass = np.bincount(at, value_of(code), len(owner))
         for shard, i in _dealt((mix64(owner + np.uint64(5)) % np.uint64(shards)).astype(np.int64)):
@@ -241,8 +302,24 @@ def _word_shard(key, packets, masses):
     return _answers(out)
 
 
-def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFrame:
-    """Learn from the rows outside the held-out fold and score every text.
+def _longer(block: Block, both: np.ndarray, replies: dict) -> np.ndarray:
+    """log10 of each token's probability with two words before it, from those of the block's bigrams."""
+    code, met, mass = np.zeros(len(block.context), np.uint8), np.zeros(len(block.context)), np.zeros(len(block.context))
+    context = block.contexts()[block.context]
+    for shard, at in block.triple_packets():
+        code[at] = _unpacked(replies[5, shard][0])
+        _, sizes = _spans(context[at])
+        a, b = replies[6, shard]
+        met[at], mass[at] = np.repeat(_unpacked(a), sizes), np.repeat(_unpacked(b), sizes)
+    safe = np.maximum(met, 1)
+    rest = np.where(met > 0, 1 - mass / safe, 1.0)
+    out = np.log10(both)[block.pair]
+    out[block.inner] = np.log10(value_of(code) / safe + rest * both[block.last])[block.triple]
+    return out
+
+
+def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2, order: int = 2, least: int = LEAST) -> DataFrame:
+    """Learn n-grams up to ``order`` (2 or 3) from the rows outside the held-out fold and score every text.
 
     Gives doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one word model), score (log10).
     """
@@ -251,9 +328,9 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
     docs = docs.select("doc_id", text_column(docs).alias("text"), F.coalesce(~fold, F.lit(False)).alias("_train"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    pairs = _blocks(docs, shards, _pair_rows, _PACKET)
-    answered = work.save(pairs.groupBy("shard").applyInArrow(_pair_shard(shards), _ANSWER), "bigrams")
-    words = _blocks(docs, shards, _word_rows, _PACKET).select("block", "shard", "a", "b")
+    grams = _blocks(docs, shards, order, _gram_rows(order), _PACKET)
+    answered = work.save(grams.groupBy("order", "shard").applyInArrow(_gram_shard(shards, least), _ANSWER), "ngrams")
+    words = _blocks(docs, shards, 1, _word_rows, _PACKET).select("block", "shard", "a", "b")
     masses = answered.filter("kind = 1").select("shard", "a", "b")
     counted = work.save(words.groupBy("shard").cogroup(masses.groupBy("shard")).applyInArrow(_word_shard, _ANSWER), "words")
     total = known = 0.0
@@ -275,29 +352,29 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
         if not blocks.num_rows:
             raise RuntimeError("a block changed between two passes; store the documents before scoring them")
         doc = pa.ipc.open_stream(blocks.column("docs")[0].as_py()).read_all().combine_chunks().to_batches()[0]
-        block = Block(Texts(doc.column(0), doc.column(1)), doc.column(2).to_numpy(zero_copy_only=False), shards)
+        block = Block(Texts(doc.column(0), doc.column(1)), doc.column(2).to_numpy(zero_copy_only=False), shards, order)
         replies = {(r["kind"], r["shard"]): (r["a"], r["b"]) for r in answers.to_pylist()}
         count, mass, code = np.zeros(len(block.vocabulary)), np.zeros(len(block.vocabulary)), np.zeros(len(block.u), np.uint8)
         for shard, at in block.word_packets():
             a, b = replies[4, shard]
             count[at], mass[at] = np.frombuffer(a), np.frombuffer(b)
         for shard, at in block.pair_packets():
-            a, b = replies[0, shard]
-            code[at[np.frombuffer(a, "<u4")]] = np.frombuffer(b, np.uint8)
+            code[at] = _unpacked(replies[0, shard][0])
         single = (count + 1) / (total + known + 1)
         safe = np.maximum(count, 1)
         rest = np.where(count > 0, 1 - mass / safe, 1.0)
         both = value_of(code) / safe[block.u] + rest[block.u] * single[block.w]
+        both = np.log10(both)[block.pair] if order < 3 else _longer(block, both, replies)
         n = len(doc)
         add = lambda x: np.bincount(block.owner, x, n)
         return pa.table({
             "doc_id": doc.column(0), "_train": doc.column(2), "n_tokens": pa.array(block.n_tokens, pa.int64()),
             "n_known": pa.array(add(count[block.word] > 0).astype(np.int64)),
-            "base_score": pa.array(add(np.log10(single)[block.word])), "score": pa.array(add(np.log10(both)[block.pair])),
+            "base_score": pa.array(add(np.log10(single)[block.word])), "score": pa.array(add(both)),
         })
 
-    stored = _blocks(docs, shards, packed, "block long, docs binary")
-    answers = answered.filter("kind = 0").unionAll(counted.filter("kind = 4"))
+    stored = _blocks(docs, shards, 0, packed, "block long, docs binary")
+    answers = answered.filter("kind IN (0, 5, 6)").unionAll(counted.filter("kind = 4"))
     scored = stored.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, out)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")

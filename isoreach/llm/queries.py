@@ -57,7 +57,7 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_trie.score_texts(table(spark, sf_dir, "documents"))
+    return ngram_trie.score_texts(table(spark, sf_dir, "documents"), order=3, least=1)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

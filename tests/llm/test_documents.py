@@ -157,6 +157,40 @@ def test_language_model(edge, empty, given):
     assert ngram_trie.score_texts(empty).count() == 0
 
 
+def test_query_scores_with_trigrams_and_singletons(spark, edge, given):
+    from isoreach.llm.queries import QUERIES
+
+    for docs, got in ((given[0], QUERIES["op9_lm_scores"](spark, DATA)), (edge, ngram_trie.score_texts(edge, order=3, least=1))):
+        rows = [(r.doc_id, words(r.text) + ["</s>"]) for r in docs.select("doc_id", "text").collect()]
+        learn = [w for i, w in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+        c = Counter(x for w in learn for x in w)
+        n, v = sum(c.values()), len(c)
+        grams, context, mass = Counter(), Counter(), Counter()
+        q = lambda k: (math.exp(math.floor(math.log(k - 0.75) * 9) / 9) if k > 1 else 0.25 * k)
+        for w in learn:
+            for g in [*zip(["<s>", *w[:-1]], w, strict=True), *zip(["<s>", *w], w, w[1:])]:
+                grams[g] += 1
+        for g, k in grams.items():
+            context[g[:-1]] += k
+            mass[g[:-1]] += q(k)
+
+        def p(*g):
+            if len(g) == 1:
+                return (c[g[0]] + 1) / (n + v + 1)
+            k = context[g[:-1]]
+            return q(grams[g]) / k + (1 - mass[g[:-1]] / k) * p(*g[1:]) if k else p(*g[1:])
+
+        def score(w):
+            return math.log10(p("<s>", w[0])) + sum(math.log10(p(*g)) for g in zip(["<s>", *w], w, w[1:]))
+
+        want = sorted((-1 if i is None else i, score(w)) for i, w in rows)
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in got.collect())
+        assert [i for i, _ in got] == [i for i, _ in want]
+        assert [s for _, s in got] == pytest.approx([s for _, s in want], abs=1e-6)
+        for g in [("<s>",), next(iter(context)), next(g for g in context if len(g) == 2)]:
+            assert sum(p(*g, x) for x in [*c, "never seen"]) == pytest.approx(1.0)
+
+
 def test_elias_fano_finds_members_only():
     import numpy as np
 
