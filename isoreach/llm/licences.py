@@ -1,6 +1,8 @@
 """Licence scan: a paragraph classifier with an unknown class, confirmed against templates.
 
-Paragraphs are the sentences of each line. Features are word n-grams (one to three words, hashed) and the share of
+Paragraphs are runs of lines up to a blank one (a line without a word, such as a bare comment mark). Scored are the
+sentences of each line and, where lines are joined, the windows of a paragraph in which a template may be found (so a
+notice may be wrapped or stand behind comment marks, which are no words). Features are word n-grams (one to three words, hashed) and the share of
 words that no template has. A multinomial logistic regression is trained on the templates, with pieces of them and
 templates inside other words, against paragraphs of the corpus as the unknown class. Its probabilities are calibrated
 by a temperature fitted on held-out examples; below ``cut`` a paragraph is unknown. A named family is confirmed only
@@ -14,6 +16,8 @@ repeated rows are scanned each; of equal families in a document the count is kep
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +43,10 @@ TEMPLATES = {
 }
 FAMILIES = sorted(TEMPLATES)
 UNKNOWN = len(FAMILIES)
+#: Notices of these families name a version as those of the plain GPL do; that part is not a notice of its own.
+LONGER = {"LGPL", "AGPL"}
+PLAIN = {"GPL-2.0", "GPL-3.0"}
+GAP = 4
 #: At most about so many paragraphs of the corpus stand for the unknown class in training.
 FIT_ROWS = 4_000
 ORDER = 3
@@ -53,10 +61,10 @@ _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
 
 
-def paragraphs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of a slice: hash, paragraph number (in the slice), and of each paragraph its text and start byte.
+def sentences(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a slice: hash, sentence number (in the slice), and of each sentence its text and start byte.
 
-    A paragraph ends at a line break, or behind . ! ? followed by a space.
+    A sentence ends at a line break, or behind . ! ? followed by a space.
     """
     lower = texts.lower()
     if not len(lower):
@@ -68,6 +76,17 @@ def paragraphs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return hash_spans(lower, word, length), np.searchsorted(starts, word, "right") - 1, of, starts
 
 
+def paragraphs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word of a slice: paragraph number, text, start byte. A paragraph goes on over single line breaks."""
+    lower = texts.lower()
+    start, _, of = texts.runs(_WORD[lower])
+    ends = _BREAK[lower]
+    ends[:-1] &= (lower[:-1] != 13) | (lower[1:] != 10)
+    line = np.cumsum(ends)[start]
+    new = (of[1:] != of[:-1]) | (line[1:] - line[:-1] > 1)
+    return np.cumsum(np.r_[False, new])[: len(start)], of, start
+
+
 def ngrams(word: np.ndarray, paragraph: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each order, hashes of the n-grams inside paragraphs and their paragraph."""
     out, h = [(word, paragraph)], word
@@ -82,7 +101,7 @@ def _of(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Words of strings taken as one paragraph each."""
     flat = [s.replace(". ", " ").replace("\n", " ") for s in strings]
     texts = Texts(pa.array(range(len(flat))), pa.array(flat, pa.string()))
-    word, at, of, _ = paragraphs(texts)
+    word, at, of, _ = sentences(texts)
     return word, of[at] if len(at) else at
 
 
@@ -100,6 +119,8 @@ class Classifier(ByValue):
         pair, owner = grams[1]
         self.pair_family = [(FAMILIES.index(FAMILIES[flat[i][0]]), np.unique(pair[owner == i])) for i in range(len(flat))]
         self.pairs = np.unique(pair)
+        others = [np.concatenate([t for f, t in self.pair_family if f != k]) for k in range(len(FAMILIES))]
+        self.own_pairs = [np.setdiff1d(t, others[k]) for k, t in self.pair_family]
         examples, y = [], []
         filler = [w for s in background for w in s.split()] or ["lorem", "ipsum", "dolor", "sit", "amet"]
         for k, s in flat:
@@ -156,25 +177,73 @@ class Classifier(ByValue):
         return best[2], float(best[0])
 
     def scan(self, texts: Texts, cut: float, alike: float) -> list[tuple[int, int, str, float, float]]:
-        """(text number, start byte, family, probability, similarity) of confirmed paragraphs."""
-        word, paragraph, of, starts = paragraphs(texts)
-        pair, at = ngrams(word, paragraph)[1]
-        near = self.seen[(pair & np.uint64(0xFFFF)).astype(np.int64)]
-        pair, at = pair[near], at[near]
+        """(text number, start byte, family, probability, similarity) of confirmed notices."""
+        word, sentence, of, starts = sentences(texts)
+        if len(word) < 2:
+            return []
+        paragraph, text, start = paragraphs(texts)
+        pair, _ = ngrams(word, np.zeros(len(word), np.int64))[1]
+        first = np.flatnonzero(self.seen[(pair & np.uint64(0xFFFF)).astype(np.int64)] & (paragraph[1:] == paragraph[:-1]))
+        pair = pair[first]
         hit = self.pairs[np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)] == pair
-        chosen = np.unique(at[hit])
-        if not len(chosen):
+        first, pair = first[hit], pair[hit]
+        inner = sentence[first] == sentence[first + 1]
+        chosen = np.unique(sentence[first[inner]])
+        spans = np.c_[np.searchsorted(sentence, chosen), np.searchsorted(sentence, chosen, "right")]
+        bytes_ = starts[chosen]
+        more = self.windows(first, pair, paragraph, alike)
+        spans = np.concatenate([spans, more]) if len(more) else spans
+        bytes_ = np.r_[bytes_, start[more[:, 0]]] if len(more) else bytes_
+        if not len(spans):
             return []
-        inside = np.isin(paragraph, chosen)
-        number = np.searchsorted(chosen, paragraph[inside])
-        p = self._soft(self.matrix(word[inside], number, len(chosen)) @ self.weights)
-        out = []
+        size = spans[:, 1] - spans[:, 0]
+        number = np.repeat(np.arange(len(spans)), size)
+        inside = np.arange(len(number)) - np.repeat(np.cumsum(size) - size, size) + spans[number, 0]
+        p = self._soft(self.matrix(word[inside], number, len(spans)) @ self.weights)
+        found = []
         for i in np.flatnonzero((p.argmax(1) != UNKNOWN) & (p.max(1) >= cut)):
             k = int(p[i].argmax())
-            found, similarity = self.compared(pair[at == chosen[i]])
-            if found == k and similarity >= alike:
-                out.append((int(of[chosen[i]]), int(starts[chosen[i]]), FAMILIES[k], float(p[i, k]), similarity))
-        return out
+            near = slice(*np.searchsorted(first, [spans[i, 0], spans[i, 1] - 1]))
+            family, similarity = self.compared(pair[near])
+            if family == k and similarity >= alike:
+                found.append((i >= len(chosen), *spans[i].tolist(), int(bytes_[i]), FAMILIES[k], float(p[i, k]), similarity))
+        # Sentences come first; a window counts where no sentence or better window of its family is.
+        kept, there, longer = [], defaultdict(list), defaultdict(list)
+        for x in sorted(found, key=lambda x: (x[0], -x[6], -x[5], x[1])):
+            same = there[paragraph[x[1]], x[4]]
+            if not x[0] or not any(x[1] < y[2] and y[1] < x[2] for y in same):
+                kept.append(x)
+                same.append(x)
+                if x[4] in LONGER:
+                    longer[paragraph[x[1]]].append(x)
+        part = lambda x: x[4] in PLAIN and any(x[1] - y[2] <= GAP and y[1] - x[2] <= GAP for y in longer[paragraph[x[1]]])
+        return [(int(text[x[1]]), *x[3:]) for x in sorted(kept, key=lambda x: x[1]) if not part(x)]
+
+    def windows(self, first: np.ndarray, pair: np.ndarray, paragraph: np.ndarray, alike: float) -> np.ndarray:
+        """Word ranges inside paragraphs with at least ``alike`` of a template's pairs, and one that its family alone has."""
+        out = []
+        for (_, t), own in zip(self.pair_family, self.own_pairs, strict=True):
+            need, width = max(1, int(np.ceil(alike * len(t) - 1e-9))), len(t) + max(GAP, len(t) // 2)
+            at = np.flatnonzero(np.isin(pair, t))
+            if len(at) < need:
+                continue
+            h, x = first[at], pair[at]
+            a, b = h[: len(h) - need + 1], h[need - 1 :]
+            best = None
+            for j in np.flatnonzero((b - a < width) & (paragraph[a] == paragraph[b])):
+                end = np.searchsorted(h, h[j] + width)
+                end = j + int(np.searchsorted(paragraph[h[j:end]], paragraph[h[j]], "right"))
+                n = len(np.unique(x[j:end]))
+                if n < need or not np.isin(own, x[j:end]).any():
+                    continue
+                if best is not None and h[j] >= best[2]:
+                    out.append(best[1:])
+                    best = None
+                if best is None or n > best[0]:
+                    best = (n, int(h[j]), int(h[end - 1]) + 2)
+            if best is not None:
+                out.append(best[1:])
+        return np.unique(np.array(out, np.int64).reshape(-1, 2), axis=0)
 
 
 def _background(docs: DataFrame, rows: int) -> list[str]:

@@ -272,6 +272,31 @@ def test_licences(edge, empty, given):
     assert licences.scan_licences(empty).count() == 0
 
 
+@pytest.mark.parametrize("before", ["", "# ", " * ", "// "])
+def test_wrapped_licence_headers(spark, before):
+    headers = {
+        "Apache-2.0": "Licensed under the Apache License, Version\n2.0 (the License);\nyou may not use this file except in\ncompliance with the License.",
+        "MIT": "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this software and documentation",
+        "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the conditions are met:",
+        "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+        "GPL-2.0": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.",
+        "LGPL": "it under the terms of the GNU Lesser General Public License as\npublished by the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+        "AGPL": "it under the terms of the GNU Affero General Public License as published\nby the Free Software Foundation, either version 3 of the\nLicense, or (at your option) any later version.",
+        "MPL-2.0": "This Source Code Form is subject to the terms of the\nMozilla Public License, v. 2.0. If a copy of the MPL was not\ndistributed with this file, You can obtain one.",
+        "CC-BY-NC-4.0": "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.",
+        "CC-BY-SA-4.0": "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.",
+        "CC-BY-4.0": "This work is licensed under a Creative Commons\nAttribution 4.0 International License.",
+        "CC0": "To the extent possible under law, the author has\nwaived all copyright and related rights",
+        "Proprietary": "No part of this publication may be reproduced without\nthe prior written permission of the publisher.",
+    }
+    assert set(headers) == set(licences.FAMILIES)
+    wrap = lambda h: "\n".join(before + x for x in h.split("\n"))
+    rows = [(i, "Some words stand here\n\n" + wrap(headers[f]) + "\n\nand more follow after it") for i, f in enumerate(licences.FAMILIES)]
+    rows += [(99, "Redistribution and use in source and binary forms\n\nwith or without modification, are permitted")]
+    got = {r.doc_id: r.families for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**{i: [f] for i, f in enumerate(licences.FAMILIES)}, 99: []}
+
+
 def test_mixing(spark, edge, empty, given):
     docs = given[0]
     labelled = docs.select("doc_id", F.col("lang").alias("domain"))
