@@ -4,7 +4,7 @@ Paragraphs are runs of lines up to a blank one (a line without a word, such as a
 sentences of each line and, where lines are joined, the windows of a paragraph in which a template may be found (so a
 notice may be wrapped or stand behind comment marks, which are no words). Features are word n-grams (one to three words, hashed) and the share of
 words that no template has. A multinomial logistic regression is trained on the templates, with pieces of them and
-templates inside other words, against paragraphs of the corpus as the unknown class. Its probabilities are calibrated
+templates inside other words, against sentences of the whole corpus as the unknown class. Its probabilities are calibrated
 by a temperature fitted on held-out examples; below ``cut`` a paragraph is unknown. A named family is confirmed only
 if one of its templates is found in the paragraph: at least ``alike`` of the template's word pairs must occur.
 
@@ -47,7 +47,7 @@ UNKNOWN = len(FAMILIES)
 LONGER = {"LGPL", "AGPL"}
 PLAIN = {"GPL-2.0", "GPL-3.0"}
 GAP = 4
-#: At most about so many paragraphs of the corpus stand for the unknown class in training.
+#: At most so many sentences of the corpus stand for the unknown class in training.
 FIT_ROWS = 4_000
 ORDER = 3
 
@@ -247,11 +247,25 @@ class Classifier(ByValue):
 
 
 def _background(docs: DataFrame, rows: int) -> list[str]:
-    """A bounded hash sample of paragraphs: one of each of about ``rows`` documents."""
-    share = int((1 << 30) * min(1.0, rows / max(docs.count(), 1)))
-    chosen = docs.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("licence")), F.lit(1 << 30)) < share)
-    line = F.element_at(F.split(text_column(docs), "\n"), 1)
-    return sorted(r["s"] for r in chosen.select(F.substring(line, 1, 300).alias("s")).collect() if r["s"])
+    """A hash sample of the sentences of all whole texts: the ``rows`` with the smallest hashes of text and offset.
+
+    Copies of a text give their sentences once, so a repeated text does not fill the sample.
+    """
+
+    def each(batch: pa.RecordBatch, texts: Texts):
+        word, sentence, of, starts = sentences(texts)
+        whole = hash_spans(texts.data, texts.offsets[:-1], np.diff(texts.offsets), seed=3)
+        at = np.unique(sentence)
+        h = mix64(whole[of[at]] + mix64((starts[at] - texts.offsets[of[at]]).astype(np.uint64)))
+        least = np.argsort(h, kind="stable")
+        _, one = np.unique(h[least], return_index=True)
+        at, h = at[least[one[:rows]]], h[least[one[:rows]]]
+        end = np.minimum(np.r_[starts[1:], len(texts.data)], texts.offsets[of + 1]) if len(starts) else starts
+        cut = [texts.data[starts[i] : end[i]].tobytes().decode("utf-8", "replace").strip("\r\n") for i in at]
+        yield {"h": (h >> np.uint64(1)).view(np.int64), "s": pa.array(cut, pa.string())}
+
+    chosen = map_texts(docs, [F.col("doc_id"), text_column(docs)], each, "h long, s string").distinct()
+    return sorted(r["s"] for r in chosen.orderBy("h", "s").limit(rows).collect())
 
 
 def scan_licences(docs: DataFrame, cut: float = 0.5, alike: float = 0.8, fit_rows: int = FIT_ROWS) -> DataFrame:

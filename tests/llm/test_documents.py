@@ -272,6 +272,15 @@ def test_licences(edge, empty, given):
     assert licences.scan_licences(empty).count() == 0
 
 
+def test_background_is_drawn_from_whole_texts(spark):
+    body = [f"Sentence number {i} " + "goes on " * 60 + "to its end." for i in range(5)]
+    rows = [(i, "One title for all\n" + " ".join(body)) for i in range(40)] + [(50, "\nBehind a break"), (51, None), (52, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = licences._background(docs, 100)
+    assert sorted(x.strip() for x in got) == sorted([*body, "One title for all", "Behind a break"])
+    assert len(licences._background(docs, 3)) == 3 and set(licences._background(docs, 3)) <= set(got)
+
+
 @pytest.mark.parametrize("before", ["", "# ", " * ", "// "])
 def test_wrapped_licence_headers(spark, before):
     headers = {
