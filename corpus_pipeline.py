@@ -21,13 +21,22 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; rows without an id stay, repeated ids become one row."""
-    found = dartminhash.near_documents(docs).filter("NOT kept").select(F.col("doc_id").cast(dict(docs.dtypes)["doc_id"]).alias("doc_id"))
-    left = lookup_join(docs, found, ["doc_id"], "left_anti").select(*docs.columns)
-    ids = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count()
-    if ids.filter("count > 1").limit(1).count():
-        left = left.filter("doc_id IS NULL").unionAll(left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
-    return left
+    """One document of each group of near-duplicates, that of the smallest id (a null id comes last).
+
+    Every row is a document of its own, whatever its id; rows equal in all columns become one.
+    """
+    work = Workspace(spark)
+    key = F.xxhash64(*(x for c in docs.columns for x in (F.col(c), F.col(c).isNull())))
+    keyed = docs.withColumn("_key", key)
+    found = dartminhash.near_documents(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    found = work.save(found.select(F.col("doc_id").alias("_key"), "component_id"), "near-rows")
+    ids = keyed.select("_key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key").alias("_rank"))
+    first = found.join(ids, "_key").groupBy("component_id").agg(F.min("_rank").alias("_rank")).select("_rank._key")
+    gone = work.save(found.select("_key").join(first, "_key", "left_anti"), "near-gone")
+    left = lookup_join(keyed, gone, ["_key"], "left_anti")
+    if keyed.groupBy("_key").count().filter("count > 1").limit(1).count():
+        left = left.dropDuplicates(docs.columns)
+    return left.select(*docs.columns)
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

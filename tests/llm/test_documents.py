@@ -336,6 +336,17 @@ def test_pipeline(spark, edge, empty):
     assert docs.count() == 0
 
 
+def test_near_duplicate_stage_goes_by_rows(spark):
+    import corpus_pipeline
+
+    other = " ".join(f"o{i}" for i in range(60))
+    rows = [(1, BASE, "a"), (1, other, "b"), (2, other + " end", "c"), (3, BASE, "d"), (4, "alone", "e"), (4, "not alike", "f")]
+    rows += [(None, PASSAGE, "g"), (None, PASSAGE, "g"), (None, BASE, "h"), (None, "", "i"), (5, LONG, "j"), (5, LONG, "j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(3)
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, DATA).collect()
+    assert sorted((r.key, r.doc_id) for r in got) == [("a", 1), ("b", 1), ("e", 4), ("f", 4), ("g", None), ("i", None), ("j", 5)]
+
+
 def test_texts_are_found_in_slices():
     from isoreach.llm.common import Texts, hash_spans
 
