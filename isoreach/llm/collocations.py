@@ -50,10 +50,22 @@ def unpack(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").ravel()
 
 
+def joined_bytes(words: pa.Array) -> bytes:
+    return Texts(words, words).data.tobytes()
+
+
+def word_list(words: pa.Array) -> list[bytes]:
+    flat = Texts(words, words)
+    data, ends = flat.data.tobytes(), flat.offsets.tolist()
+    return [data[i:j] for i, j in zip(ends, ends[1:], strict=False)]
+
+
 def fields(keys: np.ndarray, bits: int, words: int) -> np.ndarray:
     """Word ids of packed keys, a row for each place."""
-    mask = np.uint64((1 << bits) - 1)
-    return np.stack([(keys >> np.uint64(bits * (words - 1 - i))) & mask for i in range(words)]).astype(np.int64)
+    mask, out = np.uint64((1 << bits) - 1), np.empty((words, len(keys)), np.int32)
+    for i in range(words):
+        out[i] = (keys >> np.uint64(bits * (words - 1 - i))) & mask
+    return out
 
 
 def joined(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -83,7 +95,7 @@ class Counter:
                 yield from self.spill(0)
                 self.ids = {}
             ids = self.ids
-            known = np.array([ids.setdefault(w, len(ids) + 1) for w in coded.dictionary.to_pylist()], np.uint64)
+            known = np.array([ids.setdefault(w, len(ids) + 1) for w in word_list(coded.dictionary)], np.uint64)
             tokens = known[coded.indices.to_numpy()]
             go_on = joins[at : at + len(tokens) - 1]
             first = end - at
@@ -113,42 +125,55 @@ class Counter:
 
     def runs(self, group: str, names: list[bytes], keys: np.ndarray, counts: np.ndarray) -> Iterator[dict]:
         ids = fields(keys, self.bits, self.longest)
-        used = np.unique(ids)
-        used = used[used > 0]
-        words = pa.array([names[i - 1] for i in used.tolist()], pa.binary())
+        seen = np.zeros(len(names) + 1, bool)
+        for row in ids:
+            seen[row] = True
+        used = np.flatnonzero(seen[1:]) + 1
+        words = pa.array([names[i - 1] + b" " for i in used.tolist()], pa.binary())
         order = pc.sort_indices(words).to_numpy()
         words = words.take(pa.array(order))
-        rank = np.zeros(int(used[-1]) + 1, np.int64)
+        rank = np.zeros(len(names) + 1, np.int32)
         rank[used[order]] = np.arange(1, len(used) + 1)
         ids = rank[ids]
         flat = Texts(words, words)
         hashes = np.concatenate([np.zeros(1, np.uint64), hash_spans(flat.data, flat.offsets[:-1], np.diff(flat.offsets))])
-        part = (mix64(hashes[ids[0]] * np.uint64(3) + hashes[ids[1]]) % np.uint64(self.parts)).astype(np.int32)
-        order = np.lexsort((joined(ids, self.bits), part))
+        part = (mix64(hashes[ids[0]] * np.uint64(3) + hashes[ids[1]]) % np.uint64(self.parts)).astype(np.uint16 if self.parts < 1 << 16 else np.uint32)
+        order = np.argsort(joined(ids, self.bits))
+        order = order[np.argsort(part[order], kind="stable")]
         ids, counts, part = ids[:, order], counts[order], part[order]
         starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        local = np.zeros(len(used) + 1, np.int32)
         for at, end in zip(starts.tolist(), [*starts[1:].tolist(), len(part)], strict=True):
-            held, local = np.unique(ids[:, at:end], return_inverse=True)
-            local = local.reshape(self.longest, end - at) + (0 if held[0] == 0 else 1)
-            mine = b" ".join(words.take(pa.array(held[held > 0] - 1)).to_pylist())
-            gaps = np.diff(joined(local, self.bits), prepend=np.uint64(0))
-            yield {"grp": group, "part": int(part[at]), "words": pa.compress(mine, codec="zstd", asbytes=True), "keys": pack(gaps), "counts": pack(counts[at:end]), "sizes": [end - at, len(mine)]}
+            some, seen = ids[:, at:end], np.zeros(len(used) + 1, bool)
+            for row in some:
+                seen[row] = True
+            held = np.flatnonzero(seen[1:]) + 1
+            local[held] = np.arange(1, len(held) + 1)
+            mine = joined_bytes(words.take(pa.array(held - 1)))
+            gaps = np.diff(joined(local[some], self.bits), prepend=np.uint64(0))
+            yield {"grp": group, "part": int(part[at]), "words": pa.compress(mine, codec="zstd", asbytes=True), "keys": pack(gaps), "counts": pack(counts[at:end]), "sizes": [end - at, len(mine), len(held)]}
+
 
+def spaced(data: bytes) -> pa.Array:
+    """Words of a text in which each of them is followed by a blank, the blanks included."""
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 0x20) + 1
+    offsets = np.concatenate([np.zeros(1, np.int64), ends])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
-def merge_runs(runs: list[tuple[bytes, bytes, bytes, list[int]]], longest: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Words, ids (a row for each place, 0 for none) and counts of all phrases of the sorted runs."""
+
+def merge_runs(runs: list[tuple[bytes, bytes, bytes, list[int]]], longest: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words (each with a blank behind it), ids (a row for each place, 0 for none) and counts of all phrases of sorted runs."""
     bits = 63 // longest
-    split = [pa.decompress(w, sizes[1], codec="zstd", asbytes=True).split(b" ") for w, _, _, sizes in runs]
-    coded = pa.array([w for words in split for w in words], pa.binary()).dictionary_encode()
+    coded = spaced(b"".join(pa.decompress(w, sizes[1], codec="zstd", asbytes=True) for w, _, _, sizes in runs)).dictionary_encode()
     order = pc.sort_indices(coded.dictionary).to_numpy()
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(1, len(order) + 1)
     ranks, at, columns, counts = rank[coded.indices.to_numpy()], 0, [], []
-    for words, (_, keys, number, sizes) in zip(split, runs, strict=True):
-        mine = np.concatenate([np.zeros(1, np.int64), ranks[at : at + len(words)]])
-        at += len(words)
-        columns.append(mine[fields(np.cumsum(unpack(keys, sizes[0]), dtype=np.uint64), bits, longest)])
-        counts.append(unpack(number, sizes[0]).astype(np.int64))
+    for _, keys, number, (n, _, n_words) in runs:
+        mine = np.concatenate([np.zeros(1, np.int32), ranks[at : at + n_words]])
+        at += n_words
+        columns.append(mine[fields(np.cumsum(unpack(keys, n), dtype=np.uint64), bits, longest)])
+        counts.append(unpack(number, n).astype(np.int64))
     ids, counts = np.concatenate(columns, axis=1), np.concatenate(counts)
     wide = len(order).bit_length()
     if wide * longest < 64:  # one number for each phrase; the stable sort merges the runs
@@ -159,7 +184,7 @@ def merge_runs(runs: list[tuple[bytes, bytes, bytes, list[int]]], longest: int)
         by = np.lexsort(ids[::-1])
         new = np.r_[True, (ids[:, by][:, 1:] != ids[:, by][:, :-1]).any(0)]
     starts = np.flatnonzero(new)
-    return coded.dictionary.take(pa.array(order)).to_pylist(), ids[:, by][:, starts], np.add.reduceat(counts[by], starts)
+    return coded.dictionary.take(pa.array(order)), ids[:, by][:, starts], np.add.reduceat(counts[by], starts)
 
 
 def count_phrases(texts: DataFrame, text: Column, group: Column, longest: int = 3, least: int = 10, most: int = TRIE_PHRASES, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -187,13 +212,10 @@ def count_phrases(texts: DataFrame, text: Column, group: Column, longest: int =
                 continue
             breaks = np.cumsum(_BREAK[data])[starts]
             joins = (breaks[1:] == breaks[:-1]) & (owner[1:] == owner[:-1])
-            inside = np.zeros(len(data) + 1, np.int8)
-            np.add.at(inside, starts, 1)
-            np.add.at(inside, starts + lengths, -1)
-            letters = data[np.cumsum(inside[:-1], dtype=np.int8) > 0]
+            letters = data[_WORD[data]]
             offsets = np.zeros(len(starts) + 1, np.int64)
             np.cumsum(lengths, out=offsets[1:])
-            words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(letters))])
+            words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
             coded = batch.column(0).dictionary_encode()
             of = coded.indices.to_numpy()[owner]
             for g, name in enumerate(coded.dictionary.to_pylist()):
@@ -209,7 +231,10 @@ def count_phrases(texts: DataFrame, text: Column, group: Column, longest: int =
         words, ids, counts = merge_runs(list(zip(*(runs.column(c).to_pylist() for c in ("words", "keys", "counts", "sizes")), strict=True)), longest)
         sizes = (ids > 0).sum(0)
         kept = np.flatnonzero(counts >= least)
-        phrases = [b" ".join(words[i - 1] for i in row if i).decode() for row in ids[:, kept].T.tolist()]
+        used = np.unique(ids[:, kept])
+        used = used[used > 0]
+        names = dict(zip(used.tolist(), word_list(words.take(pa.array(used - 1))), strict=True))
+        phrases = [b"".join(names[i] for i in row if i)[:-1].decode() for row in ids[:, kept].T.tolist()]
         total = int(counts[sizes == 1].sum())
         n = len(kept) + 1
         return pa.table({
