@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isoreach.functions.geometry import on_edge, point_wkt, polygon_bounds, polygon_edges
 from isoreach.functions.hexgrid import HexGrid
 from isoreach.functions.names import rename_ignoring_case
+from isoreach.operators.joins import Workspace, lookup_join
 from isoreach.operators.polyfill import row_crossings, row_intervals
 from isoreach.operators.population import with_cell
 from isoreach.operators.spatial_join import points_in_polygons
@@ -105,31 +106,68 @@ def candidate_sites(points: DataFrame, grid: HexGrid | None) -> DataFrame:
     return place_sites(located, grid)
 
 
+# Whole millionths of a degree, so that sums of coordinates are exact and do not depend on task order.
+MICRO_DEGREE = 1_000_000
+# Seeds tell coordinates apart by hundredths of a degree: a running sum reads at most 36,000 rows of a region.
+SEED_STEP = 10_000
+
+
+def _coordinate_sums(table: DataFrame, keys: list[str]) -> DataFrame:
+    return table.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("_n", "_sx", "_sy")])
+
+
+def _with_mean(table: DataFrame, x: str, y: str) -> DataFrame:
+    return table.withColumn(x, F.expr("CAST(_sx DIV _n AS BIGINT)")).withColumn(y, F.expr("CAST(_sy DIV _n AS BIGINT)"))
+
+
+def _tile(cells: DataFrame, keys: list[str], coordinate: str, parts: Column) -> DataFrame:
+    """``_t``: which of ``parts`` shares of the people a cell is in, along one coordinate in steps of SEED_STEP."""
+    step = F.floor(F.col(coordinate) / SEED_STEP).alias("_step")
+    group = Window.partitionBy(*keys)
+    sums = cells.groupBy(*keys, step).agg(F.sum("_n").alias("_m"))
+    before = F.sum("_m").over(group.orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_m")
+    placed = sums.select(*keys, "_step", before.alias("_before"), F.sum("_m").over(group).alias("_all"))
+    return cells.withColumn("_step", step).join(placed, [*keys, "_step"]).withColumn("_t", F.floor(F.col("_before") * parts / F.col("_all"))).drop("_step", "_before", "_all")
+
+
 def kmeans_candidates(
-    pixels: DataFrame,
-    n_clusters: int = 100,
-    seed: int = 0,
-    weight: str | None = None,
-    sample_rows: int | None = None,
-    grid: HexGrid | None = None,
-) -> DataFrame:
-    """Centroids of pixel coordinates as candidates (``weight="population"`` to weigh pixels).
-
-    Every pixel is used unless ``sample_rows`` asks for a seeded sample of about that many. Training is
-    distributed either way; only the centroids reach the driver.
+    pixels: DataFrame, n_clusters: int = 100, groups: list[str] | None = None, grid: HexGrid | None = None, weight: str | None = None,
+    rounds: int = 10, cell: str = "h3_index",
+) -> DataFrame:
+    """Centroids of pixel coordinates as candidates, of every group (region) in one plan.
+
+    Pixels are first summed to cells (pixels, or people with ``weight="population"``, and coordinates in whole millionths
+    of a degree); nothing later reads pixels. Seeds are tiles of equal weight: the root of ``n_clusters`` strips from west
+    to east, each cut from south to north, so they follow the people and take one pass. A round gives each cell to the
+    nearest centre (ties: least cluster) and each centre the mean of its cells; a centre without cells stays. A region has
+    fewer clusters where its people live on fewer tiles. All arithmetic is in whole numbers: results are the same anywhere.
+
+    A round joins the cells with an array of at most ``n_clusters`` centres for each group and shuffles one row for each
+    task and centre. Pixels without coordinates or cell are left out.
     """
-    if sample_rows is not None:
-        count = pixels.count()
-        if count > sample_rows:
-            pixels = pixels.sample(fraction=sample_rows / count, seed=42)
-    columns = ["xcoord", "ycoord", *([weight] if weight else [])]
-    vectors = VectorAssembler(inputCols=["xcoord", "ycoord"], outputCol="features").transform(pixels.select(*columns))
-    trainer = KMeans(k=n_clusters, seed=seed, featuresCol="features")
-    if weight:
-        trainer = trainer.setWeightCol(weight)
-    centers = trainer.fit(vectors).clusterCenters()
-    points = pixels.sparkSession.createDataFrame(
-        [(i, float(c[0]), float(c[1])) for i, c in enumerate(centers)], "cluster int, longitude double, latitude double"
-    )
-    named = points.withColumn("ID", F.concat(F.col("cluster").cast("string"), F.lit("_potential")))
-    return candidate_sites(named.drop("cluster"), grid)
+    keys = groups or ["_all_pixels"]
+    work = Workspace(pixels.sparkSession)
+    n = F.lit(1).cast("long") if weight is None else F.round(F.col(weight) * MICRO_DEGREE).cast("long")
+    micro = lambda c: F.round(F.col(c) * MICRO_DEGREE).cast("decimal(20,0)")
+    each = pixels.filter(F.col("xcoord").isNotNull() & F.col("ycoord").isNotNull() & F.col(cell).isNotNull())
+    each = (each if groups else each.withColumn("_all_pixels", F.lit(0))).select(*keys, F.col(cell).alias("_cell"), n.alias("_n"), "xcoord", "ycoord")
+    each = each.filter("_n > 0").withColumn("_sx", F.col("_n") * micro("xcoord")).withColumn("_sy", F.col("_n") * micro("ycoord"))
+    cells = work.save(_with_mean(_coordinate_sums(each, [*keys, "_cell"]), "_x", "_y"), "cells")
+
+    strips = math.isqrt(n_clusters - 1) + 1
+    first = lambda strip: F.floor(strip * n_clusters / strips)
+    in_strips = _tile(cells, keys, "_x", F.lit(strips)).withColumnRenamed("_t", "_strip")
+    strip = F.col("_strip")
+    tiles = _tile(in_strips, [*keys, "_strip"], "_y", first(strip + 1) - first(strip)).withColumn("_k", (first(strip) + F.col("_t")).cast("int"))
+    centers = work.save(_with_mean(_coordinate_sums(tiles, [*keys, "_k"]), "_cx", "_cy").select(*keys, "_k", "_cx", "_cy"), "centers-0")
+
+    for i in range(1, rounds + 1):
+        listed = centers.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_cx", "_cy")).alias("_centers"))
+        nearest = F.expr("array_min(transform(_centers, c -> struct((c._cx - _x) * (c._cx - _x) + (c._cy - _y) * (c._cy - _y) AS d, c._k AS k))).k")
+        moved = _coordinate_sums(lookup_join(cells, listed, keys).withColumn("_k", nearest), [*keys, "_k"])
+        moved = _with_mean(moved, "_mx", "_my").select(*keys, "_k", "_mx", "_my")
+        after = centers.join(moved, [*keys, "_k"], "left").select(*keys, "_k", F.coalesce("_mx", "_cx").alias("_cx"), F.coalesce("_my", "_cy").alias("_cy"))
+        centers = work.save(after, f"centers-{i}")
+    degrees = lambda c: F.col(c) / F.lit(float(MICRO_DEGREE))
+    points = centers.select(*(groups or []), F.concat(F.col("_k").cast("string"), F.lit("_potential")).alias("ID"), degrees("_cx").alias("longitude"), degrees("_cy").alias("latitude"))
+    return candidate_sites(points, grid)

@@ -73,11 +73,16 @@ def first_polygon(
     name: str,
     order: str,
     out: str = "district",
+    keys: tuple[str, ...] = (),
     **options,
 ) -> DataFrame:
-    """Every point with the ``name`` of the first polygon (by ``order``) containing it, else NULL."""
-    hits = points_in_polygons(points, polygons, point_id, [order, name], **options)
-    first = hits.groupBy(point_id).agg(F.min_by(name, order).alias(out))
+    """Every point with the ``name`` of the first polygon (by ``order``) containing it, else NULL.
+
+    ``keys`` are further columns that tell polygons apart: those that share order, name and keys are one polygon.
+    """
+    columns = list(dict.fromkeys([order, name, *keys]))
+    hits = points_in_polygons(points, polygons, point_id, columns, **options)
+    first = hits.groupBy(point_id).agg(F.min_by(name, F.struct(*columns)).alias(out))
     return points.join(first, point_id, "left")
 
 

@@ -105,14 +105,14 @@ def _vertex(i: Column, j: Column) -> tuple[Column, Column]:
 
 
 def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Districts: iso3, province, LGU, geometry_wkt. Nations as a jittered 5 x 5 tiling."""
+    """Districts: iso3, province, LGU, geometry_wkt, position. Nations as a jittered 5 x 5 tiling; positions run backwards."""
     n = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     i, j = F.col("n_nationkey") % 5, F.floor(F.col("n_nationkey") / 5).cast("int")
     corners = [_vertex(i, j), _vertex(i + 1, j), _vertex(i + 1, j + 1), _vertex(i, j + 1)]
     return n.select(
-        F.lit(ISO3).alias("iso3"), F.col("r_name").alias("province"), F.col("n_name").alias("LGU"), _ring(corners).alias("geometry_wkt")
+        F.lit(ISO3).alias("iso3"), F.col("r_name").alias("province"), F.col("n_name").alias("LGU"), _ring(corners).alias("geometry_wkt"), (100 - F.col("n_nationkey")).alias("position")
     )
 
 

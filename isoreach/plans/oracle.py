@@ -213,12 +213,28 @@ CTES["picks"] = "SELECT region, distance_m, p, ID, gain FROM {walk} WHERE p > 0
 CTES["steps"] = """SELECT p.region, p.distance_m, p.p, p.ID AS facility_id, c.cell, c.longitude AS lon, c.latitude AS lat, p.gain,
     s.covered_population + sum(p.gain) OVER (PARTITION BY p.region, p.distance_m ORDER BY p.p) AS objective
   FROM {picks} p JOIN {cand} c ON c.region = p.region AND c.ID = p.ID JOIN {summary} s ON s.region = p.region AND s.distance_m = p.distance_m"""
-CTES["located"] = f"""SELECT s.*, (SELECT min(LGU) FROM (SELECT LGU FROM {{dedge}} e
-      WHERE {crosses('s.lon', 's.lat')} OR {touches('s.lon', 's.lat')} GROUP BY LGU
+CTES["located"] = f"""SELECT s.*, (SELECT arg_max(LGU, n) FROM (SELECT n, LGU FROM {{dedge}} e
+      WHERE {crosses('s.lon', 's.lat')} OR {touches('s.lon', 's.lat')} GROUP BY n, LGU
       HAVING count(*) FILTER ({crosses('s.lon', 's.lat')}) % 2 = 1 AND NOT bool_or({touches('s.lon', 's.lat')}))) AS district FROM {{steps}} s"""
 CTES["wide"] = "SELECT region, distance_m, p, LGU, " + pct("sum(covered)", "sum(total)") + " AS access_pct FROM {curves} GROUP BY region, distance_m, p, LGU"
 
 
+# Clusters: cells, seeds from strips and tiles of equal weight, and ten rounds, each a table of its own.
+KM, ROUNDS = 100, 10
+STRIPS = 10
+_XY = "(sum(sx) // sum(n))::BIGINT AS cx, (sum(sy) // sum(n))::BIGINT AS cy"
+CTES["kcell"] = """SELECT *, (sx // n)::BIGINT AS x, (sy // n)::BIGINT AS y FROM (SELECT region, h3_index AS cell, count(*)::HUGEINT AS n, sum(round(xcoord * 1000000)::HUGEINT) AS sx,
+    sum(round(ycoord * 1000000)::HUGEINT) AS sy FROM {aoi} GROUP BY region, h3_index)"""
+CTES["kstrip"] = f"""SELECT c.*, (SELECT coalesce(sum(b.n), 0) FROM {{kcell}} b WHERE b.region = c.region AND floor(b.x / 10000) < floor(c.x / 10000)) * {STRIPS}
+    // (SELECT sum(b.n) FROM {{kcell}} b WHERE b.region = c.region) AS strip FROM {{kcell}} c"""
+CTES["km0"] = f"""SELECT region, k, {_XY} FROM (SELECT c.*, (strip * {KM // STRIPS} + (SELECT coalesce(sum(b.n), 0) FROM {{kstrip}} b WHERE b.region = c.region AND b.strip = c.strip AND floor(b.y / 10000) < floor(c.y / 10000)) * {KM // STRIPS}
+    // (SELECT sum(b.n) FROM {{kstrip}} b WHERE b.region = c.region AND b.strip = c.strip))::INT AS k FROM {{kstrip}} c) GROUP BY region, k"""
+for _i in range(1, ROUNDS + 1):
+    CTES[f"kmg{_i}"] = f"""SELECT region, k, {_XY} FROM (SELECT c.region, c.cell, any_value(c.n) AS n, any_value(c.sx) AS sx, any_value(c.sy) AS sy,
+        arg_min(m.k, {{'d': (m.cx - c.x) * (m.cx - c.x) + (m.cy - c.y) * (m.cy - c.y), 'k': m.k}}) AS k FROM {{kcell}} c JOIN {{km{_i - 1}}} m USING (region) GROUP BY c.region, c.cell) GROUP BY region, k"""
+    CTES[f"km{_i}"] = f"SELECT o.region, o.k, coalesce(g.cx, o.cx) AS cx, coalesce(g.cy, o.cy) AS cy FROM {{km{_i - 1}}} o LEFT JOIN {{kmg{_i}}} g ON g.region = o.region AND g.k = o.k"
+
+
 def _wide() -> str:
     names = [f"NATION_{i}" for i in range(25)]
     return ", ".join(f"coalesce(max(access_pct) FILTER (LGU = '{n}'), 0e0) AS lgu_{n}" for n in names)
@@ -318,6 +334,7 @@ def oracle_sql() -> dict[str, str]:
           WHERE {crosses('lon', 'lat')} OR {touches('lon', 'lat')} GROUP BY c_custkey, province, LGU
           HAVING count(*) FILTER ({crosses('lon', 'lat')}) % 2 = 1 AND NOT bool_or({touches('lon', 'lat')})""",
     )
+    add("kmeans_candidates", f"km{ROUNDS}", select=hexed(f"(SELECT region, k || '_potential' AS ID, cx / 1e6 AS longitude, cy / 1e6 AS latitude FROM km{ROUNDS})", "longitude", "latitude", "h3_index").replace("SELECT *", "SELECT region, ID, longitude, latitude, h3_index FROM (SELECT *", 1) + ")")
     add("grid_candidates", "cand", select="SELECT region, ID, longitude, latitude, cell FROM cand")
     add(
         "grid_candidates_districts",

@@ -1,13 +1,15 @@
 """The two pipelines end to end: files to tables, tables to answers.
 
 Every region and distance is handled in the same plans; ``region`` and ``distance_m`` are columns, and
-result tables are partitioned by region. Each stage is reused while its own settings, its inputs and all
-stages before it are unchanged.
+result tables are partitioned by them. A stage is reused while its own settings, its inputs and the
+stages before it are unchanged, and it is reused by part: another distance or region is computed and
+written alone, and a change of facilities runs again only the regions whose facilities it changed.
 """
 
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from isoreach.functions import names
 from isoreach.functions.hexgrid import HexGrid
 from isoreach.operators import coverage, equity, layers, mclp, population, sites, spatial_join
+from isoreach.operators.coverage import COMBO
 from isoreach.sources import features, raster, tables
 
 
@@ -51,8 +54,8 @@ class Settings:
 
 
 GRID_SETTINGS = ("resolution", "ref_lat")
-REACH_SETTINGS = (*GRID_SETTINGS, "distances_m")
-#: What each stage reads from the settings; anything else may change without a new run of the stage.
+#: What each stage reads from the settings; anything else may change without a new run of the stage. Regions and
+#: distances are parts, not settings.
 SETTINGS_OF = {
     "population": GRID_SETTINGS,
     "boundaries": ("iso3", "provinces", "include_country"),
@@ -61,32 +64,70 @@ SETTINGS_OF = {
     "population_cells": GRID_SETTINGS,
     "population_aoi": GRID_SETTINGS,
     "candidates": (*GRID_SETTINGS, "potential_type", "spacing", "n_clusters"),
-    "facilities_h3": REACH_SETTINGS,
-    "potential_locations": REACH_SETTINGS,
-    "covered_cells": REACH_SETTINGS,
+    "facilities_h3": GRID_SETTINGS,
+    "potential_locations": GRID_SETTINGS,
+    "covered_cells": GRID_SETTINGS,
     "access_summary": (),
-    "facilities_coverage": REACH_SETTINGS,
-    "potential_coverage": REACH_SETTINGS,
-    "mclp_steps": (*REACH_SETTINGS, "max_new"),
-    "lgu_access": REACH_SETTINGS,
+    "facilities_coverage": GRID_SETTINGS,
+    "potential_coverage": GRID_SETTINGS,
+    "mclp_steps": (*GRID_SETTINGS, "max_new"),
+    "lgu_access": GRID_SETTINGS,
     "lgu_accessibility_results": (),
     "base_dashboard_data": ("country", "year"),
 }
+#: Small tables whose parts are told apart by their rows: equal rows made anew change nothing after them.
+BY_CONTENT = ("boundaries", "health_facilities", "candidates")
 
 
 class Pipeline:
     def __init__(self, spark: SparkSession, settings: Settings):
         self.spark, self.settings = spark, settings
+        #: The parts that each stage wrote in this run.
+        self.written: dict[str, list[tuple]] = {}
 
-    def _store(self, key: str, make, partition_by: tuple[str, ...] = (), after: tuple[str, ...] = (), inputs: tuple = ()) -> DataFrame:
-        """Compute or reuse a stage: its own settings, its inputs, and the fingerprints of the stages before it."""
+    def _params(self, key: str, inputs: tuple, after: list) -> dict:
         settings = asdict(self.settings)
-        params = {
-            "settings": {name: settings[name] for name in SETTINGS_OF[key]},
-            "inputs": inputs,
-            "after": [tables.stored_fingerprint(self.spark, self.settings.table(name)) for name in after],
-        }
-        return tables.materialize(self.spark, make, self.settings.table(key), params, self.settings.force, partition_by)
+        return {"settings": {name: settings[name] for name in SETTINGS_OF[key]}, "inputs": inputs, "after": after}
+
+    def _store(self, key: str, make, after: tuple[str, ...] = (), inputs: tuple = ()) -> DataFrame:
+        """Compute or reuse a whole table: its own settings, its inputs, and the fingerprints of the stages before it."""
+        before = [tables.stored_fingerprint(self.spark, self.settings.table(name)) for name in after]
+        return tables.materialize(self.spark, make, self.settings.table(key), self._params(key, inputs, before), self.settings.force)
+
+    def _marks(self, key: str) -> dict[tuple, str]:
+        """Marks of a table's regions, or regions and distances."""
+        if key in BY_CONTENT:
+            return tables.content_marks(self.table(key), ["region"])
+        return tables.part_marks(self.spark, self.settings.table(key))
+
+    def _store_parts(self, key: str, make, after: tuple[str, ...], whole: tuple[str, ...] = (), inputs: tuple = (), by_distance: bool = True) -> DataFrame:
+        """Compute or reuse a table by region, or by region and distance.
+
+        ``make(regions, distances)`` gives the rows of a rectangle of parts. A part depends on the parts of the same
+        region (and distance) in the tables ``after`` and on all of the tables ``whole``.
+        """
+        s, keys = self.settings, COMBO if by_distance else ["region"]
+        common = [tables.stored_fingerprint(self.spark, s.table(name)) for name in whole]
+        marks = [self._marks(name) for name in after]
+        wanted = {}
+        for (region,) in self._marks("boundaries"):
+            for d in s.distances_m if by_distance else (0,):
+                mine = [m.get((region, d), m.get((region,))) for m in marks]
+                reach = (int(d), s.grid.rings(d)) if by_distance else ()
+                wanted[(region, int(d)) if by_distance else (region,)] = tables.fingerprint(self._params(key, (*inputs, *reach), [common, mine]))
+
+        def rows(parts: list[tuple]) -> DataFrame:
+            found = tables.rectangles(parts if by_distance else [(*p, 0) for p in parts])
+            plans = [make(regions, tuple(distances)) for regions, distances in found] or [make([], s.distances_m)]
+            return reduce(DataFrame.unionByName, plans)
+
+        self.written[key] = tables.materialize_parts(self.spark, rows, s.table(key), wanted, tuple(keys), s.force)
+        return self.table(key)
+
+    def _of(self, key: str, regions: list[str], distances: tuple[int, ...] | None = None) -> DataFrame:
+        """The rows of some regions (and distances) of a stored table; the filter prunes partitions."""
+        found = self.table(key).filter(F.col("region").isin(*regions) if regions else F.lit(False))
+        return found if distances is None else found.filter(F.col("distance_m").isin(*distances))
 
     def table(self, key: str) -> DataFrame:
         return tables.load_table(self.spark, self.settings.table(key))
@@ -112,7 +153,8 @@ class Pipeline:
             return every.filter(wanted | (F.lit(s.include_country) & (F.col("region") == s.country_region)))
 
         def districts():
-            return features.select_districts(features.load_boundaries(self.spark, folder, 2, layout), s.iso3)
+            found = features.select_districts(features.load_boundaries(self.spark, folder, 2, layout), s.iso3)
+            return found.withColumn("position", F.monotonically_increasing_id())  # of the feature, as the file is read
 
         inputs = (tables.input_identity(self.spark, f"{folder}/*.geojson"), layout)
         return self._store("boundaries", regions, inputs=inputs), self._store("boundaries_lgu", districts, inputs=inputs)
@@ -120,83 +162,96 @@ class Pipeline:
     def extract_facilities(self, source: str, path, use_center: bool = False, layout: str = "auto") -> DataFrame:
         """Facilities of every region, with the boundary's columns."""
 
-        def make():
+        def make(regions: list[str], _) -> DataFrame:
             found = features.load_facilities(self.spark, source, path, use_center, layout)
             with_id = found if source == "file" else sites.facility_ids(found, F.col("osm_id"))
-            placed = sites.facilities_within(with_id, self.table("boundaries"), ["iso3", "region"])
+            placed = sites.facilities_within(with_id, self._of("boundaries", regions), ["iso3", "region"])
             return sites.place_sites(placed, self.settings.grid)
 
         inputs = (source, tables.input_identity(self.spark, path), use_center, layout)
-        return self._store("health_facilities", make, after=("boundaries",), inputs=inputs)
+        return self._store_parts("health_facilities", make, ("boundaries",), inputs=inputs, by_distance=False)
 
     # Transform
 
     def prepare(self) -> None:
-        s, grid, regions = self.settings, self.settings.grid, self.table("boundaries")
-        pixels = self.table("population")
-        self._store("population_cells", lambda: population.population_by_region_cell(pixels, regions, grid), after=("population", "boundaries"))
+        s, grid, pixels = self.settings, self.settings.grid, self.table("population")
 
-        def aoi():
-            clipped = population.clip_population(pixels, regions, grid)
-            return population.pixel_ids(population.density_bands(clipped), F.col("key"))
+        def cells(regions: list[str], _) -> DataFrame:
+            return population.population_by_region_cell(pixels, self._of("boundaries", regions), grid)
 
-        self._store("population_aoi", aoi, ("region",), after=("population", "boundaries"))
+        def aoi(regions: list[str], _) -> DataFrame:
+            clipped = population.clip_population(pixels, self._of("boundaries", regions), grid)
+            return population.pixel_ids(population.density_bands(clipped), F.col("key"))
 
-        def candidates():
+        def candidates(regions: list[str], _) -> DataFrame:
             if s.potential_type == "grid":
-                return sites.grid_candidates(regions, s.spacing, ["region"], grid)
-            # One clustering per region; the regions of a run are a short configured list.
-            found = None
-            for row in regions.select("region").distinct().collect():
-                inside = self.table("population_aoi").filter(F.col("region") == row["region"])
-                one = sites.kmeans_candidates(inside, s.n_clusters, grid=grid).withColumn("region", F.lit(row["region"]))
-                found = one if found is None else found.unionByName(one)
-            return found
+                return sites.grid_candidates(self._of("boundaries", regions), s.spacing, ["region"], grid)
+            return sites.kmeans_candidates(self._of("population_aoi", regions), s.n_clusters, ["region"], grid)
 
-        self._store("candidates", candidates, after=("boundaries",) if s.potential_type == "grid" else ("boundaries", "population_aoi"))
+        self._store_parts("population_cells", cells, ("boundaries",), whole=("population",), by_distance=False)
+        self._store_parts("population_aoi", aoi, ("boundaries",), whole=("population",), by_distance=False)
+        self._store_parts("candidates", candidates, ("boundaries",) if s.potential_type == "grid" else ("population_aoi",), by_distance=False)
 
     def cover(self) -> None:
         """Catchment totals, access summary and, if asked for, the pixel-level relations."""
         s, grid = self.settings, self.settings.grid
-        weights, existing, candidates = (self.table(k) for k in ("population_cells", "health_facilities", "candidates"))
-        self._store("facilities_h3", lambda: coverage.facility_access(existing, weights, s.distances_m, grid), after=("health_facilities", "population_cells"))
-        self._store("potential_locations", lambda: coverage.facility_access(candidates, weights, s.distances_m, grid), after=("candidates", "population_cells"))
-        every = ("health_facilities", "candidates", "population_cells")
-        self._store("covered_cells", lambda: coverage.covered_cells(existing, candidates, weights, s.distances_m, grid), after=every)
-        self._store("access_summary", lambda: coverage.access_summary(self.table("covered_cells")), after=("covered_cells",))
-        if s.with_pairs:
-            pixels = self.table("population_aoi").withColumnRenamed("h3_index", "cell")
-            for key, name, places in (("facilities_coverage", "health_facilities", existing), ("potential_coverage", "candidates", candidates)):
-                make = lambda places=places: coverage.coverage_pairs(places, pixels, s.distances_m, grid)
-                self._store(key, make, ("region",), after=(name, "population_aoi"))
+        weights, existing, candidates = "population_cells", "health_facilities", "candidates"
 
-    def optimize(self) -> None:
-        s, grid = self.settings, self.settings.grid
-        weights, existing, candidates = (self.table(k) for k in ("population_cells", "health_facilities", "candidates"))
-        regions, districts = self.table("boundaries"), self.table("boundaries_lgu")
-        greedy = lambda: mclp.site_steps(weights, existing, candidates, s.distances_m, grid, s.max_new)
-        steps = self._store("mclp_steps", greedy, after=("population_cells", "health_facilities", "candidates"))
+        def access(places: str):
+            return lambda regions, distances: coverage.facility_access(self._of(places, regions), self._of(weights, regions), distances, grid)
 
-        def curves():
-            cells = weights.select("region", "cell", "w")
-            first = mclp.first_covering_step(steps, cells, existing, s.distances_m, grid)
-            return equity.access_curves(first, steps, districts, regions, grid)
+        def covered(regions: list[str], distances: tuple[int, ...]) -> DataFrame:
+            return coverage.covered_cells(*(self._of(k, regions) for k in (existing, candidates, weights)), distances, grid)
 
-        curves_table = self._store("lgu_access", curves, after=("mclp_steps", "boundaries", "boundaries_lgu"))
+        def pairs(places: str):
+            def make(regions: list[str], distances: tuple[int, ...]) -> DataFrame:
+                pixels = self._of("population_aoi", regions).withColumnRenamed("h3_index", "cell")
+                return coverage.coverage_pairs(self._of(places, regions), pixels, distances, grid)
 
-        def accessibility():
-            placed = mclp.new_sites(steps, candidates).withColumn("_site", F.concat_ws("|", "region", "distance_m", "p"))
-            located = spatial_join.first_polygon(placed, districts, "_site", "LGU", "LGU").drop("_site")
-            return equity.accessibility_table(equity.wide_access(curves_table), located, existing, weights)
+            return make
 
-        self._store("lgu_accessibility_results", accessibility, ("region",), after=("lgu_access",))
+        self._store_parts("facilities_h3", access(existing), (existing, weights))
+        self._store_parts("potential_locations", access(candidates), (candidates, weights))
+        self._store_parts("covered_cells", covered, (existing, candidates, weights))
+        self._store_parts("access_summary", lambda r, d: coverage.access_summary(self._of("covered_cells", r, d)), ("covered_cells",))
+        if s.with_pairs:
+            self._store_parts("facilities_coverage", pairs(existing), (existing, "population_aoi"))
+            self._store_parts("potential_coverage", pairs(candidates), (candidates, "population_aoi"))
+
+    def optimize(self) -> None:
+        s, grid = self.settings, self.settings.grid
+        weights, existing, candidates = "population_cells", "health_facilities", "candidates"
+        regions_table, districts = self.table("boundaries"), self.table("boundaries_lgu")
+
+        def greedy(regions: list[str], distances: tuple[int, ...]) -> DataFrame:
+            return mclp.site_steps(*(self._of(k, regions) for k in (weights, existing, candidates)), distances, grid, s.max_new)
+
+        def curves(regions: list[str], distances: tuple[int, ...]) -> DataFrame:
+            cells, steps = self._of(weights, regions).select("region", "cell", "w"), self._of("mclp_steps", regions, distances)
+            first = mclp.first_covering_step(steps, cells, self._of(existing, regions), distances, grid)
+            return equity.access_curves(first, steps, districts, self._of("boundaries", regions), grid)
+
+        def accessibility(regions: list[str], distances: tuple[int, ...]) -> DataFrame:
+            steps = self._of("mclp_steps", regions, distances)
+            placed = mclp.new_sites(steps, self._of(candidates, regions)).withColumn("_site", F.concat_ws("|", "region", "distance_m", "p"))
+            located = spatial_join.first_polygon(placed, districts, "_site", "LGU", "position", keys=("province",)).drop("_site")
+            wide = equity.wide_access(self._of("lgu_access", regions, distances))
+            return equity.accessibility_table(wide, located, self._of(existing, regions), self._of(weights, regions))
+
+        self._store_parts("mclp_steps", greedy, (weights, existing, candidates))
+        self._store_parts("lgu_access", curves, ("mclp_steps", "boundaries", weights, existing), whole=("boundaries_lgu",))
+        self._store_parts("lgu_accessibility_results", accessibility, ("lgu_access", candidates))
+        steps = self.table("mclp_steps")
         self._store(
             "base_dashboard_data",
-            lambda: layers.dashboard_metadata(steps, self.table("access_summary"), regions, districts, s.country, s.year, s.country_region),
+            lambda: layers.dashboard_metadata(steps, self.table("access_summary"), regions_table, districts, s.country, s.year, s.country_region),
             after=("mclp_steps", "access_summary", "boundaries", "boundaries_lgu"),
         )
-        for key in ("lgu_accessibility_results", "base_dashboard_data"):
-            tables.log_run(self.spark, self.settings.table("run_log"), key, steps.select("region", "distance_m").distinct())
+        made = self.written["lgu_accessibility_results"]
+        if made:
+            new = self.spark.createDataFrame(made, "region string, distance_m int")
+            for key in ("lgu_accessibility_results", "base_dashboard_data"):
+                tables.log_run(self.spark, s.table("run_log"), key, new)
 
     def targets(self) -> tuple[DataFrame, DataFrame]:
         """When all districts reach the target, and those that do not."""

@@ -31,7 +31,7 @@ class Area:
     def __init__(self, spark: SparkSession, sf_dir: str, max_new: int = MAX_NEW, pixels: DataFrame | None = None):
         self.spark, self.sf_dir, self.max_new = spark, sf_dir, max_new
         self._own_pixels = pixels is not None
-        self.pixels = fx.pixels(spark, sf_dir) if pixels is None else pixels
+        self._pixels = fx.pixels(spark, sf_dir) if pixels is None else pixels
         self._work = Workspace(spark)
         self._stored: dict[str, DataFrame] = {}
 
@@ -40,6 +40,12 @@ class Area:
             self._stored[name] = self._work.save(make(), name)
         return self._stored[name]
 
+    @property
+    def pixels(self) -> DataFrame:
+        """Stored with their cells, as the population table of a run is: a polygon join on the formula of the cell itself
+        puts that formula into the scan filter, outside of what the JIT compiles."""
+        return self._once("pixels", lambda: self._pixels)
+
     @property
     def regions(self) -> DataFrame:
         return self._once("regions", lambda: fx.regions(self.spark, self.sf_dir).coalesce(1))
@@ -49,11 +55,13 @@ class Area:
         return self._once("districts", lambda: fx.districts(self.spark, self.sf_dir).coalesce(1))
 
     def weights(self) -> DataFrame:
-        return self._once("weights", lambda: population.population_by_region_cell(self.pixels, self.regions, GRID))
+        """Pixels are summed to cells before any join, so they need not be stored for this."""
+        pixels = self._stored.get("pixels", self._pixels)
+        return self._once("weights", lambda: population.population_by_region_cell(pixels, self.regions, GRID))
 
     def aoi(self) -> DataFrame:
-        clipped = population.clip_population(self.pixels, self.regions, GRID)
-        return clipped.withColumn("ID", F.concat(F.col("key").cast("string"), F.lit("_pop")))
+        clipped = lambda: population.clip_population(self.pixels, self.regions, GRID)
+        return self._once("aoi", lambda: clipped().withColumn("ID", F.concat(F.col("key").cast("string"), F.lit("_pop"))))
 
     def existing(self) -> DataFrame:
         facilities = fx.facilities(self.spark, self.sf_dir)
@@ -86,7 +94,7 @@ class Area:
         placed = mclp.new_sites(self.steps(), self.candidates()).withColumn(
             "_site", F.concat_ws("|", "region", F.col("distance_m").cast("string"), F.col("p").cast("string"))
         )
-        return spatial_join.first_polygon(placed, self.districts, "_site", "LGU", "LGU").drop("_site")
+        return spatial_join.first_polygon(placed, self.districts, "_site", "LGU", "position", keys=("province",)).drop("_site")
 
     def coverage_existing(self) -> DataFrame:
         return coverage.coverage_cells(self.existing(), self.weights(), DISTANCES, GRID)
@@ -293,8 +301,9 @@ def grid_candidates_districts(spark, sf_dir):
 
 
 def kmeans_candidates(spark, sf_dir):
-    found = sites.kmeans_candidates(fx.pixels(spark, sf_dir), n_clusters=100, grid=GRID)
-    return found.select("ID", "longitude", "latitude", F.col("cell").alias("h3_index"))
+    """A hundred centres for each region, from the pixels of its cells."""
+    found = sites.kmeans_candidates(Area(spark, sf_dir).aoi(), 100, ["region"], GRID)
+    return found.select("region", "ID", "longitude", "latitude", F.col("cell").alias("h3_index"))
 
 
 def coverage_cells(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from isoreach.functions.geometry import has_geometry, wkt_edges
 from isoreach.functions.names import with_unique_columns
 
 FINGERPRINT = "isoreach.fingerprint"
+PART = "isoreach.part."
 
 RUN_LOG_SCHEMA = T.StructType(
     [
@@ -41,7 +43,7 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def load_table(spark: SparkSession, name: str) -> DataFrame:
     if not table_exists(spark, name):
-        raise FileNotFoundError(f"Table not found: {name}")
+        raise FileNotFoundError(f"no table named {name}")
     return spark.table(name)
 
 
@@ -62,7 +64,7 @@ def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Table not found: {path}")
+        raise FileNotFoundError(f"no CSV data at {path}")
     return spark.read.schema(schema).csv(path, header=True)
 
 
@@ -101,6 +103,91 @@ def materialize(
     return spark.table(name)
 
 
+def rectangles(parts: list[tuple]) -> list[tuple[list, list]]:
+    """(first keys, second keys) whose products make up the parts: keys with equal partners share a rectangle."""
+    partners: dict = {}
+    for first, second in parts:
+        partners.setdefault(first, set()).add(second)
+    shared: dict = {}
+    for first, seconds in partners.items():
+        shared.setdefault(tuple(sorted(seconds)), []).append(first)
+    return [(sorted(firsts), list(seconds)) for seconds, firsts in sorted(shared.items())]
+
+
+def content_marks(table: DataFrame, keys: list[str]) -> dict[tuple, str]:
+    """A mark for the rows of each key: their number and the sum of their hashes, whatever their order."""
+    hashed = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in table.dtypes])
+    rows = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(hashed.cast("decimal(20,0)")).alias("h")).collect()
+    return {tuple(r[k] for k in keys): f"{r['n']}-{r['h']}" for r in rows}
+
+
+def part_marks(spark: SparkSession, name: str) -> dict[tuple, str]:
+    """The parts of a table that were completed, with their fingerprints."""
+    if not table_exists(spark, name):
+        return {}
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    held = [json.loads(bytes.fromhex(r["value"])) for r in rows if r["key"].startswith(PART)]
+    return {tuple(part): mark for part, mark in held}
+
+
+def _literal(value) -> str:
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _mark_parts(spark: SparkSession, name: str, marks: dict[tuple, str]) -> None:
+    # Part and mark travel as hexadecimal text, so that any name can be a part.
+    pairs = [f"'{PART}{fingerprint({'part': part})}' = '{json.dumps([part, mark]).encode().hex()}'" for part, mark in marks.items()]
+    if pairs:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({', '.join(pairs)})")
+
+
+def _drop_parts(spark: SparkSession, name: str, keys: tuple[str, ...], parts: list[tuple]) -> None:
+    """Take parts out of a table: the marks go first, so that a part half dropped is never taken for complete."""
+    if parts:
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ({', '.join(repr(PART + fingerprint({'part': p})) for p in parts)})")
+        specs = ", ".join("PARTITION (" + ", ".join(f"`{k}` = {_literal(v)}" for k, v in zip(keys, p, strict=True)) + ")" for p in parts)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def materialize_parts(
+    spark: SparkSession, make: Callable[[list[tuple]], DataFrame], name: str, wanted: dict[tuple, str], keys: tuple[str, ...], force: bool = False
+) -> list[tuple]:
+    """Bring table ``name``, partitioned by ``keys``, to the wanted parts (key values -> fingerprint); the parts written.
+
+    ``make(parts)`` computes the rows of some parts. Only parts that are new or whose fingerprint changed are computed and
+    written; parts not wanted any more are dropped; all others stay as they are, files included. The number of parts is
+    that of a run's regions and distances, so they are listed on the driver. A part loses its mark before it is touched and
+    gets it once its rows are written: an interrupted run leaves it unmarked, and the next run computes it. A part may be
+    empty. If the columns have changed, or no part is marked, the whole table is made anew.
+    """
+    held = {} if force else part_marks(spark, name)
+    todo = sorted(part for part, mark in wanted.items() if held.get(part) != mark)
+    fresh = make(todo) if todo and held else None
+    if not held or (fresh is not None and dict(fresh.dtypes) != dict(spark.table(name).dtypes)):
+        todo = sorted(wanted)
+        save_table(make(todo), name, partition_by=keys)
+    else:
+        _drop_parts(spark, name, keys, sorted({p for p in held if p not in wanted} | set(todo)))
+        if fresh is not None:
+            columns = [f"`{c}`" for c in spark.table(name).columns]
+            with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+                with_unique_columns(fresh).select(*columns).write.mode("overwrite").insertInto(name)
+    _mark_parts(spark, name, {part: wanted[part] for part in todo})
+    whole = fingerprint({"parts": sorted(map(list, part_marks(spark, name).items()), key=str)})
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{FINGERPRINT}' = '{whole}')")
+    return todo
+
+
 def log_run(spark: SparkSession, log_table: str, table_name: str, combos: DataFrame) -> None:
     """Append one row per combination written to ``table_name`` now."""
     entries = combos.select(

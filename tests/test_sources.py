@@ -212,3 +212,113 @@ def test_pipeline(spark, tmp_path):
     changed = {k for k, mark in marks().items() if mark != before[k]}
     assert changed == {"health_facilities", "facilities_h3", "covered_cells", "access_summary", "facilities_coverage", "mclp_steps", "lgu_access", "lgu_accessibility_results", "base_dashboard_data"}
     assert again.table("facilities_h3").filter("ID = '7_current'").count() > 0
+
+def test_parts_are_computed_and_written_alone(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS parts")
+    asked = []
+
+    def make(parts):
+        asked.append(parts)
+        return spark.createDataFrame([(v, region, d) for region, d in parts for v in range(d) if region != "empty"], "v long, region string, distance_m int")
+
+    def bring(wanted, **options):
+        written = tables.materialize_parts(spark, make, "parts.t", wanted, ("region", "distance_m"), **options)
+        assert {tuple(r) for r in spark.table("parts.t").select("v", "region", "distance_m").collect()} == {(v, region, d) for region, d in wanted for v in range(d) if region != "empty"}
+        assert tables.part_marks(spark, "parts.t") == wanted
+        return written
+
+    files = lambda part: sorted(f for f in spark.table("parts.t").inputFiles() if part in f)
+    first = {("Côte d'Or", 2): "a", ("N\\x", 3): "b", ("empty", 2): "c"}
+    assert bring(first) == sorted(first)
+    held = files("distance_m=2")
+    assert bring(first) == [] and len(asked) == 1
+    # Another distance for one region, then a changed part: only they are computed, and the files of others stay.
+    assert bring({**first, ("N\\x", 5): "d"}) == [("N\\x", 5)] == asked[-1]
+    assert files("distance_m=2") == held
+    assert bring({**first, ("N\\x", 5): "e"}) == [("N\\x", 5)] and files("distance_m=2") == held
+    # A part that is not wanted any more goes; what an interrupted run left behind is not taken for a result.
+    assert bring(first) == [] and not files("distance_m=5")
+    tables._drop_parts(spark, "parts.t", ("region", "distance_m"), [("empty", 2)])
+    spark.sql("INSERT INTO parts.t PARTITION (region='empty', distance_m=2) VALUES (77)")
+    assert bring(first) == [("empty", 2)]
+    assert bring(first, force=True) == sorted(first)
+    # Other columns: everything anew.
+    plain_make = make
+    wider = lambda parts: plain_make(parts).withColumn("w", F.lit(1))
+    assert tables.materialize_parts(spark, wider, "parts.t", {**first, ("Z", 1): "z"}, ("region", "distance_m")) == sorted([*first, ("Z", 1)])
+    assert spark.table("parts.t").filter("w = 1").count() == 6
+
+
+def test_rectangles():
+    assert tables.rectangles([("a", 1), ("a", 2), ("b", 1), ("c", 2), ("c", 1)]) == [(["b"], [1]), (["a", "c"], [1, 2])]
+    assert tables.rectangles([]) == []
+
+
+def test_content_marks(spark):
+    rows = [("a", 1, {"k": "v"}), ("a", 2, None), ("b", 1, {})]
+    schema = "region string, n int, m map<string,string>"
+    one = tables.content_marks(spark.createDataFrame(rows, schema).repartition(3), ["region"])
+    two = tables.content_marks(spark.createDataFrame(rows[::-1], schema), ["region"])
+    other = tables.content_marks(spark.createDataFrame([*rows, rows[0]], schema), ["region"])
+    assert one == two and one[("a",)] != other[("a",)] and one[("b",)] == other[("b",)]
+
+
+def test_pipeline_adds_a_distance_and_a_province(spark, tmp_path):
+    """Only the new parts are computed and written, and the tables are those of a run from nothing."""
+    iso = {"ISO_A3": "ADD", "NAM_0": "Addland"}
+    write(tmp_path / "wb_admin0.geojson", [feature(iso, "Polygon", square(20.0, -10.0, 2.0, 1.0))])
+    write(tmp_path / "wb_admin1.geojson", [feature({**iso, "NAM_1": n}, "Polygon", square(20.0 + i, -10.0)) for i, n in enumerate(["East", "O'West"])])
+    # The same district name in two provinces, the later one first in the file.
+    write(tmp_path / "wb_admin2.geojson", [feature({**iso, "NAM_1": p, "NAM_2": d}, "Polygon", square(20.0 + i, -10.0)) for i, (p, d) in [(1, ("O'West", "Same")), (0, ("East", "Same"))]])
+    (tmp_path / "osm.json").write_text(json.dumps({"elements": [{"id": 5, "lat": -9.55, "lon": 20.22, "tags": {"name": "H"}}, {"id": 6, "lat": -9.5, "lon": 21.5, "tags": {}}]}))
+    tiles = spark.createDataFrame([(r * 8, c * 8, 8, [float((7 * r + 3 * c + i) % 5) for i in range(64)]) for r in range(5) for c in range(10)], raster.TILE_SCHEMA)
+
+    def go(database, **changes):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        run = Pipeline(spark, replace(Settings(database, "Addland", "ADD", resolution=6, ref_lat=-9.5, distances_m=(5000, 20000), spacing=0.3, max_new=3, provinces=("East",)), **changes))
+        run.extract_population(tiles, 20.0, -9.0, 0.025, -0.025)
+        run.extract_boundaries(str(tmp_path))
+        run.extract_facilities("osm", str(tmp_path / "osm.json"))
+        run.run()
+        return run
+
+    by_part = ("facilities_h3", "potential_locations", "covered_cells", "access_summary", "mclp_steps", "lgu_access", "lgu_accessibility_results")
+    first = go("adds")
+    assert all(len(first.written[k]) == 4 for k in by_part)
+    files = {k: set(first.table(k).inputFiles()) for k in by_part}
+    wider = go("adds", distances_m=(5000, 10000, 20000))
+    assert all(wider.written[k] == [("Country", 10000), ("East", 10000)] for k in by_part) and not wider.written["population_cells"] and not wider.written["candidates"]
+    more = go("adds", distances_m=(5000, 10000, 20000), provinces=("East", "O'West"))
+    assert all(more.written[k] == [("O'West", d) for d in (5000, 10000, 20000)] for k in by_part)
+    assert more.written["population_cells"] == more.written["candidates"] == more.written["health_facilities"] == [("O'West",)]
+    assert all(files[k] <= set(more.table(k).inputFiles()) for k in by_part)
+    whole = go("addsfresh", distances_m=(5000, 10000, 20000), provinces=("East", "O'West"))
+    for k in (*by_part, "population_cells", "health_facilities", "candidates", "base_dashboard_data"):
+        columns = whole.table(k).columns
+        assert sorted(map(str, more.table(k).select(*columns).collect())) == sorted(map(str, whole.table(k).collect())), k
+    log = more.table("run_log").filter("table_name = 'lgu_accessibility_results'")
+    assert log.count() == 4 + 2 + 3
+    # A facility in the east concerns the country and the east.
+    (tmp_path / "osm.json").write_text(json.dumps({"elements": [{"id": 5, "lat": -9.55, "lon": 20.22, "tags": {"name": "H"}}, {"id": 6, "lat": -9.5, "lon": 21.5, "tags": {}}, {"id": 7, "lat": -9.2, "lon": 20.8, "tags": {}}]}))
+    moved = go("adds", distances_m=(5000, 10000, 20000), provinces=("East", "O'West"))
+    assert moved.written["covered_cells"] == [(r, d) for r in ("Country", "East") for d in (5000, 10000, 20000)] and not moved.written["potential_locations"]
+    # Fewer distances: the other parts go, nothing is computed.
+    fewer = go("adds", distances_m=(5000,), provinces=("East", "O'West"))
+    assert not any(fewer.written.values()) and {r[0] for r in fewer.table("access_summary").select("distance_m").collect()} == {5000}
+
+
+def test_pipeline_with_clusters(spark, tmp_path):
+    """Candidates of all regions from one clustering."""
+    iso = {"ISO_A3": "KMS", "NAM_0": "K"}
+    write(tmp_path / "wb_admin0.geojson", [feature(iso, "Polygon", square(20.0, -10.0, 2.0, 1.0))])
+    write(tmp_path / "wb_admin1.geojson", [feature({**iso, "NAM_1": n}, "Polygon", square(20.0 + i, -10.0)) for i, n in enumerate(["East", "West"])])
+    write(tmp_path / "wb_admin2.geojson", [feature({**iso, "NAM_1": "East", "NAM_2": "D"}, "Polygon", square(20.0, -10.0, 2.0, 1.0))])
+    tiles = spark.createDataFrame([(r * 8, c * 8, 8, [1.0] * 64) for r in range(5) for c in range(10)], raster.TILE_SCHEMA)
+    spark.sql("CREATE DATABASE IF NOT EXISTS kms")
+    run = Pipeline(spark, Settings("kms", "K", "KMS", resolution=6, ref_lat=-9.5, potential_type="kmeans", n_clusters=9))
+    run.extract_population(tiles, 20.0, -9.0, 0.025, -0.025)
+    run.extract_boundaries(str(tmp_path))
+    run.prepare()
+    found = run.table("candidates").groupBy("region").agg(F.count("*").alias("n"), F.min("longitude").alias("lo"), F.max("longitude").alias("hi")).collect()
+    assert {r["region"]: r["n"] for r in found} == {"Country": 9, "East": 9, "West": 9}
+    assert all(20.0 < r["lo"] < r["hi"] < 22.0 for r in found) and next(r for r in found if r["region"] == "West")["lo"] > 21.0
