@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from isoreach.functions.geometry import point_wkt
 from isoreach.functions.hexgrid import HexGrid
-from isoreach.operators.joins import Workspace, lookup_join
+from isoreach.operators.joins import lookup_join
 from isoreach.operators.polyfill import with_polygon
+from isoreach.operators.quantiles import exact_quantiles
 
 # People are summed as whole millionths, so sums are exact and do not depend on task order.
 MICRO = 1_000_000
@@ -61,21 +62,24 @@ def clip_population(pixels: DataFrame, regions: DataFrame, grid: HexGrid, cell:
     return with_polygon(pixels, regions, ["region"], grid, cell)
 
 
-def density_bands(pixels: DataFrame, group: str = "region", accuracy: int = 100_000) -> DataFrame:
-    """Add ``opacity`` 0.1 / 0.3 / 0.6 / 1.0 by quartile of population within the group.
+# Shares of the pixels that bound the bands, and the opacity of each band.
+BAND_SHARES = (0.25, 0.5, 0.75)
+BAND_OPACITY = (0.1, 0.3, 0.6, 1.0)
 
-    The quartiles come from one mergeable sketch per group (rank error 1/accuracy), computed now and
-    stored, so that the pixels are not scanned again to find out how many groups there are.
+
+def density_bands(pixels: DataFrame, group: str = "region") -> DataFrame:
+    """Add ``opacity`` by quartile of population within the group: exact, whatever the number of pixels.
+
+    The bounds are found by ``exact_quantiles``, which reads ``pixels`` a few times, so they should be stored. A
+    population that is null or no number gets the last band.
     """
-    quartiles = Workspace(pixels.sparkSession).save(
-        pixels.groupBy(group).agg(F.percentile_approx("population", [0.25, 0.5, 0.75], accuracy).alias("_t")), "quartiles"
-    )
-    banded = lookup_join(pixels, quartiles, [group])
-    p, t = F.col("population"), F.col("_t")
-    return banded.withColumn(
-        "opacity",
-        F.when(p <= t[0], F.lit(0.1)).when(p <= t[1], F.lit(0.3)).when(p <= t[2], F.lit(0.6)).otherwise(F.lit(1.0)),
-    ).drop("_t")
+    found = exact_quantiles(pixels, [group], "population", list(BAND_SHARES))
+    bounds = found.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("q", "quantile"))).alias("_t"))
+    banded = lookup_join(pixels, bounds, [group], "left")
+    band = F.lit(BAND_OPACITY[-1])
+    for i in reversed(range(len(BAND_SHARES))):
+        band = F.when(F.col("population") <= F.col("_t")[i]["quantile"], F.lit(BAND_OPACITY[i])).otherwise(band)
+    return banded.withColumn("opacity", band).drop("_t")
 
 
 def pixel_ids(pixels: DataFrame, key: Column) -> DataFrame:

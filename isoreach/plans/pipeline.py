@@ -18,6 +18,7 @@ from isoreach.functions import names
 from isoreach.functions.hexgrid import HexGrid
 from isoreach.operators import coverage, equity, layers, mclp, population, sites, spatial_join
 from isoreach.operators.coverage import COMBO
+from isoreach.operators.joins import Workspace
 from isoreach.sources import features, raster, tables
 
 
@@ -181,7 +182,8 @@ class Pipeline:
 
         def aoi(regions: list[str], _) -> DataFrame:
             clipped = population.clip_population(pixels, self._of("boundaries", regions), grid)
-            return population.pixel_ids(population.density_bands(clipped), F.col("key"))
+            stored = Workspace(self.spark).save(clipped, "clipped")  # the bands read it more than once
+            return population.pixel_ids(population.density_bands(stored), F.col("key"))
 
         def candidates(regions: list[str], _) -> DataFrame:
             if s.potential_type == "grid":

@@ -1,6 +1,7 @@
 """Operators on hand-made inputs, against brute force where SQL is not the judge."""
 
 import itertools
+import math
 import random
 
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from isoreach.functions.geometry import edges_contain, wkt_edges
 from isoreach.functions.hexgrid import OFFSET, Q_SHIFT, HexGrid, hex_distance_int
-from isoreach.operators import coverage, equity, joins, layers, mclp, polyfill, population, sites, spatial_join
+from isoreach.operators import coverage, equity, joins, layers, mclp, polyfill, population, quantiles, sites, spatial_join
+from isoreach.plans import fixtures, queries
 
 GRID = HexGrid(5, -13.0)
 
@@ -148,9 +150,31 @@ def test_density_bands(spark):
     sizes = {r["opacity"]: r["count"] for r in counts}
     assert sizes == {0.1: 25, 0.3: 25, 0.6: 25, 1.0: 25}
     many = spark.range(20_000).selectExpr("'R' AS region", "CAST((id * 7919) % 20011 AS DOUBLE) AS population")
-    rough = {r["opacity"]: r["count"] for r in population.density_bands(many, accuracy=100).groupBy("opacity").count().collect()}
-    # Each limit is off by at most 1/100 of the ranks, each band lies between two.
-    assert all(abs(n - 5_000) <= 2 * 200 for n in rough.values())
+    exact = {r["opacity"]: r["count"] for r in population.density_bands(many).groupBy("opacity").count().collect()}
+    assert exact == {0.1: 5_000, 0.3: 5_000, 0.6: 5_000, 1.0: 5_000}
+
+
+@pytest.mark.parametrize("buckets", [16, 4096])
+def test_quantiles_are_exact(spark, buckets):
+    rng = random.Random(5)
+    values = {
+        "even": [rng.uniform(0, 1) for _ in range(500)], "ties": [float(rng.randint(0, 3)) for _ in range(300)], "wide": [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in range(200)],
+        "one": [7.5], "same": [2.0] * 50, "zero": [0.0, -0.0, 0.0], "ends": [-1.7e308, 1.7e308, 0.0], "close": [1.0 + i * 2.0**-52 for i in range(40)],
+    }
+    rows = [(g, v) for g, vs in values.items() for v in vs] + [("even", None), ("even", float("nan")), ("even", float("inf")), ("none", None)]
+    table = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    shares = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = {(r["g"], r["q"]): r["quantile"] for r in quantiles.exact_quantiles(table, ["g"], "v", shares, buckets).collect()}
+    assert got == {(g, i): sorted(vs)[max(math.ceil(s * len(vs)), 1) - 1] for g, vs in values.items() for i, s in enumerate(shares)}
+    assert quantiles.exact_quantiles(table.limit(0), ["g"], "v", shares).count() == 0
+
+
+def test_polygon_join_scans_stored_cells(spark):
+    """The scan filter of the pixel side holds no cell formula: it would run outside of compiled code."""
+    area = queries.Area(spark, "/root/testdata/sf0.001")
+    plan = population.clip_population(area.pixels, area.regions, fixtures.GRID)._jdf.queryExecution().toString()
+    scan = [line for line in plan.splitlines() if "h3_index" in line and "Filter" in line]
+    assert scan and not any("FLOOR" in line.upper() for line in scan)
 
 
 def test_totals(spark):
