@@ -1,16 +1,13 @@
-"""Exact point-in-polygon joins as equi-joins on tiles."""
+"""Exact point-in-polygon joins as equi-joins on the leaves of an adaptive index."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isoreach.functions.geometry import on_edge, polygon_edges, ray_crosses
-from isoreach.operators.joins import lookup_join
-
-
-def _tile(v: Column, size: float) -> Column:
-    return F.floor(v / F.lit(size)).cast("long")
+from isoreach.functions.geometry import on_edge, polygon_edges
+from isoreach.operators.joins import Workspace, lookup_join
+from isoreach.operators.quadtree import MAX_TESTS, QuadTree, changes
 
 
 def points_in_polygons(
@@ -22,48 +19,34 @@ def points_in_polygons(
     lat: str = "lat",
     wkt: str = "geometry_wkt",
     boundary: str = "strict",
-    tile: float = 0.25,
+    max_tests: int = MAX_TESTS,
 ) -> DataFrame:
     """(point_id, polygon_keys) for every polygon that contains the point.
 
-    A polygon claims, per band of latitude, the tiles between its westernmost and easternmost edge in
-    the band; a point only meets polygons claiming its tile. The exact test counts crossings with the
-    edges of that polygon in that band, so long coastlines are never scanned whole. ``boundary`` is
-    strict (points on an edge do not count), half_open (tilings match exactly once) or inclusive.
-    Equal (point, polygon) keys are one row.
+    A quadtree splits where points times edges exceed ``max_tests``. A point meets the polygons that claim its leaf: those
+    that hold the leaf whole at once, others by their edges in the leaf, so long coastlines are never scanned. Points stay
+    where they are while the claims and their edges fit a broadcast; beyond it leaves with many points are split.
+    ``boundary`` is strict (points on an edge do not count), half_open (tilings match exactly once) or inclusive. Equal
+    (point, polygon) keys are one row; points without coordinates match nothing.
     """
-    edges = polygon_edges(polygons, polygon_keys, wkt).withColumn(
-        "_ty", F.explode(F.sequence(_tile(F.col("y1"), tile), _tile(F.col("y2"), tile)))
-    )
-    spans = edges.groupBy(*polygon_keys, "_ty").agg(
-        _tile(F.min(F.least("x1", "x2")), tile).alias("_lo"),
-        _tile(F.max(F.greatest("x1", "x2")), tile).alias("_hi"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    sizes = spans.agg(F.sum(F.col("_hi") - F.col("_lo") + 1).alias("claims"), F.sum("_n").alias("edges")).first()
-    claims = spans.withColumn("_tx", F.explode(F.sequence("_lo", "_hi"))).select(*polygon_keys, "_ty", "_tx")
-    located = (
-        points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-        .select(F.col(point_id), F.col(lon).alias("_px"), F.col(lat).alias("_py"))
-        .withColumn("_tx", _tile(F.col("_px"), tile))
-        .withColumn("_ty", _tile(F.col("_py"), tile))
-    )
-    pairs = lookup_join(located, claims, ["_ty", "_tx"], max_rows=sizes["claims"] or 0)
-    ends = (F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))
+    work = Workspace(points.sparkSession)
+    edges = work.save(polygon_edges(polygons, polygon_keys, wkt), "edges")
+    spots = points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(F.col(point_id), F.col(lon).alias("_px"), F.col(lat).alias("_py"))
+    tree = QuadTree(edges, polygon_keys, spots, work, max_tests)
+    pairs = lookup_join(tree.located(spots), tree.claims, ["_leaf"])
+    whole = pairs.filter("_local = 0").select(point_id, *polygon_keys)
+    at = F.col("_px"), F.col("_py")
     tested = (
-        lookup_join(pairs, edges, [*polygon_keys, "_ty"], max_rows=sizes["edges"] or 0)
-        .withColumn("_cross", ray_crosses(F.col("_px"), F.col("_py"), *ends))
-        .withColumn("_touch", on_edge(F.col("_px"), F.col("_py"), *ends))
-        .filter(F.col("_cross") | F.col("_touch"))
-        .groupBy(point_id, *polygon_keys)
-        .agg((F.count_if("_cross") % 2 == 1).alias("_odd"), F.bool_or("_touch").alias("_edge"))
+        lookup_join(pairs.filter("_local > 0"), tree.leaf_edges, [*polygon_keys, "_leaf"])
+        .withColumn("_change", changes(*at, F.col("_bx"), F.col("_by")))
+        .withColumn("_touch", on_edge(*at, *map(F.col, ("x1", "y1", "x2", "y2"))))
+        .groupBy(point_id, *polygon_keys, "_px", "_py", "_inside", "_local")
+        # Each copy of a repeated point has met all edges of the leaf.
+        .agg(F.expr("count_if(_change) DIV (count(1) DIV _local) % 2 = 1").alias("_odd"), F.bool_or("_touch").alias("_edge"))
     )
-    keep = {
-        "strict": F.col("_odd") & ~F.col("_edge"),
-        "half_open": F.col("_odd"),
-        "inclusive": F.col("_odd") | F.col("_edge"),
-    }[boundary]
-    return tested.filter(keep).select(point_id, *polygon_keys)
+    within = F.col("_odd") != F.col("_inside")
+    keep = {"strict": within & ~F.col("_edge"), "half_open": within, "inclusive": within | F.col("_edge")}[boundary]
+    return whole.unionByName(tested.filter(keep).select(point_id, *polygon_keys)).distinct()
 
 
 def first_polygon(

@@ -193,7 +193,7 @@ def grid_candidates_parcels(spark, sf_dir):
 def pixels_in_parcels(spark, sf_dir):
     """Spatial join of pixels with parcels; a pixel may lie in several."""
     points = fx.pixels(spark, sf_dir).select(F.col("key").alias("pixel"), "xcoord", "ycoord")
-    return spatial_join.points_in_polygons(points, fx.parcels(spark, sf_dir), "pixel", ["key"], "xcoord", "ycoord", tile=0.05)
+    return spatial_join.points_in_polygons(points, fx.parcels(spark, sf_dir), "pixel", ["key"], "xcoord", "ycoord")
 
 
 def boundary_centroid(spark, sf_dir):

@@ -7,9 +7,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from isoreach.functions.geometry import edges_contain, wkt_edges
+from isoreach.functions.geometry import edges_contain, polygon_edges, wkt_edges
 from isoreach.functions.hexgrid import OFFSET, Q_SHIFT, HexGrid, hex_distance_int
-from isoreach.operators import coverage, equity, joins, layers, mclp, polyfill, population, quantiles, sites, spatial_join
+from isoreach.operators import coverage, equity, joins, layers, mclp, polyfill, population, quadtree, quantiles, sites, spatial_join
 from isoreach.plans import fixtures, queries
 
 GRID = HexGrid(5, -13.0)
@@ -216,19 +216,54 @@ def test_pixels_of_a_large_area_stay_in_place(spark):
     assert got.exceptAll(expected).count() == 0 == expected.exceptAll(got).count() and got.count() > 0
 
 
-@pytest.mark.parametrize("boundary", ["strict", "half_open", "inclusive"])
-def test_spatial_join_matches_ray_cast(spark, boundary):
+@pytest.mark.parametrize(("boundary", "max_tests"), [("strict", 20), ("half_open", 1_000_000), ("inclusive", 20)])
+def test_spatial_join_matches_ray_cast(spark, boundary, max_tests):
     rng = random.Random(5)
     # Lattice points hit edges and corners exactly.
     spots = [(i, rng.choice([24.0, 25.5, 26.0, 26.5, rng.uniform(24, 29)]), rng.choice([-13.0, -12.0, rng.uniform(-15, -10)])) for i in range(400)]
     points = spark.createDataFrame(spots, "id int, lon double, lat double")
     shapes = spark.createDataFrame([("a", RING), ("b", "POLYGON ((24 -13, 26 -13, 26 -12, 24 -12, 24 -13))")], "name string, geometry_wkt string")
-    got = spatial_join.points_in_polygons(points, shapes, "id", ["name"], boundary=boundary)
+    got = spatial_join.points_in_polygons(points, shapes, "id", ["name"], boundary=boundary, max_tests=max_tests)
     pairs = points.crossJoin(shapes.select("name", wkt_edges().alias("e")))
     expected = pairs.filter(edges_contain(F.col("e"), F.col("lon"), F.col("lat"), boundary)).select("id", "name")
     assert got.exceptAll(expected).count() == 0 == expected.exceptAll(got).count()
 
 
+def test_crowded_coast_is_split(spark):
+    """Most points along a dense coastline on a small part of the extent: leaves there become small, results stay exact."""
+    rng = random.Random(8)
+    coast = [(10 + 2 * i / 3000 + rng.uniform(0, 2e-4), 5 + rng.uniform(0, 0.02)) for i in range(3000)]
+    ring = [*coast, (12.5, 40.0), (60.0, 50.0), (9.0, 55.0), (9.5, 6.0)]
+    text = lambda pts: "(" + ", ".join(f"{x!r} {y!r}" for x, y in [*pts, pts[0]]) + ")"
+    shapes = [("land", f"POLYGON ({text(ring)}, {text([(20.0, 30.0), (21.0, 30.0), (21.0, 31.0)])})"), ("other", "MULTIPOLYGON (((11 4, 12 4, 12 6, 11 6, 11 4)), ((40 40, 41 40, 41 41, 40 41, 40 40)))")]
+    shapes = spark.createDataFrame(shapes, "name string, geometry_wkt string")
+    spots = [(i, 10 + 2 * rng.random(), 5 + 0.025 * rng.random()) for i in range(4000)] + [(4000 + i, rng.uniform(5, 65), rng.uniform(0, 60)) for i in range(500)]
+    spots += [(5000 + i, *rng.choice(coast)) for i in range(50)] + [(6000, 20.5, 30.2), (6001, None, 1.0), (6000, 20.5, 30.2)]
+    points = spark.createDataFrame(spots, "id int, lon double, lat double").repartition(4)
+    work = joins.Workspace(spark)
+    edges = work.save(polygon_edges(shapes, ["name"]), "edges")
+    located = points.dropna().select("id", F.col("lon").alias("_px"), F.col("lat").alias("_py"))
+    tree = quadtree.QuadTree(edges, ["name"], located, work, max_tests=20_000)
+    leaves = tree.leaves.collect()
+    assert max(r["_points"] * r["_edges"] for r in leaves if r["_level"] < quadtree.LEVELS) <= 20_000 < 4000 * 3000
+    assert {r["_level"] for r in leaves} >= {1, 3} and sum(r["_points"] for r in leaves) == len(spots) - 1
+    got = spatial_join.points_in_polygons(points, shapes, "id", ["name"], max_tests=20_000)
+    pairs = points.distinct().crossJoin(shapes.select("name", wkt_edges().alias("e")))
+    expected = pairs.filter(edges_contain(F.col("e"), F.col("lon"), F.col("lat"), "strict")).select("id", "name")
+    assert got.exceptAll(expected).count() == 0 == expected.exceptAll(got).count() and got.count() > 1500
+    assert spatial_join.points_in_polygons(points.limit(0), shapes, "id", ["name"]).count() == 0
+    assert spatial_join.points_in_polygons(points, shapes.limit(0), "id", ["name"]).count() == 0
+
+
+def test_equal_names_in_two_provinces(spark):
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 0.5)], "id int, lon double, lat double")
+    shapes = spark.createDataFrame([("P", "Same", 5, "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))"), ("Q", "Same", 3, "POLYGON ((0 0, 2 0, 2 1, 0 1, 0 0))")], "province string, LGU string, position int, geometry_wkt string")
+    both = spatial_join.points_in_polygons(points, shapes, "id", ["province", "LGU"])
+    assert sorted(map(tuple, both.collect())) == [(1, "P", "Same"), (1, "Q", "Same"), (2, "Q", "Same")]
+    first = spatial_join.first_polygon(points, shapes, "id", "province", "position", keys=("LGU",))
+    assert {r["id"]: r["district"] for r in first.collect()} == {1: "Q", 2: "Q"}
+
+
 def test_first_polygon_and_unmatched(spark):
     points = spark.createDataFrame([(1, 24.5, -12.5), (2, 50.0, 50.0), (3, None, -12.0)], "id int, lon double, lat double")
     shapes = spark.createDataFrame([("z", 0, "POLYGON ((24 -13, 26 -13, 26 -12, 24 -12, 24 -13))"), ("a", 1, "POLYGON ((24 -13, 26 -13, 26 -12, 24 -12, 24 -13))")], "LGU string, pos int, geometry_wkt string")
