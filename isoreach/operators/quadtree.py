@@ -1,6 +1,6 @@
 """An adaptive index for points in polygons: a quadtree whose leaves bound the edges a point is tested with.
 
-The extent of all polygons is cut into 8 x 8 cells; a cell where points times edges exceed a bound is cut into 8 x 8
+Where points times edges exceed a bound, the extent of all polygons is cut into 8 x 8 cells, such a cell into 8 x 8
 again, down to 4,096 cells to a side. Cells where points crowd along a dense coastline become small, empty sea stays large.
 The rounds count and write tables, the driver only hears whether any cell is still too full.
 
@@ -91,21 +91,35 @@ class QuadTree:
         }
         sides = edges.withColumns(ranges)
         boxes = sides.groupBy(*keys).agg(F.min("_c0").alias("_c0"), F.max("_c1").alias("_c1"), F.min("_r0").alias("_r0"), F.max("_r1").alias("_r1"))
-        counts = work.save(
-            points.select(f.column(F.col("_px")).alias("_pc"), f.row(F.col("_py")).alias("_pr")).groupBy("_pc", "_pr").agg(F.count(F.lit(1)).alias("_n")), "points"
-        )
-        self.levels: list[int] = []
+        n_points, n_edges = points.count(), edges.count()
+        if n_points * n_edges <= max_tests:
+            # The root is a leaf: nothing has to be counted.
+            root = [t.withColumn("_leaf", leaf_code(0, F.col("_c0"), F.col("_r0"))) for t in (sides, boxes)]
+            one = edges.sparkSession.range(1).select(F.lit(0).cast("long").alias("_leaf"), F.lit(n_points).alias("_points"), F.lit(n_edges).alias("_edges"))
+            self.levels, leaves = [0], [one.withColumn("_level", F.lit(0))]
+            leaf_edges, leaf_boxes = [root[0].select(*keys, "x1", "y1", "x2", "y2", "_leaf")], [root[1].select(*keys, "_leaf", "_c0", "_r0").withColumn("_level", F.lit(0))]
+        else:
+            leaves, leaf_edges, leaf_boxes = self._split(sides, boxes, points)
+        union = lambda tables: reduce(DataFrame.unionByName, tables)
+        self.leaves, self.leaf_edges = union(leaves), union(leaf_edges)
+        self.claims = work.save(self._claims(union(leaf_boxes)), "claims")
+
+    def _split(self, sides: DataFrame, boxes: DataFrame, points: DataFrame) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame]]:
+        """Leaves of each level with their edges and the boxes of polygons that meet them."""
+        f, keys, work = self.frame, self.keys, self.work
+        placed = points.select(f.column(F.col("_px")).alias("_pc"), f.row(F.col("_py")).alias("_pr"))
+        counts = work.save(placed.groupBy("_pc", "_pr").agg(F.count(F.lit(1)).alias("_n")), "points")
+        code = lambda level: leaf_code(level, F.col("_pc"), F.col("_pr"))
+        self.levels, full = [], None
         leaves, leaf_edges, leaf_boxes = [], [], []
         for level in range(1, LEVELS + 1):
             sides, boxes = _touched(sides, level), _touched(boxes, level)
-            here = counts.groupBy(leaf_code(level, F.col("_pc"), F.col("_pr")).alias("_leaf")).agg(F.sum("_n").alias("_points"))
             # Only cells with points are looked at, and of those only what the level above has left.
-            if level > 1:
-                above = counts.join(F.broadcast(full) if self._few(full) else full, leaf_code(level - 1, F.col("_pc"), F.col("_pr")) == F.col("_leaf"), "left_semi")
-                here = above.groupBy(leaf_code(level, F.col("_pc"), F.col("_pr")).alias("_leaf")).agg(F.sum("_n").alias("_points"))
+            seen = counts if full is None else lookup_join(counts.withColumn("_leaf", code(level - 1)), full, ["_leaf"], "left_semi", skewed=False)
+            here = seen.groupBy(code(level).alias("_leaf")).agg(F.sum("_n").alias("_points"))
             met = sides.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_edges"))
             stats = work.save(here.join(met, "_leaf", "left").fillna(0, ["_edges"]), f"cells-{level}")
-            over = F.col("_points") * F.col("_edges") > max_tests if level < LEVELS else F.lit(False)
+            over = F.col("_points") * F.col("_edges") > self.max_tests if level < LEVELS else F.lit(False)
             full, done = stats.filter(over).select("_leaf"), stats.filter(~over)
             kept = done.select("_leaf")
             self.levels.append(level)
@@ -115,13 +129,7 @@ class QuadTree:
             if level == LEVELS or full.isEmpty():
                 break
             sides, boxes = (work.save(lookup_join(t, full, ["_leaf"], "left_semi", skewed=False).drop("_leaf"), f"{name}-open-{level}") for t, name in ((sides, "edges"), (boxes, "boxes")))
-        union = lambda tables: reduce(DataFrame.unionByName, tables)
-        self.leaves, self.leaf_edges = union(leaves), union(leaf_edges)
-        self.claims = work.save(self._claims(union(leaf_boxes)), "claims")
-
-    @staticmethod
-    def _few(codes: DataFrame) -> bool:
-        return codes.limit(1_000_001).count() <= 1_000_000
+        return leaves, leaf_edges, leaf_boxes
 
     def _claims(self, boxes: DataFrame) -> DataFrame:
         """(keys, _leaf, _bx, _by, _inside, _local): right and lower side of the leaf, whether the polygon holds the corner,

@@ -55,9 +55,9 @@ class Area:
         return self._once("districts", lambda: fx.districts(self.spark, self.sf_dir).coalesce(1))
 
     def weights(self) -> DataFrame:
-        """Pixels are summed to cells before any join, so they need not be stored for this."""
-        pixels = self._stored.get("pixels", self._pixels)
-        return self._once("weights", lambda: population.population_by_region_cell(pixels, self.regions, GRID))
+        """Pixels are summed to cells, and these are stored before polygons are joined, for the same reason."""
+        cells = self._once("cells", lambda: population.population_by_cell(self._pixels))
+        return self._once("weights", lambda: polyfill.with_polygon(cells, self.regions, ["region"], GRID).select("region", "cell", "w", "pixels"))
 
     def aoi(self) -> DataFrame:
         clipped = lambda: population.clip_population(self.pixels, self.regions, GRID)
