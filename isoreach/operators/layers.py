@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isoreach.functions.geometry import area_moments, has_geometry, polygon_body
+from isoreach.functions.geometry import area_moments, has_geometry
 from isoreach.functions.names import pct
 from isoreach.operators.coverage import COMBO
+from isoreach.operators.dissolve import outline, outline_wkt
 from isoreach.operators.joins import Workspace, lookup_join
 
 
@@ -120,15 +121,6 @@ def boundary_centers(boundaries: DataFrame, keys: list[str], wkt: str = "geometr
     )
 
 
-def union_wkt(boundaries: DataFrame, keys: list[str], order: list[str], wkt: str = "geometry_wkt") -> DataFrame:
-    """All polygons of a key as one MULTIPOLYGON text (not dissolved). As long as the key's boundary file."""
-    parts = boundaries.filter(has_geometry(F.col(wkt))).select(*keys, F.struct(*order, polygon_body(F.col(wkt)).alias("_body")).alias("_s"))
-    bodies = F.transform(F.array_sort(F.collect_list("_s")), lambda s: s["_body"])
-    return parts.groupBy(*keys).agg(
-        F.concat(F.lit("MULTIPOLYGON ("), F.array_join(bodies, ", "), F.lit(")")).alias("geometry_wkt")
-    )
-
-
 def dashboard_metadata(
     steps: DataFrame, summary: DataFrame, regions: DataFrame, districts: DataFrame, country: str, year: int, country_region: str = "Country"
 ) -> DataFrame:
@@ -136,9 +128,9 @@ def dashboard_metadata(
 
     ``current_access`` is the rate after the first new site and ``total_new_facilities`` the steps less
     one, as existing dashboards expect; ``baseline_access`` and ``steps`` are the plain numbers. Centre and
-    geometry are those of the whole country.
+    geometry are those of the whole country; the geometry is the outline of its districts.
     """
-    geometry = boundary_centers(districts, ["iso3"]).join(union_wkt(districts, ["iso3"], ["province", "LGU"]), "iso3")
+    geometry = boundary_centers(districts, ["iso3"]).join(outline_wkt(outline(districts, ["iso3"]), ["iso3"]), "iso3")
     run = steps.groupBy(*COMBO).agg(F.max("p").cast("int").alias("steps"), F.min_by("objective", "p").alias("_first"))
     return (
         run.join(summary, COMBO)

@@ -216,6 +216,16 @@ CTES["steps"] = """SELECT p.region, p.distance_m, p.p, p.ID AS facility_id, c.ce
 CTES["located"] = f"""SELECT s.*, (SELECT arg_max(LGU, n) FROM (SELECT n, LGU FROM {{dedge}} e
       WHERE {crosses('s.lon', 's.lat')} OR {touches('s.lon', 's.lat')} GROUP BY n, LGU
       HAVING count(*) FILTER ({crosses('s.lon', 's.lat')}) % 2 = 1 AND NOT bool_or({touches('s.lon', 's.lat')}))) AS district FROM {{steps}} s"""
+# Corners of the outline of lattice rows a..b, counterclockwise from the south-west; both outlines have one ring.
+def _outline(name: str, key: str, rows: str) -> str:
+    x, y = vertex("i", "j")
+    sides = [("unnest(range(0, 5))", "lo", "i"), ("5", "unnest(range(lo, hi))", "5 + j - lo"), ("unnest(range(1, 6))", "hi", "10 + hi - lo - i"), ("0", "unnest(range(lo + 1, hi + 1))", "10 + 2 * (hi - lo) - (j - lo)")]
+    parts = " UNION ALL ".join(f"SELECT {key}, i, j, {seq} AS s FROM (SELECT {key}, lo, hi, {i} AS i, {j} AS j FROM ({rows}))" for i, j, seq in sides)
+    return f"SELECT {key}, 1 AS ring, s + 1 AS seq, {x} AS x, {y} AS y, false AS hole FROM ({parts})"
+
+
+CTES["coutline"] = _outline("country", "iso3", "SELECT 'AOI' AS iso3, 0 AS lo, 5 AS hi")
+CTES["soutline"] = _outline("strip", "strip", "SELECT strip, strip AS lo, strip + 1 AS hi FROM (SELECT unnest(range(0, 5)) AS strip)")
 CTES["wide"] = "SELECT region, distance_m, p, LGU, " + pct("sum(covered)", "sum(total)") + " AS access_pct FROM {curves} GROUP BY region, distance_m, p, LGU"
 
 
@@ -403,12 +413,23 @@ def oracle_sql() -> dict[str, str]:
         "dashboard_metadata",
         "steps",
         "summary",
-        "dedge",
+        "coutline",
         select=f"""SELECT 'Area' AS country, CASE WHEN s.region = '{COUNTRY}' THEN NULL ELSE s.region END AS province, 2025 AS year, -13e0 AS central_lat, 27.5e0 AS central_long,
             (s.distance_m // 1000)::INTEGER AS distance_km, max(p)::INTEGER - 1 AS total_new_facilities, {pct('min(objective)', 'any_value(total_population)')} AS current_access,
-            any_value(m.current_access) AS baseline_access, max(p)::INTEGER AS steps, (SELECT count(DISTINCT n) FROM dedge)::INTEGER AS polygons
+            any_value(m.current_access) AS baseline_access, max(p)::INTEGER AS steps,
+            (SELECT 'MULTIPOLYGON (((' || string_agg({num('x')} || ' ' || {num('y')}, ', ' ORDER BY seq) || ', ' || (SELECT {num('x')} || ' ' || {num('y')} FROM coutline WHERE seq = 1) || ')))' FROM coutline) AS geometry_wkt
           FROM steps s JOIN summary m ON m.region = s.region AND m.distance_m = s.distance_m GROUP BY s.region, s.distance_m""",
     )
+    add("country_outline", "coutline", select="SELECT iso3, ring, seq, x, y, hole FROM coutline")
+    add("strip_outlines", "soutline", select="SELECT strip, ring, seq, x, y, hole FROM soutline")
+    corner = f"'(' || " + " || ', ' || ".join(f"{num(a)} || ' ' || {num(b)}" for a, b in (("xlo", "ylo"), ("xhi", "ylo"), ("xhi", "yhi"), ("xlo", "yhi"), ("xlo", "ylo"))) + " || ')'"
+    inner = f"'(' || " + " || ', ' || ".join(f"{num(a)} || ' ' || {num(b)}" for a, b in (("xlo", "ylo"), ("xlo", "yhi"), ("xhi", "yhi"), ("xhi", "ylo"), ("xlo", "ylo"))) + " || ')'"
+    add(
+        "parcel_outlines",
+        "parcel_boxes",
+        select=f"""SELECT key, 'MULTIPOLYGON (' || string_agg(body, ', ' ORDER BY part) || ')' AS geometry_wkt
+          FROM (SELECT key, part, '(' || string_agg(CASE WHEN hole THEN {inner} ELSE {corner} END, ', ' ORDER BY hole) || ')' AS body FROM parcel_boxes GROUP BY key, part) GROUP BY key""",
+    )
     for name, change in (("fresh_combinations", "- INTERVAL 2 HOUR"), ("fresh_combinations_none", "+ INTERVAL 1 HOUR")):
         add(
             name,

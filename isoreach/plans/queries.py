@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from isoreach.functions import geometry as geo
 from isoreach.functions import names
 from isoreach.functions.hexgrid import explode_disk, k_rings_col
-from isoreach.operators import coverage, equity, layers, mclp, polyfill, population, sites, spatial_join
+from isoreach.operators import coverage, dissolve, equity, layers, mclp, polyfill, population, sites, spatial_join
 from isoreach.operators.joins import Workspace
 from isoreach.plans import fixtures as fx
 from isoreach.plans.fixtures import COUNTRY, DISTANCES, GRID, SPACING
@@ -455,13 +455,23 @@ def dashboard_metadata(spark, sf_dir):
     def rounded(c):
         return F.floor(F.col(c) * 1e6 + 0.5) / 1e6
 
-    polygons = F.size(geo.wkt_rings())
-    return (
-        rows.withColumn("central_lat", rounded("central_lat"))
-        .withColumn("central_long", rounded("central_long"))
-        .withColumn("polygons", polygons)
-        .drop("geometry_wkt")
-    )
+    return rows.withColumn("central_lat", rounded("central_lat")).withColumn("central_long", rounded("central_long"))
+
+
+def country_outline(spark, sf_dir):
+    """The districts' union: all inner borders cancel."""
+    return dissolve.outline(fx.districts(spark, sf_dir), ["iso3"])
+
+
+def strip_outlines(spark, sf_dir):
+    """The union of each row of districts."""
+    strips = fx.districts(spark, sf_dir).withColumn("strip", F.floor((100 - F.col("position")) / 5).cast("int"))
+    return dissolve.outline(strips, ["strip"])
+
+
+def parcel_outlines(spark, sf_dir):
+    """Outlines of single parcels, holes and second parts included, as text."""
+    return dissolve.outline_wkt(dissolve.outline(fx.parcels(spark, sf_dir), ["key"]), ["key"])
 
 
 def _fresh(spark, sf_dir, since_last):
@@ -496,7 +506,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cell_facilities, facility_cells, access_summary, district_population, mclp_steps, mclp_relation_steps,
         mclp_selected, lgu_access_long, lgu_access_wide, lgu_accessibility, target_reached, districts_below_target,
         site_district, pareto_frontier, layer_with_access, layer_without_access, pixels_with_access,
-        pixels_without_access, layer_sample, facility_layer, dashboard_metadata, fresh_combinations,
+        pixels_without_access, layer_sample, facility_layer, dashboard_metadata, country_outline, strip_outlines, parcel_outlines, fresh_combinations,
         fresh_combinations_none,
     )
 } | {"polyfill": polyfill_cells}
