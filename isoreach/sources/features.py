@@ -1,21 +1,21 @@
 """GeoJSON boundaries and facilities, OSM elements.
 
-GeoJSON written one feature per line (newline-delimited, or a collection laid out that way) is split
-over tasks; a collection laid out any other way is one JSON value per file, which JSON only lets one task
-read, so prefer many files or the line form for large inputs. The layout is found out unless it is given;
-a file without any feature, or with a line that should be one and is not, is an error.
+GeoJSON is read in splits whatever its layout: one feature per line (newline-delimited, or a collection laid
+out that way) as lines, anything else by a scan of its structure. The layout is found out unless it is given;
+a file without any feature, or with a feature that does not parse, is an error.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isoreach.functions.geometry import geojson_wkt, point_x, point_y, wkt_geojson
 from isoreach.functions.names import correct_names
+from isoreach.operators.joins import Workspace, lookup_join
 from isoreach.sources.tables import path_exists
 
 _GEOMETRY = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
@@ -51,33 +51,88 @@ def parse_features(lines: DataFrame, properties: list[str] | None, text: str = "
     parsed is an error.
     """
     line = F.regexp_replace(F.trim(F.col(text)), r",$", "")
-    named = lines.filter(F.col(text).rlike(_FEATURE)).select(line.alias("_line"))
+    crowded = F.regexp_count(text, F.lit(_FEATURE)) > 1
+    checked = F.when(crowded & F.col(text).rlike(r"\}\s*,?\s*\{\s*" + _FEATURE), F.raise_error(F.lit("a line holds more than one feature: read it as a collection"))).otherwise(line)
+    # Null instead of a filter alone: the order in which conditions of merged filters are tried is not ours to choose.
+    named = lines.filter(F.col(text).rlike(_FEATURE)).select(F.when(F.col(text).rlike(_FEATURE), checked).alias("_line"))
     parsed = named.select(F.from_json("_line", _feature_schema(properties), {"mode": "FAILFAST"}).alias("feature"))
     return feature_rows(parsed.filter("feature.type = 'Feature'"), properties)
 
 
+def feature_texts(spark: SparkSession, path: str) -> DataFrame:
+    """The JSON text of every feature of GeoJSON files in any layout: ``file``, ``value``; large files are read in splits.
+
+    Files are read as pieces that end at a closing brace, wherever lines break. What a piece does to the state of the scan
+    (in a string or not, how deep) follows from its own text for either state it may start in, so states are composed by
+    running sums: over the splits of a file first, which are few, then over the pieces of a split. A feature ends where the
+    depth returns to that of the collection's list (or to none, for one object after the other), and its pieces are put
+    together again. A task holds the pieces of a split, and a feature as a whole.
+    """
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value"
+    )
+    # Without escaped characters every quote opens or closes a string.
+    plain = F.regexp_replace("value", r"\\.", "")
+    parts = F.split(plain, '"')
+
+    def outside(first: int) -> Column:
+        return F.array_join(F.filter(parts, lambda _, i: i % 2 == first), "")
+
+    def depth(text: Column, brace_counts: Column) -> Column:
+        openings, closings = (F.length(text) - F.length(F.translate(text, c, "")) for c in ("{[", "]"))
+        return openings - closings - brace_counts.cast("int")
+
+    flips = (F.size(parts) - 1) % 2
+    # The brace behind a piece counts if the piece does not end inside a string.
+    told = pieces.select("file", "_block", "_at", "value", flips.alias("_flip"), depth(outside(0), flips == 0).alias("_d0"), depth(outside(1), flips == 1).alias("_d1"))
+
+    def before(c: Column, by: list[str], order: str) -> Column:
+        return F.coalesce(F.sum(c).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    def carried(table: DataFrame, c: str, out: str) -> DataFrame:
+        """``out``: sum of ``c`` over everything before the row in its file."""
+        inside = table.withColumn("_here", before(F.col(c), ["file", "_block"], "_at"))
+        blocks = table.groupBy("file", "_block").agg(F.sum(c).alias("_sum")).withColumn("_base", before(F.col("_sum"), ["file"], "_block")).drop("_sum")
+        return lookup_join(inside, blocks, ["file", "_block"], skewed=False).withColumn(out, F.col("_here") + F.col("_base")).drop("_here", "_base")
+
+    work = Workspace(spark)
+    within = carried(work.save(told, "pieces"), "_flip", "_quotes").withColumn("_d", F.when(F.col("_quotes") % 2 == 0, F.col("_d0")).otherwise(F.col("_d1")))
+    deep = carried(work.save(within.drop("_d0", "_d1"), "states"), "_d", "_from")
+    framed = deep.groupBy("file").agg((F.max(F.col("value").rlike(_COLLECTION).cast("int")) * 2).alias("_list"))
+    ends = ((F.col("_quotes") + F.col("_flip")) % 2 == 0) & (F.col("_from") + F.col("_d") == F.col("_list"))
+    closed = lookup_join(deep, framed, ["file"], skewed=False).withColumn("_end", ends.cast("int"))
+    numbered = carried(work.save(closed, "ends"), "_end", "_feature")
+    start = r'(?s)^.*"features"\s*:\s*\['
+    framing = F.when(F.col("value").rlike(start), F.regexp_replace("value", start, "")).otherwise(F.lit(""))
+    own = F.when(F.col("_from") < F.col("_list"), framing).otherwise(F.col("value"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_at", own.alias("v")))), lambda p: p["v"]), "}")
+    found = numbered.groupBy("file", "_feature").agg(text.alias("value"), F.max("_end").alias("_whole"))
+    # Behind the last feature there is only the end of the frame; a feature cut off is kept, to fail when it is parsed.
+    kept = found.filter(((F.col("_whole") == 1) & F.col("value").contains("{")) | F.col("value").rlike(_FEATURE))
+    return kept.select("file", F.concat(F.regexp_replace("value", r"(?s)^[^{]*", ""), F.lit("}")).alias("value"))
+
+
 def read_geojson(spark: SparkSession, path: str, properties: list[str] | None, layout: str = "auto") -> DataFrame:
     """GeoJSON to rows. ``layout``: lines (one feature per line), collection (any layout), or auto.
 
-    It counts as lines if no line holds a collection together with features and some line starts as a feature.
+    It counts as lines if features start lines and no line holds two of them, or one together with the frame of a collection.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no such GeoJSON: {path}")
     if layout == "auto":
         text = spark.read.text(path)
-        whole = F.max((F.col("value").rlike(_COLLECTION) & F.col("value").rlike(_FEATURE)).cast("int"))
-        starts = F.max((F.trim("value").startswith("{") & F.col("value").rlike(_FEATURE)).cast("int"))
-        found = text.agg(whole.alias("whole"), starts.alias("lines"), F.max(F.col("value").rlike(_COLLECTION).cast("int")).alias("frame")).first()
-        if not (found["whole"] or found["lines"] or found["frame"]):
+        line = F.regexp_replace(F.trim("value"), ",$", "")
+        count = F.regexp_count("value", F.lit(_FEATURE))
+        single = line.startswith("{") & line.endswith("}") & (count == 1) & ~F.col("value").rlike(_COLLECTION)
+        found = text.agg(F.sum(count).alias("features"), F.sum(F.when(single, 1).otherwise(0)).alias("lines"), F.max(F.col("value").rlike(_COLLECTION).cast("int")).alias("frame")).first()
+        if not (found["features"] or found["frame"]):
             raise ValueError(f"no GeoJSON feature in {path}")
-        layout = "lines" if found["lines"] and not found["whole"] else "collection"
+        layout = "lines" if found["features"] and found["lines"] == found["features"] else "collection"
     if layout == "lines":
         return parse_features(spark.read.text(path), properties)
     if layout != "collection":
         raise ValueError(f"unknown layout: {layout}")
-    schema = T.StructType([T.StructField("features", T.ArrayType(_feature_schema(properties)))])
-    features = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("features").alias("feature"))
-    return feature_rows(features, properties)
+    return parse_features(feature_texts(spark, path), properties)
 
 
 def write_geojson(df: DataFrame, path: str, wkt: str = "geometry_wkt", mode: str = "overwrite") -> None:

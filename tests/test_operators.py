@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from isoreach.functions.geometry import edges_contain, polygon_edges, wkt_edges
 from isoreach.functions.hexgrid import OFFSET, Q_SHIFT, HexGrid, hex_distance_int
-from isoreach.operators import coverage, equity, joins, layers, mclp, polyfill, population, quadtree, quantiles, sites, spatial_join
+from isoreach.operators import coverage, dissolve, equity, joins, layers, mclp, polyfill, population, quadtree, quantiles, sites, spatial_join
 from isoreach.plans import fixtures, queries
 
 GRID = HexGrid(5, -13.0)
@@ -280,6 +280,33 @@ def test_grid_includes_the_boundary(spark):
     assert {(r["longitude"], r["latitude"]) for r in grid.filter("region = 't'").collect()} == expected
 
 
+def test_union_of_polygons(spark):
+    """Inner borders go, holes stay, rings that touch in a vertex or lie in each other are kept apart."""
+    box = lambda x, y, w=1, h=1: f"({x} {y}, {x + w} {y}, {x + w} {y + h}, {x} {y + h}, {x} {y})"
+    back = lambda x, y: f"({x} {y}, {x} {y + 1}, {x + 1} {y + 1}, {x + 1} {y}, {x} {y})"
+    shapes = [
+        ("pair", f"POLYGON ({box(0, 0)})"), ("pair", f"POLYGON ({back(1, 0)})"),
+        ("touch", f"MULTIPOLYGON (({box(0, 0)}), ({box(1, 1)}))"),
+        *[("ring", f"POLYGON ({box(x, y)})") for x in range(3) for y in range(3) if (x, y) != (1, 1)],
+        ("nested", f"POLYGON ({box(0, 0, 9, 9)}, {box(1, 1, 7, 7)})"), ("nested", f"POLYGON ({back(3, 3)})"),
+        ("filled", f"POLYGON ({box(0, 0, 3, 3)}, {back(1, 1)})"), ("filled", f"POLYGON ({box(1, 1)})"), ("none", None), ("none", " "),
+    ]
+    shapes = spark.createDataFrame(shapes, "name string, geometry_wkt string").repartition(3)
+    rings = dissolve.outline(shapes, ["name"]).collect()
+    count = lambda name, hole: sorted([sum(1 for r in rings if (r["name"], r["ring"]) == (name, k)) for k in {r["ring"] for r in rings if r["name"] == name and r["hole"] == hole}])
+    assert (count("pair", False), count("pair", True)) == ([6], [])
+    assert (count("touch", False), count("touch", True)) == ([4, 4], [])
+    assert (count("ring", False), count("ring", True)) == ([12], [4])
+    assert (count("nested", False), count("nested", True)) == ([4, 4], [4])
+    assert (count("filled", False), count("filled", True)) == ([4], [])
+    assert {r["name"] for r in rings} == {"pair", "touch", "ring", "nested", "filled"}
+    pair = sorted((r["seq"], r["x"], r["y"]) for r in rings if r["name"] == "pair")
+    assert pair == [(1, 0, 0), (2, 1, 0), (3, 2, 0), (4, 2, 1), (5, 1, 1), (6, 0, 1)]
+    texts = {r["name"]: r["geometry_wkt"] for r in dissolve.outline_wkt(dissolve.outline(shapes, ["name"]), ["name"]).collect()}
+    assert texts["nested"] == "MULTIPOLYGON (((0 0, 9 0, 9 9, 0 9, 0 0), (1 1, 1 8, 8 8, 8 1, 1 1)), ((3 3, 4 3, 4 4, 3 4, 3 3)))"
+    assert texts["filled"] == "MULTIPOLYGON (((0 0, 3 0, 3 3, 0 3, 0 0)))"
+
+
 def test_facility_ids(spark):
     raw = spark.createDataFrame([(7, "A"), (8, "B")], "id long, name string")
     out = sites.facility_ids(raw, F.col("osm_id"))

@@ -86,6 +86,39 @@ def test_geojson_that_does_not_parse_is_an_error(spark, tmp_path):
         features.read_geojson(spark, str(tmp_path / "none.geojson"), ["name"])
 
 
+@pytest.mark.parametrize("split", [40, 1 << 27])
+def test_geojson_in_any_layout(spark, tmp_path, split):
+    """Features side by side, over many lines, with braces and quotes in texts, and read in splits of a few bytes."""
+    names = ['plain', 'a } { "b" [', 'back\\\\slash \\"', '}}}]', '"type": "Feature"', 'é ] \U0001d518', "", "two\nlines"]
+    made = [feature({"name": n, "deep": {"x": [{"y": 1}, {}]}}, "Point", [i + 0.5, -i - 0.25]) for i, n in enumerate(names)]
+    flat, tall = json.dumps(made[0]), lambda f: json.dumps(f, indent=2, ensure_ascii=False)
+    crs = '"crs": {"type": "name", "properties": {"name": "urn:x"}}, "links": [{"a": {}}], "bbox": [1, 2]'
+    layouts = {
+        "mixed": '{"type": "FeatureCollection", ' + crs + ', "features": [' + flat + ", " + json.dumps(made[1]) + ",\n" + tall(made[2]) + "\n,\n" + ",".join(json.dumps(f) for f in made[3:]) + "]}\n",
+        "oneline": json.dumps({"type": "FeatureCollection", "features": made}),
+        "behind": json.dumps({"features": made, "type": "FeatureCollection", "more": {"a": [{}]}}, indent=1),
+        "objects": " ".join(json.dumps(f) for f in made),
+        "lines": "\n".join(json.dumps(f) for f in made),
+    }
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        for layout, text in layouts.items():
+            path = tmp_path / f"{layout}.geojson"
+            path.write_text(text)
+            got = features.read_geojson(spark, str(path), ["name"], "auto" if layout != "objects" else "collection").collect()
+            assert sorted((r["name"], r["geometry_wkt"]) for r in got) == sorted((n, f"POINT ({i + 0.5} {-i - 0.25})") for i, n in enumerate(names)), layout
+        (tmp_path / "cut.geojson").write_text(layouts["mixed"][: layouts["mixed"].index("back") + 20])
+        with pytest.raises(Exception, match="(?i)malformed"):
+            features.read_geojson(spark, str(tmp_path / "cut.geojson"), ["name"]).count()
+        with pytest.raises(Exception, match="more than one feature"):
+            features.read_geojson(spark, str(tmp_path / "mixed.geojson"), ["name"], "lines").count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_raster_tiles(spark):
     tiles = spark.createDataFrame([(0, 0, 2, [1.0, 0.0, -9999.0, 4.0]), (0, 2, 2, [5.0, float("nan"), 7.0, None]), (1, 0, 1, [float("inf"), float("-inf")])], raster.TILE_SCHEMA)
     rows = raster.raster_pixels(tiles, 10.0, 20.0, 0.5, -0.5, HexGrid()).collect()
