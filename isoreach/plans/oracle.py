@@ -334,6 +334,17 @@ def oracle_sql() -> dict[str, str]:
         select=f"SELECT key, 'POINT (' || {num(milli('xcoord'))} || ' ' || {num(milli('ycoord'))} || ')' AS geom_wkt, {milli('xcoord')} AS lon, {milli('ycoord')} AS lat FROM orders_at",
     )
     add("boundaries_geojson", "parcel", select="SELECT ISO_A3, NAM_0, NAM_1, NAM_2, geometry_wkt FROM parcel")
+    add("boundaries_collection", "parcel", select="SELECT ISO_A3, NAM_0, NAM_1, NAM_2, geometry_wkt FROM parcel")
+    add("facilities_file", "fac", select=f"SELECT ID, {milli('lon')} AS lon, {milli('lat')} AS lat, name FROM fac")
+    add("csv_append", "fac", select=f"SELECT osm_id, name, {milli('lon')} AS lon, {milli('lat')} AS lat FROM fac")
+    add(
+        "unmatched_sites",
+        "pix",
+        "parcel_boxes",
+        select="""SELECT count(*) AS unmatched FROM pix WHERE key NOT IN (SELECT pixel FROM (SELECT p.key AS pixel, b.key, b.hole, xcoord > xlo AND xcoord < xhi AND ycoord > ylo AND ycoord < yhi AS strictly
+            FROM pix p JOIN parcel_boxes b ON xcoord BETWEEN xlo AND xhi AND ycoord BETWEEN ylo AND yhi)
+          GROUP BY pixel, key HAVING bool_or(NOT hole AND strictly) AND NOT bool_or(hole) AND NOT bool_or(NOT strictly))""",
+    )
     add("osm_elements", "osm", select="SELECT osm_id, lat, lon, name FROM osm")
     add("facility_ids", "osm", select="SELECT osm_id, osm_id || '_current' AS ID, lon, lat, name FROM osm")
     add("facilities_within", "ex", select="SELECT region, ID, name, lon, lat, cell AS h3_index FROM ex")
@@ -359,6 +370,7 @@ def oracle_sql() -> dict[str, str]:
     add("coverage_pairs", "exc", "aoi", select="SELECT region, distance_m, e.ID AS facility_ID, a.key || '_pop' AS pop_ID FROM exc e JOIN aoi a USING (region) WHERE a.h3_index = e.cell")
     add("pairs_to_cells", "exc", select="SELECT region, distance_m, ID AS facility_ID, cell FROM exc")
     add("facility_access", "ex", "exc", "ds", select="SELECT e.region, d.distance_m, e.ID, coalesce(sum(c.w), 0) AS pop_with_access FROM ex e CROSS JOIN ds d LEFT JOIN exc c ON c.region = e.region AND c.distance_m = d.distance_m AND c.ID = e.ID GROUP BY e.region, d.distance_m, e.ID")
+    add("reused_access", "ex", "exc", "ds", select=f"SELECT e.region, d.distance_m, e.ID, coalesce(sum(c.w), 0) AS pop_with_access, CASE WHEN e.region = '{COUNTRY}' OR d.distance_m = {DISTANCES[-1]} THEN 2 ELSE 1 END AS run FROM ex e CROSS JOIN ds d LEFT JOIN exc c ON c.region = e.region AND c.distance_m = d.distance_m AND c.ID = e.ID GROUP BY e.region, d.distance_m, e.ID")
     add("candidate_access", "cand", "cac", "ds", select="SELECT e.region, d.distance_m, e.ID, coalesce(sum(c.w), 0) AS pop_with_access FROM cand e CROSS JOIN ds d LEFT JOIN cac c ON c.region = e.region AND c.distance_m = d.distance_m AND c.ID = e.ID GROUP BY e.region, d.distance_m, e.ID")
     add("cell_facilities", "exc", select="SELECT region, distance_m, cell, (strpos('0123456789abcdef', substr(md5(ID), 1, 1)) - 1)::INTEGER AS part, string_agg(ID, ',' ORDER BY ID) AS fac_ids FROM exc GROUP BY region, distance_m, cell, part")
     add("facility_cells", "exc", select="SELECT region, distance_m, ID AS facility_ID, (strpos('0123456789abcdef', substr(md5(cell::VARCHAR), 1, 1)) - 1)::INTEGER AS part, string_agg(cell::VARCHAR, ',' ORDER BY cell) AS cells FROM exc GROUP BY region, distance_m, ID, part")

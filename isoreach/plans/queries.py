@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -248,6 +249,63 @@ def boundaries_geojson(spark, sf_dir):
     return features.read_geojson(spark, path, ["ISO_A3", "NAM_0", "NAM_1", "NAM_2"])
 
 
+def boundaries_collection(spark, sf_dir):
+    """Parcels as collections with many features on a line, read in splits."""
+    work = Workspace(spark)
+    parcels = names.correct_names(fx.parcels(spark, sf_dir))
+    features.write_geojson(parcels.drop("key"), f"{work.root}/features")
+    lines = spark.read.text(f"{work.root}/features")
+    crowds = lines.groupBy(F.pmod(F.xxhash64("value"), F.lit(40))).agg(F.collect_list("value").alias("_f"))
+    framed = F.concat(F.lit('{"type": "FeatureCollection", "crs": {"properties": {}}, "features": ['), F.array_join("_f", ", "), F.lit("]}"))
+    crowds.select(framed).write.text(f"{work.root}/collections.geojson")
+    return features.read_geojson(spark, f"{work.root}/collections.geojson", ["ISO_A3", "NAM_0", "NAM_1", "NAM_2"])
+
+
+def facilities_file(spark, sf_dir):
+    """Facilities written as point features and loaded from the file."""
+    path = f"{Workspace(spark).root}/facilities.geojson"
+    points = fx.facilities(spark, sf_dir).select("ID", "name", geo.point_wkt(fx.milli(F.col("lon")), fx.milli(F.col("lat"))).alias("geometry_wkt"))
+    features.write_geojson(points, path)
+    return features.load_facilities(spark, "file", path).select("ID", "lon", "lat", F.col("properties")["name"].alias("name"))
+
+
+def csv_append(spark, sf_dir):
+    """Facilities written to CSV in two parts and read back."""
+    path = f"{Workspace(spark).root}/facilities.csv"
+    found = fx.facilities(spark, sf_dir).select("osm_id", "name", fx.milli(F.col("lon")).alias("lon"), fx.milli(F.col("lat")).alias("lat"))
+    tables.save_csv(found.filter("osm_id % 3 = 0"), path)
+    tables.save_csv(found.filter("osm_id % 3 <> 0"), path, mode="append")
+    return tables.load_csv(spark, path, found.schema)
+
+
+def unmatched_sites(spark, sf_dir):
+    """How many pixels lie in no parcel."""
+    points = fx.pixels(spark, sf_dir).select(F.col("key").alias("pixel"), F.col("xcoord").alias("lon"), F.col("ycoord").alias("lat"))
+    return spatial_join.count_unmatched(spatial_join.first_polygon(points, fx.parcels(spark, sf_dir), "pixel", "NAM_2", "key"))
+
+
+def reused_access(spark, sf_dir):
+    """Catchments stored by region and distance in two runs: the second adds the country and a distance.
+
+    ``run`` tells which run wrote a row; rows of the first stay as they are.
+    """
+    area, work = Area(spark, sf_dir), Workspace(spark)
+    name = "parts_" + work.root.rpartition("-")[2]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{work.root}/{name}'")
+    regions = sorted(r["region"] for r in area.regions.select("region").collect())
+    for run, (some, distances) in enumerate([([r for r in regions if r != COUNTRY], DISTANCES[:-1]), (regions, DISTANCES)], 1):
+
+        def make(parts, run=run):
+            plans = []
+            for firsts, seconds in tables.rectangles(parts):
+                existing, weights = (t.filter(F.col("region").isin(*firsts)) for t in (area.existing(), area.weights()))
+                plans.append(coverage.facility_access(existing, weights, tuple(seconds), GRID).withColumn("run", F.lit(run)))
+            return reduce(DataFrame.unionByName, plans)
+
+        tables.materialize_parts(spark, make, f"{name}.access", {(r, d): "1" for r in some for d in distances}, ("region", "distance_m"))
+    return spark.table(f"{name}.access").select("region", "distance_m", "ID", "pop_with_access", "run")
+
+
 def _elements(spark, sf_dir):
     """Customers as hospital and clinic elements in JSON; some without coordinates, some in both lists."""
     k = F.col("c_custkey")
@@ -506,7 +564,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cell_facilities, facility_cells, access_summary, district_population, mclp_steps, mclp_relation_steps,
         mclp_selected, lgu_access_long, lgu_access_wide, lgu_accessibility, target_reached, districts_below_target,
         site_district, pareto_frontier, layer_with_access, layer_without_access, pixels_with_access,
-        pixels_without_access, layer_sample, facility_layer, dashboard_metadata, country_outline, strip_outlines, parcel_outlines, fresh_combinations,
+        pixels_without_access, layer_sample, facility_layer, dashboard_metadata, boundaries_collection, facilities_file, csv_append, unmatched_sites, reused_access, country_outline, strip_outlines, parcel_outlines, fresh_combinations,
         fresh_combinations_none,
     )
 } | {"polyfill": polyfill_cells}
