@@ -36,6 +36,8 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
+#: Cells that are looked at together when darts are thrown: some ten arrays of this length.
+GROUP_CELLS = 200_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Cumulative probabilities of a Poisson count of mean one.
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.r_[1.0, np.arange(1, 16)]))
@@ -67,7 +69,20 @@ def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int, t: int = COORDINATES, spare: float = 3.0) -> np.ndarray:
-    """(n, t) dart numbers; the rows of texts without elements are zero."""
+    """(n, t) dart numbers; the rows of texts without elements are zero. Elements are in the order of their owners.
+
+    A text takes about t * (ln t + spare) cells however short it is, so texts are signed in groups of bounded cells.
+    """
+    out = np.zeros((n, t), np.uint64)
+    cells = np.cumsum(t * (np.log(t) + spare) + np.bincount(owner, minlength=n)[:n])
+    starts = np.r_[0, np.flatnonzero(np.diff(cells // GROUP_CELLS)) + 1, n] if n else np.zeros(1, int)
+    for a, b in zip(starts, starts[1:], strict=False):
+        at, end = np.searchsorted(owner, [a, b])
+        out[a:b] = _signed(owner[at:end] - a, element[at:end], weight[at:end], b - a, t, spare)
+    return out
+
+
+def _signed(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int, t: int, spare: float) -> np.ndarray:
     out = np.zeros((n, t), np.uint64)
     mass = np.bincount(owner, weight, n)
     todo, theta = mass > 0, np.divide(np.log(t) + spare, mass, out=np.zeros(n), where=mass > 0)

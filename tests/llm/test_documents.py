@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -355,3 +356,15 @@ def test_texts_are_found_in_slices():
     assert [bytes(t.data[s : s + n]) for s, n in zip(starts, lengths, strict=True)] == [b"ab", b"cd", b"ef"]
     assert of.tolist() == [0, 0, 2]
     assert len(set(hash_spans(t.data, starts, lengths).tolist())) == 3
+
+
+def test_signatures_do_not_depend_on_their_group():
+    """Many short texts and a long one, signed in groups and all at once."""
+    rng = np.random.default_rng(0)
+    counts = rng.integers(0, 40, 900)
+    counts[5] = 5000
+    owner = np.repeat(np.arange(900), counts)
+    element, weight = rng.integers(0, 2**63, len(owner), dtype=np.uint64), rng.integers(1, 5, len(owner))
+    grouped = dartminhash.signatures(owner, element, weight, 900)
+    assert (grouped == dartminhash._signed(owner, element, weight, 900, dartminhash.COORDINATES, 3.0)).all()
+    assert dartminhash.signatures(owner[:0], element[:0], weight[:0], 0).shape == (0, dartminhash.COORDINATES)
