@@ -169,13 +169,6 @@ def area_moments(wkt: str = "geometry_wkt") -> Column:
     )
 
 
-def polygon_body(wkt: Column) -> Column:
-    """The polygons of a POLYGON/MULTIPOLYGON as the inside of a MULTIPOLYGON: ``((..)), ((..))``."""
-    text = F.trim(wkt)
-    inner = F.regexp_replace(text, r"^[A-Za-z]+\s*", "")
-    return F.when(F.upper(text).startswith("MULTI"), F.regexp_replace(inner, r"^\(\s*|\s*\)$", "")).otherwise(inner)
-
-
 def mercator_to_lonlat(x: Column, y: Column) -> Column:
     """EPSG:3857 metres to EPSG:4326 degrees as STRUCT<lon, lat>."""
     radius = 6378137.0
