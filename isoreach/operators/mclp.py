@@ -1,18 +1,21 @@
 """Greedy maximum coverage: where should the next p sites go, for every region and distance at once.
 
 Each step picks, per combination, the candidate that reaches most people not reached so far; ties go to
-the smallest id. One pick changes the gains of nearby candidates only, so the state is the table of
-current gains, and a step
+the smallest id. Gains only ever fall, so the gain a candidate had is a bound for what it has now. The state is the
+table of gains, and a round
 
-1. takes the best candidate of every combination, and those after it whose place is already certain (a
-   few dozen small rows per combination, the only thing the driver sees),
-2. looks up the people in the newly covered cells,
-3. subtracts them from the candidates within reach of those cells, by the same row sweep that made the gains.
+1. takes the best candidates of every combination, at most LEADERS and as many as ENTRIES cells allow, with the first
+   one left out as the bound for all others,
+2. picks among them one after another, in one task per combination, for as long as the best beats that bound: then no
+   other candidate can, whatever it has lost since (lazy greedy). The first is always certain,
+3. subtracts the people in the newly covered cells from the candidates within reach of those cells, by the same row
+   sweep that made the gains.
 
+So a round costs one pass over the gains for many picks, and a task holds a number of rows that is fixed beforehand.
 The site x cell relation is never stored for hexagon catchments: which cells a pick covers is a disk,
 generated by arithmetic, and the candidates within 2k rings of a pick sum up the newly covered cells as
-differences of running sums: O(k^2) cells and 2k+1 rows for each of those candidates. Steps 2 and 3 involve
-a number of rows fixed by k and the number of combinations, known before the step, and are broadcast only
+differences of running sums: O(k^2) cells and 2k+1 rows for each of those candidates. Step 3 involves
+a number of rows fixed by k and the number of picks, known before the step, and these are broadcast only
 while that bound is small; the gains table itself is never shuffled. Two candidates in one cell cover the same
 cells, so gains are kept per cell and the smallest id stands for it.
 
@@ -21,14 +24,16 @@ Weights are whole millionths of a person: sums are exact, so equal gains are equ
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from isoreach.functions.hexgrid import HexGrid, disk_size, distance_sql, explode_disk, hex_distance_int, per_distance
+from isoreach.functions.hexgrid import Q_SHIFT, HexGrid, disk_size, distance_sql, explode_disk, hex_distance_int, per_distance, q_sql, row_sql
 from isoreach.operators.coverage import COMBO, cover_counts, disk_sums, site_cells, weights_per_distance
 from isoreach.operators.joins import Workspace, broadcast_if, local_rows, lookup_join
 from isoreach.operators.population import from_micro
@@ -40,63 +45,105 @@ PICKED_SCHEMA = pa.schema(
     [("region", pa.string()), ("distance_m", pa.int32()), ("cell", pa.int64()), ("k", pa.int32()), ("near", pa.list_(pa.int64()))]
 )
 AROUND_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("k", pa.int32()), ("centers", pa.list_(pa.int64()))])
-# Candidates looked at per combination and round.
-LEADERS = 32
+# Candidates looked at per combination and round, and the cells they may reach together in one task.
+LEADERS = 1024
+ENTRIES = 1 << 22
+BATCH_SCHEMA = "region string, distance_m int, turn int, ID string, cell long, gain long, whole boolean"
 BASE_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("base_w", pa.int64())])
 ID_SCHEMA = pa.schema([("region", pa.string()), ("distance_m", pa.int32()), ("ID", pa.string())])
 
 
-def _leaders(gains: DataFrame, n: int) -> dict[tuple, list]:
-    """The ``n`` best candidates of every combination, best first: n rows per combination on the driver.
+def _front(gains: DataFrame, n: str) -> DataFrame:
+    """The leading candidates of every combination, and the first after them (``led`` is false).
 
-    Spark limits ranks before the shuffle, so every task sends at most n rows per combination.
+    ``n`` (SQL text) is how many cells a candidate adds to its task. Spark limits ranks before the shuffle, so every
+    task sends at most LEADERS + 1 rows per combination. The best is a leader even if its cells exceed the bound.
     """
     rank = "row_number() OVER (PARTITION BY region, distance_m ORDER BY gain DESC, ID) AS _rank"
-    found: dict[tuple, list] = {}
-    for row in sorted(gains.selectExpr("*", rank).filter(f"_rank <= {n}").collect(), key=lambda r: r["_rank"]):
-        found.setdefault((row["region"], row["distance_m"]), []).append(row)
-    return found
+    total = f"sum({n}) OVER (PARTITION BY region, distance_m ORDER BY _rank) AS _total"
+    best = gains.selectExpr("*", rank).filter(f"_rank <= {LEADERS + 1}").selectExpr("*", total)
+    led = best.selectExpr("*", f"_total <= {ENTRIES} AND _rank <= {LEADERS} AS _fits").selectExpr("*", "_fits OR _rank = 1 AS led")
+    before = "lag(led, 1, true) OVER (PARTITION BY region, distance_m ORDER BY _rank) AS _before"
+    return led.selectExpr("*", before).filter("_before").drop("_before", "_total", "_rank")
 
 
-def _settled(leaders: list, apart: int, room: int) -> list:
-    """The leading candidates whose order is certain: up to the first that is near an earlier one.
+def lazy_picks(leaders: list[tuple], reach: Callable[[int], np.ndarray], weights: np.ndarray, room: int, bound: tuple | None) -> list[tuple]:
+    """(leader, gain) in the order of the greedy, for as long as the order is certain.
 
-    A pick lowers gains within ``apart`` rings only, and never raises any. So while the next candidate in
-    line is far from the picks before it, its gain still stands and nothing else can have overtaken it.
+    ``leaders`` are (gain, id) with exact gains, ``reach(i)`` the places in ``weights`` that leader i covers, ``bound``
+    the (gain, id) that no other candidate exceeds. A gain counted before the last pick is a bound; only a candidate at
+    the top of the heap is counted anew. Weights of covered places become 0.
     """
-    sure: list = []
-    for row in leaders[:room]:
-        if any(hex_distance_int(row["cell"], s["cell"]) <= apart for s in sure):
+    heap = [(-gain, name, i) for i, (gain, name) in enumerate(leaders)]
+    heapq.heapify(heap)
+    counted, picks = [0] * len(leaders), []
+    while heap and len(picks) < room:
+        lost, name, i = heapq.heappop(heap)
+        if bound is not None and (lost, name) > (-bound[0], bound[1]):
             break
-        sure.append(row)
-    return sure
+        if counted[i] == len(picks):
+            picks.append((i, -lost))
+            weights[reach(i)] = 0
+            continue
+        gain, counted[i] = int(weights[reach(i)].sum()), len(picks)
+        if gain > 0:
+            heapq.heappush(heap, (-gain, name, i))
+    return picks
+
+
+def _disk_offsets(k: int) -> np.ndarray:
+    q, r = (x.ravel() for x in np.mgrid[-k : k + 1, -k : k + 1])
+    near = np.abs(q + r) <= k
+    return (q[near].astype(np.int64) << Q_SHIFT) + r[near]
 
 
-def _greedy(gains: DataFrame, shrink: Callable, max_new: int, work: Workspace, apart: dict[int, int] | None = None) -> list[tuple]:
-    """Pick, shrink the gains, repeat. ``shrink(gains, step, earlier_picks)`` returns the new gains.
+def _batch(front: DataFrame, cells: DataFrame, reach_of: Callable, taken: dict[tuple, int], max_new: int) -> list[tuple]:
+    """The picks of one round: rows of BATCH_SCHEMA on the driver, at most ``max_new`` per combination over all rounds.
+
+    ``reach_of(leaders, cells)`` gives, within a task, the weights and the function that ``lazy_picks`` asks.
+    """
 
-    A round takes one site per combination, or several where ``apart`` (distance to rings) shows that they
-    do not affect each other. Every version of the gains is written and read back: a round then plans and
-    runs in constant time however many came before, and losing an executor costs at most one round.
+    def pick(key: tuple, front: pa.Table, cells: pa.Table) -> pa.Table:
+        combo = tuple(part.as_py() for part in key)
+        rows = sorted(front.select(["led", "gain", "ID", "cell"]).to_pylist(), key=lambda r: (-r["gain"], r["ID"]))
+        led, others = [r for r in rows if r["led"]], [(r["gain"], r["ID"]) for r in rows if not r["led"]]
+        weights, reach = reach_of(combo, led, cells)
+        bound = others[0] if others else None
+        found = lazy_picks([(r["gain"], r["ID"]) for r in led], reach, weights, max_new - taken.get(combo, 0), bound) if led else []
+        out = [(*combo, taken.get(combo, 0) + n, led[i]["ID"], led[i]["cell"], gain, bound is None) for n, (i, gain) in enumerate(found, 1)]
+        columns = list(zip(*out, strict=True)) or [()] * 7
+        types = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+        names = ["region", "distance_m", "turn", "ID", "cell", "gain", "whole"]
+        return pa.table({n: pa.array(list(c), t) for n, c, t in zip(names, columns, types, strict=True)})
+
+    return front.groupBy(*COMBO).cogroup(cells.groupBy(*COMBO)).applyInArrow(pick, BATCH_SCHEMA).collect()
+
+
+def _greedy(gains: DataFrame, ahead: Callable, shrink: Callable, max_new: int, work: Workspace) -> list[tuple]:
+    """Pick, shrink the gains, repeat. ``ahead(gains, picks, taken)`` gives the picks that are certain (one at least for
+    every combination that has gains), ``shrink(gains, step, earlier_picks)`` the new gains.
+
+    A combination ends with its last pick, or when all its candidates were looked at. Every version of the gains is
+    written and read back: a round then plans and runs in constant time however many came before, and losing an
+    executor costs at most one round.
     """
     picks: list[tuple] = []
     taken: dict[tuple, int] = {}
+    if max_new < 1:
+        return picks
     stored, gains = "gains-0", work.save(gains.filter("gain > 0"), "gains-0")
     for turn in range(1, max_new + 1):
-        step = []
-        for combo, rows in _leaders(gains, LEADERS if apart else 1).items():
-            room = max_new - taken.get(combo, 0)
-            for row in _settled(rows, apart[combo[1]] if apart else 0, room):
-                taken[combo] = taken.get(combo, 0) + 1
-                step.append((*combo, taken[combo], row["ID"], row["cell"], row["gain"]))
+        found = sorted(ahead(gains, picks, taken), key=lambda r: (r["region"], r["distance_m"], r["turn"]))
+        step = [(r["region"], r["distance_m"], r["turn"], r["ID"], r["cell"], r["gain"]) for r in found]
+        taken.update({s[:2]: s[2] for s in step})
+        ended = {(r["region"], r["distance_m"]) for r in found if r["whole"] or r["turn"] == max_new}
         earlier, picks = picks, picks + step
-        if not step:
+        if len(ended) == len({s[:2] for s in step}):
             break
-        full = [(*combo, None) for combo, n in taken.items() if n == max_new]
-        left = shrink(gains, step, earlier).filter("gain > 0")
-        if full:
-            finished = local_rows(gains.sparkSession, full, ID_SCHEMA)
-            left = left.join(broadcast_if(finished, len(full)), COMBO, "left_anti")
+        left = shrink(gains, [s for s in step if s[:2] not in ended], earlier).filter("gain > 0")
+        if ended:
+            finished = local_rows(gains.sparkSession, [(*combo, None) for combo in ended], ID_SCHEMA)
+            left = left.join(broadcast_if(finished, len(ended)), COMBO, "left_anti")
         gains, replaced = work.save(left, f"gains-{turn}"), stored
         work.drop(replaced)
         stored = f"gains-{turn}"
@@ -143,7 +190,39 @@ def site_steps(
     gains = named.join(
         disk_sums(named.select(*COMBO, "cell", "k"), open_cells).withColumnRenamed("w", "gain"), [*COMBO, "cell"]
     ).select(*COMBO, "cell", "ID", "gain")
-    open_cells = open_cells.persist(StorageLevel.MEMORY_AND_DISK)
+    # Tiles as wide as a disk's radius: a disk lies within its centre's tile and the eight around it.
+    size = "map({})[distance_m]".format(", ".join(f"{d}, {max(k, 1)}" for d, k in rings.items()))
+    tile = lambda part: f"CAST(floor({part('cell')} / {size}) AS LONG)"
+    open_cells = open_cells.selectExpr("*", f"{tile(q_sql)} AS _tq", f"{tile(row_sql)} AS _tr").persist(StorageLevel.MEMORY_AND_DISK)
+    weight_of_disk = " ".join(f"WHEN {d} THEN {9 * max(k, 1) ** 2}" for d, k in rings.items())
+
+    def ahead(gains: DataFrame, picks: list[tuple], taken: dict[tuple, int]) -> list:
+        done: dict[tuple, list[int]] = {}
+        for region, distance, _, _, cell, _ in picks:
+            done.setdefault((region, distance), []).append(cell)
+
+        def reach_of(combo: tuple, leaders: list[dict], cells: pa.Table) -> tuple[np.ndarray, Callable]:
+            known, weights = cells.column("cell").to_numpy(), cells.column("w").to_numpy().copy()
+            order = np.argsort(known)
+            known, weights, offsets = known[order], weights[order], _disk_offsets(rings[combo[1]])
+
+            def within(center: int) -> np.ndarray:
+                wanted = center + offsets
+                at = np.searchsorted(known, wanted)
+                return at[known[np.minimum(at, len(known) - 1)] == wanted] if len(known) else at[:0]
+
+            for center in done.get(combo, []):
+                weights[within(center)] = 0
+            return weights, lambda i: within(leaders[i]["cell"])
+
+        front = work.save(_front(gains, f"CASE distance_m {weight_of_disk} END"), f"front-{len(picks)}")
+        around = front.filter("led AND _fits").selectExpr(*COMBO, f"{tile(q_sql)} AS _q", f"{tile(row_sql)} AS _r")
+        tiles = around.distinct().selectExpr(*COMBO, "_r", "explode(sequence(_q - 1, _q + 1)) AS _tq")
+        tiles = tiles.selectExpr(*COMBO, "_tq", "explode(sequence(_r - 1, _r + 1)) AS _tr").distinct()
+        near = lookup_join(open_cells, tiles, [*COMBO, "_tq", "_tr"], "left_semi").select(*COMBO, "cell", "w")
+        found = _batch(front, near, reach_of, taken, max_new)
+        work.drop(f"front-{len(picks)}")
+        return found
 
     def shrink(gains: DataFrame, step: list[tuple], done: list[tuple]) -> DataFrame:
         earlier: dict[tuple, list[int]] = {}
@@ -151,9 +230,10 @@ def site_steps(
             earlier.setdefault((region, distance), []).append(cell)
         rows = []
         for region, distance, _, _, cell, _ in step:
-            k = rings[distance]
-            near = [c for c in earlier.get((region, distance), []) if hex_distance_int(c, cell) <= 2 * k]
-            rows.append((region, distance, cell, k, near))
+            # A cell is new to the first pick that covers it, in this round or before.
+            k, before = rings[distance], earlier.setdefault((region, distance), [])
+            rows.append((region, distance, cell, k, [c for c in before if hex_distance_int(c, cell) <= 2 * k]))
+            before.append(cell)
         picked = local_rows(spark, rows, PICKED_SCHEMA)
         fresh = (
             explode_disk(picked, "k")
@@ -174,7 +254,7 @@ def site_steps(
         lost = broadcast_if(lost, sum(disk_size(2 * r[3]) for r in rows))
         return gains.join(lost, [*COMBO, "cell"], "left").selectExpr(*COMBO, "cell", "ID", "gain - coalesce(lost, 0) AS gain")
 
-    picks = _greedy(gains, shrink, max_new, work, {d: 2 * k for d, k in rings.items()})
+    picks = _greedy(gains, ahead, shrink, max_new, work)
     open_cells.unpersist()
     work.close()
     return _steps(spark, picks, base)
@@ -202,11 +282,29 @@ def relation_steps(
     remaining = work.save(
         weighted.join(chosen_from, [*COMBO, "ID"], "left_semi").join(covered.select(*at_cell), at_cell, "left_anti"), "remaining-0"
     )
-    gains = remaining.groupBy(*COMBO, "ID").agg(F.sum("w").alias("gain")).withColumn("cell", F.lit(None).cast("long"))
+    gains = remaining.groupBy(*COMBO, "ID").agg(F.sum("w").alias("gain"), F.count(F.lit(1)).alias("n")).withColumn("cell", F.lit(None).cast("long"))
+    turn = 0
+
+    def ahead(gains: DataFrame, picks: list[tuple], taken: dict[tuple, int]) -> list:
+        def reach_of(combo: tuple, leaders: list[dict], cells: pa.Table) -> tuple[np.ndarray, Callable]:
+            place = {r["ID"]: i for i, r in enumerate(leaders)}
+            site = np.array([place[name] for name in cells.column("ID").to_pylist()], np.int64)
+            keys = cells.column("cell").combine_chunks().dictionary_encode()
+            at, order = keys.indices.to_numpy(), np.argsort(site, kind="stable")
+            weights = np.zeros(len(keys.dictionary), np.int64)
+            weights[at] = cells.column("w").to_numpy()
+            ends = np.searchsorted(site[order], np.arange(len(leaders) + 1))
+            return weights, lambda i: at[order[ends[i] : ends[i + 1]]]
+
+        front = work.save(_front(gains, "n"), f"front-{len(picks)}")
+        leaders = front.filter("led AND _fits").select(*COMBO, "ID")
+        found = _batch(front, lookup_join(remaining, leaders, [*COMBO, "ID"], "left_semi"), reach_of, taken, max_new)
+        work.drop(f"front-{len(picks)}")
+        return found
 
     def shrink(gains: DataFrame, step: list[tuple], done: list[tuple]) -> DataFrame:
-        nonlocal remaining
-        turn = step[0][2]
+        nonlocal remaining, turn
+        turn += 1
         if turn > 1:
             # The gains were written since, so nothing reads the version before the last any more.
             work.drop(f"remaining-{turn - 2}")
@@ -215,10 +313,10 @@ def relation_steps(
         lost = lookup_join(remaining, fresh, at_cell, "left_semi").groupBy(*COMBO, "ID").agg(F.sum("w").alias("lost"))
         remaining = work.save(lookup_join(remaining, fresh, at_cell, "left_anti"), f"remaining-{turn}")
         return gains.join(lost, [*COMBO, "ID"], "left").select(
-            *COMBO, "cell", "ID", (F.col("gain") - F.coalesce(F.col("lost"), F.lit(0))).alias("gain")
+            *COMBO, "cell", "ID", (F.col("gain") - F.coalesce(F.col("lost"), F.lit(0))).alias("gain"), "n"
         )
 
-    picks = _greedy(gains, shrink, max_new, work)
+    picks = _greedy(gains, ahead, shrink, max_new, work)
     work.close()
     return _steps(spark, picks, base).drop("cell")
 

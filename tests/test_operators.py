@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,8 +77,11 @@ def brute_greedy(weights, existing, candidates, k, max_new):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_greedy_steps_match_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "leaders", "entries"), [(1, 1024, 1 << 22), (2, 3, 1 << 22), (4, 1024, 40), (5, 4, 0)])
+def test_greedy_steps_match_brute_force(spark, monkeypatch, seed, leaders, entries):
+    """The same picks whether all candidates are looked at together, a few a round, or one (bounds that nothing fits)."""
+    monkeypatch.setattr(mclp, "LEADERS", leaders)
+    monkeypatch.setattr(mclp, "ENTRIES", entries)
     weights, existing, candidates = random_case(seed)
     site = lambda d: spark.createDataFrame([("R", i, c) for i, c in d.items()], "region string, ID string, cell long")
     w = spark.createDataFrame([("R", c, v * population.MICRO) for c, v in weights.items()], "region string, cell long, w long")
@@ -91,6 +95,29 @@ def test_greedy_steps_match_brute_force(spark, seed):
         assert gains == sorted(gains, reverse=True)
 
 
+@pytest.mark.parametrize(("seed", "leaders", "entries"), [(3, 1024, 1 << 22), (6, 2, 1 << 22), (8, 1024, 5)])
+def test_greedy_over_a_relation_in_rounds(spark, monkeypatch, seed, leaders, entries):
+    """The relation form agrees too, with ties (weights of 1 to 3) and with catchments beyond what a task may hold."""
+    monkeypatch.setattr(mclp, "LEADERS", leaders)
+    monkeypatch.setattr(mclp, "ENTRIES", entries)
+    weights, existing, candidates = random_case(seed)
+    weights = {c: 1 + w % 3 for c, w in weights.items()}
+    cover = {c: [i for i, s in {**existing, **candidates}.items() if hex_distance_int(c, s) <= 2] for c in weights}
+    steps = relation_case(spark, weights, cover, existing, candidates, 10)
+    got = [(s["p"], s["facility_id"], s["gain"], s["objective"]) for s in steps]
+    assert got == brute_greedy(weights, existing, candidates, 2, 10)
+
+
+def test_lazy_picks_stop_at_the_bound():
+    """Three leaders share cells; a candidate left out ends the batch as soon as it may come first."""
+    cells, values = [[0, 1], [1, 2], [3]], [5, 4, 3, 2]
+    run = lambda bound, room=9: mclp.lazy_picks([(9, "a"), (7, "b"), (2, "c")], lambda i: np.array(cells[i]), np.array(values), room, bound)
+    assert run(None) == [(0, 9), (1, 3), (2, 2)]
+    assert run(None, room=2) == [(0, 9), (1, 3)]
+    assert run((3, "c")) == [(0, 9), (1, 3)] and run((3, "a")) == [(0, 9)]
+    assert run((9, "b")) == [(0, 9)] and run((2, "d")) == [(0, 9), (1, 3), (2, 2)]
+
+
 def test_greedy_is_near_optimal(spark):
     weights, _, candidates = random_case(7, 40, 9)
     best = brute_greedy(weights, {}, candidates, 2, 3)[-1][3]
