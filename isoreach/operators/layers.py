@@ -9,7 +9,7 @@ from isoreach.functions.geometry import area_moments, has_geometry
 from isoreach.functions.names import pct
 from isoreach.operators.coverage import COMBO
 from isoreach.operators.dissolve import outline, outline_wkt
-from isoreach.operators.joins import Workspace, lookup_join
+from isoreach.operators.joins import lookup_join
 
 
 def pareto_frontier(summary: DataFrame, steps: DataFrame, existing: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -82,29 +82,19 @@ def sample_rows(df: DataFrame, max_samples: int, seed: int = 1) -> DataFrame:
     return df.sample(fraction=min(1.0, max_samples / count), seed=seed) if count else df
 
 
-def sample_exact(df: DataFrame, groups: list[str], key: str, n: int, seed: int = 1) -> DataFrame:
-    """Exactly ``min(n, size)`` rows of every group, chosen by hash of ``key``: reproducible anywhere.
+def sample_exact(df: DataFrame, groups: list[str], key: str, n: int, seed: int = 1, slices: int = 256) -> DataFrame:
+    """Exactly ``min(n, size)`` rows of every group, those of the least hashes of ``key``: reproducible anywhere.
 
-    A count per group and leading hash digits finds how far into the hash range n rows reach, so only
-    about n rows per group are ever ranked, however large the group.
+    One scan, and no counting before it: every task keeps the n least of each group (Spark limits ranks before it
+    shuffles), those of the tasks that share a slice are cut to n again, and the slices meet last. A large group is
+    never one task's work: a slice sees n rows for each task in it, the last step n rows for each slice.
     """
     hashed = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))))
-    hashed = hashed.withColumn("_b", F.substring("_h", 1, 3))
-    per_bucket = hashed.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    needed = Workspace(df.sparkSession).save(
-        per_bucket.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .filter(F.col("_before") < n)
-        .select(*groups, "_b"),
-        "buckets",
-    )
-    rank = Window.partitionBy(*groups).orderBy("_h", key)
-    return (
-        lookup_join(hashed, needed, [*groups, "_b"], "left_semi")
-        .withColumn("_rank", F.row_number().over(rank))
-        .filter(F.col("_rank") <= n)
-        .drop("_h", "_b", "_rank")
-    )
+    hashed = hashed.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
+    for keys in ([*groups, "_slice"], groups):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_h", key))
+        hashed = hashed.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    return hashed.drop("_h", "_slice")
 
 
 def boundary_centers(boundaries: DataFrame, keys: list[str], wkt: str = "geometry_wkt") -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on hand-made inputs, against brute force where SQL is not the judge."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -356,11 +357,23 @@ def test_sampling(spark):
     df = spark.range(3000).selectExpr("IF(id < 2900, 'big', 'small') AS g", "id AS ID")
     sample = layers.sample_exact(df, ["g"], "ID", 200)
     assert {r["g"]: r["count"] for r in sample.groupBy("g").count().collect()} == {"big": 200, "small": 100}
+    least = lambda ids: sorted(ids, key=lambda i: hashlib.md5(f"{i}|1".encode()).hexdigest())[:200]
+    assert {r["ID"] for r in sample.collect()} == {*least(range(2900)), *range(2900, 3000)}
+    assert {r["ID"] for r in layers.sample_exact(df.repartition(40), ["g"], "ID", 200, slices=3).collect()} == {r["ID"] for r in sample.collect()}
+    assert layers.sample_exact(df.limit(0), ["g"], "ID", 200).count() == 0
     assert layers.sample_rows(df.limit(0), 10).count() == 0
     assert layers.sample_rows(df, 5000).count() == 3000
     assert [layers.sample_size(n) for n in (0, 2000, 9000)] == [5000, 4000, 1000]
 
 
+def test_sampling_scans_once_and_ranks_before_the_shuffle(spark, tmp_path):
+    spark.range(3000).selectExpr("id % 2 AS g", "id AS ID").write.parquet(f"{tmp_path}/layer")
+    sample = layers.sample_exact(spark.read.parquet(f"{tmp_path}/layer"), ["g"], "ID", 20)
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("WindowGroupLimit") == 4
+    assert sample.count() == 40
+
+
 def test_lineage_cut_uses_the_named_folder(spark):
     assert joins.checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
     work = joins.Workspace(spark)
