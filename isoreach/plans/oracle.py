@@ -11,6 +11,9 @@ from isoreach.functions.hexgrid import EDGE_M, OFFSET, Q_SHIFT
 from isoreach.plans.fixtures import COUNTRY, DISTANCES, FINE_GRID, FINE_SPACING, GRID, SPACING
 
 DX, DY = f"{GRID.dx!r}e0", f"{GRID.dy!r}e0"
+# UTM on WGS 84, scaled meridian radius in metres, eccentricity, and the terms of the series.
+UTM_RADIUS, UTM_E = "6364902.166165087e0", "0.08181919084262149e0"
+UTM_WAVES = [(1, 0.0008377318206303529), (2, 7.608527714248998e-07), (3, 1.1976380015605232e-09), (4, 2.4433761945220637e-12)]
 STEPS = 55
 TARGET = 90
 
@@ -336,6 +339,17 @@ def oracle_sql() -> dict[str, str]:
     add("boundaries_geojson", "parcel", select="SELECT ISO_A3, NAM_0, NAM_1, NAM_2, geometry_wkt FROM parcel")
     add("boundaries_collection", "parcel", select="SELECT ISO_A3, NAM_0, NAM_1, NAM_2, geometry_wkt FROM parcel")
     add("facilities_file", "fac", select=f"SELECT ID, {milli('lon')} AS lon, {milli('lat')} AS lat, name FROM fac")
+    add("facilities_projected", "fac", select=f"SELECT ID, {milli('lon')} AS lon, {milli('lat')} AS lat, name FROM fac")
+    # Conformal latitude through inverse hyperbolic functions and complex tangents instead of square roots; constants by number.
+    add(
+        "projected_points",
+        "pix",
+        select=f"""SELECT key, zone, floor(100 * (500000e0 + {UTM_RADIUS} * (b + {' + '.join(f'{c!r} * cos({2 * j} * a) * sinh({2 * j} * b)' for j, c in UTM_WAVES)})))::BIGINT AS x_cm,
+            floor(100 * (10000000e0 + {UTM_RADIUS} * (a + {' + '.join(f'{c!r} * sin({2 * j} * a) * cosh({2 * j} * b)' for j, c in UTM_WAVES)})))::BIGINT AS y_cm, TRUE AS returned
+          FROM (SELECT key, zone, atan2(sinh(q), cos(l)) AS a, atanh(sin(l) / cosh(q)) AS b
+            FROM (SELECT key, zone, radians(xcoord - (6 * zone - 183)) AS l, atanh(sin(radians(ycoord))) - {UTM_E} * atanh({UTM_E} * sin(radians(ycoord))) AS q
+              FROM (SELECT key, xcoord, ycoord, (floor((xcoord + 180) / 6) + 1)::INTEGER AS zone FROM pix)))""",
+    )
     add("csv_append", "fac", select=f"SELECT osm_id, name, {milli('lon')} AS lon, {milli('lat')} AS lat FROM fac")
     add(
         "unmatched_sites",

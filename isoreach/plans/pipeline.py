@@ -139,12 +139,12 @@ class Pipeline:
         inputs = (tables.input_identity(self.spark, tiles), x0, y0, dx, dy)
         return self._store("population", lambda: raster.raster_pixels(tiles, x0, y0, dx, dy, self.settings.grid), inputs=inputs)
 
-    def extract_boundaries(self, folder: str, layout: str = "auto") -> tuple[DataFrame, DataFrame]:
+    def extract_boundaries(self, folder: str, layout: str = "auto", epsg: int = 4326) -> tuple[DataFrame, DataFrame]:
         """Regions (country and provinces) and districts."""
         s = self.settings
 
         def regions():
-            adm0, adm1 = (features.load_boundaries(self.spark, folder, level, layout) for level in (0, 1))
+            adm0, adm1 = (features.load_boundaries(self.spark, folder, level, layout, epsg) for level in (0, 1))
             for province in s.provinces:
                 features.select_boundaries(adm1, s.iso3, province)
             every = features.region_table(adm0, adm1, s.iso3, s.country_region)
@@ -154,22 +154,22 @@ class Pipeline:
             return every.filter(wanted | (F.lit(s.include_country) & (F.col("region") == s.country_region)))
 
         def districts():
-            found = features.select_districts(features.load_boundaries(self.spark, folder, 2, layout), s.iso3)
+            found = features.select_districts(features.load_boundaries(self.spark, folder, 2, layout, epsg), s.iso3)
             return found.withColumn("position", F.monotonically_increasing_id())  # of the feature, as the file is read
 
-        inputs = (tables.input_identity(self.spark, f"{folder}/*.geojson"), layout)
+        inputs = (tables.input_identity(self.spark, f"{folder}/*.geojson"), layout, epsg)
         return self._store("boundaries", regions, inputs=inputs), self._store("boundaries_lgu", districts, inputs=inputs)
 
-    def extract_facilities(self, source: str, path, use_center: bool = False, layout: str = "auto") -> DataFrame:
+    def extract_facilities(self, source: str, path, use_center: bool = False, layout: str = "auto", epsg: int = 4326) -> DataFrame:
         """Facilities of every region, with the boundary's columns."""
 
         def make(regions: list[str], _) -> DataFrame:
-            found = features.load_facilities(self.spark, source, path, use_center, layout)
+            found = features.load_facilities(self.spark, source, path, use_center, layout, epsg)
             with_id = found if source == "file" else sites.facility_ids(found, F.col("osm_id"))
             placed = sites.facilities_within(with_id, self._of("boundaries", regions), ["iso3", "region"])
             return sites.place_sites(placed, self.settings.grid)
 
-        inputs = (source, tables.input_identity(self.spark, path), use_center, layout)
+        inputs = (source, tables.input_identity(self.spark, path), use_center, layout, epsg)
         return self._store_parts("health_facilities", make, ("boundaries",), inputs=inputs, by_distance=False)
 
     # Transform

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoreach.functions import geometry as geo
-from isoreach.functions import names
+from isoreach.functions import names, projection
 from isoreach.functions.hexgrid import explode_disk, k_rings_col
 from isoreach.operators import coverage, dissolve, equity, layers, mclp, polyfill, population, sites, spatial_join
 from isoreach.operators.joins import Workspace
@@ -269,6 +269,27 @@ def facilities_file(spark, sf_dir):
     return features.load_facilities(spark, "file", path).select("ID", "lon", "lat", F.col("properties")["name"].alias("name"))
 
 
+def facilities_projected(spark, sf_dir):
+    """Facilities written in metres of UTM zone 35 south and loaded back in degrees."""
+    path = f"{Workspace(spark).root}/projected.geojson"
+    at = projection.utm(35, south=True).project(fx.milli(F.col("lon")), fx.milli(F.col("lat")))
+    placed = fx.facilities(spark, sf_dir).withColumn("_at", at)
+    features.write_geojson(placed.select("ID", "name", geo.point_wkt(F.col("_at.x"), F.col("_at.y")).alias("geometry_wkt")), path)
+    loaded = features.load_facilities(spark, "file", path, epsg=32735)
+    return loaded.select("ID", fx.milli(F.col("lon")).alias("lon"), fx.milli(F.col("lat")).alias("lat"), F.col("properties")["name"].alias("name"))
+
+
+def projected_points(spark, sf_dir):
+    """Every pixel in whole centimetres of its own UTM zone, and whether it comes back within 1e-9 degrees."""
+    zone = F.floor((F.col("xcoord") + 180) / 6).cast("int") + 1
+    system = projection.utm(F.col("zone"), south=True)
+    points = fx.pixels(spark, sf_dir).select("key", "xcoord", "ycoord", zone.alias("zone"))
+    points = points.withColumn("at", system.project(F.col("xcoord"), F.col("ycoord"))).withColumn("back", system.unproject(F.col("at.x"), F.col("at.y")))
+    returned = (F.abs(F.col("back.x") - F.col("xcoord")) < 1e-9) & (F.abs(F.col("back.y") - F.col("ycoord")) < 1e-9)
+    centimetres = lambda c: F.floor(F.col(c) * 100).cast("long")
+    return points.select("key", "zone", centimetres("at.x").alias("x_cm"), centimetres("at.y").alias("y_cm"), returned.alias("returned"))
+
+
 def csv_append(spark, sf_dir):
     """Facilities written to CSV in two parts and read back."""
     path = f"{Workspace(spark).root}/facilities.csv"
@@ -564,7 +585,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cell_facilities, facility_cells, access_summary, district_population, mclp_steps, mclp_relation_steps,
         mclp_selected, lgu_access_long, lgu_access_wide, lgu_accessibility, target_reached, districts_below_target,
         site_district, pareto_frontier, layer_with_access, layer_without_access, pixels_with_access,
-        pixels_without_access, layer_sample, facility_layer, dashboard_metadata, boundaries_collection, facilities_file, csv_append, unmatched_sites, reused_access, country_outline, strip_outlines, parcel_outlines, fresh_combinations,
+        pixels_without_access, layer_sample, facility_layer, dashboard_metadata, boundaries_collection, facilities_file, facilities_projected, projected_points, csv_append, unmatched_sites, reused_access, country_outline, strip_outlines, parcel_outlines, fresh_combinations,
         fresh_combinations_none,
     )
 } | {"polyfill": polyfill_cells}

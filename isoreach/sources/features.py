@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isoreach.functions.geometry import geojson_wkt, point_x, point_y, wkt_geojson
+from isoreach.functions.projection import wkt_to_lonlat
 from isoreach.functions.names import correct_names
 from isoreach.operators.joins import Workspace, lookup_join
 from isoreach.sources.tables import path_exists
@@ -148,12 +149,16 @@ def write_geojson(df: DataFrame, path: str, wkt: str = "geometry_wkt", mode: str
 BOUNDARY_COLUMNS = {0: ["ISO_A3", "NAM_0"], 1: ["ISO_A3", "NAM_0", "NAM_1"], 2: ["ISO_A3", "NAM_0", "NAM_1", "NAM_2"]}
 
 
-def load_boundaries(spark: SparkSession, folder: str, admin_level: int, layout: str = "auto") -> DataFrame:
-    """Boundaries of one administrative level with known name errors corrected."""
+def load_boundaries(spark: SparkSession, folder: str, admin_level: int, layout: str = "auto", epsg: int = 4326) -> DataFrame:
+    """Boundaries of one administrative level with known name errors corrected, in degrees.
+
+    ``epsg`` is the system of the file's coordinates, one of those in ``functions/projection.py``.
+    """
     if admin_level not in BOUNDARY_COLUMNS:
         raise ValueError(f"admin_level must be 0, 1 or 2, not {admin_level}")
     path = f"{folder.rstrip('/')}/wb_admin{admin_level}.geojson"
-    return correct_names(read_geojson(spark, path, BOUNDARY_COLUMNS[admin_level], layout))
+    found = read_geojson(spark, path, BOUNDARY_COLUMNS[admin_level], layout)
+    return correct_names(found.withColumn("geometry_wkt", wkt_to_lonlat(F.col("geometry_wkt"), epsg)))
 
 
 def select_boundaries(boundaries: DataFrame, iso3: str, province: str | None = None) -> DataFrame:
@@ -239,11 +244,14 @@ def merge_elements(*lists: DataFrame, order: str = "pos") -> DataFrame:
     return every.groupBy("osm_id").agg(best).select("osm_id", *[f"_best.{c}" for c in columns])
 
 
-def load_facilities(spark: SparkSession, source: str, path: str | list[str] | None, use_center: bool = False, layout: str = "auto") -> DataFrame:
+def load_facilities(
+    spark: SparkSession, source: str, path: str | list[str] | None, use_center: bool = False, layout: str = "auto", epsg: int = 4326
+) -> DataFrame:
     """Facilities from stored OSM responses (hospitals before clinics) or from a GeoJSON of points.
 
     Those of a file keep all their properties as a map, and the file's ``ID``. Without one, ``ID`` is made from
-    osm_id, else from name and place, so no facility is without a key.
+    osm_id, else from name and place, so no facility is without a key. ``epsg`` is the system of the file's coordinates
+    (stored responses are in degrees); places come out in degrees.
     """
     if source == "osm":
         paths = [path] if isinstance(path, str) else list(path or [])
@@ -252,6 +260,7 @@ def load_facilities(spark: SparkSession, source: str, path: str | list[str] | No
         if path is None:
             raise ValueError("source 'file' needs a path")
         points = read_geojson(spark, path, None, layout)
+        points = points.withColumn("geometry_wkt", wkt_to_lonlat(F.col("geometry_wkt"), epsg))
         points = points.withColumn("lon", point_x(F.col("geometry_wkt"))).withColumn("lat", point_y(F.col("geometry_wkt")))
         of = F.col("properties")
         made = F.concat(F.coalesce(of["osm_id"], F.md5(F.concat_ws("|", of["name"], F.col("lon").cast("string"), F.col("lat").cast("string")))), F.lit("_current"))

@@ -1,10 +1,13 @@
 """Grid, geometry, names: known values and properties."""
 
+import math
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from isoreach.functions import geometry as geo
-from isoreach.functions import names
+from isoreach.functions import names, projection
 from isoreach.functions.hexgrid import (
     HexGrid,
     disk_size,
@@ -168,3 +171,52 @@ def test_pct_and_mercator(spark):
     assert [r[0] for r in df.select(names.pct(F.col("a"), F.col("b"))).collect()] == [33.33, 0.0, 0.0]
     p = spark.createDataFrame([(3117000.0, -1689200.0)], "x double, y double").select(geo.mercator_to_lonlat(F.col("x"), F.col("y")).alias("p")).first()["p"]
     assert p["lon"] == pytest.approx(28.0004, abs=1e-3) and p["lat"] == pytest.approx(-15.0002, abs=1e-2)
+
+
+def meridian_arc(lat):
+    """Metres from the equator along a meridian of WGS 84, by Simpson's rule over the radius of curvature."""
+    e2, n = projection.FLATTENING * (2 - projection.FLATTENING), 2000
+    h = math.radians(lat) / n
+    curve = lambda t: projection.SEMI_MAJOR * (1 - e2) / (1 - e2 * math.sin(t) ** 2) ** 1.5
+    return h / 3 * sum((1 if i in (0, n) else 4 if i % 2 else 2) * curve(i * h) for i in range(n + 1))
+
+
+def test_transverse_mercator_is_true_on_its_meridian_and_conformal(spark):
+    """These two properties define the projection; neither uses its series."""
+    system = projection.utm(35)
+    lats = [-79.0, -33.3, 0.0, 8.25, 61.0]
+    on = spark.createDataFrame([(lat,) for lat in lats], "lat double").select(system.project(F.lit(27.0), F.col("lat")).alias("p")).collect()
+    for lat, row in zip(lats, on, strict=True):
+        assert row["p"]["x"] == pytest.approx(500_000, abs=1e-6) and row["p"]["y"] == pytest.approx(0.9996 * meridian_arc(lat), abs=1e-5)
+    e2, step = projection.FLATTENING * (2 - projection.FLATTENING), 1e-4
+    spots = [(24.1, -17.2), (30.5, 45.0), (33.0, -8.0), (27.0, 70.0)]
+    around = [(a + i * step, b + j * step) for a, b in spots for i, j in ((1, 0), (-1, 0), (0, 1), (0, -1))]
+    got = [r["p"] for r in spark.createDataFrame(around, "lon double, lat double").coalesce(1).select(system.project(F.col("lon"), F.col("lat")).alias("p")).collect()]
+    for i, (_, lat) in enumerate(spots):
+        east, west, north, south = got[4 * i : 4 * i + 4]
+        s = math.sin(math.radians(lat))
+        along, across = projection.SEMI_MAJOR / math.sqrt(1 - e2 * s * s) * math.cos(math.radians(lat)), projection.SEMI_MAJOR * (1 - e2) / (1 - e2 * s * s) ** 1.5
+        to_east = ((east["x"] - west["x"]) / along, (east["y"] - west["y"]) / along)
+        to_north = ((north["x"] - south["x"]) / across, (north["y"] - south["y"]) / across)
+        scale = math.hypot(*to_east)
+        assert math.hypot(*to_north) == pytest.approx(scale, rel=1e-8)
+        assert (to_east[0] - to_north[1]) / scale == pytest.approx(0, abs=1e-8) and (to_east[1] + to_north[0]) / scale == pytest.approx(0, abs=1e-8)
+
+
+def test_projected_text_comes_back(spark):
+    wkt = "MULTIPOLYGON (((24.5 -15, 30.25 -15, 30.25 -12.5, 24.5 -15)), ((26 -10, 27 -10, 27 -9, 26 -10), (26.5 -9.75, 26.75 -9.5, 26.75 -9.75, 26.5 -9.75)))"
+    places = [tuple(map(float, pair.split())) for pair in re.findall(r"[-0-9.]+ [-0-9.]+", wkt)]
+    at = spark.createDataFrame(places, "lon double, lat double").coalesce(1).select(projection.utm(35, south=True).project(F.col("lon"), F.col("lat")).alias("p")).collect()
+    metres = iter([f"{r['p']['x']!r} {r['p']['y']!r} 1250.5" for r in at])
+    rows = [(re.sub(r"[-0-9.]+ [-0-9.]+", lambda _: next(metres), wkt),), ("POINT (500000 10000000)",), (None,), ("",), ("POLYGON EMPTY",)]
+    df = spark.createDataFrame(rows, "wkt string").coalesce(1)
+    back = [r[0] for r in df.select(projection.wkt_to_lonlat(F.col("wkt"), 32735)).collect()]
+    found = [tuple(map(float, pair.split())) for pair in re.findall(r"[-0-9.]+ [-0-9.]+", back[0])]
+    assert found == [(pytest.approx(x, abs=1e-9), pytest.approx(y, abs=1e-9)) for x, y in places]
+    assert re.sub(r"[-0-9.]+ [-0-9.]+", "", back[0]) == re.sub(r"[-0-9.]+ [-0-9.]+", "", wkt)
+    assert back[1:] == ["POINT (27.0 0.0)", None, None, None]
+    assert df.select(projection.wkt_to_lonlat(F.col("wkt"), 4326)).first()[0] == rows[0][0]
+    one = df.limit(1).select(projection.to_lonlat(F.lit(3117000.0), F.lit(-1689200.0), 3857).alias("p"), projection.to_lonlat(F.lit(None).cast("double"), F.lit(1.0), 3857).alias("n")).first()
+    assert one["p"]["lon"] == pytest.approx(28.0004, abs=1e-3) and one["n"] is None
+    with pytest.raises(ValueError, match="2056"):
+        projection.stages_to_degrees(2056)

@@ -12,7 +12,7 @@ DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
 ORACLE = contract.oracle_sql()
 QUICK = """hex_cell hex_disk k_rings population_by_cell raster_pixels polygon_bounds sanitize_names combinations wkt_roundtrip
-osm_elements facility_ids facilities_within polyfill polyfill_parcels pixels_in_parcels cell_facilities facility_cells pixels_with_access pixels_without_access access_summary mclp_steps fresh_combinations fresh_combinations_none population_by_region district_population mclp_selected lgu_access_long""".split()
+projected_points facilities_projected layer_sample mclp_relation_steps osm_elements facility_ids facilities_within polyfill polyfill_parcels pixels_in_parcels cell_facilities facility_cells pixels_with_access pixels_without_access access_summary mclp_steps fresh_combinations fresh_combinations_none population_by_region district_population mclp_selected lgu_access_long""".split()
 NAMES = sorted(ORACLE) if os.environ.get("ISOREACH_ALL") else QUICK
 
 pytestmark = pytest.mark.skipif(not Path(DATA).is_dir(), reason="no test data")
