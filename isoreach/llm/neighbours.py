@@ -8,7 +8,8 @@ of projections are verified on the original vectors. Once the wanted number is v
 of radius d decides: all vectors within d had their chance, and the search of that block ends.
 
 The threshold lies ``MARGIN`` standard deviations below the expected count at distance R, which sets the recall. All
-vectors are indexed; a task holds one block (at most BLOCK_ROWS vectors on average) and one chunk of queries.
+vectors are indexed; a task holds one block (at most BLOCK_ROWS vectors on average) and one chunk of queries. A few rows
+of the block are verified first, so that the windows start near the distance they end at.
 
 Unit vectors are indexed, so Euclidean order is cosine order. Vectors that are null, zero, of another length than most,
 or that hold null or non-finite components take no part. Ties go to the smaller id; equal vectors are separate
@@ -27,8 +28,13 @@ PROJECTIONS = 96
 WIDTH = 1.0
 MARGIN = 1.9
 GROWTH = 1.2
-BLOCK_ROWS = 4096
-CHUNK_ROWS = 1024
+BLOCK_ROWS = 32_768
+CHUNK_ROWS = 8192
+#: A chunk is not made smaller than this to keep all cores busy.
+LEAST_CHUNK_ROWS = 64
+PILOT_ROWS = 256
+#: The first window, as a part of the distance of the pilot's k-th best.
+START = 0.5
 #: P(|N(0, 1)| <= WIDTH)
 COLLIDE = 0.6826894921370859
 THRESHOLD = int(np.floor(PROJECTIONS * COLLIDE - MARGIN * np.sqrt(PROJECTIONS * COLLIDE * (1 - COLLIDE))))
@@ -54,75 +60,92 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 class Block:
-    """Sorted projections of some vectors."""
+    """Sorted projections of some vectors, built once for all queries that meet them."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, seed: int = 5):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], unit(vectors[order])
         rng = np.random.default_rng(seed)
         self.axes = rng.normal(size=(vectors.shape[1], PROJECTIONS))
-        values = self.vectors @ self.axes
+        values = np.ascontiguousarray((self.vectors @ self.axes).T)
+        #: For each projection the rows by value; row numbers are of the width numpy indexes with.
+        self.order = np.argsort(values, axis=1, kind="stable")
         # One flat sorted array: each projection's values are shifted beyond those of the one before.
         self.bound = float(np.sqrt((self.axes**2).sum(0)).max(initial=0.0)) + 0.5
         self.shift = np.arange(PROJECTIONS) * (2 * self.bound + 1)
-        self.order = np.argsort(values, axis=0, kind="stable").T.ravel()
-        self.values = (np.sort(values, axis=0) + self.shift).T.ravel()
+        self.values = (np.take_along_axis(values, self.order, 1) + self.shift[:, None]).ravel()
+        self.first = np.arange(PROJECTIONS) * len(ids)
+        #: Rows spread over the block, verified for every query, so that the windows start near the wanted distance.
+        self.pilot = np.arange(0, len(ids), max(1, len(ids) // PILOT_ROWS))
 
     def places(self, values: np.ndarray, side: str) -> np.ndarray:
-        """For one value per projection, its place in the flat array."""
-        return np.searchsorted(self.values, np.clip(values, -self.bound, self.bound) + self.shift, side)
+        """For one value per projection, its place among the sorted values of that projection."""
+        return np.searchsorted(self.values, np.clip(values, -self.bound, self.bound) + self.shift, side) - self.first
 
     def nearest(self, query: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and cosines of at most k vectors found nearest to a unit query, ties by id."""
-        own = np.flatnonzero(self.ids == query_id)
+        own = np.arange(np.searchsorted(self.ids, query_id, "left"), np.searchsorted(self.ids, query_id, "right"))
         k = min(k, len(self.ids) - len(own))
         if k <= 0:
             return self.ids[:0], np.zeros(0)
         centre = query @ self.axes
-        counts = np.zeros(len(self.ids), np.int64)
-        lo = self.places(centre, "left")
-        hi = lo
+        counts = np.zeros(len(self.ids), np.uint8)  # at most PROJECTIONS, below 256
+        lo = hi = self.places(centre, "left")
         cosine = np.full(len(self.ids), -np.inf)
+        cosine[self.pilot] = self.vectors[self.pilot] @ query
         checked = np.zeros(len(self.ids), bool)
-        checked[own] = True
-        radius, last = 0.25, False
+        checked[self.pilot] = checked[own] = True
+        cosine[own] = -np.inf
+
+        def within() -> tuple[float, float]:
+            """The k-th best cosine so far and its distance."""
+            best = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
+            return best, np.sqrt(max(0.0, 2 - 2 * best)) if np.isfinite(best) else np.inf
+
+        best, reach = within()
+        radius, last = max(0.25, START * reach) if np.isfinite(reach) else 0.25, False
         while True:
             half = WIDTH * radius
             a, b = self.places(centre - half, "left"), self.places(centre + half, "right")
-            starts = np.r_[a, hi]
-            sizes = np.r_[lo, b] - starts
-            ends = np.cumsum(sizes)
-            met = self.order[np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)]
-            counts += np.bincount(met, minlength=len(counts))
+            for rows, start, below, above, end in zip(self.order, a.tolist(), lo.tolist(), hi.tolist(), b.tolist(), strict=True):
+                # A row stands once in a projection, so no row is met twice by one of these sums.
+                counts[rows[start:below]] += 1
+                counts[rows[above:end]] += 1
             lo, hi = a, b
             fresh = np.flatnonzero((counts >= THRESHOLD) & ~checked)
             if len(fresh):
-                cosine[fresh] = (self.vectors[fresh] * query).sum(1)
+                cosine[fresh] = self.vectors[fresh] @ query
                 checked[fresh] = True
-            best = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
-            reach = np.sqrt(max(0.0, 2 - 2 * best)) if np.isfinite(best) else np.inf
+                best, reach = within()
             if last or radius >= reach or radius > 4 * np.sqrt(PROJECTIONS):
                 break
             last = reach <= radius * GROWTH
             radius = reach if last else radius * GROWTH
-        found = np.flatnonzero(np.isfinite(cosine))
-        found = found[np.lexsort((self.ids[found], -cosine[found]))][:k]
-        return self.ids[found], cosine[found]
+        # Matrix products round by position; what may be among the best is summed again in one order, so equal vectors tie.
+        found = np.flatnonzero(np.isfinite(cosine) & (cosine >= best - 1e-9))
+        exact = (self.vectors[found] * query).sum(1)
+        top = np.lexsort((self.ids[found], -exact))[:k]
+        return self.ids[found[top]], exact[top]
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The k nearest vectors found for each query: query_id, rank, vec_id, score (cosine).
 
     Both tables are (vec_id, embedding). Blocks of vectors meet chunks of queries; a block keeps only its k best for a
-    query, so what is shuffled for the final ranks is k rows for each query and block.
+    query, so what is shuffled for the final ranks is k rows for each query and block. Blocks travel once for each chunk
+    and their arrays are sorted once for it; chunks are as large as ``chunk_rows``, or smaller while there are fewer tasks
+    than cores. Results depend on the blocks only.
     """
-    clean = lambda t: t.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    # Floats travel as floats; the tasks calculate with doubles.
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == dict(queries.dtypes)["embedding"] == "array<float>" else "array<double>"
+    clean = lambda t: t.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     vectors, queries = clean(vectors), clean(queries)
     sizes = vectors.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     width, rows = (sizes[0]["d"], sizes[0]["count"]) if sizes else (1, 0)
     vectors, queries = (t.filter(F.size("embedding") == width) for t in (vectors, queries))
     blocks = max(1, -(-rows // block_rows))
-    chunks = max(1, -(-queries.count() // chunk_rows))
+    asked_rows, cores = queries.count(), vectors.sparkSession.sparkContext.defaultParallelism
+    chunks = max(1, -(-asked_rows // chunk_rows), min(-(-2 * cores // blocks), asked_rows // LEAST_CHUNK_ROWS))
     pick = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = vectors.select("vec_id", "embedding", pick(blocks, "block").alias("block")).select("*", every(chunks).alias("chunk"))
