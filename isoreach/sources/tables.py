@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from isoreach.functions.geometry import has_geometry, wkt_edges
 from isoreach.functions.names import with_unique_columns
+from isoreach.sources import versions
 
 FINGERPRINT = "isoreach.fingerprint"
 PART = "isoreach.part."
@@ -48,7 +49,20 @@ def load_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> None:
-    """Managed table; an overwrite may change the schema. Columns that differ only in case are renamed."""
+    """Managed table; an overwrite may change the schema. Columns that differ only in case are renamed.
+
+    An overwrite is a new version that readers see once it is complete (see ``versions``); a partitioned table is written
+    in place, its parts being marked one by one (see ``materialize_parts``).
+    """
+    if mode == "overwrite" and not partition_by:
+        versions.replace_table(df, name)
+        return
+    spark = df.sparkSession
+    current = versions.current_version(spark, name)
+    if current and mode == "overwrite":
+        spark.sql(f"DROP VIEW {name}")
+    elif current:
+        name = current
     with_unique_columns(df).write.mode(mode).partitionBy(*partition_by).saveAsTable(name)
 
 
@@ -85,21 +99,18 @@ def input_identity(spark: SparkSession, source: DataFrame | str | list[str]) ->
 
 
 def stored_fingerprint(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    return {r["key"]: r["value"] for r in rows}.get(FINGERPRINT)
+    return versions.properties(spark, versions.current_version(spark, name) or name).get(FINGERPRINT)
 
 
-def materialize(
-    spark: SparkSession, make: Callable[[], DataFrame], name: str, params: dict | None = None, force: bool = False, partition_by: tuple[str, ...] = ()
-) -> DataFrame:
-    """Reuse table ``name`` if it was completed with the same parameters, else compute and write it.
+def materialize(spark: SparkSession, make: Callable[[], DataFrame], name: str, params: dict | None = None, force: bool = False) -> DataFrame:
+    """Reuse table ``name`` if it was completed with the same parameters, else compute it and replace it.
 
-    The fingerprint is stored after the data, so an interrupted write is never taken for a result.
+    The fingerprint belongs to the version, so rows and fingerprint change at once: an interrupted write is never taken
+    for a result, and leaves the table as it was.
     """
     mark = fingerprint(params or {})
     if force or not table_exists(spark, name) or stored_fingerprint(spark, name) != mark:
-        save_table(make(), name, partition_by=partition_by)
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{FINGERPRINT}' = '{mark}')")
+        versions.replace_table(make(), name, {FINGERPRINT: mark})
     return spark.table(name)
 
 
@@ -189,14 +200,14 @@ def materialize_parts(
 
 
 def log_run(spark: SparkSession, log_table: str, table_name: str, combos: DataFrame) -> None:
-    """Append one row per combination written to ``table_name`` now."""
+    """Append one row per combination written to ``table_name`` now, as a batch: runs at the same time lose no entry."""
     entries = combos.select(
         F.lit(table_name).alias("table_name"),
         F.col("region").cast("string"),
         F.col("distance_m").cast("int"),
         F.current_timestamp().alias("written_at"),
     )
-    save_table(entries, log_table, mode="append")
+    versions.append_batch(entries, log_table)
 
 
 def fresh_combinations(run_log: DataFrame, since, country: str = "Country") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isoreach.functions.hexgrid import HexGrid
 from isoreach.plans.pipeline import SETTINGS_OF, Pipeline, Settings
-from isoreach.sources import features, raster, tables
+from isoreach.sources import features, raster, tables, versions
 
 
 def square(x, y, w=1.0, h=1.0):
@@ -166,6 +167,66 @@ def test_materialize_reuses_only_equal_parameters(spark):
     assert tables.materialize(spark, make, "store.m", {"k": 2}).count() == 4
 
 
+def broken(spark, n):
+    """A table whose last task fails after the others have written."""
+    return spark.range(n, numPartitions=4).select(F.when(F.col("id") == n - 1, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id"))
+
+
+def test_a_write_that_dies_leaves_the_old_version(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS store")
+    count = lambda: spark.table("store.v").count()
+    first = versions.replace_table(spark.range(3).toDF("id"), "store.v")
+    seen = spark.table("store.v")
+    with pytest.raises(Exception, match="lost"):
+        versions.replace_table(broken(spark, 1000), "store.v")
+    with pytest.raises(Exception, match="lost"):
+        tables.materialize(spark, lambda: broken(spark, 1000), "store.v", {"k": 1})
+    assert count() == 3 and tables.stored_fingerprint(spark, "store.v") is None
+    assert versions.versions(spark, "store.v") == [first] and versions.versions(spark, "store.v", complete=False) == []
+    # A replacement may read what it replaces and may change the columns; a reader of before still ends.
+    second = versions.replace_table(spark.table("store.v").withColumn("more", F.lit("x")), "store.v")
+    assert spark.table("store.v").columns == ["id", "more"] and seen.count() == 3
+    third = versions.replace_table(spark.range(8).toDF("id"), "store.v")
+    assert versions.versions(spark, "store.v") == [second, third] and count() == 8
+    versions.restore_version(spark, "store.v", second)
+    assert versions.current_version(spark, "store.v") == second and count() == 3
+    with pytest.raises(ValueError, match="not a complete version"):
+        versions.restore_version(spark, "store.v", first)
+    # What a killed session leaves is no version, and goes when told to.
+    spark.range(5).write.saveAsTable("store.v__v9_dead")
+    assert count() == 3 and versions.drop_versions(spark, "store.v", keep=0, unfinished=True) == ["store.v__v9_dead"]
+
+
+def test_a_plain_table_becomes_a_version(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS store")
+    spark.range(2).write.saveAsTable("store.old")
+    assert versions.current_version(spark, "store.old") is None and versions.current_version(spark, "store.nowhere") is None
+    now = versions.replace_table(spark.range(6).toDF("id"), "store.old")
+    assert spark.table("store.old").count() == 6
+    before, after = versions.versions(spark, "store.old")
+    assert spark.table(before).count() == 2 and after == now
+
+
+def test_appends_at_once_lose_nothing(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS store")
+    combos = spark.createDataFrame([("N", 1000), ("S", 2000)], "region string, distance_m int")
+    tables.log_run(spark, "store.log", "t", combos)
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: tables.log_run(spark, "store.log", f"t{i}", combos), range(12)))
+    assert spark.table("store.log").count() == 26
+    assert spark.table("store.log").select("table_name").distinct().count() == 13
+    assert {c for c in spark.table("store.log").columns} == {"table_name", "region", "distance_m", "written_at", "batch_id"}
+    batch = versions.append_batch(spark.range(3).toDF("id"), "store.batches", "monday")
+    versions.append_batch(spark.range(4).toDF("id"), "store.batches", "tuesday")
+    with pytest.raises(Exception, match="lost"):
+        versions.append_batch(broken(spark, 1000), "store.batches", "tuesday")
+    versions.append_batch(spark.range(5).toDF("id"), "store.batches", batch)
+    assert {r["batch_id"]: r["count"] for r in spark.table("store.batches").groupBy("batch_id").count().collect()} == {"monday": 5, "tuesday": 4}
+    tables.save_table(spark.range(1).toDF("id"), "store.plain")
+    with pytest.raises(ValueError, match="not made by appending"):
+        versions.append_batch(spark.range(1).toDF("id"), "store.plain")
+
+
 def test_fresh_combinations(spark):
     def pick(entries, since):
         stamp = lambda h: datetime.datetime(2024, 1, 1, h)
