@@ -8,7 +8,7 @@ written alone, and a change of facilities runs again only the regions whose faci
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ from isoreach.functions import names
 from isoreach.functions.hexgrid import HexGrid
 from isoreach.operators import coverage, equity, layers, mclp, population, sites, spatial_join
 from isoreach.operators.coverage import COMBO
-from isoreach.operators.joins import Workspace
+from isoreach.operators.joins import Workspace, lookup_join
 from isoreach.sources import features, raster, tables
 
 
@@ -29,7 +29,8 @@ class Settings:
     iso3: str
     year: int = 2025
     resolution: int = 8
-    ref_lat: float = 0.0
+    # The latitude at which cells have their nominal width, see ``features.reference_latitude``; it has no default.
+    ref_lat: float = field(kw_only=True)
     # Distances, lattice step, cluster count, number of new sites and target rate.
     distances_m: tuple[int, ...] = (2000, 4000, 5000, 10000)
     spacing: float = 0.03
@@ -80,6 +81,41 @@ SETTINGS_OF = {
 BY_CONTENT = ("boundaries", "health_facilities", "candidates")
 
 
+#: For each published name the stored table and the columns that pick its rows.
+PUBLISHED = {
+    "boundaries": ("boundaries", ("region",)),
+    "facilities": ("health_facilities", ("region",)),
+    "population": ("population", ()),
+    "population_aoi": ("population_aoi", ("region",)),
+    "facilities_h3": ("facilities_h3", COMBO),
+    "facilities_coverage": ("facilities_coverage", COMBO),
+    "potential_locations": ("potential_locations", COMBO),
+    "potential_coverage": ("potential_coverage", COMBO),
+    "lgu": ("boundaries_lgu", ()),
+    "lgu_accessibility": ("lgu_accessibility_results", COMBO),
+}
+# Columns under which published tables are read; each is taken from the first stored column there is.
+CUSTOMARY = {"h3_index": ("h3_index", "cell"), "longitude": ("longitude", "lon"), "latitude": ("latitude", "lat"), "geometry_wkt": ("geometry_wkt", "geom_wkt"), "row_id": ("row_id", "key")}
+CUSTOMARY_OF = {
+    "population_aoi": ("row_id",),
+    "facilities": ("geometry_wkt",),
+    "facilities_h3": ("h3_index", "geometry_wkt"),
+    "potential_locations": ("h3_index", "longitude", "latitude"),
+    "lgu_accessibility": ("h3_index",),
+}
+
+
+def customary_columns(key: str, held: list[str]) -> list[str]:
+    """Select list of a published view: the stored columns, those with a customary name under it, and the boundary's
+    own names beside its other attributes."""
+    made = {name: next((c for c in CUSTOMARY[name] if c in held), None) for name in CUSTOMARY_OF.get(key, ())}
+    extra = {name: f"`{c}`" for name, c in made.items() if c and c != name}
+    if "attributes" in held:
+        extra |= {c: f"attributes['{c}']" for c in features.BOUNDARY_COLUMNS[1] if c not in held}
+    moved = {c for name, c in made.items() if name == "h3_index" and c != name}
+    return [*(f"`{c}`" for c in held if c not in moved), *(f"{text} AS `{name}`" for name, text in extra.items())]
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, settings: Settings):
         self.spark, self.settings = spark, settings
@@ -166,8 +202,10 @@ class Pipeline:
         def make(regions: list[str], _) -> DataFrame:
             found = features.load_facilities(self.spark, source, path, use_center, layout, epsg)
             with_id = found if source == "file" else sites.facility_ids(found, F.col("osm_id"))
-            placed = sites.facilities_within(with_id, self._of("boundaries", regions), ["iso3", "region"])
-            return sites.place_sites(placed, self.settings.grid)
+            bounds = self._of("boundaries", regions)
+            placed = sites.facilities_within(with_id, bounds, ["iso3", "region"])
+            described = lookup_join(placed, bounds.groupBy("region").agg(F.first("attributes").alias("attributes")), ["region"], "left")
+            return sites.place_sites(described, self.settings.grid)
 
         inputs = (source, tables.input_identity(self.spark, path), use_center, layout, epsg)
         return self._store_parts("health_facilities", make, ("boundaries",), inputs=inputs, by_distance=False)
@@ -285,24 +323,23 @@ class Pipeline:
         return tables.fresh_combinations(log, since, self.settings.country_region)
 
     def publish_views(self, catalog: str = "spark_catalog") -> list[str]:
-        """A view per province and distance under the customary table names, over the shared tables."""
-        s, made = self.settings, []
-        shared = {
-            "population_aoi": "population_aoi", "facilities_h3": "facilities_h3", "potential_locations": "potential_locations",
-            "facilities_coverage": "facilities_coverage", "potential_coverage": "potential_coverage", "lgu_accessibility": "lgu_accessibility_results",
-        }
+        """Views under the customary table names and columns, over the shared tables: one per province and distance where
+        the name tells them. Only the names of tables that exist are published; the views' names."""
+        s, made = self.settings, {}
         for row in self.table("boundaries").select("region").distinct().collect():
             province = None if row["region"] == s.country_region else row["region"]
             for d in s.distances_m:
                 for key, view in names.table_names(catalog, s.database, s.country, s.iso3, province, s.year, d).items():
-                    source = s.table(shared.get(key, ""))
-                    if key not in shared or not tables.table_exists(self.spark, source):
+                    source, by = PUBLISHED[key]
+                    if view in made or not tables.table_exists(self.spark, s.table(source)):
                         continue
-                    text = row["region"].replace("'", "\\'")
-                    rule = f"region = '{text}'" + (f" AND distance_m = {d}" if key != "population_aoi" else "")
-                    self.spark.sql(f"CREATE OR REPLACE VIEW {view.split('.', 1)[1].replace(' ', '_')} AS SELECT * FROM {source} WHERE {rule}")
-                    made.append(view)
-        return made
+                    value = {"region": "'" + row["region"].replace("\\", "\\\\").replace("'", "\\'") + "'", "distance_m": str(d)}
+                    rule = " AND ".join(["TRUE", *(f"{c} = {value[c]}" for c in by)])
+                    columns = ", ".join(customary_columns(key, self.table(source).columns))
+                    name = view.split(".", 1)[1].replace(" ", "_")
+                    self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {s.table(source)} WHERE {rule}")
+                    made[view] = name
+        return list(made)
 
     def run(self) -> None:
         self.prepare()

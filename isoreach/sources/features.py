@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isoreach.functions.geometry import geojson_wkt, point_x, point_y, wkt_geojson
+from isoreach.functions.geometry import geojson_wkt, point_x, point_y, polygon_bounds, wkt_geojson
 from isoreach.functions.projection import wkt_to_lonlat
-from isoreach.functions.names import correct_names
+from isoreach.functions.names import NAME_COLUMNS, correct_names
 from isoreach.operators.joins import Workspace, lookup_join
 from isoreach.sources.tables import path_exists
 
@@ -152,13 +152,21 @@ BOUNDARY_COLUMNS = {0: ["ISO_A3", "NAM_0"], 1: ["ISO_A3", "NAM_0", "NAM_1"], 2:
 def load_boundaries(spark: SparkSession, folder: str, admin_level: int, layout: str = "auto", epsg: int = 4326) -> DataFrame:
     """Boundaries of one administrative level with known name errors corrected, in degrees.
 
+    The known properties are columns; all properties of the file are the map ``attributes``, names corrected there too.
     ``epsg`` is the system of the file's coordinates, one of those in ``functions/projection.py``.
     """
     if admin_level not in BOUNDARY_COLUMNS:
         raise ValueError(f"admin_level must be 0, 1 or 2, not {admin_level}")
     path = f"{folder.rstrip('/')}/wb_admin{admin_level}.geojson"
-    found = read_geojson(spark, path, BOUNDARY_COLUMNS[admin_level], layout)
-    return correct_names(found.withColumn("geometry_wkt", wkt_to_lonlat(F.col("geometry_wkt"), epsg)))
+    listed = BOUNDARY_COLUMNS[admin_level]
+    found = read_geojson(spark, path, None, layout)
+    known = found.select(
+        *(F.col("properties")[c].alias(c) for c in listed),
+        wkt_to_lonlat(F.col("geometry_wkt"), epsg).alias("geometry_wkt"),
+        F.col("properties").alias("attributes"),
+    )
+    named = [c for c in NAME_COLUMNS if c in listed]
+    return correct_names(known).withColumn("attributes", F.transform_values("attributes", lambda k, v: F.coalesce(*(F.when(k == c, F.col(c)) for c in named), v)))
 
 
 def select_boundaries(boundaries: DataFrame, iso3: str, province: str | None = None) -> DataFrame:
@@ -174,12 +182,21 @@ def select_boundaries(boundaries: DataFrame, iso3: str, province: str | None = N
 
 
 def region_table(adm0: DataFrame, adm1: DataFrame, iso3: str, country: str = "Country") -> DataFrame:
-    """Country and all its provinces as rows: iso3, region, geometry_wkt."""
-    whole = select_boundaries(adm0, iso3).select(F.col("ISO_A3").alias("iso3"), F.lit(country).alias("region"), "geometry_wkt")
-    parts = adm1.filter(F.col("ISO_A3") == iso3).select(F.col("ISO_A3").alias("iso3"), F.col("NAM_1").alias("region"), "geometry_wkt")
+    """Country and all its provinces as rows: iso3, region, geometry_wkt, attributes."""
+    whole = select_boundaries(adm0, iso3).select(F.col("ISO_A3").alias("iso3"), F.lit(country).alias("region"), "geometry_wkt", "attributes")
+    parts = adm1.filter(F.col("ISO_A3") == iso3).select(F.col("ISO_A3").alias("iso3"), F.col("NAM_1").alias("region"), "geometry_wkt", "attributes")
     return whole.unionByName(parts)
 
 
+def reference_latitude(adm0: DataFrame, iso3: str) -> float:
+    """Middle latitude of a country, for ``Settings.ref_lat``: the grid's cells are as wide as they should be there."""
+    b = polygon_bounds("geometry_wkt")
+    found = select_boundaries(adm0, iso3).agg(F.min(b["miny"]).alias("lo"), F.max(b["maxy"]).alias("hi")).first()
+    if found["lo"] is None:
+        raise ValueError(f"the boundary with ISO_A3 = '{iso3}' has no geometry")
+    return (found["lo"] + found["hi"]) / 2
+
+
 def select_districts(adm2: DataFrame, iso3: str) -> DataFrame:
     """Districts as iso3, province, LGU, geometry_wkt."""
     country = adm2.filter(F.col("ISO_A3") == iso3)

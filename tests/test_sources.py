@@ -113,8 +113,10 @@ def test_geojson_in_any_layout(spark, tmp_path, split):
         (tmp_path / "cut.geojson").write_text(layouts["mixed"][: layouts["mixed"].index("back") + 20])
         with pytest.raises(Exception, match="(?i)malformed"):
             features.read_geojson(spark, str(tmp_path / "cut.geojson"), ["name"]).count()
+        # Two features on one line are the only fault of this file; of several faults any may be met first.
+        (tmp_path / "pair.geojson").write_text(flat + "\n" + flat + ", " + flat + "\n")
         with pytest.raises(Exception, match="more than one feature"):
-            features.read_geojson(spark, str(tmp_path / "mixed.geojson"), ["name"], "lines").count()
+            features.read_geojson(spark, str(tmp_path / "pair.geojson"), ["name"], "lines").count()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -242,7 +244,7 @@ def test_fresh_combinations(spark):
 
 def test_pipeline(spark, tmp_path):
     """Two provinces of two districts each; tiles of 8 x 8 pixels over them."""
-    iso = {"ISO_A3": "TST", "NAM_0": "Testland"}
+    iso = {"ISO_A3": "TST", "NAM_0": "Testland", "WB_REGION": "X", "pop": 7}
     write(tmp_path / "wb_admin0.geojson", [feature(iso, "Polygon", square(20.0, -10.0, 2.0, 1.0))])
     write(tmp_path / "wb_admin1.geojson", [feature({**iso, "NAM_1": n}, "Polygon", square(20.0 + i, -10.0)) for i, n in enumerate(["East", "West"])])
     parts = [("East", "A"), ("East", "B"), ("West", "A"), ("West", "C d")]
@@ -255,9 +257,13 @@ def test_pipeline(spark, tmp_path):
     run = Pipeline(spark, settings)
     pixels = run.extract_population(tiles, 20.0, -9.0, 0.025, -0.025)
     run.extract_boundaries(str(tmp_path))
+    assert features.reference_latitude(features.load_boundaries(spark, str(tmp_path), 0), "TST") == pytest.approx(-9.5)
     run.extract_facilities("osm", str(tmp_path / "osm.json"))
     run.run()
 
+    # Facilities carry every property of their boundary.
+    described = {r["region"]: r["attributes"] for r in run.table("health_facilities").collect()}
+    assert described["East"] == {"ISO_A3": "TST", "NAM_0": "Testland", "WB_REGION": "X", "pop": "7", "NAM_1": "East"} and "NAM_1" not in described["Country"]
     assert {(r["region"], r["ID"]) for r in run.table("health_facilities").collect()} == {("Country", "5_current"), ("East", "5_current")}
     summary = {(r["region"], r["distance_m"]): r for r in run.table("access_summary").collect()}
     assert len(summary) == 6
@@ -292,6 +298,17 @@ def test_pipeline(spark, tmp_path):
     views = run.publish_views()
     assert "spark_catalog.tst.lgu_accessibility_results_tst_east_province_5km" in views
     assert spark.table("tst.facilities_h3_tst_20km").count() == 1
+    assert len(views) == len(set(views)) == 3 * 2 + 3 * 2 * 6 + 2  # by region, by region and distance, for all
+    customary = {
+        "wb_boundaries_tst_east_province": "ISO_A3 NAM_0 NAM_1 geometry_wkt", "wb_boundaries_lgu_testland": "province LGU geometry_wkt",
+        "population_tst_2025": "xcoord ycoord population h3_index", "population_aoi_tst_2025_5km": "xcoord ycoord population h3_index geom_wkt row_id ID opacity",
+        "facilities_h3_tst_east_province_5km": "osm_id lat lon name NAM_1 geom_wkt geometry_wkt ID h3_index pop_with_access",
+        "potential_locations_tst_20km": "ID longitude latitude lon lat geom_wkt h3_index pop_with_access", "facilities_coverage_tst_20km": "facility_ID pop_ID",
+        "lgu_accessibility_results_tst_5km": "total_facilities new_facility district lat lon h3_index total_population_access_pct lgu_A",
+    }
+    lacking = {v: set(c.split()) - set(spark.table(f"tst.{v}").columns) for v, c in customary.items()}
+    assert not any(lacking.values()), lacking
+    assert spark.table("tst.wb_boundaries_tst_east_province").first()["NAM_1"] == "East"
 
     marks = lambda: {k: tables.stored_fingerprint(spark, settings.table(k)) for k in SETTINGS_OF}
     files = lambda k: sorted(spark.table(settings.table(k)).inputFiles())
