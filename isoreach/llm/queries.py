@@ -43,7 +43,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL, with_ids=False)
+    return pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
