@@ -26,17 +26,23 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Every row is a document of its own, whatever its id; rows equal in all columns become one.
     """
     work = Workspace(spark)
-    key = F.xxhash64(*(x for c in docs.columns for x in (F.col(c), F.col(c).isNull())))
-    keyed = docs.withColumn("_key", key)
-    found = dartminhash.near_documents(keyed.select(F.col("_key").alias("doc_id"), "text"))
-    found = work.save(found.select(F.col("doc_id").alias("_key"), "component_id"), "near-rows")
-    ids = keyed.select("_key", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key").alias("_rank"))
-    first = found.join(ids, "_key").groupBy("component_id").agg(F.min("_rank").alias("_rank")).select("_rank._key")
-    gone = work.save(found.select("_key").join(first, "_key", "left_anti"), "near-gone")
-    left = lookup_join(keyed, gone, ["_key"], "left_anti")
-    if keyed.groupBy("_key").count().filter("count > 1").limit(1).count():
-        left = left.dropDuplicates(docs.columns)
-    return left.select(*docs.columns)
+    # Extra columns may have any name and type: the row's key gets a free name, and maps, which have no hash, go in as JSON.
+    key = "_key"
+    while key in {c.lower() for c in docs.columns}:
+        key = "_" + key
+    column = {c: F.col("`" + c.replace("`", "``") + "`") for c in docs.columns}
+    maps = [c for c, kind in docs.dtypes if "map<" in kind]
+    hashed = {c: F.to_json(F.struct(x)) if c in maps else x for c, x in column.items()}
+    keyed = docs.withColumn(key, F.xxhash64(*(x for c in docs.columns for x in (hashed[c], column[c].isNull()))))
+    found = dartminhash.near_documents(keyed.select(F.col(key).alias("doc_id"), "text"))
+    found = work.save(found.select(F.col("doc_id").alias(key), "component_id"), "near-rows")
+    ids = keyed.select(key, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key).alias("_rank"))
+    first = found.join(ids, key).groupBy("component_id").agg(F.min("_rank").alias("_rank")).select(F.col("_rank")[key].alias(key))
+    gone = work.save(found.select(key).join(first, key, "left_anti"), "near-gone")
+    left = lookup_join(keyed, gone, [key], "left_anti")
+    if keyed.groupBy(key).count().filter("count > 1").limit(1).count():
+        left = left.dropDuplicates([key, *(c for c in docs.columns if c not in maps)])
+    return left.select(*column.values())
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -348,6 +348,20 @@ def test_near_duplicate_stage_goes_by_rows(spark):
     assert sorted((r.key, r.doc_id) for r in got) == [("a", 1), ("b", 1), ("e", 4), ("f", 4), ("g", None), ("i", None), ("j", 5)]
 
 
+def test_near_duplicate_stage_keeps_columns_of_any_name_and_type(spark):
+    """A column named as the row's key, a dotted name and a map come through; rows equal in all columns become one."""
+    import corpus_pipeline
+
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(3, text, "k", 1, {"a": 1}), (3, text, "k", 1, {"a": 1}), (2, text, "other", 2, None), (9, "something else altogether here", "z", None, {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `_key` string, `a.b` int, more map<string,int>").repartition(3)
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == [rows[2], rows[3]]
+    lone = corpus_pipeline.near_duplicate_stage(spark, docs.filter("doc_id = 3"), "").collect()
+    assert [tuple(r) for r in lone] == [rows[0]]
+
+
 def test_texts_are_found_in_slices():
     from isoreach.llm.common import Texts, hash_spans
 
