@@ -395,3 +395,20 @@ def test_joins_beyond_the_broadcast_bound(spark, monkeypatch):
     expected = answers()
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     assert answers() == expected and all(expected)
+
+
+def small_tables(spark, folder, orders, suppliers, price=50_000.0):
+    """A folder of tables: one region of one nation, orders and suppliers with the given keys."""
+    spark.createDataFrame([(0, "AFRICA")], "r_regionkey long, r_name string").write.parquet(f"{folder}/region.parquet")
+    nations = spark.createDataFrame([(i, f"NATION_{i}", 0) for i in (0, 5)], "n_nationkey long, n_name string, n_regionkey long")
+    nations.write.parquet(f"{folder}/nation.parquet")
+    spark.createDataFrame([(k, price) for k in orders], "o_orderkey long, o_totalprice double").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(k, f"S{k}") for k in suppliers], "s_suppkey long, s_name string").write.parquet(f"{folder}/supplier.parquet")
+    return str(folder)
+
+
+def test_wide_table_without_steps_has_the_columns_of_the_districts(spark, tmp_path):
+    data = small_tables(spark, tmp_path, [1, 2], [1], price=0.0)
+    for query in (queries.lgu_access_wide, queries.lgu_accessibility):
+        wide = query(spark, data)
+        assert [c for c in wide.columns if c.startswith("lgu_")] == ["lgu_NATION_0", "lgu_NATION_5"] and wide.count() == 0
