@@ -47,18 +47,28 @@ def layer_pixels(pixels: DataFrame, covered: DataFrame, with_access: bool, bound
     return found.withColumn("distance_m", F.explode("_distances")).drop("_distances")
 
 
-def _reached(pairs: DataFrame) -> DataFrame:
-    return pairs.select("region", "distance_m", F.col("pop_ID").alias("ID")).distinct()
+def _reached(pairs: DataFrame) -> tuple[str, DataFrame]:
+    """What tells reached pixels, and its values: their ID or, from a relation of cells, their cell."""
+    if "pop_ID" in pairs.columns:
+        return "ID", pairs.select("region", "distance_m", F.col("pop_ID").alias("ID")).distinct()
+    return "cell", pairs.select("region", "distance_m", "cell").distinct()
 
 
 def pixels_with_access(pixels: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The same from stored pairs: for each distance, pixels whose ID occurs in them."""
-    return pixels.join(_reached(pairs), ["region", "ID"])
+    """The same from stored pairs: for each distance, pixels whose ID occurs in them.
+
+    ``pairs`` may also be the relation (region, distance_m, cell) that the pairs make (``coverage.pairs_to_cells``): it
+    is bounded by the grid, and the pixels then stay in place.
+    """
+    key, reached = _reached(pairs)
+    return pixels.join(reached, ["region", key]) if key == "ID" else lookup_join(pixels, reached, ["region", key])
 
 
 def pixels_without_access(pixels: DataFrame, pairs: DataFrame, distances_m: list[int]) -> DataFrame:
     every = pixels.withColumn("distance_m", F.explode(F.array(*map(F.lit, distances_m))))
-    return every.join(_reached(pairs), ["region", "distance_m", "ID"], "left_anti")
+    key, reached = _reached(pairs)
+    on = ["region", "distance_m", key]
+    return every.join(reached, on, "left_anti") if key == "ID" else lookup_join(every, reached, on, "left_anti")
 
 
 def sample_size(n_facilities: int, limit: int = 5_000) -> int:

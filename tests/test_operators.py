@@ -412,3 +412,28 @@ def test_wide_table_without_steps_has_the_columns_of_the_districts(spark, tmp_pa
     for query in (queries.lgu_access_wide, queries.lgu_accessibility):
         wide = query(spark, data)
         assert [c for c in wide.columns if c.startswith("lgu_")] == ["lgu_NATION_0", "lgu_NATION_5"] and wide.count() == 0
+
+
+def test_disks_are_dealt_over_tasks_by_the_rows_they_become(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 500)
+    places = spark.createDataFrame([("R", str(i), cell(i % 5, 0)) for i in range(40)], "region string, ID string, cell long").coalesce(1)
+    weights = spark.createDataFrame([("R", cell(q, r), 1) for q in range(-7, 12) for r in range(-7, 8)], "region string, cell long, w long")
+    relation = coverage.coverage_cells(places, weights, (20_000, 50_000), GRID)
+    rows = [r["count"] for r in relation.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(rows) == 40 * (37 + 127) and max(rows) <= 1000
+    sets = coverage.facility_cells(relation).select(F.spark_partition_id().alias("p"), F.size("cells").alias("n"))
+    rows = [r["n"] for r in sets.groupBy("p").agg(F.sum("n").alias("n")).collect()]
+    assert sum(rows) == 40 * (37 + 127) and max(rows) <= 1500
+
+
+def test_pair_queries_ask_one_pixel_of_each_cell(spark, tmp_path, monkeypatch):
+    made, whole = [], coverage.coverage_pairs
+    monkeypatch.setattr(coverage, "coverage_pairs", lambda *args: made.append(whole(*args)) or made[-1])
+    turn = 100003 * 99991  # keys apart by this share their place
+    data = small_tables(spark, tmp_path, [k + i * turn for k in (500003, 14) for i in range(30)], [3])
+    at = {r["h3_index"] for r in fixtures.pixels(spark, data).collect()}
+    near = queries.pairs_to_cells(spark, data).collect()
+    reached, others = queries.pixels_with_access(spark, data).collect(), queries.pixels_without_access(spark, data).collect()
+    pixels = queries.Area(spark, data).aoi().count()
+    assert len(reached) + len(others) == 3 * pixels and len(set(reached) | set(others)) == 3 * pixels
+    assert near and all(0 < pairs.count() <= 2 * 3 * len(at) for pairs in made) and {r["cell"] for r in near} <= at
