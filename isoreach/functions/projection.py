@@ -100,16 +100,19 @@ class TransverseMercator:
         ]
 
     def stages_forward(self) -> list[Stage]:
-        """From struct(x = lon, y = lat) to struct(x, y) in metres."""
+        """From struct(x = lon, y = lat) to struct(x, y) in metres.
+
+        Spark's asinh is off by a rounding of 1, whatever its argument; atanh keeps the digits of small ones.
+        """
         e = math.sqrt(self.flattening * (2 - self.flattening))
-        wave = lambda p, f, g: sum(c * f(p["a"] * (2 * j)) * g(p["b"] * (2 * j)) for j, c in enumerate(self._forward, 1))
+        wave = lambda p, f, g, start: sum((c * f(p["a"] * (2 * j)) * g(p["b"] * (2 * j)) for j, c in enumerate(self._forward, 1)), start)
         return [
             lambda p: _struct(l=F.radians(p["x"] - self.lon0), s=F.sin(F.radians(p["y"])), t=F.tan(F.radians(p["y"]))),
             lambda p: _struct(l=p["l"], t=p["t"], s=F.sinh(e * F.atanh(e * p["s"]))),
             lambda p: _struct(l=p["l"], t=p["t"] * F.sqrt(1 + p["s"] * p["s"]) - p["s"] * F.sqrt(1 + p["t"] * p["t"])),
-            lambda p: _struct(a=F.atan2(p["t"], F.cos(p["l"])), b=F.asinh(F.sin(p["l"]) / F.hypot(p["t"], F.cos(p["l"])))),
+            lambda p: _struct(a=F.atan2(p["t"], F.cos(p["l"])), b=F.atanh(F.sin(p["l"]) / F.sqrt(1 + p["t"] * p["t"]))),
             lambda p: _struct(
-                x=self.easting + self._radius * (p["b"] + wave(p, F.cos, F.sinh)), y=self.northing + self._radius * (p["a"] + wave(p, F.sin, F.cosh))
+                x=self.easting + self._radius * wave(p, F.cos, F.sinh, p["b"]), y=self.northing + self._radius * wave(p, F.sin, F.cosh, p["a"])
             ),
         ]
 

@@ -220,3 +220,9 @@ def test_projected_text_comes_back(spark):
     assert one["p"]["lon"] == pytest.approx(28.0004, abs=1e-3) and one["n"] is None
     with pytest.raises(ValueError, match="2056"):
         projection.stages_to_degrees(2056)
+
+
+def test_projection_keeps_the_digits_that_doubles_have(spark):
+    """To fifty digits x is 43121954.9999999993 cm, and the nearest double is the whole number."""
+    at = projection.utm(36, south=True).project(F.lit(32.35816925492235), F.lit(-15.678491064195779))
+    assert spark.range(1).select(at.alias("p")).first()["p"]["x"] * 100 == 43121955.0
