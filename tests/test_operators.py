@@ -437,3 +437,14 @@ def test_pair_queries_ask_one_pixel_of_each_cell(spark, tmp_path, monkeypatch):
     pixels = queries.Area(spark, data).aoi().count()
     assert len(reached) + len(others) == 3 * pixels and len(set(reached) | set(others)) == 3 * pixels
     assert near and all(0 < pairs.count() <= 2 * 3 * len(at) for pairs in made) and {r["cell"] for r in near} <= at
+
+
+def test_parcels_and_lattice_points_are_dealt_by_their_work(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 128)
+    data = small_tables(spark, tmp_path, [1], [1])
+    customers = spark.createDataFrame([(k, f"C{k}", "BUILDING", 0) for k in range(40)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey long")
+    customers.coalesce(1).write.parquet(f"{data}/customer.parquet")
+    parcels = fixtures.parcels(spark, data)
+    assert parcels.rdd.getNumPartitions() == 20
+    plan = sites.grid_candidates(parcels, 0.004, ["key"])._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.count("RepartitionByExpression") + line.count("Repartition ") for line in plan.splitlines()) >= 3
