@@ -445,6 +445,6 @@ def test_parcels_and_lattice_points_are_dealt_by_their_work(spark, tmp_path, mon
     customers = spark.createDataFrame([(k, f"C{k}", "BUILDING", 0) for k in range(40)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey long")
     customers.coalesce(1).write.parquet(f"{data}/customer.parquet")
     parcels = fixtures.parcels(spark, data)
-    assert parcels.rdd.getNumPartitions() == 20
+    assert "Repartition 20, true" in parcels._jdf.queryExecution().optimizedPlan().toString()
     plan = sites.grid_candidates(parcels, 0.004, ["key"])._jdf.queryExecution().optimizedPlan().toString()
     assert sum(line.count("RepartitionByExpression") + line.count("Repartition ") for line in plan.splitlines()) >= 3
