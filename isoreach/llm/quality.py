@@ -16,6 +16,8 @@ positive every score is the prior's default; an empty table gives an empty resul
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -65,11 +67,12 @@ def _repetition(owner: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, n
 def shape_features(texts: Texts) -> np.ndarray:
     """A row of WIDTH numbers for each text, from its whole length."""
     n, size = texts.n, np.diff(texts.offsets)
-    owner = np.repeat(np.arange(n), size)
-    kind = _CLASS[texts.data].astype(np.int64)
+    owner = np.repeat(np.arange(n, dtype=np.int32), size)
+    kind = _CLASS[texts.data]
     inside = owner[1:] == owner[:-1] if len(owner) else np.zeros(0, bool)
-    pair = (owner[1:] * CLASSES + kind[1:]) * CLASSES + kind[:-1] if len(owner) else np.zeros(0, np.int64)
+    pair = (owner[1:] * np.int32(CLASSES) + kind[1:]) * np.int32(CLASSES) + kind[:-1] if len(owner) else np.zeros(0, np.int32)
     steps = np.bincount(pair[inside], minlength=n * CLASSES * CLASSES).reshape(n, -1)
+    del owner, kind, inside, pair  # the largest arrays of a slice
     out = np.zeros((n, WIDTH), np.float32)
     out[:, : CLASSES * CLASSES] = np.sqrt(_share(steps, steps.sum(1)[:, None]))
     lower = texts.lower()
@@ -87,15 +90,15 @@ def shape_features(texts: Texts) -> np.ndarray:
     return out
 
 
-def features(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """The named columns and ``x``, the features of the text as float32 bytes."""
+def features(docs: DataFrame, columns: dict[str, Column], made: Callable[[np.ndarray], pa.Array] = binary_rows, name_kind: str = "x binary") -> DataFrame:
+    """The named columns and ``x``, the features of the text as float32 bytes, or else what ``made`` makes of them."""
     def each(batch: pa.RecordBatch, texts: Texts):
-        yield {"_id": batch.column(0)} | {str(i): c for i, c in enumerate(batch.columns[2:])} | {"x": binary_rows(shape_features(texts))}
+        yield {"_id": batch.column(0)} | {str(i): c for i, c in enumerate(batch.columns[2:])} | {"_made": made(shape_features(texts))}
 
     first = docs.select(*(c.alias(f"_f{i}") for i, c in enumerate(columns.values())), text_column(docs).alias("_text"))
     kinds = dict(first.dtypes)
     names = list(columns)
-    schema = ", ".join(f"`{name}` {kinds[f'_f{i}']}" for i, name in enumerate(names)) + ", x binary"
+    schema = ", ".join(f"`{name}` {kinds[f'_f{i}']}" for i, name in enumerate(names)) + f", {name_kind}"
     order = [F.col("_f0"), F.col("_text"), *(F.col(f"_f{i}") for i in range(1, len(names)))]
     return map_texts(first, order, each, schema)
 
@@ -168,21 +171,33 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
         weights = fit(*scaled, prior)
     else:
         centre, spread, weights, prior = np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH + 1), DEFAULT_PRIOR
-    # Wanted columns of the documents are not stored a second time: the last pass reads the texts again.
-    scored = _scored(x if carry is None else features(docs, columns | {f"_c{i}": F.col(f"`{c}`") for i, c in enumerate(carry)}), weights, centre, spread)
+    if carry is None:
+        scored = _scored(x, weights, centre, spread)
+    else:
+        # Wanted columns of the documents are not stored a second time: the last pass reads the texts again, and scores
+        # them where it has their features: a second Python worker a task would hold the texts once more.
+        wanted = columns | {f"_c{i}": F.col(f"`{c}`") for i, c in enumerate(carry)}
+        scored = features(docs, wanted, lambda rows: _score(_margin(rows, weights, centre, spread)), "score double")
     return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 
-def _margin(x: pa.Array, weights: np.ndarray, centre: np.ndarray, spread: np.ndarray) -> np.ndarray:
-    rows = np.frombuffer(b"".join(x.to_pylist()), np.float32).reshape(-1, WIDTH)
+def _rows(x: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(x.to_pylist()), np.float32).reshape(-1, WIDTH)
+
+
+def _margin(rows: np.ndarray, weights: np.ndarray, centre: np.ndarray, spread: np.ndarray) -> np.ndarray:
     return np.clip((rows - centre) / spread, -8, 8) @ weights[:-1] + weights[-1]
 
 
+def _score(z: np.ndarray) -> pa.Array:
+    return pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
+
+
 def _bins(x: DataFrame, weights: np.ndarray, centre: np.ndarray, spread: np.ndarray, edges: int) -> DataFrame:
     """Histogram of the first model's margins over all rows: at most ``edges`` rows."""
     def run(batches):
         for b in batches:
-            z = _margin(b.column(0), weights, centre, spread)
+            z = _margin(_rows(b.column(0)), weights, centre, spread)
             n = np.bincount(np.clip((z + 10) / 20 * edges, 0, edges - 1).astype(int), minlength=edges)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(edges), pa.int32()), pa.array(n, pa.int64())], ["bin", "n"])
 
@@ -194,8 +209,7 @@ def _scored(x: DataFrame, weights: np.ndarray, centre: np.ndarray, spread: np.nd
 
     def run(batches):
         for b in batches:
-            z = _margin(b.column(b.num_columns - 1), weights, centre, spread)
-            score = pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
+            score = _score(_margin(_rows(b.column(b.num_columns - 1)), weights, centre, spread))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], score], [*b.schema.names[:-1], "score"])
 
     kinds = dict(x.dtypes)

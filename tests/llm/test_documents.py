@@ -382,3 +382,15 @@ def test_signatures_do_not_depend_on_their_group():
     grouped = dartminhash.signatures(owner, element, weight, 900)
     assert (grouped == dartminhash._signed(owner, element, weight, 900, dartminhash.COORDINATES, 3.0)).all()
     assert dartminhash.signatures(owner[:0], element[:0], weight[:0], 0).shape == (0, dartminhash.COORDINATES)
+
+
+def test_quality_scores_carried_columns_in_one_python_pass(spark):
+    """Texts that are carried along go to one Python worker, with the scores of those that are not (pipeline)."""
+    docs = spark.createDataFrame([(i, f"text {i} " + ("Good words, here. " * (i % 7) if i % 2 else "| 12 | 7 " * (i % 5)), i % 3) for i in range(200)], "doc_id long, text string, extra int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    carried = quality.quality_scores(docs, labels, carry=docs.columns)
+    assert carried._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    plain = {r["doc_id"]: (r["held_out"], round(r["score"], 9), r["predicted"]) for r in quality.quality_scores(docs, labels).collect()}
+    rows = carried.collect()
+    assert {r["doc_id"]: (r["held_out"], round(r["score"], 9), r["predicted"]) for r in rows} == plain
+    assert sorted((r["_c0"], r["_c1"], r["_c2"]) for r in rows) == sorted(map(tuple, docs.collect()))
