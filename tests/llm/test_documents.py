@@ -192,6 +192,22 @@ def test_query_scores_with_trigrams_and_singletons(spark, edge, given):
             assert sum(p(*g, x) for x in [*c, "never seen"]) == pytest.approx(1.0)
 
 
+def test_many_shards_give_the_scores_of_one(spark, edge, monkeypatch):
+    rows = lambda **kw: sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in ngram_trie.score_texts(edge, **kw).collect())
+    want = [rows(), rows(order=3, least=1), rows(order=3)]
+    monkeypatch.setattr(ngram_trie, "SHARD_BYTES", 500)  # most shards get bigrams that nothing follows, or none
+    assert [rows(), rows(order=3, least=1), rows(order=3)] == want
+
+
+def test_ngrams_travel_once_and_short():
+    rng = np.random.default_rng(1)
+    texts = pa.array([" ".join(f"w{int(x)}" for x in rng.zipf(1.2, 500) % 100_000) for _ in range(1000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), texts, pa.array([True] * 1000)], ["doc_id", "text", "_train"])
+    block = ngram_trie.Block(ngram_trie.Texts(batch.column(0), texts), np.ones(1000, bool), 64, 3, np.array([ngram_trie.START]))
+    sent = sum(len(x) for b in ngram_trie._gram_rows(64, 3, np.array([ngram_trie.START]))(0, ngram_trie.Texts(batch.column(0), texts), batch) for c in b.columns for x in c.to_pylist() if isinstance(x, bytes))
+    assert sent < 6 * (len(block.u) + len(block.context))  # 8.4 bytes for each distinct n-gram when bigrams and trigrams were dealt apart
+
+
 def test_elias_fano_finds_members_only():
     import numpy as np
 
