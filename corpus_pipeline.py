@@ -1,7 +1,8 @@
 """From raw documents to token ids: quality, near-duplicates, repeated passages, language mix, SentencePiece.
 
 Every stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last give the columns of the documents they
-were handed, extra columns included. ``run`` writes each stage's result as Parquet and hands it on.
+were handed, extra columns included. ``run`` writes each stage's result as Parquet and hands it on. Stages that send texts to
+Python set the session's Arrow batches to BATCH_TEXTS rows, as their last step runs when the result is written.
 """
 
 from __future__ import annotations
@@ -10,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isoreach.llm import dartminhash, mixing, pieces, quality, suffix_index
+from isoreach.llm.common import BATCH_TEXTS
 from isoreach.llm.queries import PIECE_MODEL, TARGETS, labelled_languages, table
-from isoreach.operators.joins import Workspace, lookup_join
+from isoreach.operators.joins import Workspace, arrow_rows, lookup_join
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
+    arrow_rows(spark, BATCH_TEXTS)
     scored = quality.quality_scores(docs, table(spark, sf_dir, "labels"), carry=docs.columns)
     return scored.filter("predicted = 1").select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
@@ -25,6 +28,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Every row is a document of its own, whatever its id; rows equal in all columns become one.
     """
+    arrow_rows(spark, BATCH_TEXTS)
     work = Workspace(spark)
     # Extra columns may have any name and type: the row's key gets a free name, and maps, which have no hash, go in as JSON.
     key = "_key"
@@ -47,13 +51,16 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of long repeated passages; n_chars follows the text."""
-    out = suffix_index.remove_repeats(docs, with_text=True, carry=docs.columns)
+    arrow_rows(spark, BATCH_TEXTS)
     new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return out.select(*(new.get(c, F.col(f"_c{i}")).alias(c) for i, c in enumerate(docs.columns)))
+    carry = [c for c in docs.columns if c not in new]  # the old text would go through Python a second time
+    out = suffix_index.remove_repeats(docs, with_text=True, carry=carry)
+    return out.select(*((new[c] if c in new else F.col(f"_c{carry.index(c)}")).alias(c) for c in docs.columns))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of languages below their target are repeated; none is dropped."""
+    arrow_rows(spark, BATCH_TEXTS)
     mixed = mixing.mix(docs, labelled_languages(spark, sf_dir, docs), TARGETS, floor=1.0, keep_all=True, keep=True)
     copies = F.explode(F.sequence(F.lit(1), mixing.copies(F.col("rate"), F.col("doc_id"))))
     return mixed.select("_row", copies.alias("_copy")).select("_row.*")
@@ -61,6 +68,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text."""
+    arrow_rows(spark, BATCH_TEXTS)
     return pieces.encode(docs, PIECE_MODEL)
 
 

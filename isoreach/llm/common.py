@@ -6,6 +6,7 @@ hashes and windows are found with numpy over the whole buffer instead of a loop
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -20,6 +21,8 @@ from pyspark.sql.types import StructType
 
 #: Bytes of text handled at once inside a task. Arrays derived from them stay within some hundred MB.
 SLICE_BYTES = 2 << 20
+#: Whole texts in an Arrow batch, see ``Workspace.save``.
+BATCH_TEXTS = 1000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -146,15 +149,24 @@ def _lengths(texts: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
 
 
-def map_texts(docs: DataFrame, columns: list[Column], each: Callable, schema: str) -> DataFrame:
-    """``each(batch, texts)`` gives dicts of arrays for one slice; columns are (id, text, more...)."""
+def give_back() -> None:
+    """Workers outlive their tasks: what a task has freed goes back to the machine, where the C library can do that."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_texts(docs: DataFrame, columns: list[Column], each: Callable, schema: str, limit: int = SLICE_BYTES) -> DataFrame:
+    """``each(batch, texts)`` gives dicts of arrays for one slice of ``limit`` bytes; columns are (id, text, more...)."""
     wanted = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, limit):
             for out in each(batch, texts):
                 arrays = [a if isinstance(a, (pa.Array, pa.ChunkedArray)) else pa.array(a, field.type) for a, field in zip(out.values(), wanted, strict=True)]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, wanted, strict=True)], schema=wanted)
+        batch = texts = out = arrays = None
+        give_back()
 
     return docs.select(*columns).mapInArrow(run, schema)
 

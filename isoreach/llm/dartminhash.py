@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isoreach.llm.common import Texts, hash_spans, lists, map_texts, mix64, text_column, uniform
+from isoreach.llm.common import BATCH_TEXTS, Texts, hash_spans, lists, map_texts, mix64, text_column, uniform
 from isoreach.llm.components import components
 from isoreach.operators.joins import Workspace, lookup_join
 
@@ -169,7 +169,7 @@ def near_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs).alias("text"))
     known = source.filter(F.col("doc_id").isNotNull())
-    signed = work.save(map_texts(known, [F.col("doc_id"), F.col("text")], each, "id long, whole long, size long, keys array<long>"), "signed")
+    signed = work.save(map_texts(known, [F.col("doc_id"), F.col("text")], each, "id long, whole long, size long, keys array<long>"), "signed", BATCH_TEXTS)
     worded = signed.filter(F.size("keys") > 0)
     groups = work.save(worded.groupBy("whole", "size").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "groups")
     copies = worded.join(groups.select("whole", "size", "rep"), ["whole", "size"]).filter(F.col("id") != F.col("rep")).select(F.col("id").alias("u"), F.col("rep").alias("v"))
@@ -185,7 +185,7 @@ def near_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     pairs = work.save(met.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), "pairs")
     texts = known.groupBy("doc_id").agg(F.min("text").alias("text")) if signed.select("id").distinct().count() < signed.count() else known
     texts = work.save(lookup_join(texts.select(F.col("doc_id").alias("id"), "text"), fame.select("id"), ["id"], "left_semi", skewed=False), "texts")
-    first = work.save(_compared(pairs, texts), "first")
+    first = work.save(_compared(pairs, texts), "first", BATCH_TEXTS)
     links = first.filter(F.col("similarity") >= threshold).select(F.col("b").alias("u"), F.col("a").alias("v"))
     failed = first.filter(F.col("similarity") < threshold)
     if failed.limit(1).count():
@@ -231,8 +231,8 @@ def _second(met: DataFrame, failed: DataFrame, now: DataFrame, texts: DataFrame,
     wanted = work.save(open_ids.join(comp, "id", "left").select("id", F.coalesce("c", "id").alias("c")), "open")
     bodies = work.save(texts.join(wanted, "id"), "bodies")
     usual = map_texts(bodies, [F.col("id"), F.col("text"), F.col("c")], _elements, "id long, c long, size long, s long")
-    usual = work.save(usual.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1), "usual")
-    rows = work.save(_prefixes(bodies, usual, threshold), "prefixes")
+    usual = work.save(usual.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1), "usual", BATCH_TEXTS)
+    rows = work.save(_prefixes(bodies, usual, threshold), "prefixes", BATCH_TEXTS)
     per = rows.groupBy("s", "c").agg(F.count(F.lit(1)).alias("_n"))
     main = per.groupBy("s").agg(F.max(F.struct("_n", "c")).alias("_m"), F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > 1).select("s", F.col("_m.c").alias("_main"))
     # One side leaves out the largest component of each shingle, so its members are never matched with each other.
@@ -243,5 +243,5 @@ def _second(met: DataFrame, failed: DataFrame, now: DataFrame, texts: DataFrame,
     pairs = left.join(right, "s").filter((F.col("c") != F.col("_c")) & (room >= need))
     pairs = pairs.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
     done = failed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = work.save(_compared(work.save(pairs.join(done, ["a", "b"], "left_anti"), "late-pairs"), texts), "second")
+    second = work.save(_compared(work.save(pairs.join(done, ["a", "b"], "left_anti"), "late-pairs"), texts), "second", BATCH_TEXTS)
     return second.filter(F.col("similarity") >= threshold).select(F.col("b").alias("u"), F.col("a").alias("v"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isoreach.llm.common import Texts, binary_rows, hash_spans, held_out, map_texts, text_column
+from isoreach.llm.common import BATCH_TEXTS, Texts, binary_rows, hash_spans, held_out, map_texts, text_column
 from isoreach.operators.joins import Workspace
 
 #: At most about so many positives, and so many unlabelled rows, are gathered to fit the model.
@@ -150,7 +150,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     spark = docs.sparkSession
     work = Workspace(spark)
     columns = {"doc_id": F.col("doc_id"), "held_out": held_out(F.col("doc_id"), modulus)}
-    x = work.save(features(docs, columns), "features")
+    x = work.save(features(docs, columns), "features", BATCH_TEXTS)
     learn = x.filter(~F.col("held_out") & F.col("doc_id").isNotNull())
     trusted = labels.groupBy(F.col("doc_id")).agg(F.min("quality").alias("_lo"), F.max("quality").alias("_hi"))
     trusted = trusted.filter((F.col("_lo") == 1) & (F.col("_hi") == 1) & ~held_out(F.col("doc_id"), modulus)).select("doc_id")

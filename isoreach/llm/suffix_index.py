@@ -29,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isoreach.llm.common import Texts, hash_spans, lists, map_texts, mix64, text_column
+from isoreach.llm.common import BATCH_TEXTS, Texts, hash_spans, lists, map_texts, mix64, text_column
 from isoreach.operators.joins import BROADCAST_BYTES, Workspace, lookup_join
 
 LENGTH = 200
 GRAM = 32
 BATCHES = 4
+#: Bytes of text whose windows are looked at together: about 150 bytes of arrays for each.
+RUN_BYTES = 512 << 10
 #: Runs of one anchor that are compared in one task; more of them are dealt to several.
 ANCHOR_RUNS = 2000
 TASK_RUNS = 5000
@@ -189,7 +191,7 @@ def _edges(fetched: DataFrame, frequent: DataFrame, rows: int, work: Workspace)
                 out["end"].append(np.zeros(len(keys), np.int64))
         return pa.table({k: pa.array(np.concatenate(v) if v else [], pa.int64()) for k, v in out.items()})
 
-    done = work.save(dealt.groupBy("g").applyInArrow(compare, "key long, rid long, start long, end long"), "edges")
+    done = work.save(dealt.groupBy("g").applyInArrow(compare, "key long, rid long, start long, end long"), "edges", BATCH_TEXTS)
     settled = done.filter(F.col("end") > 0).select("rid", "start", "end")
     open_rows = done.filter(F.col("end") == 0)
     again = open_rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("key")
@@ -230,7 +232,7 @@ def repeated_spans(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         yield {"rid": batch.column(0).take(pa.array(found.pop("of")))} | found
 
     source = docs.select(row_key(docs).alias("rid"), text_column(docs).alias("text"))
-    occurrences = work.save(map_texts(source, [F.col("rid"), F.col("text")], each, "rid long, p1 int, p2 int, off int, a long, u long"), "runs")
+    occurrences = work.save(map_texts(source, [F.col("rid"), F.col("text")], each, "rid long, p1 int, p2 int, off int, a long, u long", RUN_BYTES), "runs", BATCH_TEXTS)
     index = SuffixIndex(work)
     met = None
     for i in range(batches):

@@ -208,6 +208,24 @@ def test_ngrams_travel_once_and_short():
     assert sent < 6 * (len(block.u) + len(block.context))  # 8.4 bytes for each distinct n-gram when bigrams and trigrams were dealt apart
 
 
+def test_texts_reach_python_in_bounded_batches(spark):
+    import corpus_pipeline
+    from isoreach.llm.common import BATCH_TEXTS, map_texts
+    from isoreach.operators.joins import ARROW_ROWS, Workspace
+
+    before = spark.conf.get(ARROW_ROWS)
+    docs = spark.createDataFrame([(i, f"text {i}", i * 2, "en") for i in range(2500)], "doc_id long, text string, n_chars long, lang string").coalesce(1)
+    rows = map_texts(docs, [F.col("doc_id"), F.col("text")], lambda batch, texts: [{"n": np.array([batch.num_rows])}], "n long")
+    assert [r.n for r in Workspace(spark).save(rows, "rows", BATCH_TEXTS).collect()] == [1000, 1000, 500]
+    assert spark.conf.get(ARROW_ROWS) == before
+    try:
+        out = corpus_pipeline.repeated_passage_stage(spark, docs, DATA)
+        assert out.columns == docs.columns and sorted(out.collect()) == [(i, f"text {i}", len(f"text {i}"), "en") for i in range(2500)]
+        assert int(spark.conf.get(ARROW_ROWS)) <= BATCH_TEXTS
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def test_elias_fano_finds_members_only():
     import numpy as np
 
